@@ -140,7 +140,7 @@ ORACLE_SQL: dict[str, str] = {
         f"select round(corr(l_quantity, nullif(l_tax,0.0)),6) as correlation, count(*) as n {_BAND_JOIN}"
     ),
     "ols_trend_by_state": (
-        "select n_name as state, regr_count(l_extendedprice,l_quantity) as n, "
+        "select n_name as state, cast(regr_count(l_extendedprice,l_quantity) as bigint) as n, "
         "round(regr_slope(l_extendedprice,l_quantity),4) as slope, "
         "round(regr_intercept(l_extendedprice,l_quantity),4) as intercept, "
         f"round(regr_r2(l_extendedprice,l_quantity),6) as r2 {_BAND_JOIN} group by n_name"
