@@ -176,6 +176,49 @@ ORACLE_SQL: dict[str, str] = {
         "union all select 'duplicate_key', (select count(*) from lineitem) - (select count(*) from "
         "(select distinct l_orderkey,l_linenumber from lineitem) d)"
     ),
+    "silver_provider_info": (
+        "select lpad(cast(c_custkey as varchar),6,'0') as CMS_Certification_Number_CCN, c_name as Provider_Name, "
+        "n_name as State, c_acctbal as Number_of_Certified_Beds, case when c_mktsegment='BUILDING' then null "
+        "else c_acctbal/10 end as Average_Number_of_Residents_per_Day "
+        "from customer join nation on c_nationkey=n_nationkey"
+    ),
+    "silver_facility_performance": (
+        "select lpad(cast(s_suppkey as varchar),6,'0') as CMS_Certification_Number_CCN, s_name as Provider_Name, "
+        "case when s_acctbal < 0 then null else s_acctbal/1000 end as "
+        "Performance_Period_FY_2022_Risk_Standardized_Readmission_Rate, "
+        "'CITY ' || cast(s_nationkey as varchar) as \"City/Town\" from supplier"
+    ),
+    "silver_skilled_nursing": (
+        "select lpad(cast(user_id as varchar),6,'0') as CMS_Certification_Number_CCN, "
+        "cast(event_id as varchar) as Row_Id, event_type as Measure_Code, "
+        "case when event_type='error' then 0.0 else value end as Score from events"
+    ),
+    "silver_quality_mds": (
+        "select lpad(cast(o_custkey as varchar),6,'0') as CMS_Certification_Number_CCN, "
+        "cast(o_orderkey as varchar) as Measure_Row_Id, o_orderpriority as Resident_type from orders"
+    ),
+    "silver_quality_claims": (
+        "select lpad(cast(o_custkey as varchar),6,'0') as CMS_Certification_Number_CCN, "
+        "cast(o_orderkey as varchar) as Claim_Row, o_orderstatus as Measure_Status from orders"
+    ),
+    "silver_master_csv": (
+        "select PROVNUM, STATE, WorkDate, "
+        "round(coalesce(hrs_rn,0)+coalesce(hrs_lpn,0)+coalesce(hrs_cna,0),6) as TotalNursing_Hours, "
+        "round(case when census>0 then hrs_rn/census else 0 end,6) as RN_Ratio, "
+        "round(case when census>0 then hrs_cna/census else 0 end,6) as CNA_Ratio, "
+        "round(case when census>0 then hrs_lpn/census else 0 end,6) as LPN_Ratio "
+        "from (select lpad(cast(l_suppkey as varchar),6,'0') as PROVNUM, upper(n_name) as STATE, "
+        "cast(l_shipdate as date) as WorkDate, l_quantity as hrs_rn, l_tax as hrs_lpn, "
+        "case when l_discount>0.05 then l_tax end as hrs_cna, l_discount as census, "
+        "row_number() over (partition by l_suppkey, cast(l_shipdate as date) order by s_name, upper(n_name), "
+        "l_quantity, l_quantity, l_tax, case when l_discount>0.05 then l_tax end nulls first, l_discount) as rn "
+        f"{_STAFF_JOIN}) t where rn=1"
+    ),
+    "roundtrip_append_replay": (
+        "select o_orderkey, o_custkey, o_totalprice, case when o_orderstatus='F' then null "
+        "else o_orderpriority end as o_orderpriority from orders"
+    ),
+    "roundtrip_overwrite": _THROUGHPUT,
 }
 
 

@@ -67,8 +67,8 @@ def master_staffing(
         "WorkDate": parse_date("WorkDate", date_format),
     }
     for c in numeric:
-        if c.lower() in present:
-            fixes[c] = to_number(c)
+        # an hours column the file does not carry is missing for every row
+        fixes[c] = to_number(c) if c.lower() in present else F.lit(None).cast("double")
     cleaned = with_columns(raw.filter(cond), fixes)
 
     if dedup_null_dates:

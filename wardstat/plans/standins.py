@@ -32,7 +32,10 @@ from wardstat.operators.joins import join_keep_left
 from wardstat.operators.quality import quality_counts
 from wardstat.operators.select import present
 from wardstat.plans import checks, gold, serving, silver
+from wardstat.session import scratch_path
+from wardstat.sources.files import read_csv, read_table
 from wardstat.sources.intake import allow_listed, changed_files
+from wardstat.sources.sinks import BATCH_COL, append_batch, overwrite
 
 # --- fixed values used by the checked queries ---------------------------------
 STATE_PICK = "NATION_3"
@@ -361,11 +364,21 @@ def _readmission(spark, d, missing: str, count_name: str | None = None):
         F.col("l_suppkey").alias("fkey"),
         F.nullif(F.col("l_tax"), F.lit(0.0)).alias("readmission"),
     )
-    fac = facilities(spark, d).select(F.col("s_suppkey").alias("fkey"), "s_name", F.col("n_name").alias("state"))
-    return gold.staffing_readmission(
+    nat = table(spark, d, "nation").select("n_nationkey", F.col("n_name").alias("state"))
+    # facilities that have a state; the name is attached to the (fact-sized)
+    # detail afterwards, so every join is fact x dimension and the size
+    # estimates pick the dimension as the broadcast side
+    fac = (
+        table(spark, d, "supplier")
+        .select(F.col("s_suppkey").alias("fkey"), "s_name", "s_nationkey")
+        .join(nat, F.col("s_nationkey") == nat.n_nationkey, "left_semi")
+    )
+    detail, summary = gold.staffing_readmission(
         li, fac, key="fkey", hours="l_quantity", rate="readmission",
         missing=missing, stamp=None, count_name=count_name,
     )
+    detail = detail.join(nat, detail.s_nationkey == nat.n_nationkey).drop("s_nationkey", "n_nationkey")
+    return detail, summary
 
 
 def q_staffing_band_detail(spark, d):
@@ -453,6 +466,138 @@ def q_quality_checks(spark, d):
     return staffing.unionByName(trims)
 
 
+
+# --- raw CSV files -> silver (files written from the driver tables) ---------------
+
+
+def _write_raw_csv(spark, df: DataFrame, name: str) -> str:
+    """Write ``df`` as a headed CSV folder in shared scratch space, keeping
+    leading/trailing spaces (the silver jobs must trim them)."""
+    path = scratch_path(spark, name)
+    (
+        df.write.option("header", True)
+        .option("ignoreLeadingWhiteSpace", False)
+        .option("ignoreTrailingWhiteSpace", False)
+        .csv(path)
+    )
+    return path
+
+
+def _pad(c) -> F.Column:
+    return F.concat(F.lit(" "), c, F.lit("  "))
+
+
+def q_silver_provider_info(spark, d):
+    prov = providers(spark, d)
+    cust = table(spark, d, "customer").select(F.col("c_custkey").alias("CCN"), "c_mktsegment")
+    raw = prov.join(cust, "CCN").select(
+        F.lpad(F.col("CCN").cast("string"), 6, "0").alias("CMS Certification Number (CCN)"),
+        _pad(F.col("c_name")).alias("Provider Name"),
+        _pad(F.col("n_name")).alias("State"),
+        F.col("beds").cast("string").alias("Number of Certified Beds"),
+        F.when(F.col("c_mktsegment") == "BUILDING", F.lit("Not Available"))
+        .otherwise((F.col("beds") / 10).cast("string"))
+        .alias("Average Number of Residents per Day"),
+    )
+    path = _write_raw_csv(spark, raw, "raw-provider-info")
+    out = silver.provider_info(read_csv(spark, path))
+    return out.drop(silver.STAMP)
+
+
+def q_silver_facility_performance(spark, d):
+    sup = table(spark, d, "supplier")
+    raw = sup.select(
+        F.lpad(F.col("s_suppkey").cast("string"), 6, "0").alias("CMS Certification Number (CCN)"),
+        _pad(F.col("s_name")).alias("Provider Name"),
+        F.when(F.col("s_acctbal") < 0, F.lit("Not Available"))
+        .otherwise((F.col("s_acctbal") / 1000).cast("string"))
+        .alias("Performance Period: FY 2022 Risk-Standardized Readmission Rate"),
+        F.concat(F.lit("CITY "), F.col("s_nationkey").cast("string")).alias("City/Town"),
+    )
+    path = _write_raw_csv(spark, raw, "raw-facility-performance")
+    return silver.facility_performance(read_csv(spark, path)).drop(silver.STAMP)
+
+
+def q_silver_skilled_nursing(spark, d):
+    ev = table(spark, d, "events")
+    raw = ev.select(
+        F.lpad(F.col("user_id").cast("string"), 6, "0").alias("CMS Certification Number (CCN)"),
+        F.col("event_id").cast("string").alias("Row Id"),
+        _pad(F.col("event_type")).alias("Measure Code"),
+        F.when(F.col("event_type") == "error", F.lit("Not Available"))
+        .otherwise(F.col("value").cast("string"))
+        .alias("Score"),
+    )
+    path = _write_raw_csv(spark, raw, "raw-skilled-nursing")
+    return silver.skilled_nursing(read_csv(spark, path)).drop(silver.STAMP)
+
+
+def q_silver_quality_mds(spark, d):
+    o = table(spark, d, "orders")
+    raw = o.select(
+        F.lpad(F.col("o_custkey").cast("string"), 6, "0").alias("CMS Certification Number (CCN)"),
+        F.col("o_orderkey").cast("string").alias("Measure-Row (Id)"),
+        _pad(F.col("o_orderpriority")).alias("Resident type"),
+    )
+    path = _write_raw_csv(spark, raw, "raw-quality-mds")
+    return silver.quality_mds(read_csv(spark, path)).drop(silver.STAMP)
+
+
+def q_silver_quality_claims(spark, d):
+    o = table(spark, d, "orders")
+    raw = o.select(
+        F.lpad(F.col("o_custkey").cast("string"), 6, "0").alias("CMS Certification Number (CCN)"),
+        F.col("o_orderkey").cast("string").alias("Claim Row"),
+        _pad(F.col("o_orderstatus")).alias("Measure Status"),
+    )
+    path = _write_raw_csv(spark, raw, "raw-quality-claims")
+    return silver.quality_claims(read_csv(spark, path)).drop(silver.STAMP)
+
+
+def q_silver_master_csv(spark, d):
+    f = staffing_facts(spark, d, ["l_suppkey", "l_quantity", "l_discount", "l_tax", "l_shipdate"])
+    raw = f.select(
+        _pad(F.lpad(F.col("l_suppkey").cast("string"), 6, "0")).alias("PROVNUM"),
+        F.col("s_name").alias("PROVNAME"),
+        _pad(F.lower(F.col("n_name"))).alias("STATE"),
+        F.date_format("l_shipdate", "yyyy-MM-dd").alias("WorkDate"),
+        F.col("l_quantity").cast("string").alias("Hrs_RNDON"),
+        F.col("l_quantity").cast("string").alias("Hrs_RN"),
+        F.col("l_tax").cast("string").alias("Hrs_LPN"),
+        F.when(F.col("l_discount") > 0.05, F.col("l_tax").cast("string")).alias("Hrs_CNA"),
+        F.col("l_discount").cast("string").alias("MDScensus"),
+    )
+    path = _write_raw_csv(spark, raw, "raw-master-staffing")
+    out = silver.master_staffing(read_csv(spark, path))
+    return out.select(
+        "PROVNUM", "STATE", "WorkDate",
+        F.round("TotalNursing_Hours", 6).alias("TotalNursing_Hours"),
+        F.round("RN_Ratio", 6).alias("RN_Ratio"),
+        F.round("CNA_Ratio", 6).alias("CNA_Ratio"),
+        F.round("LPN_Ratio", 6).alias("LPN_Ratio"),
+    )
+
+
+# --- sinks: repeatable append, schema merge, overwrite ---------------------------
+
+
+def q_roundtrip_append_replay(spark, d):
+    o = table(spark, d, "orders")
+    path = scratch_path(spark, "silver-append")
+    first = o.filter(F.col("o_orderstatus") == "F").select("o_orderkey", "o_custkey", "o_totalprice")
+    append_batch(first, path, "load-1")
+    append_batch(first, path, "load-1")  # replay after a failure: replaces, no duplicates
+    later = o.filter(F.col("o_orderstatus") != "F").select("o_orderkey", "o_custkey", "o_totalprice", "o_orderpriority")
+    append_batch(later, path, "load-2")  # brings a new column
+    return read_table(spark, path).drop(BATCH_COL)
+
+
+def q_roundtrip_overwrite(spark, d):
+    path = scratch_path(spark, "gold-throughput")
+    overwrite(_throughput(spark, d).filter(F.col("throughput") > 0), path)
+    overwrite(_throughput(spark, d), path, single_file=True)  # replaces the first write
+    return read_table(spark, path)
+
 QUERIES = {
     "clean_strings": q_clean_strings,
     "normalize_headers": q_normalize_headers,
@@ -489,4 +634,12 @@ QUERIES = {
     "select_hospitals": q_select_hospitals,
     "preview_rows": q_preview_rows,
     "quality_checks": q_quality_checks,
+    "silver_provider_info": q_silver_provider_info,
+    "silver_facility_performance": q_silver_facility_performance,
+    "silver_skilled_nursing": q_silver_skilled_nursing,
+    "silver_quality_mds": q_silver_quality_mds,
+    "silver_quality_claims": q_silver_quality_claims,
+    "silver_master_csv": q_silver_master_csv,
+    "roundtrip_append_replay": q_roundtrip_append_replay,
+    "roundtrip_overwrite": q_roundtrip_overwrite,
 }
