@@ -150,6 +150,11 @@ ORACLE_SQL: dict[str, str] = {
         "and n_name='NATION_3'"
     ),
     "facility_kpis_all_states": f"select count(*) as facilities, round(avg(l_quantity),6) as avg_hours {_BAND_JOIN}",
+    "facility_kpi_cards": (
+        "select count(case when n_name='NATION_3' then 1 end) as facilities, "
+        "round(avg(case when n_name='NATION_3' then l_quantity end),6) as avg_hours, "
+        f"round(corr(l_quantity, coalesce(nullif(l_tax,0.0),0.0)),6) as correlation {_BAND_JOIN}"
+    ),
     "total_onduty_hours": "select round(sum(l_quantity),2) as total_rn_hours from lineitem",
     "distinct_states": "select distinct n_name as state from nation where n_name is not null",
     "default_first_five": (

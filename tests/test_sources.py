@@ -116,3 +116,26 @@ def test_streaming_landing_takes_each_file_once(spark, tmp_path):
     assert t.filter(F.col("CMS_Certification_Number_CCN") == "015012").first()[
         "Performance_Period_FY_2022_Risk_Standardized_Readmission_Rate"
     ] is None
+
+
+def test_ingest_changed_run(spark, tmp_path):
+    from wardstat.sources.intake import ingest_changed
+
+    land = str(tmp_path / "raw")
+    name = TRANSACTION_FILES[4]  # facility performance file
+    p = fx.write_csv(land, name, fx.FACILITY_HEADER, fx.FACILITY_ROWS)
+    _touch(p, dt.datetime(2024, 6, 1))
+    manifest, target = str(tmp_path / "manifest"), str(tmp_path / "silver")
+
+    def run(run_id):
+        return ingest_changed(spark, allow_listed(list_files(spark, land)), manifest, target,
+                              silver.facility_performance, run_id)
+
+    assert run("r1") == 1
+    assert run("r2") == 0  # nothing changed: no job beyond the listing
+    fx.write_csv(land, name, fx.FACILITY_HEADER, fx.FACILITY_ROWS[:1])
+    _touch(p, dt.datetime(2024, 7, 1))
+    assert run("r3") == 1
+    t = read_table(spark, target)
+    assert t.count() == len(fx.FACILITY_ROWS) + 1
+    assert sorted(r.batch_id for r in t.select(BATCH_COL).distinct().collect()) == ["r1", "r3"]

@@ -110,3 +110,39 @@ def top_throughput(
     """The ``n`` facilities with the highest throughput; ties by key."""
     top = sel.top_n(df, n, by, tie_break=key)
     return top.select(*[col_of(c) for c in columns]) if columns else top
+
+
+def kpi_cards(
+    detail: DataFrame,
+    state: str | None = ALL,
+    state_col: str = "State",
+    hours: str = "Reported_Total_Nurse_Staffing_Hours_per_Resident_per_Day",
+    rate: str = "Performance_Period_FY_2022_Risk_Standardized_Readmission_Rate",
+    digits: int | None = None,
+) -> DataFrame:
+    """The report's three cards in one row: facilities in the chosen state,
+    their mean staffing hours, and the correlation over *all* states (the
+    page shows the global r beside state-filtered counts).
+
+    One aggregation pass over the detail table: the state choice is a
+    condition inside the aggregates, so no second scan and no join of
+    one-row frames is needed.
+    """
+    from wardstat.functions.measures import safe_corr
+
+    match = F.lit(True) if state is None else (col_of(state_col) == F.lit(state))
+    avg = F.avg(F.when(match, col_of(hours)))
+    corr = safe_corr(hours, rate, missing="drop")
+    if digits is not None:
+        avg, corr = F.round(avg, digits), F.round(corr, digits)
+    return detail.agg(
+        F.count_if(match).alias("facilities"),
+        avg.alias("avg_hours"),
+        corr.alias("correlation"),
+    )
+
+
+def scalar(df: DataFrame, column: str):
+    """Read one value from a one-row result (e.g. the stored correlation)."""
+    row = df.select(col_of(column)).first()
+    return None if row is None else row[0]

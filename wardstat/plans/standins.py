@@ -412,6 +412,13 @@ def q_facility_kpis_for_state(spark, d):
     return serving.facility_kpis(detail, STATE_PICK, state_col="state", hours="l_quantity", digits=6)
 
 
+def q_facility_kpi_cards(spark, d):
+    detail, _ = _readmission(spark, d, "zero")
+    return serving.kpi_cards(
+        detail, STATE_PICK, state_col="state", hours="l_quantity", rate="readmission", digits=6
+    )
+
+
 def q_facility_kpis_all_states(spark, d):
     detail, _ = _readmission(spark, d, "zero")
     return serving.facility_kpis(detail, serving.ALL, state_col="state", hours="l_quantity", digits=6)
@@ -627,6 +634,7 @@ QUERIES = {
     "ols_trend_by_state": q_ols_trend_by_state,
     "facility_kpis_for_state": q_facility_kpis_for_state,
     "facility_kpis_all_states": q_facility_kpis_all_states,
+    "facility_kpi_cards": q_facility_kpi_cards,
     "total_onduty_hours": q_total_onduty_hours,
     "distinct_states": q_distinct_states,
     "default_first_five": q_default_first_five,

@@ -117,3 +117,40 @@ def read_manifest(spark: SparkSession, manifest_path: str, key_type: str = "stri
 
     schema = f"path {key_type}, seen timestamp_ntz, batch_id string"
     return read_or_empty(spark, manifest_path, schema)
+
+
+def has_changes(changed: DataFrame) -> bool:
+    """Whether a run has anything to do (reads at most one row)."""
+    return not changed.isEmpty()
+
+
+def ingest_changed(
+    spark: SparkSession,
+    listing: DataFrame,
+    manifest_path: str,
+    target: str,
+    transform,
+    run_id: str,
+    reader=None,
+) -> int:
+    """One intake run: take the changed files, clean them with
+    ``transform`` (a silver job), append them as batch ``run_id``, then
+    record them in the manifest.  Returns the number of files taken.
+
+    Only file paths reach the driver (bounded by the allow-list); the rows
+    are read, cleaned and written by the executors.  A crash before the
+    manifest commit re-takes the same files next run, and the batch sink
+    replaces what the failed run wrote.
+    """
+    from wardstat.sources.files import read_csv
+
+    changed = changed_files(listing, read_manifest(spark, manifest_path))
+    # one listing snapshot: the manifest records exactly the versions read
+    taken = changed.select("path", "modified").collect()
+    if not taken:
+        return 0
+    raw = (reader or read_csv)(spark, [r.path for r in taken])
+    append_batch(transform(raw), target, run_id)
+    records = spark.createDataFrame([(r.path, r.modified) for r in taken], "path string, seen timestamp_ntz")
+    append_batch(records, manifest_path, run_id)
+    return len(taken)
