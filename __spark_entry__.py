@@ -224,6 +224,33 @@ ORACLE_SQL: dict[str, str] = {
         "else o_orderpriority end as o_orderpriority from orders"
     ),
     "roundtrip_overwrite": _THROUGHPUT,
+    "staffing_rollups": " union all ".join(
+        f"select '{name}' as summary, {keys}, round(sum(l_quantity),6) as Total_RN_Hours, "
+        "round(avg(coalesce(nullif(l_quantity,1.0),0)/nullif(l_discount,0)),6) as Avg_Nurse_Ratio "
+        f"{_STAFF_JOIN} group by {group}"
+        for name, keys, group in (
+            ("onduty_hours_summary",
+             "n_name as STATE, cast(l_shipdate as date) as WorkDate, cast(null as bigint) as PROVNUM, "
+             "cast(null as varchar) as PROVNAME, cast(null as double) as RN_Ratio, cast(null as int) as CNA_Ratio",
+             "n_name, cast(l_shipdate as date)"),
+            ("ratio_by_hospital",
+             "null, null, s_suppkey, s_name, null, null", "s_suppkey, s_name"),
+            ("ratio_by_state", "n_name, null, null, null, null, null", "n_name"),
+            ("ratio_by_department", "null, null, null, null, l_tax, l_linenumber", "l_tax, l_linenumber"),
+        )
+    ),
+    "bed_utilization_rollups": (
+        "select 'utilization_by_hospital' as summary, c_name, n_name, cast(null as varchar) as o_orderpriority, "
+        "round(avg(o_totalprice/nullif(c_acctbal,0)*100),2) as Bed_Utilization from customer join orders "
+        "on c_custkey=o_custkey join nation on c_nationkey=n_nationkey group by c_name, n_name "
+        "union all select 'utilization_by_department', null, null, o_orderpriority, "
+        "round(avg(o_totalprice/nullif(c_acctbal,0)*100),2) from customer join orders on c_custkey=o_custkey "
+        "join nation on c_nationkey=n_nationkey group by o_orderpriority"
+    ),
+    "staffing_readmission_written": (
+        "select round(corr(l_quantity, coalesce(nullif(l_tax,0.0),0.0)),6) as correlation "
+        "from lineitem join supplier on l_suppkey=s_suppkey where l_quantity>1 and l_quantity<15"
+    ),
 }
 
 

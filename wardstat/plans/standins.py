@@ -31,7 +31,7 @@ from wardstat.operators.dedup import dedup_by_key, latest_per_key
 from wardstat.operators.joins import join_keep_left
 from wardstat.operators.quality import quality_counts
 from wardstat.operators.select import present
-from wardstat.plans import checks, gold, serving, silver
+from wardstat.plans import checks, gold, jobs, serving, silver
 from wardstat.session import scratch_path
 from wardstat.sources.files import read_csv, read_table
 from wardstat.sources.intake import allow_listed, changed_files
@@ -82,7 +82,9 @@ def staffing_facts(spark: SparkSession, sf_dir: str, cols: list[str]) -> DataFra
 
 def staffing_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Silver staffing table shape: one row per lineitem with state/day."""
-    f = staffing_facts(spark, sf_dir, ["l_suppkey", "l_quantity", "l_discount", "l_shipdate"])
+    f = staffing_facts(
+        spark, sf_dir, ["l_suppkey", "l_linenumber", "l_quantity", "l_discount", "l_tax", "l_shipdate"]
+    )
     return f.select(
         F.col("l_suppkey").alias("PROVNUM"),
         F.col("s_name").alias("PROVNAME"),
@@ -91,6 +93,8 @@ def staffing_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("l_quantity").alias("Hrs_RNDON"),
         F.nullif(F.col("l_quantity"), F.lit(1.0)).alias("TotalNursing_Hours"),
         F.col("l_discount").alias("MDScensus"),
+        F.col("l_tax").alias("RN_Ratio"),
+        F.col("l_linenumber").alias("CNA_Ratio"),
     )
 
 
@@ -605,6 +609,47 @@ def q_roundtrip_overwrite(spark, d):
     overwrite(_throughput(spark, d), path, single_file=True)  # replaces the first write
     return read_table(spark, path)
 
+
+# --- multi-output gold jobs --------------------------------------------------------
+
+
+def q_staffing_rollups(spark, d):
+    r = jobs.staffing_rollups(staffing_silver(spark, d))
+    path = scratch_path(spark, "gold-staffing")
+    jobs.write_rollups(r, path)
+    stored = read_table(spark, path)
+    return stored.select(
+        jobs.SUMMARY, "STATE", "WorkDate", "PROVNUM", "PROVNAME", "RN_Ratio", "CNA_Ratio",
+        F.round(gold.TOTAL_RN_HOURS, 6).alias(gold.TOTAL_RN_HOURS),
+        F.round("Avg_Nurse_Ratio", 6).alias("Avg_Nurse_Ratio"),
+    )
+
+
+BED_STANDIN_SETS = {
+    "utilization_by_hospital": ("c_name", "n_name"),
+    "utilization_by_department": ("o_orderpriority",),
+}
+
+
+def q_bed_utilization_rollups(spark, d):
+    return jobs.bed_utilization_rollups(
+        providers(spark, d), _mds(spark, d), key="CCN", residents="o_totalprice", beds="beds",
+        stamp=None, sets=BED_STANDIN_SETS,
+    )
+
+
+def q_staffing_readmission_written(spark, d):
+    li = table(spark, d, "lineitem").select(
+        "l_orderkey", "l_linenumber", "l_quantity", F.col("l_suppkey").alias("fkey"),
+        F.nullif(F.col("l_tax"), F.lit(0.0)).alias("readmission"),
+    )
+    fac = table(spark, d, "supplier").select(F.col("s_suppkey").alias("fkey"), "s_name")
+    detail, summary = jobs.staffing_readmission_tables(
+        spark, li, fac, scratch_path(spark, "gold-detail"), scratch_path(spark, "gold-corr"),
+        key="fkey", hours="l_quantity", rate="readmission", stamp=None,
+    )
+    return summary.select(F.round(gold.CORRELATION, 6).alias("correlation"))
+
 QUERIES = {
     "clean_strings": q_clean_strings,
     "normalize_headers": q_normalize_headers,
@@ -650,4 +695,7 @@ QUERIES = {
     "silver_master_csv": q_silver_master_csv,
     "roundtrip_append_replay": q_roundtrip_append_replay,
     "roundtrip_overwrite": q_roundtrip_overwrite,
+    "staffing_rollups": q_staffing_rollups,
+    "bed_utilization_rollups": q_bed_utilization_rollups,
+    "staffing_readmission_written": q_staffing_readmission_written,
 }
