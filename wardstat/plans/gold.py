@@ -101,6 +101,7 @@ def bed_utilization(
     stamp: str | None = STAMP,
     tie_break=None,
     digits: int = 2,
+    enrich=None,
 ) -> DataFrame:
     """Mean bed utilisation percent per group, rounded.
 
@@ -108,9 +109,13 @@ def bed_utilization(
     load would otherwise be counted again).  Each MDS row of a facility
     counts once, so per-resident-type means are weighted by MDS rows; a
     facility with zero or missing beds contributes NULL and is skipped.
+    ``enrich`` (joined frame -> frame) attaches lookup columns, e.g. a state
+    name from a dimension, after the fact-sized join and before grouping.
     """
     prov = _latest(provider, key, stamp, tie_break)
     joined = join_keep_left(prov, mds, key, keep=mds_keep)
+    if enrich is not None:
+        joined = enrich(joined)
     rate = percent(residents, beds)
     return joined.groupBy(*[col_of(b) for b in by]).agg(F.round(F.avg(rate), digits).alias(name))
 

@@ -98,10 +98,14 @@ def bed_utilization_rollups(
     tie_break=None,
     sets: dict[str, Sequence[str]] = BED_SETS,
     digits: int = 2,
+    enrich=None,
 ) -> DataFrame:
-    """Both bed-utilisation tables from one provider x MDS join."""
+    """Both bed-utilisation tables from one provider x MDS join
+    (``enrich`` as in ``gold.bed_utilization``)."""
     prov = gold._latest(provider, key, stamp, tie_break)
     joined = join_keep_left(prov, mds, key)
+    if enrich is not None:
+        joined = enrich(joined)
     inputs = {"__rate": percent(residents, beds)}
     outputs = {"Bed_Utilization": ("__rate", lambda c: F.round(F.avg(c), digits))}
     return _grouping_sets(joined, sets, inputs, outputs)

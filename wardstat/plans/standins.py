@@ -320,17 +320,34 @@ def _mds(spark, d) -> DataFrame:
     )
 
 
+def _bed_providers(spark, d) -> DataFrame:
+    """Provider stand-in for the bed tables: customer only; the state name
+    is attached after the fact-sized join (see ``_with_state``)."""
+    return table(spark, d, "customer").select(
+        F.col("c_custkey").alias("CCN"), "c_name", "c_nationkey", F.col("c_acctbal").alias("beds")
+    )
+
+
+def _with_state(spark, d):
+    nat = table(spark, d, "nation").select("n_nationkey", "n_name")
+
+    def enrich(df: DataFrame) -> DataFrame:
+        return df.join(nat, df.c_nationkey == nat.n_nationkey).drop("c_nationkey", "n_nationkey")
+
+    return enrich
+
+
 def q_bed_utilization_by_hospital(spark, d):
     b = gold.bed_utilization(
-        providers(spark, d), _mds(spark, d), by=["c_name", "n_name"], name="bed_utilization",
-        key="CCN", residents="o_totalprice", beds="beds", stamp=None,
+        _bed_providers(spark, d), _mds(spark, d), by=["c_name", "n_name"], name="bed_utilization",
+        key="CCN", residents="o_totalprice", beds="beds", stamp=None, enrich=_with_state(spark, d),
     )
     return b.select("c_name", F.col("n_name").alias("state"), "bed_utilization")
 
 
 def q_bed_utilization_by_department(spark, d):
     return gold.bed_utilization(
-        providers(spark, d), _mds(spark, d), by=["o_orderpriority"], name="bed_utilization",
+        _bed_providers(spark, d), _mds(spark, d), by=["o_orderpriority"], name="bed_utilization",
         key="CCN", residents="o_totalprice", beds="beds", stamp=None,
     )
 
@@ -633,8 +650,8 @@ BED_STANDIN_SETS = {
 
 def q_bed_utilization_rollups(spark, d):
     return jobs.bed_utilization_rollups(
-        providers(spark, d), _mds(spark, d), key="CCN", residents="o_totalprice", beds="beds",
-        stamp=None, sets=BED_STANDIN_SETS,
+        _bed_providers(spark, d), _mds(spark, d), key="CCN", residents="o_totalprice", beds="beds",
+        stamp=None, sets=BED_STANDIN_SETS, enrich=_with_state(spark, d),
     )
 
 
