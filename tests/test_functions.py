@@ -3,7 +3,6 @@ import math
 import pytest
 from pyspark.sql import functions as F
 
-from tests.conftest import rows
 from wardstat.functions.cleaning import clean_code, clean_text, parse_date, to_number, to_number_or
 from wardstat.functions.measures import guarded_ratio, in_band, linear_fit, null_safe_sum, percent, safe_corr, safe_ratio
 from wardstat.functions.names import normalize_header, normalized_headers
@@ -114,3 +113,24 @@ def test_linear_fit_matches_closed_form(spark):
     assert fit.r2 == pytest.approx(r * r)
     # slope = r * sigma_y / sigma_x
     assert fit.slope == pytest.approx(r * math.sqrt(syy / sxx))
+
+
+from hypothesis import given, settings  # noqa: E402
+from hypothesis import strategies as st  # noqa: E402
+
+HEADER_CHARS = st.sampled_from(list("abcXYZ019 -():_./"))
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(HEADER_CHARS, min_size=1, max_size=30).map("".join), st.sampled_from(["basic", "extended"]))
+def test_header_rules_clean(name, rules):
+    once = normalize_header(name, rules)
+    assert " " not in once and "-" not in once and "(" not in once and ")" not in once
+    if rules == "basic":
+        assert normalize_header(once, rules) == once  # nothing left for a second pass
+
+
+def test_extended_rules_are_single_pass():
+    # one left-to-right pass per rule, as the source jobs do: "::_" keeps one ":_"
+    assert normalize_header("::_", "extended") == ":_"
+    assert normalize_header("Period: FY", "extended") == "Period_FY"

@@ -3,7 +3,6 @@ import datetime as dt
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
-from pyspark.sql import functions as F
 
 from tests.conftest import rows
 from wardstat.operators.columns import normalize_headers, trim_all
@@ -125,3 +124,16 @@ def test_quality_counts(spark):
         (r.check_name, r.n) for r in quality_counts(df, not_null=["k"], unique=["k", "d"], trimmed=["state"]).collect()
     )
     assert out == {"row_count": 5, "null_key": 1, "untrimmed": 2, "duplicate_key": 2}
+
+
+from hypothesis import given, settings, HealthCheck as _HC  # noqa: E402
+from hypothesis import strategies as _st  # noqa: E402
+
+
+@settings(max_examples=10, deadline=None, suppress_health_check=[_HC.function_scoped_fixture])
+@given(_st.lists(_st.tuples(_st.text(alphabet=" \tab", max_size=4), _st.integers(0, 9)), min_size=1, max_size=12))
+def test_trim_all_idempotent(spark, data):
+    df = spark.createDataFrame(data, "s string, n int")
+    once = trim_all(df)
+    assert rows(trim_all(once)) == rows(once)
+    assert all(r.s == r.s.strip(" ") for r in once.collect())

@@ -137,3 +137,14 @@ def test_staffing_gold(layers):
     assert by_state["AL"] == pytest.approx(0.7) and by_state["NY"] == pytest.approx(1.2)
     assert serving.total_hours(m.drop("Hrs_RNDON").limit(0), column="Total_RN_Hours").first()[0] == 0.0
     assert [r.PROVNAME for r in serving.default_selection(m, "PROVNAME", 1).collect()] == ["Alpha Home", "Alpha Home"]
+
+
+def test_hours_series_and_scale_conf(layers):
+    from wardstat.session import scale_conf
+
+    series = serving.hours_series(gold.onduty_hours(layers["master"])).collect()
+    keys = [(str(r.WorkDate), r.STATE) for r in series]
+    assert keys == sorted(keys, key=lambda k: (k[0] != "None", k))
+    conf = scale_conf(100 * 2**40, 4000)
+    assert int(conf["spark.sql.shuffle.partitions"]) == 409600
+    assert int(scale_conf(10, 8)["spark.sql.shuffle.partitions"]) == 16

@@ -76,3 +76,28 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """
     root = ensure_checkpoint_dir(spark)
     return os.path.join(root, f"{name}-{uuid.uuid4().hex[:12]}")
+
+
+def scale_conf(
+    shuffle_bytes: int,
+    total_cores: int,
+    target_partition_bytes: int = 256 * 1024 * 1024,
+    scan_split_bytes: int = 256 * 1024 * 1024,
+) -> dict[str, str]:
+    """Starting settings for a large cluster, to pass as ``extra_conf``.
+
+    ``shuffle_bytes`` is the largest shuffle a job writes (after column
+    pruning and map-side aggregation), ``total_cores`` the executor cores.
+    The initial partition count gives each reducer about
+    ``target_partition_bytes`` and at least two waves' worth of tasks; AQE
+    then coalesces small partitions and splits skewed ones at runtime, so
+    the number only has to be large enough, never exact.
+    """
+    parts = max(2 * total_cores, -(-shuffle_bytes // target_partition_bytes))
+    return {
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(parts),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes // 2),
+        "spark.sql.files.maxPartitionBytes": str(scan_split_bytes),
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(target_partition_bytes),
+    }
