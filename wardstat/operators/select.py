@@ -36,7 +36,7 @@ def one_of(df: DataFrame, c, values: Sequence | DataFrame | None) -> DataFrame:
         return df
     if isinstance(values, DataFrame):
         name = values.columns[0]
-        sel = values.select(col_of(name).alias("__sel")).distinct()
+        sel = values.select(col_of(name).alias("__sel"))  # a semi join ignores duplicates
         return df.join(sel, col_of(c) == F.col("__sel"), "left_semi")
     values = list(values)
     if not values:

@@ -124,7 +124,12 @@ def _all_keys(sets) -> set[str]:
 
 def write_rollups(rollups: DataFrame, path: str) -> None:
     """Write a rollup frame once, one partition per summary table."""
-    rollups.write.mode("overwrite").partitionBy(SUMMARY).parquet(path)
+    (
+        rollups.write.mode("overwrite")
+        .option("partitionOverwriteMode", "static")  # replace the whole table
+        .partitionBy(SUMMARY)
+        .parquet(path)
+    )
 
 
 def staffing_readmission_tables(

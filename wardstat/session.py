@@ -19,7 +19,6 @@ BASE_CONF = {
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.caseSensitive": "false",
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
 }
