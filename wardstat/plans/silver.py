@@ -13,6 +13,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DateType, TimestampNTZType, TimestampType
 
 from wardstat.functions.cleaning import clean_code, clean_text, load_stamp, parse_date, to_number, to_number_or
 from wardstat.functions.measures import guarded_ratio, null_safe_sum
@@ -64,7 +65,7 @@ def master_staffing(
     fixes = {
         "PROVNUM": clean_text("PROVNUM"),
         "STATE": clean_code("STATE"),
-        "WorkDate": parse_date("WorkDate", date_format),
+        "WorkDate": _work_date(raw, date_format),
     }
     for c in numeric:
         # an hours column the file does not carry is missing for every row
@@ -87,6 +88,17 @@ def master_staffing(
     return with_columns(deduped, derived)
 
 
+def _work_date(raw: DataFrame, date_format: str):
+    """WorkDate as a date: parsed by pattern when it is text, taken as is
+    (or truncated) when the source already carries a date or timestamp."""
+    kind = raw.schema["WorkDate"].dataType
+    if isinstance(kind, DateType):
+        return F.col("WorkDate")
+    if isinstance(kind, (TimestampType, TimestampNTZType)):
+        return F.to_date("WorkDate")
+    return parse_date("WorkDate", date_format)
+
+
 def _transaction_table(
     raw: DataFrame,
     rules: str,
