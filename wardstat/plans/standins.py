@@ -19,8 +19,6 @@ tables; nothing is sampled or capped except where a limit is the feature
 
 from __future__ import annotations
 
-import datetime as _dt
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -44,7 +42,7 @@ ALLOWED_SOURCES = ("src0", "src3", "src5")
 ALLOWED_KIND = "en"
 SHORT_DOC_CHARS = 100
 MEASURE_PICK = "purchase"
-LAST_RUN_CUTOFF = _dt.datetime(2024, 1, 30, 12, 0, 0)
+LAST_RUN_CUTOFF = "2024-01-30 12:00:00"
 # ------------------------------------------------------------------------------
 
 
@@ -230,7 +228,7 @@ def q_changed_files(spark, d):
     e = table(spark, d, "events")
     listing = e.groupBy(F.col("user_id").alias("file_id")).agg(F.max("ts").alias("modified"))
     # every event before the cutoff is a record an earlier run wrote
-    manifest = e.filter(F.col("ts") < F.lit(LAST_RUN_CUTOFF).cast("timestamp_ntz")).select(
+    manifest = e.filter(F.col("ts") < F.to_timestamp_ntz(F.lit(LAST_RUN_CUTOFF))).select(
         F.col("user_id").alias("file_id"), F.col("ts").alias("seen")
     )
     return changed_files(listing, manifest, key="file_id").select("file_id", "modified")

@@ -55,7 +55,7 @@ def list_files(spark: SparkSession, root: str, glob: str = "*.csv", recursive: b
     return df.select(
         F.col("path"),
         F.regexp_extract(F.col("path"), r"([^/]+)$", 1).alias("name"),
-        F.col("modificationTime").cast("timestamp_ntz").alias("modified"),
+        F.col("modificationTime").alias("modified"),  # an instant: compares the same in any zone
         F.col("length"),
     )
 
@@ -97,7 +97,8 @@ def changed_files(
     """
     last = manifest.groupBy(col_of(key).alias(key)).agg(F.max(col_of(seen)).alias("__seen"))
     joined = listing.join(last, on=key, how="left")
-    floor_lit = F.lit(floor).cast(joined.schema[modified].dataType)
+    # built from text so neither the Python process zone nor the session zone shifts it
+    floor_lit = F.lit(floor.isoformat(sep=" ")).cast(joined.schema[modified].dataType)
     return joined.filter(col_of(modified) > F.coalesce(F.col("__seen"), floor_lit)).drop("__seen")
 
 
@@ -115,7 +116,7 @@ def read_manifest(spark: SparkSession, manifest_path: str, key_type: str = "stri
     """The manifest, or an empty one before the first run."""
     from wardstat.sources.files import read_or_empty
 
-    schema = f"path {key_type}, seen timestamp_ntz, batch_id string"
+    schema = f"path {key_type}, seen timestamp, batch_id string"
     return read_or_empty(spark, manifest_path, schema)
 
 
@@ -151,6 +152,6 @@ def ingest_changed(
         return 0
     raw = (reader or read_csv)(spark, [r.path for r in taken])
     append_batch(transform(raw), target, run_id)
-    records = spark.createDataFrame([(r.path, r.modified) for r in taken], "path string, seen timestamp_ntz")
+    records = spark.createDataFrame([(r.path, r.modified) for r in taken], "path string, seen timestamp")
     append_batch(records, manifest_path, run_id)
     return len(taken)
