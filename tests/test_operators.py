@@ -137,3 +137,26 @@ def test_trim_all_idempotent(spark, data):
     once = trim_all(df)
     assert rows(trim_all(once)) == rows(once)
     assert all(r.s == r.s.strip(" ") for r in once.collect())
+
+
+def test_salted_join_equals_plain_join(spark):
+    fact = spark.createDataFrame(
+        [("HOT", i, float(i)) for i in range(300)] + [(f"K{i}", i, 1.0) for i in range(50)],
+        "ccn string, seq long, v double",
+    )
+    dim = spark.createDataFrame([("HOT", "Hot Place")] + [(f"K{i}", f"P{i}") for i in range(50)], "ccn string, name string")
+    plain = rows(join_keep_left(dim, fact, "ccn"))
+    salted = join_keep_left(dim, fact, "ccn", salt_buckets=8, skewed="right")
+    assert rows(salted) == plain
+    assert "__salt" not in salted.columns
+    assert rows(join_keep_left(fact, dim, "ccn", salt_buckets=4, skewed="left")) == rows(join_keep_left(fact, dim, "ccn"))
+    with pytest.raises(ValueError):
+        join_keep_left(dim, fact, "ccn", how="left", salt_buckets=4)
+
+
+def test_collect_bounded(spark):
+    from wardstat.plans.serving import collect_bounded
+
+    assert len(collect_bounded(spark.range(10), 10)) == 10
+    with pytest.raises(ValueError):
+        collect_bounded(spark.range(11), 10)

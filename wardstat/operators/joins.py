@@ -33,11 +33,19 @@ def join_keep_left(
     on: str | Sequence[str],
     keep: Sequence[str] | None = None,
     how: str = "inner",
+    salt_buckets: int | None = None,
+    skewed: str = "right",
 ) -> DataFrame:
     """Join on shared key column(s); from ``right`` keep only ``keep``.
 
     ``keep=None`` keeps every right column whose name the left side does not
     already have.  Asking to keep a name the left side has is an error.
+
+    ``salt_buckets`` spreads every key of the ``skewed`` side over that many
+    buckets and copies the other side once per bucket, so a key holding a
+    third of the rows is joined by many tasks.  Leave it unset where AQE's
+    skew split applies (the default); use it for an inner join whose other
+    side is small per key and too large to broadcast.
     """
     on = _as_list(on)
     on_l = {k.lower() for k in on}
@@ -48,7 +56,35 @@ def join_keep_left(
     if clash:
         raise ValueError(f"columns {clash} exist on both sides; rename one first")
     right_cols = on + [c for c in keep if c.lower() not in on_l]
-    return left.join(right.select(*[col_of(c) for c in right_cols]), on=on, how=how)
+    right = right.select(*[col_of(c) for c in right_cols])
+    if not salt_buckets or salt_buckets <= 1:
+        return left.join(right, on=on, how=how)
+    if how != "inner":
+        raise ValueError("salting is only defined here for inner joins")
+    if skewed == "right":
+        right, left = _salted(right, salt_buckets), _replicated(left, salt_buckets)
+    elif skewed == "left":
+        left, right = _salted(left, salt_buckets), _replicated(right, salt_buckets)
+    else:
+        raise ValueError("skewed must be 'left' or 'right'")
+    return left.join(right, on=on + [_SALT], how="inner").drop(_SALT)
+
+
+_SALT = "__salt"
+
+
+def _salted(df: DataFrame, buckets: int) -> DataFrame:
+    """A bucket per row from a hash of the whole row: deterministic, so a
+    retried task puts every row in the same bucket again (a random salt
+    would make the shuffle indeterminate on retry).  Exact duplicate rows
+    share a bucket; any other rows of a hot key spread over all buckets."""
+    row_hash = F.xxhash64(*[col_of(c) for c in df.columns])
+    return df.withColumn(_SALT, F.pmod(row_hash, F.lit(buckets)).cast("int"))
+
+
+def _replicated(df: DataFrame, buckets: int) -> DataFrame:
+    """One copy of every row per bucket."""
+    return df.withColumn(_SALT, F.explode(F.sequence(F.lit(0), F.lit(buckets - 1))))
 
 
 def broadcast_if_small(df: DataFrame, max_rows: int) -> DataFrame:

@@ -146,3 +146,13 @@ def scalar(df: DataFrame, column: str):
     """Read one value from a one-row result (e.g. the stored correlation)."""
     row = df.select(col_of(column)).first()
     return None if row is None else row[0]
+
+
+def collect_bounded(df: DataFrame, max_rows: int = 100_000):
+    """Load a final result into local memory (pandas, over Arrow) only when
+    it has at most ``max_rows`` rows; a larger result raises instead of
+    pulling an unbounded table through the driver."""
+    head = df.limit(max_rows + 1).toPandas()
+    if len(head) > max_rows:
+        raise ValueError(f"result has more than {max_rows} rows; aggregate or filter it first")
+    return head
