@@ -160,3 +160,12 @@ def test_collect_bounded(spark):
     assert len(collect_bounded(spark.range(10), 10)) == 10
     with pytest.raises(ValueError):
         collect_bounded(spark.range(11), 10)
+
+
+def test_keys_as_columns(spark):
+    from pyspark.sql import functions as F
+
+    df = _snapshots(spark, [("1", T0, 1, 1.0), ("1", T0, 2, 2.0), ("2", T0, 3, 3.0)])
+    out = latest_per_key(df, F.col("ccn"), stamp="stamp", tie_break="seq")
+    assert rows(out.select("ccn", "seq")) == [("1", 2), ("2", 3)]
+    assert len(dedup_by_key(df, F.col("ccn")).collect()) == 2

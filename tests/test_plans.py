@@ -148,3 +148,9 @@ def test_hours_series_and_scale_conf(layers):
     conf = scale_conf(100 * 2**40, 4000)
     assert int(conf["spark.sql.shuffle.partitions"]) == 409600
     assert int(scale_conf(10, 8)["spark.sql.shuffle.partitions"]) == 16
+
+
+def test_master_staffing_header_case(spark, tmp_path):
+    header = [h.lower() if h == "WorkDate" else h for h in fx.MASTER_HEADER]
+    raw = read_csv(spark, fx.write_csv(str(tmp_path), "m.csv", header, fx.MASTER_ROWS))
+    assert silver.master_staffing(raw).count() == 5

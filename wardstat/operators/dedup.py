@@ -56,7 +56,7 @@ def latest_per_key(
     orderable columns are used so the survivor is still reproducible.
     """
     if tie_break is None:
-        key_names = {c.lower() for c in ([keys] if isinstance(keys, str) else keys) if isinstance(c, str)}
+        key_names = _key_names(keys)
         tie_break = [
             n for n in _orderable(df) if n.lower() not in key_names and n.lower() != stamp.lower()
         ]
@@ -72,11 +72,18 @@ def dedup_by_key(df: DataFrame, keys, order: Sequence | None = None) -> DataFram
     """One row per key; the survivor is the first under ``order`` (ascending
     over all other columns when not given), never an arbitrary one."""
     if order is None:
-        key_names = {c.lower() for c in ([keys] if isinstance(keys, str) else keys) if isinstance(c, str)}
+        key_names = _key_names(keys)
         order = [n for n in _orderable(df) if n.lower() not in key_names]
     return first_per_key(df, keys, order)
 
 
+def _key_names(keys) -> set[str]:
+    """Lower-cased names of the key columns given by name."""
+    if isinstance(keys, (str, Column)):
+        keys = [keys]
+    return {k.lower() for k in keys if isinstance(k, str)}
+
+
 def _orderable(df: DataFrame) -> list[str]:
     return [
         f.name

@@ -91,7 +91,10 @@ def master_staffing(
 def _work_date(raw: DataFrame, date_format: str):
     """WorkDate as a date: parsed by pattern when it is text, taken as is
     (or truncated) when the source already carries a date or timestamp."""
-    kind = raw.schema["WorkDate"].dataType
+    field = next((f for f in raw.schema.fields if f.name.lower() == "workdate"), None)
+    if field is None:
+        raise ValueError("the staffing file has no WorkDate column")
+    kind = field.dataType
     if isinstance(kind, DateType):
         return F.col("WorkDate")
     if isinstance(kind, (TimestampType, TimestampNTZType)):
