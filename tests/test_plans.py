@@ -154,3 +154,39 @@ def test_master_staffing_header_case(spark, tmp_path):
     header = [h.lower() if h == "WorkDate" else h for h in fx.MASTER_HEADER]
     raw = read_csv(spark, fx.write_csv(str(tmp_path), "m.csv", header, fx.MASTER_ROWS))
     assert silver.master_staffing(raw).count() == 5
+
+
+def test_job_runner_end_to_end(spark, tmp_path):
+    from wardstat.plans.runner import run
+
+    raw = str(tmp_path / "raw")
+    out = str(tmp_path / "lake")
+    m = fx.write_csv(raw + "/master", "PBJ.csv", fx.MASTER_HEADER, fx.MASTER_ROWS)
+    assert run(["silver-master", "--raw", m, "--out", out + "/silver/master"], spark)["written"]
+    assert run(["checks", "--silver", out + "/silver/master"], spark)["checks"]["duplicate_key"] == 0
+    run(["gold-staffing", "--silver", out + "/silver/master", "--out", out + "/gold/staffing"], spark)
+    by_state = read_table(spark, out + "/gold/staffing").filter("summary = 'ratio_by_state'")
+    assert {r.STATE for r in by_state.collect()} == {"AL", "NY", "TX"}
+
+    land = raw + "/landing"
+    fx.write_csv(land, "NH_ProviderInfo_Oct2024.csv", fx.PROVIDER_HEADER, fx.PROVIDER_LOAD_1)
+    args = ["intake", "--landing", land, "--manifest", out + "/manifest", "--out", out + "/silver/provider",
+            "--job-name", "silver-provider", "--batch", "2024-10"]
+    assert run(args, spark)["files"] == 1
+    assert run(args, spark)["files"] == 0  # nothing changed since
+    sk = fx.write_csv(raw + "/sk", "skilled.csv", fx.SKILLED_HEADER, fx.SKILLED_ROWS)
+    run(["silver-skilled", "--raw", sk, "--out", out + "/silver/skilled", "--batch", "2024-10"], spark)
+    fac = fx.write_csv(raw + "/fac", "fac.csv", fx.FACILITY_HEADER, fx.FACILITY_ROWS)
+    run(["silver-facility", "--raw", fac, "--out", out + "/silver/facility", "--batch", "2024-10"], spark)
+    mds = fx.write_csv(raw + "/mds", "mds.csv", fx.MDS_HEADER, fx.MDS_ROWS)
+    run(["silver-mds", "--raw", mds, "--out", out + "/silver/mds", "--batch", "2024-10"], spark)
+    run(["gold-throughput", "--provider", out + "/silver/provider", "--skilled", out + "/silver/skilled",
+         "--out", out + "/gold/throughput"], spark)
+    assert read_table(spark, out + "/gold/throughput").count() == 3
+    run(["gold-bed", "--provider", out + "/silver/provider", "--mds", out + "/silver/mds", "--out", out + "/gold/bed"], spark)
+    dept = read_table(spark, out + "/gold/bed").filter("summary = 'utilization_by_department'")
+    assert rows(dept.select("Resident_type", "Bed_Utilization")) == [("Long Stay", 80.0), ("Short Stay", 80.0)]
+    res = run(["gold-readmission", "--provider", out + "/silver/provider", "--facility", out + "/silver/facility",
+               "--out", out + "/gold/readmission"], spark)
+    summary = read_table(spark, res["written"][1])
+    assert summary.count() == 1 and summary.first()[0] is not None
