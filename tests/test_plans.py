@@ -60,7 +60,7 @@ def test_master_staffing_options(spark, layers, tmp_path):
 
 def test_staffing_checks(layers):
     got = dict((r.check_name, r.n) for r in checks.staffing_checks(layers["master"]).collect())
-    assert got == {"row_count": 5, "null_key": 0, "untrimmed": 0, "duplicate_key": 0}
+    assert got == {"row_count": 5, "null_key": 0, "untrimmed": 0, "duplicate_key": 0, "unparsed_work_date": 1}
     pv = checks.preview(layers["master"], n=2).collect()
     assert len(pv) == 2 and pv[0].PROVNUM == ""
     assert ("WorkDate", "date") in checks.schema_of(layers["master"])

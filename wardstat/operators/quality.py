@@ -16,6 +16,7 @@ def quality_counts(
     unique: Sequence[str] = (),
     trimmed: Sequence[str] = (),
     row_count: bool = True,
+    missing: dict[str, str] | None = None,
 ) -> DataFrame:
     """Violation counts as rows ``(check_name, n)``.
 
@@ -25,6 +26,8 @@ def quality_counts(
       its trimmed value (a missing value counts as a violation).
     - ``duplicate_key``: rows beyond the first per ``unique`` key, NULLs
       comparing equal.
+    - one row per ``missing`` entry ``{check name: column}``: rows where that
+      column is NULL (e.g. dates that did not parse).
 
     All checks are aggregates of one scan; the distinct count of the key is
     planned as a partial (map-side) de-duplication followed by a shuffle on
@@ -50,8 +53,11 @@ def quality_counts(
     if unique:
         key = F.struct(*[col_of(c) for c in unique])
         aggs.append((F.count(F.lit(1)) - F.count_distinct(key)).alias("duplicate_key"))
+    for check, c in (missing or {}).items():
+        aggs.append(F.count_if(col_of(c).isNull()).alias(check))
     if not aggs:
         raise ValueError("no check requested")
     wide = df.agg(*aggs)
     names = [a for a in ("row_count", "null_key", "untrimmed", "duplicate_key") if a in wide.columns]
+    names += list(missing or {})
     return wide.unpivot([], names, "check_name", "n")

@@ -20,9 +20,11 @@ PREVIEW_ROWS = 5000
 
 def staffing_checks(silver: DataFrame) -> DataFrame:
     """(check_name, n): rows, NULL PROVNUM, untrimmed/missing STATE,
-    duplicate (PROVNUM, WorkDate) beyond the first."""
+    duplicate (PROVNUM, WorkDate) beyond the first, and WorkDate values that
+    did not parse (NULL after the silver job)."""
     return quality_counts(
-        silver, not_null=["PROVNUM"], unique=["PROVNUM", "WorkDate"], trimmed=["STATE"]
+        silver, not_null=["PROVNUM"], unique=["PROVNUM", "WorkDate"], trimmed=["STATE"],
+        missing={"unparsed_work_date": "WorkDate"},
     )
 
 
