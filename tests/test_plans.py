@@ -170,10 +170,16 @@ def test_job_runner_end_to_end(spark, tmp_path):
 
     land = raw + "/landing"
     fx.write_csv(land, "NH_ProviderInfo_Oct2024.csv", fx.PROVIDER_HEADER, fx.PROVIDER_LOAD_1)
+    fx.write_csv(land, "FY_2024_SNF_VBP_Facility_Performance.csv", fx.FACILITY_HEADER, fx.FACILITY_ROWS)
+    fx.write_csv(land, "PBJ_Daily_Nurse_Staffing_Q2_2024.csv", fx.MASTER_HEADER, fx.MASTER_ROWS)
     args = ["intake", "--landing", land, "--manifest", out + "/manifest", "--out", out + "/silver/provider",
             "--job-name", "silver-provider", "--batch", "2024-10"]
-    assert run(args, spark)["files"] == 1
+    assert run(args, spark)["files"] == 1  # only the provider file, not the facility file
     assert run(args, spark)["files"] == 0  # nothing changed since
+    master_args = ["intake", "--landing", land, "--manifest", out + "/manifest", "--out", out + "/silver/master2",
+                   "--job-name", "silver-master", "--batch", "2024-q2"]
+    assert run(master_args, spark)["files"] == 1
+    assert read_table(spark, out + "/silver/master2").count() == 5
     sk = fx.write_csv(raw + "/sk", "skilled.csv", fx.SKILLED_HEADER, fx.SKILLED_ROWS)
     run(["silver-skilled", "--raw", sk, "--out", out + "/silver/skilled", "--batch", "2024-10"], spark)
     fac = fx.write_csv(raw + "/fac", "fac.csv", fx.FACILITY_HEADER, fx.FACILITY_ROWS)

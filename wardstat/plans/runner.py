@@ -9,8 +9,8 @@ and formats are arguments (the source jobs hard-code them).
     silver-claims     ... same                                   (G4)
     silver-mds        ... same                                   (G5)
     silver-skilled    ... same                                   (G6)
-    intake            --landing DIR --manifest PATH --out PATH --job silver-provider --batch ID
-                                                                 (G13 + S3/S4: changed files only)
+    intake            --landing DIR --manifest PATH --out PATH --job-name silver-provider --batch ID
+                                                                 (G13 + S3/S4: that job's changed files only)
     gold-staffing     --silver PATH --out PATH                   (G7, one grouping-sets pass)
     gold-bed          --provider PATH --mds PATH --out PATH      (G8)
     gold-throughput   --provider PATH --skilled PATH --out PATH  (G9)
@@ -27,7 +27,7 @@ import os
 from wardstat.plans import checks, gold, jobs, silver
 from wardstat.session import build_session
 from wardstat.sources.files import read_csv, read_table
-from wardstat.sources.intake import allow_listed, ingest_changed, list_files
+from wardstat.sources.intake import MASTER_FILE, allow_listed, ingest_changed, list_files
 from wardstat.sources.sinks import append_batch, overwrite
 
 TRANSACTION_JOBS = {
@@ -38,6 +38,17 @@ TRANSACTION_JOBS = {
     "silver-skilled": silver.skilled_nursing,
 }
 
+# --- fixed values: which landed files each silver job takes ----------------------
+JOB_FILES = {
+    "silver-master": (MASTER_FILE,),
+    "silver-provider": ("NH_ProviderInfo_Oct2024.csv",),
+    "silver-mds": ("NH_QualityMsr_MDS.csv", "NH_QualityMsr_MDS_Oct2024.csv"),
+    "silver-claims": ("NH_QualityMsr_Claims_Oct2024.csv",),
+    "silver-facility": ("FY_2024_SNF_VBP_Facility_Performance.csv",),
+    "silver-skilled": ("Skilled_Nursing_Facility_Quality_Reporting_Program_Provider_Data_Oct2024.csv",),
+}
+# ------------------------------------------------------------------------------------
+
 
 def _parser() -> argparse.ArgumentParser:
     p = argparse.ArgumentParser(prog="wardstat", description=__doc__, formatter_class=argparse.RawDescriptionHelpFormatter)
@@ -45,6 +56,7 @@ def _parser() -> argparse.ArgumentParser:
     for opt in ("raw", "out", "batch", "landing", "manifest", "silver", "provider", "mds", "skilled", "facility"):
         p.add_argument(f"--{opt}")
     p.add_argument("--job-name", dest="job_name", default=None, help="silver job run by 'intake'")
+    p.add_argument("--names", default=None, help="comma-separated file names 'intake' takes (default: the job's files)")
     p.add_argument("--format", default="parquet")
     p.add_argument("--master", default=None, help="only for local runs")
     return p
@@ -63,8 +75,15 @@ def run(args: list[str] | None = None, spark=None) -> dict:
         append_batch(TRANSACTION_JOBS[a.job](read_csv(spark, a.raw)), a.out, a.batch, fmt=fmt)
         return {"written": a.out, "batch": a.batch}
     if a.job == "intake":
-        transform = TRANSACTION_JOBS[a.job_name]
-        taken = ingest_changed(spark, allow_listed(list_files(spark, a.landing)), a.manifest, a.out, transform, a.batch)
+        names = a.names.split(",") if a.names else JOB_FILES[a.job_name]
+        listing = allow_listed(list_files(spark, a.landing), names=names)
+        if a.job_name == "silver-master":  # the staffing snapshot replaces the table
+            taken = ingest_changed(
+                spark, listing, a.manifest, a.out, silver.master_staffing, a.batch,
+                write=lambda df, path, _batch: overwrite(df, path, fmt=fmt),
+            )
+        else:
+            taken = ingest_changed(spark, listing, a.manifest, a.out, TRANSACTION_JOBS[a.job_name], a.batch)
         return {"files": taken, "batch": a.batch}
     if a.job == "gold-staffing":
         jobs.write_rollups(jobs.staffing_rollups(read_table(spark, a.silver, fmt)), a.out)

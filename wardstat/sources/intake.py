@@ -133,10 +133,13 @@ def ingest_changed(
     transform,
     run_id: str,
     reader=None,
+    write=None,
 ) -> int:
     """One intake run: take the changed files, clean them with
     ``transform`` (a silver job), append them as batch ``run_id``, then
     record them in the manifest.  Returns the number of files taken.
+    ``write(df, target, run_id)`` replaces the default repeatable append
+    (e.g. an overwrite for a table that is a full snapshot).
 
     Only file paths reach the driver (bounded by the allow-list); the rows
     are read, cleaned and written by the executors.  A crash before the
@@ -151,7 +154,7 @@ def ingest_changed(
     if not taken:
         return 0
     raw = (reader or read_csv)(spark, [r.path for r in taken])
-    append_batch(transform(raw), target, run_id)
+    (write or append_batch)(transform(raw), target, run_id)
     records = spark.createDataFrame([(r.path, r.modified) for r in taken], "path string, seen timestamp")
     append_batch(records, manifest_path, run_id)
     return len(taken)
