@@ -247,6 +247,7 @@ ORACLE_SQL: dict[str, str] = {
         "round(avg(o_totalprice/nullif(c_acctbal,0)*100),2) from customer join orders on c_custkey=o_custkey "
         "join nation on c_nationkey=n_nationkey group by o_orderpriority"
     ),
+    "streaming_landing": "select event_id, user_id, event_type, value from events",
     "staffing_readmission_written": (
         "select round(corr(l_quantity, coalesce(nullif(l_tax,0.0),0.0)),6) as correlation "
         "from lineitem join supplier on l_suppkey=s_suppkey where l_quantity>1 and l_quantity<15"

@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from wardstat.functions.cleaning import clean_code, clean_text, parse_date, to_number, to_number_or
 from wardstat.functions.measures import guarded_ratio, null_safe_sum
-from wardstat.operators.columns import normalize_headers, with_columns
+from wardstat.operators.columns import normalize_headers, trim_all, with_columns
 from wardstat.operators.dedup import dedup_by_key, latest_per_key
 from wardstat.operators.joins import join_keep_left
 from wardstat.operators.quality import quality_counts
@@ -34,6 +34,7 @@ from wardstat.session import scratch_path
 from wardstat.sources.files import read_csv, read_table
 from wardstat.sources.intake import allow_listed, changed_files
 from wardstat.sources.sinks import BATCH_COL, append_batch, overwrite
+from wardstat.streaming.landing import run_landing_once
 
 # --- fixed values used by the checked queries ---------------------------------
 STATE_PICK = "NATION_3"
@@ -693,6 +694,27 @@ def q_staffing_readmission_written(spark, d):
     )
     return summary.select(F.round(gold.CORRELATION, 6).alias("correlation"))
 
+
+# --- streaming intake of a landing folder ---------------------------------------------
+
+
+LANDING_SCHEMA = "event_id bigint, user_id bigint, event_type string, value double"
+
+
+def q_streaming_landing(spark, d):
+    """Events land as CSV in two arrivals; the availableNow stream is run after
+    each, and the second run must take only the files that are new."""
+    ev = table(spark, d, "events")
+    cut = F.col("ts") < F.to_timestamp_ntz(F.lit(LAST_RUN_CUTOFF))
+    cols = ["event_id", "user_id", "event_type", "value"]
+    land, target = scratch_path(spark, "landing"), scratch_path(spark, "landed")
+    ckpt = scratch_path(spark, "landing-checkpoint")
+    ev.filter(cut).select(*cols).write.option("header", True).csv(land)
+    run_landing_once(spark, land, LANDING_SCHEMA, target, trim_all, checkpoint=ckpt)
+    ev.filter(~cut).select(*cols).write.mode("append").option("header", True).csv(land)
+    run_landing_once(spark, land, LANDING_SCHEMA, target, trim_all, checkpoint=ckpt)
+    return read_table(spark, target).drop(BATCH_COL)
+
 QUERIES = {
     "clean_strings": q_clean_strings,
     "normalize_headers": q_normalize_headers,
@@ -741,4 +763,5 @@ QUERIES = {
     "staffing_rollups": q_staffing_rollups,
     "bed_utilization_rollups": q_bed_utilization_rollups,
     "staffing_readmission_written": q_staffing_readmission_written,
+    "streaming_landing": q_streaming_landing,
 }
