@@ -169,3 +169,12 @@ def test_keys_as_columns(spark):
     out = latest_per_key(df, F.col("ccn"), stamp="stamp", tie_break="seq")
     assert rows(out.select("ccn", "seq")) == [("1", 2), ("2", 3)]
     assert len(dedup_by_key(df, F.col("ccn")).collect()) == 2
+
+
+def test_top_n_skips_nan_and_sorted_distinct_orders(spark):
+    from wardstat.operators.select import sorted_distinct
+
+    df = spark.createDataFrame([("a", float("nan")), ("b", 2.0), ("c", None), ("d", 1.0)], "k string, t double")
+    assert [r.k for r in top_n(df, 3, "t", "k").collect()] == ["b", "d"]
+    names = spark.createDataFrame([("z",), ("a",), (None,), ("m",), ("a",)], "n string")
+    assert [r.n for r in sorted_distinct(names, "n").collect()] == ["a", "m", "z"]

@@ -45,14 +45,16 @@ def one_of(df: DataFrame, c, values: Sequence | DataFrame | None) -> DataFrame:
 
 
 def top_n(df: DataFrame, n: int, by, tie_break: Sequence | str = ()) -> DataFrame:
-    """The ``n`` rows with the largest non-NULL ``by``; ties go to the
-    smaller ``tie_break`` value.  Planned as a per-task top-N merged in one
-    small final step (``TakeOrderedAndProject``), never a full sort."""
+    """The ``n`` rows with the largest ``by``, missing values (NULL, NaN)
+    never returned; ties go to the smaller ``tie_break`` value.  Planned as
+    a per-task top-N merged in one small final step
+    (``TakeOrderedAndProject``), never a full sort."""
     if isinstance(tie_break, (str, Column)):
         tie_break = [tie_break]
     by_c = col_of(by)
     order = [by_c.desc()] + [col_of(t).asc() for t in tie_break]
-    return df.filter(by_c.isNotNull()).orderBy(*order).limit(n)
+    # Spark orders NaN above every number, so it is dropped explicitly
+    return df.filter(by_c.isNotNull() & ~F.isnan(by_c)).orderBy(*order).limit(n)
 
 
 def first_rows(df: DataFrame, n: int, order: Sequence) -> DataFrame:
@@ -60,8 +62,8 @@ def first_rows(df: DataFrame, n: int, order: Sequence) -> DataFrame:
     return df.orderBy(*[col_of(o) for o in order]).limit(n)
 
 
-def sorted_distinct(df: DataFrame, c, alias: str | None = None, drop_null: bool = True) -> DataFrame:
-    """Distinct values of one column (NULL dropped by default)."""
+def distinct_values(df: DataFrame, c, alias: str | None = None, drop_null: bool = True) -> DataFrame:
+    """Distinct values of one column (NULL dropped by default), unordered."""
     x = col_of(c)
     out = df.select(x.alias(alias) if alias else x)
     if drop_null:
@@ -69,9 +71,17 @@ def sorted_distinct(df: DataFrame, c, alias: str | None = None, drop_null: bool
     return out.distinct()
 
 
+def sorted_distinct(df: DataFrame, c, alias: str | None = None, drop_null: bool = True) -> DataFrame:
+    """Distinct values of one column in ascending order (a selector's
+    options); the sort runs on the de-duplicated values only."""
+    out = distinct_values(df, c, alias, drop_null)
+    return out.orderBy(out.columns[0])
+
+
 def first_names(df: DataFrame, c, n: int = 5) -> DataFrame:
     """The ``n`` smallest distinct values of ``c``, the default selection."""
-    return sorted_distinct(df, c).orderBy(col_of(c) if isinstance(c, str) else c).limit(n)
+    out = distinct_values(df, c)
+    return out.orderBy(out.columns[0]).limit(n)
 
 
 def present(df: DataFrame, cols: Sequence[str] | str) -> DataFrame:
