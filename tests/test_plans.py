@@ -196,3 +196,21 @@ def test_job_runner_end_to_end(spark, tmp_path):
                "--out", out + "/gold/readmission"], spark)
     summary = read_table(spark, res["written"][1])
     assert summary.count() == 1 and summary.first()[0] is not None
+
+
+def test_rollup_jobs_equal_single_outputs(layers):
+    from wardstat.plans import jobs
+
+    m = layers["master"]
+    r = jobs.staffing_rollups(m)
+    part = jobs.summary_part(r, "onduty_hours_summary", jobs.STAFFING_SETS)
+    assert rows(part.select("STATE", "WorkDate", gold.TOTAL_RN_HOURS)) == rows(gold.onduty_hours(m))
+    for name, keys in jobs.STAFFING_SETS.items():
+        if name == "onduty_hours_summary":
+            continue
+        part = jobs.summary_part(r, name, jobs.STAFFING_SETS).select(*keys, "Avg_Nurse_Ratio")
+        assert rows(part) == rows(gold.nurse_ratio(m, list(keys), "x")), name
+    b = jobs.bed_utilization_rollups(layers["provider"], layers["mds"])
+    for name, keys in jobs.BED_SETS.items():
+        part = jobs.summary_part(b, name, jobs.BED_SETS).select(*keys, "Bed_Utilization")
+        assert rows(part) == rows(gold.bed_utilization(layers["provider"], layers["mds"], list(keys), "x")), name
