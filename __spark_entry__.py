@@ -219,6 +219,7 @@ ORACLE_SQL: dict[str, str] = {
         "l_quantity, l_quantity, l_tax, case when l_discount>0.05 then l_tax end nulls first, l_discount) as rn "
         f"{_STAFF_JOIN}) t where rn=1"
     ),
+    "csv_scan": "select l_orderkey, l_linenumber, l_quantity, l_returnflag, l_shipdate from lineitem",
     "roundtrip_append_replay": (
         "select o_orderkey, o_custkey, o_totalprice, case when o_orderstatus='F' then null "
         "else o_orderpriority end as o_orderpriority from orders"

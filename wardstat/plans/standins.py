@@ -633,6 +633,16 @@ def q_silver_master_csv(spark, d):
     )
 
 
+CSV_SCAN_SCHEMA = "l_orderkey bigint, l_linenumber int, l_quantity double, l_returnflag string, l_shipdate timestamp_ntz"
+
+
+def q_csv_scan(spark, d):
+    """A CSV folder read with a declared schema (no inference pass)."""
+    cols = ["l_orderkey", "l_linenumber", "l_quantity", "l_returnflag", "l_shipdate"]
+    path = _write_raw_csv(spark, table(spark, d, "lineitem").select(*cols), "raw-csv-scan")
+    return read_csv(spark, path, schema=CSV_SCAN_SCHEMA)
+
+
 # --- sinks: repeatable append, schema merge, overwrite ---------------------------
 
 
@@ -758,6 +768,7 @@ QUERIES = {
     "silver_quality_mds": q_silver_quality_mds,
     "silver_quality_claims": q_silver_quality_claims,
     "silver_master_csv": q_silver_master_csv,
+    "csv_scan": q_csv_scan,
     "roundtrip_append_replay": q_roundtrip_append_replay,
     "roundtrip_overwrite": q_roundtrip_overwrite,
     "staffing_rollups": q_staffing_rollups,
