@@ -122,13 +122,14 @@ def _all_keys(sets) -> set[str]:
     return {k for keys in sets.values() for k in keys}
 
 
-def write_rollups(rollups: DataFrame, path: str) -> None:
+def write_rollups(rollups: DataFrame, path: str, fmt: str = "parquet") -> None:
     """Write a rollup frame once, one partition per summary table."""
     (
-        rollups.write.mode("overwrite")
+        rollups.write.format(fmt)
+        .mode("overwrite")
         .option("partitionOverwriteMode", "static")  # replace the whole table
         .partitionBy(SUMMARY)
-        .parquet(path)
+        .save(path)
     )
 
 

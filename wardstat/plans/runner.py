@@ -86,11 +86,11 @@ def run(args: list[str] | None = None, spark=None) -> dict:
             taken = ingest_changed(spark, listing, a.manifest, a.out, TRANSACTION_JOBS[a.job_name], a.batch)
         return {"files": taken, "batch": a.batch}
     if a.job == "gold-staffing":
-        jobs.write_rollups(jobs.staffing_rollups(read_table(spark, a.silver, fmt)), a.out)
+        jobs.write_rollups(jobs.staffing_rollups(read_table(spark, a.silver, fmt)), a.out, fmt=fmt)
         return {"written": a.out}
     if a.job == "gold-bed":
         rollups = jobs.bed_utilization_rollups(read_table(spark, a.provider, fmt), read_table(spark, a.mds, fmt))
-        jobs.write_rollups(rollups, a.out)
+        jobs.write_rollups(rollups, a.out, fmt=fmt)
         return {"written": a.out}
     if a.job == "gold-throughput":
         t = gold.patient_throughput(read_table(spark, a.provider, fmt), read_table(spark, a.skilled, fmt))
