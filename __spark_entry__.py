@@ -124,6 +124,10 @@ ORACLE_SQL: dict[str, str] = {
         "select o_orderpriority, round(avg(o_totalprice/nullif(c_acctbal,0)*100),2) as bed_utilization "
         "from customer join orders on c_custkey=o_custkey group by o_orderpriority"
     ),
+    "bed_utilization_preaggregated": (
+        "select o_orderpriority, round(avg(c_nationkey/nullif(c_acctbal,0)*100),2) as bed_utilization "
+        "from customer join orders on c_custkey=o_custkey group by o_orderpriority"
+    ),
     "patient_throughput": _THROUGHPUT,
     "throughput_top10": (
         f"select user_id, c_name, throughput, state from ({_THROUGHPUT}) t where throughput is not null "

@@ -214,3 +214,13 @@ def test_rollup_jobs_equal_single_outputs(layers):
     for name, keys in jobs.BED_SETS.items():
         part = jobs.summary_part(b, name, jobs.BED_SETS).select(*keys, "Bed_Utilization")
         assert rows(part) == rows(gold.bed_utilization(layers["provider"], layers["mds"], list(keys), "x")), name
+
+
+def test_bed_utilization_pre_aggregate_equals_row_mean(layers, capsys):
+    for by in (["Provider_Name", "State"], ["Resident_type"]):
+        plain = gold.bed_utilization(layers["provider"], layers["mds"], by, "u")
+        pre = gold.bed_utilization(layers["provider"], layers["mds"], by, "u", pre_aggregate=True)
+        assert rows(pre) == rows(plain), by
+    with pytest.raises(ValueError):
+        gold.bed_utilization(layers["provider"], layers["mds"], ["Resident_type"], "u",
+                             residents="Measure_Code", pre_aggregate=True)

@@ -102,6 +102,7 @@ def bed_utilization(
     tie_break=None,
     digits: int = 2,
     enrich=None,
+    pre_aggregate: bool = False,
 ) -> DataFrame:
     """Mean bed utilisation percent per group, rounded.
 
@@ -111,8 +112,15 @@ def bed_utilization(
     facility with zero or missing beds contributes NULL and is skipped.
     ``enrich`` (joined frame -> frame) attaches lookup columns, e.g. a state
     name from a dimension, after the fact-sized join and before grouping.
+
+    ``pre_aggregate=True`` (residents and beds must be provider columns)
+    first reduces the MDS rows to a row count per facility and MDS grouping
+    key, so the join shuffles counts instead of every MDS row; the mean is
+    then weighted by those counts (equal up to floating-point rounding).
     """
     prov = _latest(provider, key, stamp, tie_break)
+    if pre_aggregate:
+        return _bed_utilization_weighted(prov, mds, by, name, key, residents, beds, digits, enrich)
     joined = join_keep_left(prov, mds, key, keep=mds_keep)
     if enrich is not None:
         joined = enrich(joined)
@@ -120,6 +128,24 @@ def bed_utilization(
     return joined.groupBy(*[col_of(b) for b in by]).agg(F.round(F.avg(rate), digits).alias(name))
 
 
+def _bed_utilization_weighted(prov, mds, by, name, key, residents, beds, digits, enrich):
+    prov_cols = {c.lower() for c in prov.columns}
+    if residents.lower() not in prov_cols or beds.lower() not in prov_cols:
+        raise ValueError("pre_aggregate needs residents and beds on the provider side")
+    mds_cols = {c.lower() for c in mds.columns}
+    mds_by = [b for b in by if b.lower() in mds_cols and b.lower() not in prov_cols]
+    counts = mds.groupBy(col_of(key).alias(key), *[col_of(b) for b in mds_by]).agg(
+        F.count(F.lit(1)).alias("__rows")
+    )
+    joined = join_keep_left(prov, counts, key)
+    if enrich is not None:
+        joined = enrich(joined)
+    rate = percent(residents, beds)
+    rows = F.col("__rows")
+    mean = F.try_divide(F.sum(rate * rows), F.sum(F.when(rate.isNotNull(), rows)))
+    return joined.groupBy(*[col_of(b) for b in by]).agg(F.round(mean, digits).alias(name))
+
+
 # --- patient throughput -------------------------------------------------------
 
 

@@ -379,6 +379,17 @@ def q_bed_utilization_by_department(spark, d):
     )
 
 
+def q_bed_utilization_preaggregated(spark, d):
+    """Residents taken from the provider side (``c_nationkey`` stands in), so
+    the MDS rows can be reduced to counts per facility and resident type
+    before the join."""
+    prov = _bed_providers(spark, d).withColumn("residents", F.col("c_nationkey").cast("double"))
+    return gold.bed_utilization(
+        prov, _mds(spark, d), by=["o_orderpriority"], name="bed_utilization",
+        key="CCN", residents="residents", beds="beds", stamp=None, pre_aggregate=True,
+    )
+
+
 def _throughput(spark, d) -> DataFrame:
     t = gold.patient_throughput(
         providers(spark, d), snapshots(spark, d), key="CCN",
@@ -746,6 +757,7 @@ QUERIES = {
     "join_keep_left_columns": q_join_keep_left_columns,
     "bed_utilization_by_hospital": q_bed_utilization_by_hospital,
     "bed_utilization_by_department": q_bed_utilization_by_department,
+    "bed_utilization_preaggregated": q_bed_utilization_preaggregated,
     "patient_throughput": q_patient_throughput,
     "throughput_top10": q_throughput_top10,
     "staffing_band_detail": q_staffing_band_detail,
