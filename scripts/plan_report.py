@@ -104,8 +104,9 @@ NOTES = """
   forwards at most one row per key, so a key holding a third of the rows
   cannot overload one reducer.
 - Each aggregate shuffles once, after map-side partial aggregation;
-  `quality_checks` has three shuffles because its distinct count
-  de-duplicates map-side before shuffling on the key.
+  `quality_checks` counts rows per key first (partial aggregate, then a
+  shuffle on the key) and sums those counts, with no row expansion for a
+  distinct count.
 - Band and measure filters appear as pushed filters in the scans, and every
   scan reads only the columns its query uses.
 - Queries that write files while they are built (`silver_*`, `roundtrip_*`,

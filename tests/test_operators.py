@@ -178,3 +178,9 @@ def test_top_n_skips_nan_and_sorted_distinct_orders(spark):
     assert [r.k for r in top_n(df, 3, "t", "k").collect()] == ["b", "d"]
     names = spark.createDataFrame([("z",), ("a",), (None,), ("m",), ("a",)], "n string")
     assert [r.n for r in sorted_distinct(names, "n").collect()] == ["a", "m", "z"]
+
+
+def test_quality_counts_empty_table(spark):
+    df = spark.createDataFrame([], "k string, state string")
+    got = {r.check_name: r.n for r in quality_counts(df, not_null=["k"], unique=["k"], trimmed=["state"]).collect()}
+    assert got == {"row_count": 0, "null_key": 0, "untrimmed": 0, "duplicate_key": 0}

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wardstat.functions.names import col_of
@@ -29,35 +29,47 @@ def quality_counts(
     - one row per ``missing`` entry ``{check name: column}``: rows where that
       column is NULL (e.g. dates that did not parse).
 
-    All checks are aggregates of one scan; the distinct count of the key is
-    planned as a partial (map-side) de-duplication followed by a shuffle on
-    the key, so a hot key never reaches one task whole.  The caller decides
-    what a non-zero count means.
+    All checks are aggregates of one scan.  With ``unique`` the rows are
+    first counted per key (a map-side partial aggregate, so a hot key is
+    reduced before the shuffle and no row is duplicated for a distinct
+    count), then the per-key counts are summed.  The caller decides what a
+    non-zero count means.
     """
-    aggs = []
-    if row_count:
-        aggs.append(F.count(F.lit(1)).alias("row_count"))
+    row_level: dict[str, Column] = {}
     if not_null:
         any_null = None
         for c in not_null:
             cond = col_of(c).isNull()
             any_null = cond if any_null is None else (any_null | cond)
-        aggs.append(F.count_if(any_null).alias("null_key"))
+        row_level["null_key"] = any_null
     if trimmed:
         bad = None
         for c in trimmed:
             x = col_of(c)
             cond = x.isNull() | (F.trim(x) != x)
             bad = cond if bad is None else (bad | cond)
-        aggs.append(F.count_if(bad).alias("untrimmed"))
-    if unique:
-        key = F.struct(*[col_of(c) for c in unique])
-        aggs.append((F.count(F.lit(1)) - F.count_distinct(key)).alias("duplicate_key"))
+        row_level["untrimmed"] = bad
     for check, c in (missing or {}).items():
-        aggs.append(F.count_if(col_of(c).isNull()).alias(check))
-    if not aggs:
+        row_level[check] = col_of(c).isNull()
+    if not (row_count or row_level or unique):
         raise ValueError("no check requested")
-    wide = df.agg(*aggs)
-    names = [a for a in ("row_count", "null_key", "untrimmed", "duplicate_key") if a in wide.columns]
-    names += list(missing or {})
+
+    if unique:
+        per_key = df.groupBy(*[col_of(c) for c in unique]).agg(
+            F.count(F.lit(1)).alias("__rows"),
+            *[F.count_if(cond).alias(name) for name, cond in row_level.items()],
+        )
+        total = lambda c: F.coalesce(F.sum(c), F.lit(0)).cast("bigint")
+        aggs = []
+        if row_count:
+            aggs.append(total(F.col("__rows")).alias("row_count"))
+        aggs += [total(F.col(name)).alias(name) for name in row_level]
+        aggs.append(total(F.col("__rows") - 1).alias("duplicate_key"))
+        wide = per_key.agg(*aggs)
+    else:
+        aggs = [F.count(F.lit(1)).alias("row_count")] if row_count else []
+        aggs += [F.count_if(cond).alias(name) for name, cond in row_level.items()]
+        wide = df.agg(*aggs)
+    order = ["row_count", "null_key", "untrimmed", "duplicate_key", *list(missing or {})]
+    names = [n for n in order if n in wide.columns]
     return wide.unpivot([], names, "check_name", "n")
