@@ -45,6 +45,7 @@ SKILLED_ROWS = [
     ["015009", "Alpha Home", "AL", "S_004_01_PPR_PD_VOLUME", "999"],
     ["015010", "Beta Care", "NY", "S_005_02_DTC_VOLUME", "Not Available"],
     ["015012", "Delta Place", "TX", "S_005_02_DTC_VOLUME", "25"],
+    ["015012", "Delta Place", "TX", "S_005_02_DTC_VOLUME", "30"],  # same CCN twice in one load
     ["099999", "Only Skilled", "WA", "S_005_02_DTC_VOLUME", "10"],  # no provider row
 ]
 
