@@ -58,7 +58,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     used as is.  Only when it is unset (local runs and tests) a fresh
     folder is created here and registered with the context.
     """
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # a Spark Connect session has no SparkContext here
+        return _connect_checkpoint_dir(spark)
     current = sc.getCheckpointDir()
     if current:
         return current
@@ -67,6 +70,18 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
+_LOCAL_FALLBACK: dict[int, str] = {}
+
+
+def _connect_checkpoint_dir(spark: SparkSession) -> str:
+    """The cluster's shared folder from the session conf; a local temporary
+    folder only when none is named (local runs)."""
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    if named:
+        return named
+    return _LOCAL_FALLBACK.setdefault(id(spark), tempfile.mkdtemp(prefix="wardstat-ckpt-"))
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new, unique folder under the shared checkpoint folder.
 
