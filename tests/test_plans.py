@@ -227,3 +227,19 @@ def test_bed_utilization_pre_aggregate_equals_row_mean(layers, capsys):
     with pytest.raises(ValueError):
         gold.bed_utilization(layers["provider"], layers["mds"], ["Resident_type"], "u",
                              residents="Measure_Code", pre_aggregate=True)
+
+
+def test_gold_tables_layout(spark, layers, tmp_path):
+    from wardstat.plans.runner import run
+
+    silver_path = str(tmp_path / "silver")
+    layers["master"].write.parquet(silver_path)
+    out = run(["gold-staffing", "--silver", silver_path, "--out", str(tmp_path / "gold"), "--layout", "tables"], spark)
+    written = out["written"]
+    assert set(written) == {"onduty_hours_summary", "ratio_by_hospital", "ratio_by_state", "ratio_by_department"}
+    by_state = read_table(spark, written["ratio_by_state"])
+    assert by_state.columns == ["STATE", "Avg_Nurse_Ratio_ByState"]
+    want = gold.nurse_ratio(layers["master"], ["STATE"], "Avg_Nurse_Ratio_ByState")
+    assert rows(by_state) == rows(want)
+    hours = read_table(spark, written["onduty_hours_summary"])
+    assert hours.columns == ["STATE", "WorkDate", "Total_RN_Hours"]

@@ -43,6 +43,17 @@ BED_SETS = {
     "utilization_by_hospital": ("Provider_Name", "State"),
     "utilization_by_department": ("Resident_type",),
 }
+# Measure names of each table as the report pages read them.
+STAFFING_TABLE_MEASURES = {
+    "onduty_hours_summary": {"Total_RN_Hours": "Total_RN_Hours"},
+    "ratio_by_hospital": {"Avg_Nurse_Ratio": "Avg_Nurse_Ratio_ByHospital"},
+    "ratio_by_state": {"Avg_Nurse_Ratio": "Avg_Nurse_Ratio_ByState"},
+    "ratio_by_department": {"Avg_Nurse_Ratio": "Avg_Nurse_Ratio_ByDepartment"},
+}
+BED_TABLE_MEASURES = {
+    "utilization_by_hospital": {"Bed_Utilization": "Bed_Utilization_By_Hospital"},
+    "utilization_by_department": {"Bed_Utilization": "Bed_Utilization_By_Department"},
+}
 # ------------------------------------------------------------------------------------
 
 
@@ -154,3 +165,28 @@ def staffing_readmission_tables(
     summary = stored.agg(safe_corr(hours, rate, missing="drop").alias(gold.CORRELATION))
     overwrite(summary, summary_path, single_file=True)
     return stored, read_table(spark, summary_path)
+
+
+def write_summary_tables(
+    spark: SparkSession,
+    rollup_path: str,
+    root: str,
+    sets: dict[str, Sequence[str]],
+    measures: dict[str, dict[str, str]],
+    fmt: str = "parquet",
+) -> dict[str, str]:
+    """Fan a written rollup out into one table per summary, named and
+    shaped as the report pages read them (``root/<summary name>``).
+
+    Each table reads only its own partition of the rollup, so the source
+    data is still scanned once in total.
+    """
+    stored = read_table(spark, rollup_path, fmt)
+    written = {}
+    for name, keys in sets.items():
+        part = stored.filter(F.col(SUMMARY) == F.lit(name))
+        cols = [col_of(k) for k in keys] + [col_of(src).alias(dst) for src, dst in measures[name].items()]
+        path = f"{root.rstrip('/')}/{name}"
+        overwrite(part.select(*cols), path, fmt=fmt)
+        written[name] = path
+    return written

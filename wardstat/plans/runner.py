@@ -11,8 +11,8 @@ and formats are arguments (the source jobs hard-code them).
     silver-skilled    ... same                                   (G6)
     intake            --landing DIR --manifest PATH --out PATH --job-name silver-provider --batch ID
                                                                  (G13 + S3/S4: that job's changed files only)
-    gold-staffing     --silver PATH --out PATH                   (G7, one grouping-sets pass)
-    gold-bed          --provider PATH --mds PATH --out PATH      (G8)
+    gold-staffing     --silver PATH --out PATH [--layout tables]  (G7, one grouping-sets pass)
+    gold-bed          --provider PATH --mds PATH --out PATH [--layout tables]  (G8)
     gold-throughput   --provider PATH --skilled PATH --out PATH  (G9)
     gold-readmission  --provider PATH --facility PATH --out PATH (G10, detail + summary)
     checks            --silver PATH                              (G11, prints the counts)
@@ -58,6 +58,8 @@ def _parser() -> argparse.ArgumentParser:
     p.add_argument("--job-name", dest="job_name", default=None, help="silver job run by 'intake'")
     p.add_argument("--names", default=None, help="comma-separated file names 'intake' takes (default: the job's files)")
     p.add_argument("--format", default="parquet")
+    p.add_argument("--layout", choices=["rollup", "tables"], default="rollup",
+                   help="gold-staffing/gold-bed: one partitioned table, or one table per summary")
     p.add_argument("--master", default=None, help="only for local runs")
     return p
 
@@ -85,11 +87,17 @@ def run(args: list[str] | None = None, spark=None) -> dict:
         else:
             taken = ingest_changed(spark, listing, a.manifest, a.out, TRANSACTION_JOBS[a.job_name], a.batch)
         return {"files": taken, "batch": a.batch}
-    if a.job == "gold-staffing":
-        jobs.write_rollups(jobs.staffing_rollups(read_table(spark, a.silver, fmt)), a.out, fmt=fmt)
-        return {"written": a.out}
-    if a.job == "gold-bed":
-        rollups = jobs.bed_utilization_rollups(read_table(spark, a.provider, fmt), read_table(spark, a.mds, fmt))
+    if a.job in ("gold-staffing", "gold-bed"):
+        if a.job == "gold-staffing":
+            rollups = jobs.staffing_rollups(read_table(spark, a.silver, fmt))
+            sets, measures = jobs.STAFFING_SETS, jobs.STAFFING_TABLE_MEASURES
+        else:
+            rollups = jobs.bed_utilization_rollups(read_table(spark, a.provider, fmt), read_table(spark, a.mds, fmt))
+            sets, measures = jobs.BED_SETS, jobs.BED_TABLE_MEASURES
+        if a.layout == "tables":  # one table per summary, as the report pages read them
+            rollup_path = os.path.join(a.out, "_rollup")
+            jobs.write_rollups(rollups, rollup_path, fmt=fmt)
+            return {"written": jobs.write_summary_tables(spark, rollup_path, a.out, sets, measures, fmt)}
         jobs.write_rollups(rollups, a.out, fmt=fmt)
         return {"written": a.out}
     if a.job == "gold-throughput":
