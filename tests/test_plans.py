@@ -243,3 +243,20 @@ def test_gold_tables_layout(spark, layers, tmp_path):
     assert rows(by_state) == rows(want)
     hours = read_table(spark, written["onduty_hours_summary"])
     assert hours.columns == ["STATE", "WorkDate", "Total_RN_Hours"]
+
+
+def test_report_jobs(spark, layers, tmp_path):
+    from wardstat.plans.runner import run
+
+    t = gold.patient_throughput(layers["provider"], layers["skilled"])
+    t_path = str(tmp_path / "throughput")
+    t.write.parquet(t_path)
+    top = run(["report-top-throughput", "--gold", t_path, "--n", "2"], spark)["rows"]
+    assert [r["CMS_Certification_Number_CCN"] for r in top] == ["015012", "015009"]
+    detail, _ = gold.staffing_readmission(layers["provider"], layers["facility"])
+    d_path = str(tmp_path / "detail")
+    detail.write.parquet(d_path)
+    kpi = run(["report-kpis", "--gold", d_path, "--state", "NY"], spark)["rows"][0]
+    assert (kpi["facilities"], kpi["avg_hours"]) == (2, 7.0) and kpi["correlation"] is not None
+    assert run(["report-trend", "--gold", d_path], spark)["rows"][0]["n"] == 4
+    assert [r["State"] for r in run(["report-states", "--gold", d_path], spark)["rows"]] == ["AL", "NY"]

@@ -16,6 +16,11 @@ and formats are arguments (the source jobs hard-code them).
     gold-throughput   --provider PATH --skilled PATH --out PATH  (G9)
     gold-readmission  --provider PATH --facility PATH --out PATH (G10, detail + summary)
     checks            --silver PATH                              (G11, prints the counts)
+    report-top-throughput --gold PATH [--n 10]                   (C5, top facilities)
+    report-kpis       --gold PATH [--state S]                    (C7, count, global r, mean hours)
+    report-trend      --gold PATH [--state S]                    (C8, fitted line)
+    report-states     --gold PATH                                (state selector options)
+    report-total-hours --gold PATH                               (C1 card: total RN hours)
 """
 
 from __future__ import annotations
@@ -24,7 +29,7 @@ import argparse
 import json
 import os
 
-from wardstat.plans import checks, gold, jobs, silver
+from wardstat.plans import checks, gold, jobs, serving, silver
 from wardstat.session import build_session
 from wardstat.sources.files import read_csv, read_table
 from wardstat.sources.intake import MASTER_FILE, allow_listed, ingest_changed, list_files
@@ -57,6 +62,9 @@ def _parser() -> argparse.ArgumentParser:
         p.add_argument(f"--{opt}")
     p.add_argument("--job-name", dest="job_name", default=None, help="silver job run by 'intake'")
     p.add_argument("--names", default=None, help="comma-separated file names 'intake' takes (default: the job's files)")
+    p.add_argument("--gold", default=None, help="gold table read by the report-* jobs")
+    p.add_argument("--state", default=None, help="report-kpis/report-trend: one state (default all)")
+    p.add_argument("--n", type=int, default=10, help="report-top-throughput: how many")
     p.add_argument("--format", default="parquet")
     p.add_argument("--layout", choices=["rollup", "tables"], default="rollup",
                    help="gold-staffing/gold-bed: one partitioned table, or one table per summary")
@@ -111,11 +119,34 @@ def run(args: list[str] | None = None, spark=None) -> dict:
             spark, read_table(spark, a.provider, fmt), read_table(spark, a.facility, fmt), detail_path, summary_path
         )
         return {"written": [detail_path, summary_path]}
+    if a.job.startswith("report-"):
+        return {"rows": _report(spark, a, fmt)}
     if a.job == "checks":
         counts = {r.check_name: r.n for r in checks.staffing_checks(read_table(spark, a.silver, fmt)).collect()}
         return {"checks": counts}
     raise SystemExit(f"unknown job {a.job!r}; see --help")
 
 
+def _report(spark, a, fmt: str) -> list[dict]:
+    """Chart-ready results of the report pages, bounded, as plain rows."""
+    gold_df = read_table(spark, a.gold, fmt)
+    if a.job == "report-top-throughput":
+        cols = ["CMS_Certification_Number_CCN", "Provider_Name", "Patient_Throughput", "State", "City/Town"]
+        cols = [c for c in cols if c.lower() in {x.lower() for x in gold_df.columns}]
+        frame = serving.top_throughput(gold_df, a.n, columns=cols)
+    elif a.job == "report-kpis":
+        frame = serving.kpi_cards(gold_df, a.state)
+    elif a.job == "report-trend":
+        frame = serving.trend_line(gold_df, gold.READMISSION, gold.STAFF_HOURS, state=a.state)
+    elif a.job == "report-states":
+        frame = serving.states(gold_df)
+    elif a.job == "report-total-hours":
+        frame = serving.total_hours(gold_df)
+    else:
+        raise SystemExit(f"unknown report {a.job!r}")
+    local = serving.collect_bounded(frame, max_rows=10_000)
+    return local.astype(object).where(local.notna(), None).to_dict(orient="records")  # NULL -> null, not NaN
+
+
 def main(args: list[str] | None = None) -> None:
     print(json.dumps(run(args), default=str))
