@@ -260,3 +260,12 @@ def test_report_jobs(spark, layers, tmp_path):
     assert (kpi["facilities"], kpi["avg_hours"]) == (2, 7.0) and kpi["correlation"] is not None
     assert run(["report-trend", "--gold", d_path], spark)["rows"][0]["n"] == 4
     assert [r["State"] for r in run(["report-states", "--gold", d_path], spark)["rows"]] == ["AL", "NY"]
+
+
+def test_fixed_stamp_makes_replays_identical(spark, tmp_path):
+    raw = read_csv(spark, fx.write_csv(str(tmp_path), "f.csv", fx.FACILITY_HEADER, fx.FACILITY_ROWS))
+    a = silver.facility_performance(raw, stamp="2024-10-01 00:00:00")
+    b = silver.facility_performance(raw, stamp="2024-10-01 00:00:00")
+    assert rows(a) == rows(b)
+    assert {str(r[silver.STAMP]) for r in a.collect()} == {"2024-10-01 00:00:00"}
+    assert silver.STAMP not in silver.facility_performance(raw, stamp=False).columns

@@ -26,6 +26,7 @@ and formats are arguments (the source jobs hard-code them).
 from __future__ import annotations
 
 import argparse
+import functools
 import json
 import os
 
@@ -65,6 +66,7 @@ def _parser() -> argparse.ArgumentParser:
     p.add_argument("--gold", default=None, help="gold table read by the report-* jobs")
     p.add_argument("--state", default=None, help="report-kpis/report-trend: one state (default all)")
     p.add_argument("--n", type=int, default=10, help="report-top-throughput: how many")
+    p.add_argument("--stamp", default=None, help="silver-*/intake: fixed load stamp, e.g. '2024-10-01 00:00:00'")
     p.add_argument("--format", default="parquet")
     p.add_argument("--layout", choices=["rollup", "tables"], default="rollup",
                    help="gold-staffing/gold-bed: one partitioned table, or one table per summary")
@@ -81,8 +83,9 @@ def run(args: list[str] | None = None, spark=None) -> dict:
     if a.job == "silver-master":
         overwrite(silver.master_staffing(read_csv(spark, a.raw)), a.out, fmt=fmt)
         return {"written": a.out}
+    stamp = a.stamp or True  # a fixed stamp makes a replayed batch identical
     if a.job in TRANSACTION_JOBS:
-        append_batch(TRANSACTION_JOBS[a.job](read_csv(spark, a.raw)), a.out, a.batch, fmt=fmt)
+        append_batch(TRANSACTION_JOBS[a.job](read_csv(spark, a.raw), stamp=stamp), a.out, a.batch, fmt=fmt)
         return {"written": a.out, "batch": a.batch}
     if a.job == "intake":
         names = a.names.split(",") if a.names else JOB_FILES[a.job_name]
@@ -93,7 +96,8 @@ def run(args: list[str] | None = None, spark=None) -> dict:
                 write=lambda df, path, _batch: overwrite(df, path, fmt=fmt),
             )
         else:
-            taken = ingest_changed(spark, listing, a.manifest, a.out, TRANSACTION_JOBS[a.job_name], a.batch)
+            transform = functools.partial(TRANSACTION_JOBS[a.job_name], stamp=stamp)
+            taken = ingest_changed(spark, listing, a.manifest, a.out, transform, a.batch)
         return {"files": taken, "batch": a.batch}
     if a.job in ("gold-staffing", "gold-bed"):
         if a.job == "gold-staffing":

@@ -108,22 +108,29 @@ def _transaction_table(
     numeric: Sequence[str] = (),
     numeric_default: dict[str, float] | None = None,
     key: str = CCN,
-    stamp: bool = True,
+    stamp: bool | str = True,
 ) -> DataFrame:
     """Shared shape of the five transaction files: trim + rename headers in
-    one projection, key as text, typed measures, load stamp."""
+    one projection, key as text, typed measures, load stamp.
+
+    ``stamp=True`` stamps the current time (one value per query);
+    a timestamp text such as ``"2024-10-01 00:00:00"`` stamps that value, so
+    a replayed batch writes exactly the rows of the first attempt;
+    ``False`` adds no stamp."""
     df = normalize_headers(raw, rules=rules, trim=True)
     fixes = {key: col_of(key).cast("string")}
     for c in numeric:
         fixes[c] = to_number(c)
     for c, default in (numeric_default or {}).items():
         fixes[c] = to_number_or(c, default)
-    if stamp:
+    if isinstance(stamp, str):
+        fixes[STAMP] = F.lit(stamp).cast("timestamp")
+    elif stamp:
         fixes[STAMP] = load_stamp()
     return with_columns(df, fixes)
 
 
-def provider_info(raw: DataFrame, stamp: bool = True) -> DataFrame:
+def provider_info(raw: DataFrame, stamp: bool | str = True) -> DataFrame:
     """Provider file: residents per day and certified beds become doubles;
     a missing residents value stays NULL (it must not pull rates down)."""
     return _transaction_table(
@@ -134,7 +141,7 @@ def provider_info(raw: DataFrame, stamp: bool = True) -> DataFrame:
     )
 
 
-def facility_performance(raw: DataFrame, stamp: bool = True) -> DataFrame:
+def facility_performance(raw: DataFrame, stamp: bool | str = True) -> DataFrame:
     """Facility performance file: readmission rate becomes a double."""
     return _transaction_table(
         raw,
@@ -144,16 +151,16 @@ def facility_performance(raw: DataFrame, stamp: bool = True) -> DataFrame:
     )
 
 
-def quality_claims(raw: DataFrame, stamp: bool = True) -> DataFrame:
+def quality_claims(raw: DataFrame, stamp: bool | str = True) -> DataFrame:
     """Claims-based quality measures: headers, key and stamp only."""
     return _transaction_table(raw, "basic", stamp=stamp)
 
 
-def quality_mds(raw: DataFrame, stamp: bool = True) -> DataFrame:
+def quality_mds(raw: DataFrame, stamp: bool | str = True) -> DataFrame:
     """MDS quality measures: headers, key and stamp only."""
     return _transaction_table(raw, "basic", stamp=stamp)
 
 
-def skilled_nursing(raw: DataFrame, stamp: bool = True) -> DataFrame:
+def skilled_nursing(raw: DataFrame, stamp: bool | str = True) -> DataFrame:
     """Skilled nursing measures: Score becomes a double, bad text -> 0.0."""
     return _transaction_table(raw, "extended", numeric_default={"Score": 0.0}, stamp=stamp)
