@@ -269,3 +269,9 @@ def test_fixed_stamp_makes_replays_identical(spark, tmp_path):
     assert rows(a) == rows(b)
     assert {str(r[silver.STAMP]) for r in a.collect()} == {"2024-10-01 00:00:00"}
     assert silver.STAMP not in silver.facility_performance(raw, stamp=False).columns
+
+
+def test_transaction_checks(layers):
+    got = {r.check_name: r.n for r in checks.transaction_checks(layers["skilled"], extra_key=("Measure_Code",)).collect()}
+    # 015012 appears twice for the same measure in one load
+    assert got == {"row_count": len(fx.SKILLED_ROWS), "null_key": 0, "duplicate_key": 1}

@@ -28,6 +28,17 @@ def staffing_checks(silver: DataFrame) -> DataFrame:
     )
 
 
+def transaction_checks(
+    silver: DataFrame, key: str = "CMS_Certification_Number_CCN", stamp: str = "silver_ingested_at",
+    extra_key: tuple[str, ...] = (),
+) -> DataFrame:
+    """(check_name, n) for an appended silver table: rows, NULL keys, and a
+    key repeated within one load (same stamp) beyond the first, which the
+    latest-record pick then has to break by its tie-break.  ``extra_key``
+    adds columns that make a row unique (e.g. the measure code)."""
+    return quality_counts(silver, not_null=[key], unique=[key, stamp, *extra_key])
+
+
 def schema_of(df: DataFrame) -> list[tuple[str, str]]:
     """Column names and types (metadata only; no job runs)."""
     return [(f.name, f.dataType.simpleString()) for f in df.schema.fields]
