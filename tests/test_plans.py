@@ -183,6 +183,8 @@ def test_job_runner_end_to_end(spark, tmp_path):
                    "--job-name", "silver-master", "--batch", "2024-q2"]
     assert run(master_args, spark)["files"] == 1
     assert read_table(spark, out + "/silver/master2").count() == 5
+    tx = run(["checks", "--silver", out + "/silver/provider", "--table", "transaction"], spark)["checks"]
+    assert tx["null_key"] == 0 and tx["duplicate_key"] == 0
     sk = fx.write_csv(raw + "/sk", "skilled.csv", fx.SKILLED_HEADER, fx.SKILLED_ROWS)
     run(["silver-skilled", "--raw", sk, "--out", out + "/silver/skilled", "--batch", "2024-10"], spark)
     fac = fx.write_csv(raw + "/fac", "fac.csv", fx.FACILITY_HEADER, fx.FACILITY_ROWS)

@@ -15,7 +15,7 @@ and formats are arguments (the source jobs hard-code them).
     gold-bed          --provider PATH --mds PATH --out PATH [--layout tables]  (G8)
     gold-throughput   --provider PATH --skilled PATH --out PATH  (G9)
     gold-readmission  --provider PATH --facility PATH --out PATH (G10, detail + summary)
-    checks            --silver PATH                              (G11, prints the counts)
+    checks            --silver PATH [--table transaction]        (G11, prints the counts)
     report-top-throughput --gold PATH [--n 10]                   (C5, top facilities)
     report-kpis       --gold PATH [--state S]                    (C7, count, global r, mean hours)
     report-trend      --gold PATH [--state S]                    (C8, fitted line)
@@ -66,6 +66,7 @@ def _parser() -> argparse.ArgumentParser:
     p.add_argument("--gold", default=None, help="gold table read by the report-* jobs")
     p.add_argument("--state", default=None, help="report-kpis/report-trend: one state (default all)")
     p.add_argument("--n", type=int, default=10, help="report-top-throughput: how many")
+    p.add_argument("--table", choices=["staffing", "transaction"], default="staffing", help="checks: which rules")
     p.add_argument("--stamp", default=None, help="silver-*/intake: fixed load stamp, e.g. '2024-10-01 00:00:00'")
     p.add_argument("--format", default="parquet")
     p.add_argument("--layout", choices=["rollup", "tables"], default="rollup",
@@ -126,8 +127,9 @@ def run(args: list[str] | None = None, spark=None) -> dict:
     if a.job.startswith("report-"):
         return {"rows": _report(spark, a, fmt)}
     if a.job == "checks":
-        counts = {r.check_name: r.n for r in checks.staffing_checks(read_table(spark, a.silver, fmt)).collect()}
-        return {"checks": counts}
+        table = read_table(spark, a.silver, fmt)
+        frame = checks.transaction_checks(table) if a.table == "transaction" else checks.staffing_checks(table)
+        return {"checks": {r.check_name: r.n for r in frame.collect()}}
     raise SystemExit(f"unknown job {a.job!r}; see --help")
 
 
