@@ -13,6 +13,6 @@ Layout
   never change.
 """
 
-from wardstat.session import build_session, scratch_path
+from wardstat.session import build_session, scale_conf, scratch_path
 
-__all__ = ["build_session", "scratch_path"]
+__all__ = ["build_session", "scale_conf", "scratch_path"]
