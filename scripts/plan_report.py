@@ -106,7 +106,8 @@ NOTES = """
 - Each aggregate shuffles once, after map-side partial aggregation;
   `quality_checks` counts rows per key first (partial aggregate, then a
   shuffle on the key) and sums those counts, with no row expansion for a
-  distinct count.
+  distinct count (the `Expand` in its plan is the unpivot of the one-row
+  result into `(check_name, n)` rows).
 - Band and measure filters appear as pushed filters in the scans, and every
   scan reads only the columns its query uses.
 - Queries that write files while they are built (`silver_*`, `roundtrip_*`,
