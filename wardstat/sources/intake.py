@@ -78,7 +78,8 @@ def allow_listed(
     if kind_col is not None:
         cond = cond & (col_of(kind_col) == F.lit(kind))
     if trashed_col is not None:
-        cond = cond & ~F.coalesce(col_of(trashed_col), F.lit(False))
+        t = col_of(trashed_col)
+        cond = cond & (t.isNull() | ~t)  # unknown counts as kept; pushable, unlike coalesce
     return listing.filter(cond)
 
 
