@@ -139,3 +139,20 @@ def test_ingest_changed_run(spark, tmp_path):
     t = read_table(spark, target)
     assert t.count() == len(fx.FACILITY_ROWS) + 1
     assert sorted(r.batch_id for r in t.select(BATCH_COL).distinct().collect()) == ["r1", "r3"]
+
+
+def test_ingest_rerun_after_crash_replaces_its_batch(spark, tmp_path):
+    from wardstat.sources.intake import ingest_changed
+
+    land = str(tmp_path / "raw")
+    p = fx.write_csv(land, TRANSACTION_FILES[4], fx.FACILITY_HEADER, fx.FACILITY_ROWS)
+    _touch(p, dt.datetime(2024, 6, 1))
+    target = str(tmp_path / "silver")
+    listing = allow_listed(list_files(spark, land))
+    # first run "crashes" before its manifest commit: its manifest is lost
+    assert ingest_changed(spark, listing, str(tmp_path / "lost-manifest"), target, silver.facility_performance) == 1
+    # the re-run takes the same file again under the same derived batch id
+    assert ingest_changed(spark, listing, str(tmp_path / "manifest"), target, silver.facility_performance) == 1
+    t = read_table(spark, target)
+    assert t.count() == len(fx.FACILITY_ROWS)
+    assert t.select(BATCH_COL).distinct().count() == 1

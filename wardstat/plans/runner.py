@@ -59,8 +59,10 @@ JOB_FILES = {
 def _parser() -> argparse.ArgumentParser:
     p = argparse.ArgumentParser(prog="wardstat", description=__doc__, formatter_class=argparse.RawDescriptionHelpFormatter)
     p.add_argument("job")
-    for opt in ("raw", "out", "batch", "landing", "manifest", "silver", "provider", "mds", "skilled", "facility"):
+    for opt in ("raw", "out", "landing", "manifest", "silver", "provider", "mds", "skilled", "facility"):
         p.add_argument(f"--{opt}")
+    p.add_argument("--batch", default=None,
+                   help="batch id of an append; 'intake' derives it from the files taken when omitted")
     p.add_argument("--job-name", dest="job_name", default=None, help="silver job run by 'intake'")
     p.add_argument("--names", default=None, help="comma-separated file names 'intake' takes (default: the job's files)")
     p.add_argument("--gold", default=None, help="gold table read by the report-* jobs")

@@ -15,6 +15,7 @@ paths, so a file rewritten under the same name is never read again.
 from __future__ import annotations
 
 import datetime as _dt
+import hashlib
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -132,7 +133,7 @@ def ingest_changed(
     manifest_path: str,
     target: str,
     transform,
-    run_id: str,
+    run_id: str | None = None,
     reader=None,
     write=None,
 ) -> int:
@@ -142,6 +143,11 @@ def ingest_changed(
     ``write(df, target, run_id)`` replaces the default repeatable append
     (e.g. an overwrite for a table that is a full snapshot).
 
+    Without ``run_id`` the batch id is derived from the files taken (paths
+    and modified times): a run that crashed after writing its data but
+    before committing the manifest is re-taken under the same batch id, so
+    its partial write is replaced, never appended twice.
+
     Only file paths reach the driver (bounded by the allow-list); the rows
     are read, cleaned and written by the executors.  A crash before the
     manifest commit re-takes the same files next run, and the batch sink
@@ -154,8 +160,18 @@ def ingest_changed(
     taken = changed.select("path", "modified").collect()
     if not taken:
         return 0
+    if run_id is None:
+        run_id = batch_id_for(taken)
     raw = (reader or read_csv)(spark, [r.path for r in taken])
     (write or append_batch)(transform(raw), target, run_id)
     records = spark.createDataFrame([(r.path, r.modified) for r in taken], "path string, seen timestamp")
     append_batch(records, manifest_path, run_id)
     return len(taken)
+
+
+def batch_id_for(files) -> str:
+    """A batch id determined by the files (path, modified time) taken."""
+    digest = hashlib.sha1()
+    for path, modified in sorted((r.path, str(r.modified)) for r in files):
+        digest.update(f"{path}\t{modified}\n".encode())
+    return "files-" + digest.hexdigest()[:16]
