@@ -156,3 +156,14 @@ def test_ingest_rerun_after_crash_replaces_its_batch(spark, tmp_path):
     t = read_table(spark, target)
     assert t.count() == len(fx.FACILITY_ROWS)
     assert t.select(BATCH_COL).distinct().count() == 1
+
+
+def test_batch_id_for_is_order_independent():
+    from types import SimpleNamespace as NS
+
+    from wardstat.sources.intake import batch_id_for
+
+    a = [NS(path="/l/a.csv", modified=dt.datetime(2024, 1, 1)), NS(path="/l/b.csv", modified=dt.datetime(2024, 1, 2))]
+    assert batch_id_for(a) == batch_id_for(list(reversed(a)))
+    changed = [a[0], NS(path="/l/b.csv", modified=dt.datetime(2024, 1, 3))]
+    assert batch_id_for(changed) != batch_id_for(a)  # a rewritten file is a new batch
