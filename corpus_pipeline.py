@@ -12,7 +12,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from wardstat.llm import quality_mil
+from wardstat.llm import near_dup, quality_mil
 from wardstat.llm.queries import held_out, table
 from wardstat.session import scratch_path
 
@@ -27,8 +27,24 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return scored.filter(f"_quality_score >= {QUALITY_CUT}").select(*docs.columns)
 
 
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies (five-word shingles, 0.8),
+    the one with the smallest id; repeated rows of an id count as copies, rows
+    without an id stay."""
+    found = near_dup.near_duplicates(docs, shingle_words=5, percent=80)
+    stay = found.filter("kept and doc_id is not null").select("doc_id").distinct()
+    return (
+        docs.filter("doc_id is not null")
+        .join(stay, "doc_id", "left_semi")
+        .dropDuplicates(["doc_id"])
+        .select(*docs.columns)
+        .unionByName(docs.filter("doc_id is null"))
+    )
+
+
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
     ("quality classifier", quality),
+    ("MinHash near-dedup", near_duplicates),
 ]
 
 # a trained model, a byte-pair tokenizer and a coder: not expressible in SQL
@@ -37,7 +53,22 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    for _, stage in STAGES:
+    for _, stage in def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies (five-word shingles, 0.8),
+    the one with the smallest id; repeated rows of an id count as copies, rows
+    without an id stay."""
+    found = near_dup.near_duplicates(docs, shingle_words=5, percent=80)
+    stay = found.filter("kept and doc_id is not null").select("doc_id").distinct()
+    return (
+        docs.filter("doc_id is not null")
+        .join(stay, "doc_id", "left_semi")
+        .dropDuplicates(["doc_id"])
+        .select(*docs.columns)
+        .unionByName(docs.filter("doc_id is null"))
+    )
+
+
+STAGES:
         path = scratch_path(spark, "corpus-stage")
         stage(spark, docs, sf_dir).write.parquet(path)
         docs = spark.read.parquet(path)
