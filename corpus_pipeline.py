@@ -12,7 +12,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from wardstat.llm import near_dup, quality_mil
+from wardstat.llm import decontaminate, near_dup, quality_mil
 from wardstat.llm.queries import held_out, table
 from wardstat.session import scratch_path
 
@@ -42,9 +42,15 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     )
 
 
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents of which less than a twentieth is benchmark text."""
+    return decontaminate.decontaminated(docs, table(spark, sf_dir, "benchmark"))
+
+
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
     ("quality classifier", quality),
     ("MinHash near-dedup", near_duplicates),
+    ("benchmark decontamination", decontamination),
 ]
 
 # a trained model, a byte-pair tokenizer and a coder: not expressible in SQL
@@ -68,6 +74,11 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents of which less than a twentieth is benchmark text."""
+    return decontaminate.decontaminated(docs, table(spark, sf_dir, "benchmark"))
+
+
 STAGES:
         path = scratch_path(spark, "corpus-stage")
         stage(spark, docs, sf_dir).write.parquet(path)

@@ -59,3 +59,28 @@ def near_duplicates(docs, size, percent):
 
 def sha(text):
     return hashlib.sha256(text.encode()).hexdigest()
+
+
+ALNUM = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+
+
+def decontamination(docs, items, size=13):
+    """{id: (n_words, n_hit, items, contaminated)}."""
+    windows = {}
+    for item, text in items:
+        w = words(text, True, ALNUM)
+        if w:
+            for i in range(max(1, len(w) - size + 1)):
+                windows.setdefault(tuple(w[i : i + size]), set()).add(str(item))
+    lengths = {len(x) for x in windows}
+    out = {}
+    for i, text in docs:
+        w, hit, found = words(text, True, ALNUM), set(), set()
+        for n in lengths:
+            for k in range(len(w) - n + 1):
+                got = windows.get(tuple(w[k : k + n]))
+                if got:
+                    found |= got
+                    hit.update(range(k, k + n))
+        out[i] = (len(w), len(hit), sorted(found), bool(hit) and 20 * len(hit) >= len(w))
+    return out
