@@ -11,9 +11,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from wardstat.llm import decontaminate, near_dup, quality_mil
-from wardstat.llm.queries import held_out, table
+from wardstat.llm import decontaminate, mixing, near_dup, quality_mil
+from wardstat.llm.queries import held_out, label_weights, table
 from wardstat.session import scratch_path
 
 # the score below which a document is rejected, as in op7's ``predicted``
@@ -33,13 +34,8 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     without an id stay."""
     found = near_dup.near_duplicates(docs, shingle_words=5, percent=80)
     stay = found.filter("kept and doc_id is not null").select("doc_id").distinct()
-    return (
-        docs.filter("doc_id is not null")
-        .join(stay, "doc_id", "left_semi")
-        .dropDuplicates(["doc_id"])
-        .select(*docs.columns)
-        .unionByName(docs.filter("doc_id is null"))
-    )
+    named = docs.filter("doc_id is not null").join(stay, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    return named.select(*docs.columns).unionByName(docs.filter("doc_id is null"))
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -47,10 +43,19 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     return decontaminate.decontaminated(docs, table(spark, sf_dir, "benchmark"))
 
 
+def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Each document as often as the mix takes it."""
+    weighted = label_weights(docs, table(spark, sf_dir, "labels"))
+    mixed = mixing.mix(weighted, mixing.word_count(), F.col("_weight"))
+    repeated = F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))
+    return mixed.filter("copies > 0").select(*docs.columns, repeated.alias("_copy")).drop("_copy")
+
+
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
     ("quality classifier", quality),
     ("MinHash near-dedup", near_duplicates),
     ("benchmark decontamination", decontamination),
+    ("mixing sources to target weights", mixture),
 ]
 
 # a trained model, a byte-pair tokenizer and a coder: not expressible in SQL
@@ -59,27 +64,7 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    for _, stage in def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies (five-word shingles, 0.8),
-    the one with the smallest id; repeated rows of an id count as copies, rows
-    without an id stay."""
-    found = near_dup.near_duplicates(docs, shingle_words=5, percent=80)
-    stay = found.filter("kept and doc_id is not null").select("doc_id").distinct()
-    return (
-        docs.filter("doc_id is not null")
-        .join(stay, "doc_id", "left_semi")
-        .dropDuplicates(["doc_id"])
-        .select(*docs.columns)
-        .unionByName(docs.filter("doc_id is null"))
-    )
-
-
-def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents of which less than a twentieth is benchmark text."""
-    return decontaminate.decontaminated(docs, table(spark, sf_dir, "benchmark"))
-
-
-STAGES:
+    for _, stage in STAGES:
         path = scratch_path(spark, "corpus-stage")
         stage(spark, docs, sf_dir).write.parquet(path)
         docs = spark.read.parquet(path)

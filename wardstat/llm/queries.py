@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wardstat.llm import decontaminate, near_dup, quality_mil
+from wardstat.llm import decontaminate, mixing, near_dup, quality_mil
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -20,6 +20,56 @@ def held_out(id_col: str = "doc_id"):
     return F.coalesce(F.crc32(F.col(id_col).cast("string").cast("binary")) % 4 == 2, F.lit(False))
 
 
+def label_weights(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """The documents with a sampling weight from their quality label: 1.0 for
+    good, 0.25 for bad, 0.7 without a label."""
+    one = labels.groupBy("doc_id").agg(F.max("quality").alias("_quality"))
+    joined = docs.join(one, "doc_id", "left")
+    return joined.withColumn("_weight", F.expr("case _quality when 1 then 1.0D when 0 then 0.25D else 0.7D end")).drop("_quality")
+
+
+def op1_mixing_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source", mixing.word_count().alias("n"))
+    docs = label_weights(docs, table(spark, sf_dir, "labels"))
+    mixed = mixing.mix_sizes(docs, F.col("n"), F.col("_weight"))
+    return mixed.select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"))
+
+
+OP1_SQL = r"""
+with sized as (
+  select d.doc_id, d.source, coalesce(len(regexp_extract_all(d.text, '[^\x20\x09-\x0D]+')), 0)::bigint as size,
+    -ln((('0x' || substr(md5('mix' || coalesce(d.doc_id::varchar, 'null')), 1, 13))::bigint + 0.5) / 4503599627370496.0)
+      / (case l.quality when 1 then 1.0::double when 0 then 0.25::double else 0.7::double end) as key
+  from documents d left join (select doc_id, max(quality) as quality from labels group by doc_id) l on d.doc_id = l.doc_id
+), src as (
+  select source, sum(size)::hugeint as source_size, (row_number() over (order by source asc nulls last) - 1) % 3 + 1 as w
+  from sized group by source
+), fill as (
+  select *, source_size * 3 as cap,
+    sum(source_size) over () - coalesce(sum(source_size * 3) over (order by source_size * 3 / w::double, source nulls last
+      rows between unbounded preceding and 1 preceding), 0) as left_over,
+    sum(w) over (order by source_size * 3 / w::double, source nulls last rows between current row and unbounded following) as w_left
+  from src
+), level as (
+  select (left_over)::hugeint as left_over, w_left from fill where cap * w_left > w * left_over
+  order by cap / w::double, source nulls last limit 1
+), plan as (
+  select f.source, f.source_size, case when f.cap * f.w_left <= f.w * f.left_over then f.cap::double
+    else (f.w * l.left_over)::double / l.w_left::double end as target
+  from fill f left join level l on true
+), run as (
+  select s.doc_id, s.size, p.source_size, p.target,
+    case when p.source_size > 0 then floor(p.target / p.source_size::double) else 0 end as epochs,
+    sum(s.size) over (partition by s.source order by s.key, s.doc_id rows between unbounded preceding and current row) as cum
+  from sized s join plan p on s.source is not distinct from p.source
+)
+select doc_id, size, source_size::bigint as source_size, target,
+  (size * (epochs::bigint + case when size > 0 and target - epochs * source_size::double > 0
+    and 2 * cum - size < 2 * (target - epochs * source_size::double) then 1 else 0 end))::bigint as taken
+from run
+"""
+
+
 def op5_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dup.near_duplicates(table(spark, sf_dir, "documents"), shingle_words=3, percent=85)
 
@@ -45,9 +95,10 @@ def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_mixing_sources": op1_mixing_sources,
     "op5_minhash_near_dedup": op5_minhash_near_dedup,
     "op6_benchmark_decontamination": op6_benchmark_decontamination,
     "op7_quality_classifier": op7_quality_classifier,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {"op1_mixing_sources": OP1_SQL}
