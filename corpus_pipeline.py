@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wardstat.llm import decontaminate, mixing, near_dup, quality_mil
-from wardstat.llm.queries import held_out, label_weights, table
+from wardstat.llm.queries import held_out, label_weights, table, token_rows
 from wardstat.session import scratch_path
 
 # the score below which a document is rejected, as in op7's ``predicted``
@@ -51,11 +51,17 @@ def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return mixed.filter("copies > 0").select(*docs.columns, repeated.alias("_copy")).drop("_copy")
 
 
+def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Where each document's ids stand in the written token blocks."""
+    return token_rows(spark, docs)
+
+
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
     ("quality classifier", quality),
     ("MinHash near-dedup", near_duplicates),
     ("benchmark decontamination", decontamination),
     ("mixing sources to target weights", mixture),
+    ("token-ID / binary output", tokens),
 ]
 
 # a trained model, a byte-pair tokenizer and a coder: not expressible in SQL

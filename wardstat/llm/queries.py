@@ -8,7 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wardstat.llm import decontaminate, mixing, near_dup, quality_mil
+from wardstat.llm import decontaminate, mixing, near_dup, quality_mil, token_files
+from wardstat.session import scratch_path
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -94,11 +95,28 @@ def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", held_out().alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
 
 
+def tokenizer_file() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+def token_rows(spark: SparkSession, docs: DataFrame) -> DataFrame:
+    path = scratch_path(spark, "token-blocks")
+    token_files.write_blocks(docs, path, tokenizer_file())
+    return token_files.read_documents(spark.read.parquet(path))
+
+
+def op10_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_rows(spark, table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mixing_sources": op1_mixing_sources,
     "op5_minhash_near_dedup": op5_minhash_near_dedup,
     "op6_benchmark_decontamination": op6_benchmark_decontamination,
     "op7_quality_classifier": op7_quality_classifier,
+    "op10_token_output": op10_token_output,
 }
 
 ORACLE_SQL: dict[str, str] = {"op1_mixing_sources": OP1_SQL}
