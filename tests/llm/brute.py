@@ -84,3 +84,17 @@ def decontamination(docs, items, size=13):
                     hit.update(range(k, k + n))
         out[i] = (len(w), len(hit), sorted(found), bool(hit) and 20 * len(hit) >= len(w))
     return out
+
+
+def repeats(docs, size):
+    """{id: (n_words, n_removed, digest)}; ids must differ."""
+    seen, split = {}, {i: words(t) for i, t in docs}
+    for i, w in split.items():
+        for k in range(len(w) - size + 1):
+            seen.setdefault(tuple(w[k : k + size]), []).append((i, k))
+    gone = {i: set() for i in split}
+    for places in seen.values():
+        if len(places) > 1:
+            for i, k in places:
+                gone[i].update(range(k, k + size))
+    return {i: (len(w), len(gone[i]), sha(" ".join(x for k, x in enumerate(w) if k not in gone[i]))) for i, w in split.items()}

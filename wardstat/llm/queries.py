@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wardstat.llm import decontaminate, mixing, near_dup, quality_mil, token_files
+from wardstat.llm import decontaminate, mixing, near_dup, quality_mil, substring_dedup, token_files
 from wardstat.session import scratch_path
 
 
@@ -95,6 +95,11 @@ def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", held_out().alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
 
 
+def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = substring_dedup.repeated_words(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_words", "n_removed", "kept_sha256")
+
+
 def tokenizer_file() -> str:
     import public_tokenizers
 
@@ -116,6 +121,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_minhash_near_dedup": op5_minhash_near_dedup,
     "op6_benchmark_decontamination": op6_benchmark_decontamination,
     "op7_quality_classifier": op7_quality_classifier,
+    "op9_substring_dedup": op9_substring_dedup,
     "op10_token_output": op10_token_output,
 }
 
