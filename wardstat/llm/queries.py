@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wardstat.llm import decontaminate, mixing, near_dup, quality_mil, substring_dedup, token_files
+from wardstat.llm import decontaminate, language_id, mixing, near_dup, quality_mil, substring_dedup, token_files
 from wardstat.session import scratch_path
 
 
@@ -71,6 +71,14 @@ from run
 """
 
 
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    model = language_id.fit(docs.filter(~held_out()))
+    found = language_id.predict(docs.drop("lang"), model, keep=("doc_id",))
+    # the contract asks for a learned language wherever there is a letter
+    return found.select("doc_id", held_out().alias("held_out"), F.col("lang_best").alias("lang_pred"), "score")
+
+
 def op5_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dup.near_duplicates(table(spark, sf_dir, "documents"), shingle_words=3, percent=85)
 
@@ -118,6 +126,7 @@ def op10_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mixing_sources": op1_mixing_sources,
+    "op3_language_id": op3_language_id,
     "op5_minhash_near_dedup": op5_minhash_near_dedup,
     "op6_benchmark_decontamination": op6_benchmark_decontamination,
     "op7_quality_classifier": op7_quality_classifier,
