@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wardstat.llm import decontaminate, language_id, mixing, near_dup, quality_mil, substring_dedup, token_files
+from wardstat.llm import decontaminate, language_id, mixing, mtree, near_dup, quality_mil, substring_dedup, token_files
 from wardstat.session import scratch_path
 
 
@@ -79,6 +79,26 @@ def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", held_out().alias("held_out"), F.col("lang_best").alias("lang_pred"), "score")
 
 
+def op4_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings").select("vec_id", mtree.quantised().alias("v"))
+    return mtree.top_k(rows, F.col("vec_id") % 50 == 0, 5)
+
+
+OP4_SQL = """
+with v as (
+  select vec_id, list_transform(embedding, lambda x: floor(256 * x::double)) as e from embeddings
+  where vec_id is not null and embedding is not null
+    and len(list_filter(embedding, lambda x: x is null or not isfinite(x::double))) = 0
+), scored as (
+  select q.vec_id as query_id, c.vec_id, list_inner_product(q.e, c.e)::bigint as score
+  from v q join v c on q.vec_id % 50 = 0 and q.vec_id <> c.vec_id and len(q.e) = len(c.e)
+)
+select query_id, rank::int as rank, vec_id, score from (
+  select *, row_number() over (partition by query_id order by score desc, vec_id) as rank from scored
+) where rank <= 5
+"""
+
+
 def op5_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dup.near_duplicates(table(spark, sf_dir, "documents"), shingle_words=3, percent=85)
 
@@ -127,6 +147,7 @@ def op10_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mixing_sources": op1_mixing_sources,
     "op3_language_id": op3_language_id,
+    "op4_exact_top_k": op4_exact_top_k,
     "op5_minhash_near_dedup": op5_minhash_near_dedup,
     "op6_benchmark_decontamination": op6_benchmark_decontamination,
     "op7_quality_classifier": op7_quality_classifier,
@@ -134,4 +155,4 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_token_output": op10_token_output,
 }
 
-ORACLE_SQL: dict[str, str] = {"op1_mixing_sources": OP1_SQL}
+ORACLE_SQL: dict[str, str] = {"op1_mixing_sources": OP1_SQL, "op4_exact_top_k": OP4_SQL}
