@@ -98,3 +98,24 @@ def repeats(docs, size):
             for i, k in places:
                 gone[i].update(range(k, k + size))
     return {i: (len(w), len(gone[i]), sha(" ".join(x for k, x in enumerate(w) if k not in gone[i]))) for i, w in split.items()}
+
+
+def stupid_backoff(docs, min_count=2, alpha=0.4):
+    """{id: (n_words, n_backoff, score)}."""
+    import math
+    from collections import Counter
+
+    split = {i: words(t) for i, t in docs}
+    one = Counter(w for x in split.values() for w in x)
+    two = Counter(p for x in split.values() for p in zip(x, x[1:]))
+    total, out = sum(one.values()), {}
+    for i, x in split.items():
+        logs, off = [math.log(one[x[0]] / total)] if x else [], 0
+        for p in zip(x, x[1:]):
+            if two[p] >= min_count:
+                logs.append(math.log(two[p] / one[p[0]]))
+            else:
+                off += 1
+                logs.append(math.log(alpha * one[p[1]] / total))
+        out[i] = (len(x), off, sum(logs) / len(logs) if logs else None)
+    return out

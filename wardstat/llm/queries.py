@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wardstat.llm import decontaminate, language_id, mixing, mtree, near_dup, quality_mil, substring_dedup, token_files
+from wardstat.llm import decontaminate, language_id, lm_scoring, mixing, mtree, near_dup, quality_mil, substring_dedup, token_files
 from wardstat.session import scratch_path
 
 
@@ -71,6 +71,10 @@ from run
 """
 
 
+def op2_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_scoring.stupid_backoff(table(spark, sf_dir, "documents"))
+
+
 def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     model = language_id.fit(docs.filter(~held_out()))
@@ -146,6 +150,7 @@ def op10_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mixing_sources": op1_mixing_sources,
+    "op2_lm_scoring": op2_lm_scoring,
     "op3_language_id": op3_language_id,
     "op4_exact_top_k": op4_exact_top_k,
     "op5_minhash_near_dedup": op5_minhash_near_dedup,
