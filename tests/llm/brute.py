@@ -119,3 +119,47 @@ def stupid_backoff(docs, min_count=2, alpha=0.4):
                 logs.append(math.log(alpha * one[p[1]] / total))
         out[i] = (len(x), off, sum(logs) / len(logs) if logs else None)
     return out
+
+
+def line_shingles(line):
+    n = len(re.findall(r"\S+", line))
+    if len(line) < 5:
+        return {line}
+    if n < 6:
+        return {line[i : i + 5] for i in range(len(line) - 4)}
+    starts = [i for i in range(len(line)) if not line[i].isspace() and (i == 0 or line[i - 1].isspace())]
+    return {line[i : i + 8] for i in starts}
+
+
+def line_duplicates(docs, percent=80):
+    """{id: (lines, kept positions)}."""
+    places = {}
+    for i, text in docs:
+        for pos, line in enumerate((text or "").split("\n")):
+            if line.strip():
+                places.setdefault(line, []).append((i, pos))
+    sets = {x: line_shingles(x) for x in places}
+    index = {}
+    for x, s in sets.items():
+        for g in s:
+            index.setdefault(g, []).append(x)
+    links, seen = [], {}
+    for x, s in sets.items():
+        common = {}
+        for g in s:
+            for y in index[g]:
+                if y > x:
+                    common[y] = common.get(y, 0) + 1
+        links += [(x, y) for y, c in common.items() if 100 * c >= percent * (len(s) + len(sets[y]) - c)]
+    root = union_find(sets, links)
+    first = {}
+    for x, where in places.items():
+        first[root[x]] = min(first.get(root[x], min(where)), min(where))
+    out = {}
+    for x, where in places.items():
+        for i, pos in where:
+            n, kept = out.setdefault(i, [0, []])
+            out[i][0] += 1
+            if first[root[x]] == (i, pos):
+                kept.append(pos)
+    return {i: (n, sorted(k)) for i, (n, k) in out.items()}

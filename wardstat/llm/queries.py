@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wardstat.llm import decontaminate, language_id, lm_scoring, mixing, mtree, near_dup, quality_mil, substring_dedup, token_files
+from wardstat.llm import decontaminate, language_id, line_dedup, lm_scoring, mixing, mtree, near_dup, quality_mil, substring_dedup, token_files
 from wardstat.session import scratch_path
 
 
@@ -127,6 +127,14 @@ def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", held_out().alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
 
 
+def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per document with a line that is not blank: how many of them, how many
+    stay, and their positions."""
+    found = line_dedup.duplicate_lines(table(spark, sf_dir, "documents"))
+    stay = F.sort_array(F.collect_set(F.when(F.col("kept"), F.col("pos"))))
+    return found.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n_lines"), F.count_if("kept").alias("n_kept"), stay.alias("kept_positions"))
+
+
 def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = substring_dedup.repeated_words(table(spark, sf_dir, "documents"))
     return found.select("doc_id", "n_words", "n_removed", "kept_sha256")
@@ -156,6 +164,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_minhash_near_dedup": op5_minhash_near_dedup,
     "op6_benchmark_decontamination": op6_benchmark_decontamination,
     "op7_quality_classifier": op7_quality_classifier,
+    "op8_line_dedup": op8_line_dedup,
     "op9_substring_dedup": op9_substring_dedup,
     "op10_token_output": op10_token_output,
 }
