@@ -55,8 +55,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by the cluster.
 
     On a cluster ``spark.checkpoint.dir`` points at shared storage and is
-    used as is.  Only when it is unset (local runs and tests) a fresh
-    folder is created here and registered with the context.
+    used as is.  Only in local mode, where all tasks share the machine's
+    disk, a fresh folder is created when it is unset; on a cluster that would
+    be a different folder on every machine, so it raises.
     """
     try:
         sc = spark.sparkContext
@@ -66,10 +67,16 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if current:
         return current
     named = sc.getConf().get("spark.checkpoint.dir", None)
-    sc.setCheckpointDir(named or tempfile.mkdtemp(prefix="wardstat-ckpt-"))
+    sc.setCheckpointDir(named or _local_folder(sc.master))
     return sc.getCheckpointDir()
 
 
+def _local_folder(master: str) -> str:
+    if master != "local" and not master.startswith("local["):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    return tempfile.mkdtemp(prefix="wardstat-ckpt-")
+
+
 _LOCAL_FALLBACK: dict[int, str] = {}
 
 
@@ -79,7 +86,9 @@ def _connect_checkpoint_dir(spark: SparkSession) -> str:
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named
-    return _LOCAL_FALLBACK.setdefault(id(spark), tempfile.mkdtemp(prefix="wardstat-ckpt-"))
+    if id(spark) not in _LOCAL_FALLBACK:
+        _LOCAL_FALLBACK[id(spark)] = _local_folder(spark.conf.get("spark.master", ""))
+    return _LOCAL_FALLBACK[id(spark)]
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

@@ -22,15 +22,29 @@ def read_csv(
     data, and keys such as ``015009`` keep their leading zero); typing is
     done afterwards with ``try_cast`` so bad text becomes NULL.  With a
     declared ``schema`` the header names are checked against it.
+
+    Spark takes one file's header for all files of a read and maps the
+    others by position.  So when several paths are given without a schema,
+    each path's own header is looked at (one line each), paths that share a
+    header are read together, and the groups are joined by column name; a
+    column that a file lacks is NULL for its rows.
     """
     reader = spark.read.option("header", header).option("mode", "PERMISSIVE")
     if schema is not None:
         reader = reader.schema(schema).option("enforceSchema", False)
     for k, v in options.items():
         reader = reader.option(k, v)
-    if isinstance(paths, str):
-        paths = [paths]
-    return reader.csv(list(paths))
+    paths = [paths] if isinstance(paths, str) else list(paths)
+    if schema is not None or not header or len(paths) == 1:
+        return reader.csv(paths)
+    groups: dict[tuple[str, ...], list[str]] = {}
+    for path in paths:
+        groups.setdefault(tuple(reader.csv(path).columns), []).append(path)
+    parts = [reader.csv(own) for own in groups.values()]
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part, allowMissingColumns=True)
+    return out
 
 
 def read_table(spark: SparkSession, path: str, fmt: str = "parquet", merge_schema: bool = True) -> DataFrame:
@@ -49,10 +63,12 @@ def read_or_empty(
     merge_schema: bool = True,
 ) -> DataFrame:
     """Read a table, or an empty frame of ``schema`` when the path does not
-    exist.  Any other failure propagates."""
+    exist or is a folder without data files (what a crashed write leaves).
+    Any other failure propagates."""
     try:
         return read_table(spark, path, fmt, merge_schema)
     except AnalysisException as exc:
-        if "PATH_NOT_FOUND" in str(exc) or "Path does not exist" in str(exc):
+        missing = ("PATH_NOT_FOUND", "Path does not exist", "UNABLE_TO_INFER_SCHEMA")
+        if any(m in str(exc) for m in missing):
             return spark.createDataFrame([], schema)
         raise

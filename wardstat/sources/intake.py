@@ -1,12 +1,16 @@
 """Changed-file intake: which raw files are new or rewritten since the last run.
 
-State is a *manifest* table ``(file key, seen modified-time)`` written by
+State is a *manifest* table ``(job, path, seen modified-time)`` written by
 the previous runs.  A file is taken when its modified time is later than
 the one recorded for it, or when it has no record yet (first run: the
-floor time below).  The manifest advances per file to that file's own
-modified time, and it is written after the data, so a crash in between
-re-takes the file on the next run (and the batch sink replaces, not
-duplicates, what it wrote).
+floor time below).
+
+Every taken file is a batch of its own, whose id is derived from the job, the
+path and the modified time.  Its data is written first, then its manifest
+row, so a crash in between re-takes that file version on the next run under
+the same batch id and replaces what the crashed run wrote, whatever other
+files have changed meanwhile.  A file rewritten under the same name is a new
+batch; the rows of its earlier version stay, as an earlier load.
 
 Spark's streaming file source is not used as the default: it remembers
 paths, so a file rewritten under the same name is never read again.
@@ -27,15 +31,16 @@ from wardstat.sources.sinks import append_batch
 # --- fixed values ----------------------------------------------------------------
 FIRST_RUN_FLOOR = _dt.datetime(1900, 1, 1, 0, 0, 0)
 CSV_KIND = "text/csv"
-TRANSACTION_FILES = (
-    "NH_ProviderInfo_Oct2024.csv",
-    "NH_QualityMsr_MDS.csv",
-    "NH_QualityMsr_MDS_Oct2024.csv",
-    "NH_QualityMsr_Claims_Oct2024.csv",
-    "FY_2024_SNF_VBP_Facility_Performance.csv",
-    "Skilled_Nursing_Facility_Quality_Reporting_Program_Provider_Data_Oct2024.csv",
-)
 MASTER_FILE = "PBJ_Daily_Nurse_Staffing_Q2_2024.csv"
+JOB_FILES = {  # which landed files each silver job takes
+    "silver-master": (MASTER_FILE,),
+    "silver-provider": ("NH_ProviderInfo_Oct2024.csv",),
+    "silver-mds": ("NH_QualityMsr_MDS.csv", "NH_QualityMsr_MDS_Oct2024.csv"),
+    "silver-claims": ("NH_QualityMsr_Claims_Oct2024.csv",),
+    "silver-facility": ("FY_2024_SNF_VBP_Facility_Performance.csv",),
+    "silver-skilled": ("Skilled_Nursing_Facility_Quality_Reporting_Program_Provider_Data_Oct2024.csv",),
+}
+TRANSACTION_FILES = tuple(name for job, names in JOB_FILES.items() if job != "silver-master" for name in names)
 # ----------------------------------------------------------------------------------
 
 
@@ -104,27 +109,33 @@ def changed_files(
     return joined.filter(col_of(modified) > F.coalesce(F.col("__seen"), floor_lit)).drop("__seen")
 
 
-def manifest_records(changed: DataFrame, key: str = "path", modified: str = "modified", seen: str = "seen") -> DataFrame:
-    """The manifest rows a run adds: each taken file at its own modified time."""
-    return changed.select(col_of(key).alias(key), col_of(modified).alias(seen))
+def read_manifest(spark: SparkSession, manifest_path: str, job: str | None = None) -> DataFrame:
+    """The manifest (of one job), or an empty one before the first run.  Read
+    with its declared schema, so a folder without data files is empty too."""
+    from wardstat.sources.files import read_or_empty
 
+    schema = "job string, path string, seen timestamp, batch_id string"
+    table = read_or_empty(spark, manifest_path, schema)
+    return table if job is None else table.filter(F.col("job") == F.lit(job))
 
-def commit_manifest(changed: DataFrame, manifest_path: str, run_id: str, key: str = "path", modified: str = "modified") -> None:
-    """Record the taken files; call only after their data is written."""
-    append_batch(manifest_records(changed, key, modified), manifest_path, run_id)
 
+def record_file(spark: SparkSession, manifest_path: str, job: str, path: str, seen_micros: int, batch: str) -> None:
+    """Record one taken file version; call only after its data is written.
+    The time travels as microseconds, an instant in any zone."""
+    row = spark.range(1).select(
+        F.lit(job).alias("job"), F.lit(path).alias("path"), F.timestamp_micros(F.lit(seen_micros)).alias("seen")
+    )
+    append_batch(row, manifest_path, batch)
 
-def read_manifest(spark: SparkSession, manifest_path: str, key_type: str = "string") -> DataFrame:
-    """The manifest, or an empty one before the first run."""
-    from wardstat.sources.files import read_or_empty
 
-    schema = f"path {key_type}, seen timestamp, batch_id string"
-    return read_or_empty(spark, manifest_path, schema)
+def batch_id_for(job: str, path: str, seen_micros: int) -> str:
+    """The batch id of one file version for one job."""
+    return "file-" + hashlib.sha1(f"{job}\t{path}\t{seen_micros}".encode()).hexdigest()[:20]
 
 
-def has_changes(changed: DataFrame) -> bool:
-    """Whether a run has anything to do (reads at most one row)."""
-    return not changed.isEmpty()
+def _taken(listing: DataFrame, manifest: DataFrame) -> DataFrame:
+    changed = changed_files(listing, manifest)
+    return changed.select("path", F.unix_micros(F.col("modified").cast("timestamp")).alias("micros")).orderBy("micros", "path")
 
 
 def ingest_changed(
@@ -135,43 +146,52 @@ def ingest_changed(
     transform,
     run_id: str | None = None,
     reader=None,
-    write=None,
+    fmt: str = "parquet",
+    job: str = "",
 ) -> int:
-    """One intake run: take the changed files, clean them with
-    ``transform`` (a silver job), append them as batch ``run_id``, then
-    record them in the manifest.  Returns the number of files taken.
-    ``write(df, target, run_id)`` replaces the default repeatable append
-    (e.g. an overwrite for a table that is a full snapshot).
-
-    Without ``run_id`` the batch id is derived from the files taken (paths
-    and modified times): a run that crashed after writing its data but
-    before committing the manifest is re-taken under the same batch id, so
-    its partial write is replaced, never appended twice.
-
-    Only file paths reach the driver (bounded by the allow-list); the rows
-    are read, cleaned and written by the executors.  A crash before the
-    manifest commit re-takes the same files next run, and the batch sink
-    replaces what the failed run wrote.
+    """One intake run: each changed file is read, cleaned with ``transform``
+    (a silver job), appended to ``target`` as its own batch and recorded.
+    Returns the number of files taken.
+
+    ``run_id`` only prefixes the batch ids, so using it again never replaces
+    another file's rows.  Files are taken one after the other in the order of
+    their modified times; the driver holds one path at a time, and the rows
+    are read, cleaned and written by the executors.
     """
     from wardstat.sources.files import read_csv
 
-    changed = changed_files(listing, read_manifest(spark, manifest_path))
-    # one listing snapshot: the manifest records exactly the versions read
-    taken = changed.select("path", "modified").collect()
+    n = 0
+    for row in _taken(listing, read_manifest(spark, manifest_path, job)).toLocalIterator():
+        batch = batch_id_for(job, row.path, row.micros)
+        batch = f"{run_id}-{batch}" if run_id else batch
+        append_batch(transform((reader or read_csv)(spark, row.path)), target, batch, fmt=fmt)
+        record_file(spark, manifest_path, job, row.path, row.micros, batch)
+        n += 1
+    return n
+
+
+def rebuild_if_changed(
+    spark: SparkSession,
+    listing: DataFrame,
+    manifest_path: str,
+    write,
+    reader=None,
+    job: str = "",
+) -> int:
+    """For a table that is rebuilt from all its files: when any listed file
+    is new or changed, ``write`` gets *all* listed files' rows, aligned by
+    column name; then the changed ones are recorded.  Returns their number.
+
+    The listed paths reach the driver: the caller's allow-list names single
+    files of a snapshot, not an open-ended folder.
+    """
+    from wardstat.sources.files import read_csv
+
+    taken = _taken(listing, read_manifest(spark, manifest_path, job)).collect()
     if not taken:
         return 0
-    if run_id is None:
-        run_id = batch_id_for(taken)
-    raw = (reader or read_csv)(spark, [r.path for r in taken])
-    (write or append_batch)(transform(raw), target, run_id)
-    records = spark.createDataFrame([(r.path, r.modified) for r in taken], "path string, seen timestamp")
-    append_batch(records, manifest_path, run_id)
+    paths = [r.path for r in listing.select("path").distinct().orderBy("path").collect()]
+    write((reader or read_csv)(spark, paths))
+    for r in taken:
+        record_file(spark, manifest_path, job, r.path, r.micros, batch_id_for(job, r.path, r.micros))
     return len(taken)
-
-
-def batch_id_for(files) -> str:
-    """A batch id determined by the files (path, modified time) taken."""
-    digest = hashlib.sha1()
-    for path, modified in sorted((r.path, str(r.modified)) for r in files):
-        digest.update(f"{path}\t{modified}\n".encode())
-    return "files-" + digest.hexdigest()[:16]

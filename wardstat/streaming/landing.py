@@ -2,10 +2,11 @@
 
 ``run_landing_once`` drains every file that arrived since the last run
 (``trigger(availableNow=True)``), applies a silver function per micro-batch
-and appends each batch with its epoch id as the batch id.  The stream's
-checkpoint records which files were taken; the epoch-keyed partition
-overwrite makes a replayed epoch replace its own output, so an executor or
-driver loss between write and commit never duplicates rows.
+and appends each batch with the query's id and its epoch as the batch id.
+The query's id is kept in the checkpoint, so a replayed epoch replaces its
+own output and an executor or driver loss between write and commit never
+duplicates rows, while a stream that starts from another checkpoint (or a
+lost one) gets another id and replaces nothing.
 
 A file rewritten under the same name is *not* seen again by the file
 source; use ``sources.intake.changed_files`` for such folders.
@@ -13,12 +14,12 @@ source; use ``sources.intake.changed_files`` for such folders.
 
 from __future__ import annotations
 
+import threading
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
-from wardstat.session import scratch_path
 from wardstat.sources.sinks import append_batch
 
 
@@ -47,16 +48,20 @@ def run_landing_once(
     schema: StructType | str,
     target: str,
     transform: Callable[[DataFrame], DataFrame],
-    checkpoint: str | None = None,
+    checkpoint: str,
     fmt: str = "csv",
     out_fmt: str = "parquet",
 ) -> str:
-    """Take every new file once, clean it with ``transform``, append to
-    ``target``; returns the checkpoint location used."""
-    checkpoint = checkpoint or scratch_path(spark, "landing-checkpoint")
+    """Take every file that is new to ``checkpoint`` once, clean it with
+    ``transform``, append to ``target``; returns the checkpoint location."""
+    if not checkpoint:
+        raise ValueError("a checkpoint folder is needed: it says which files were taken")
+    known = threading.Event()
+    name: list[str] = []
 
     def write_batch(batch: DataFrame, epoch_id: int) -> None:
-        append_batch(transform(batch), target, f"epoch-{epoch_id:012d}", fmt=out_fmt)
+        known.wait()
+        append_batch(transform(batch), target, f"{name[0]}-{epoch_id:012d}", fmt=out_fmt)
 
     query = (
         landing_stream(spark, folder, schema, fmt)
@@ -65,5 +70,7 @@ def run_landing_once(
         .trigger(availableNow=True)
         .start()
     )
+    name.append(str(query.id))
+    known.set()
     query.awaitTermination()
     return checkpoint
