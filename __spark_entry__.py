@@ -36,6 +36,16 @@ _BAND_JOIN = (
     "where l_quantity>1 and l_quantity<15"
 )
 _STAFF_JOIN = "from lineitem join supplier on l_suppkey=s_suppkey join nation on s_nationkey=n_nationkey"
+_HOURS = "round(sum(l_quantity),6)"
+_RATIO = "round(avg(coalesce(nullif(l_quantity,1.0),0)/nullif(l_discount,0)),6)"
+# two provider loads; the newer one holds two thirds of the facilities, every fifth of them twice
+_LOADS = (
+    "(select * from (select *, row_number() over (partition by CCN order by loaded desc, beds desc) as rn from ("
+    "select c_custkey as CCN, c_name, c_nationkey + 1.0 as residents, c_acctbal * 2 as beds, 1 as loaded from customer "
+    "union all select c_custkey, c_name, c_nationkey + 1.0, c_acctbal, 2 from customer where c_custkey % 3 <> 0 "
+    "union all select c_custkey, c_name, c_nationkey + 1.0, c_acctbal + 100, 2 from customer "
+    "where c_custkey % 3 <> 0 and c_custkey % 5 = 0) l) r where rn = 1)"
+)
 _LATEST_PURCHASE = (
     "(select * from (select *, row_number() over (partition by user_id order by ts desc, event_id desc) as rn "
     "from events where event_type='purchase') r where rn=1)"
@@ -46,6 +56,20 @@ _THROUGHPUT = (
     f"from {_LATEST_PURCHASE} s join customer on user_id=c_custkey join nation on c_nationkey=n_nationkey"
 )
 
+_MASTER_CSV = (
+    "select PROVNUM, STATE, WorkDate, "
+    "round(coalesce(hrs_rn,0)+coalesce(hrs_lpn,0)+coalesce(hrs_cna,0),6) as TotalNursing_Hours, "
+    "round(case when census>0 then hrs_rn/census else 0 end,6) as RN_Ratio, "
+    "round(case when census>0 then hrs_cna/census else 0 end,6) as CNA_Ratio, "
+    "round(case when census>0 then hrs_lpn/census else 0 end,6) as LPN_Ratio "
+    "from (select lpad(cast(l_suppkey as varchar),6,'0') as PROVNUM, upper(n_name) as STATE, "
+    "cast(l_shipdate as date) as WorkDate, l_quantity as hrs_rn, l_tax as hrs_lpn, "
+    "case when l_discount>0.05 then l_tax end as hrs_cna, l_discount as census, "
+    "row_number() over (partition by l_suppkey, cast(l_shipdate as date) order by s_name, upper(n_name), "
+    "l_quantity, l_quantity, l_tax, case when l_discount>0.05 then l_tax end nulls first, l_discount) as rn "
+    f"{_STAFF_JOIN}) t where rn=1"
+)
+
 ORACLE_SQL: dict[str, str] = {
     "clean_strings": (
         "select c_custkey, upper(trim(concat('  ',lower(c_mktsegment),' '))) as segment, "
@@ -186,7 +210,8 @@ ORACLE_SQL: dict[str, str] = {
         "select 'row_count' as check_name, count(*) as n from lineitem "
         "union all select 'null_key', count(*) from lineitem where nullif(l_suppkey,7) is null "
         "union all select 'untrimmed', count(*) from customer where case when c_nationkey=3 then null "
-        "when c_nationkey=4 then concat(c_mktsegment,' ') else c_mktsegment end is distinct from "
+        "when c_nationkey=4 then concat(c_mktsegment,' ') when c_nationkey=5 then concat(chr(9),c_mktsegment) "
+        "when c_nationkey=6 then concat(c_mktsegment,chr(160)) else c_mktsegment end is distinct from "
         "trim(c_mktsegment) "
         "union all select 'duplicate_key', (select count(*) from lineitem) - (select count(*) from "
         "(select distinct l_orderkey,l_linenumber from lineitem) d)"
@@ -216,19 +241,8 @@ ORACLE_SQL: dict[str, str] = {
         "select lpad(cast(o_custkey as varchar),6,'0') as CMS_Certification_Number_CCN, "
         "cast(o_orderkey as varchar) as Claim_Row, o_orderstatus as Measure_Status from orders"
     ),
-    "silver_master_csv": (
-        "select PROVNUM, STATE, WorkDate, "
-        "round(coalesce(hrs_rn,0)+coalesce(hrs_lpn,0)+coalesce(hrs_cna,0),6) as TotalNursing_Hours, "
-        "round(case when census>0 then hrs_rn/census else 0 end,6) as RN_Ratio, "
-        "round(case when census>0 then hrs_cna/census else 0 end,6) as CNA_Ratio, "
-        "round(case when census>0 then hrs_lpn/census else 0 end,6) as LPN_Ratio "
-        "from (select lpad(cast(l_suppkey as varchar),6,'0') as PROVNUM, upper(n_name) as STATE, "
-        "cast(l_shipdate as date) as WorkDate, l_quantity as hrs_rn, l_tax as hrs_lpn, "
-        "case when l_discount>0.05 then l_tax end as hrs_cna, l_discount as census, "
-        "row_number() over (partition by l_suppkey, cast(l_shipdate as date) order by s_name, upper(n_name), "
-        "l_quantity, l_quantity, l_tax, case when l_discount>0.05 then l_tax end nulls first, l_discount) as rn "
-        f"{_STAFF_JOIN}) t where rn=1"
-    ),
+    "silver_master_csv": _MASTER_CSV,
+    "master_two_files": _MASTER_CSV,
     "csv_scan": "select l_orderkey, l_linenumber, l_quantity, l_returnflag, l_shipdate from lineitem",
     "roundtrip_append_replay": (
         "select o_orderkey, o_custkey, o_totalprice, case when o_orderstatus='F' then null "
@@ -236,18 +250,16 @@ ORACLE_SQL: dict[str, str] = {
     ),
     "roundtrip_overwrite": _THROUGHPUT,
     "staffing_rollups": " union all ".join(
-        f"select '{name}' as summary, {keys}, round(sum(l_quantity),6) as Total_RN_Hours, "
-        "round(avg(coalesce(nullif(l_quantity,1.0),0)/nullif(l_discount,0)),6) as Avg_Nurse_Ratio "
+        f"select '{name}' as summary, {keys}, {hours} as Total_RN_Hours, {ratio} as Avg_Nurse_Ratio "
         f"{_STAFF_JOIN} group by {group}"
-        for name, keys, group in (
-            ("onduty_hours_summary",
+        for name, hours, ratio, keys, group in (
+            ("onduty_hours_summary", _HOURS, "cast(null as double)",
              "n_name as STATE, cast(l_shipdate as date) as WorkDate, cast(null as bigint) as PROVNUM, "
              "cast(null as varchar) as PROVNAME, cast(null as double) as RN_Ratio, cast(null as int) as CNA_Ratio",
              "n_name, cast(l_shipdate as date)"),
-            ("ratio_by_hospital",
-             "null, null, s_suppkey, s_name, null, null", "s_suppkey, s_name"),
-            ("ratio_by_state", "n_name, null, null, null, null, null", "n_name"),
-            ("ratio_by_department", "null, null, null, null, l_tax, l_linenumber", "l_tax, l_linenumber"),
+            ("ratio_by_hospital", "null", _RATIO, "null, null, s_suppkey, s_name, null, null", "s_suppkey, s_name"),
+            ("ratio_by_state", "null", _RATIO, "n_name, null, null, null, null, null", "n_name"),
+            ("ratio_by_department", "null", _RATIO, "null, null, null, null, l_tax, l_linenumber", "l_tax, l_linenumber"),
         )
     ),
     "bed_utilization_rollups": (
@@ -259,6 +271,50 @@ ORACLE_SQL: dict[str, str] = {
         "join nation on c_nationkey=n_nationkey group by o_orderpriority"
     ),
     "streaming_landing": "select event_id, user_id, event_type, value from events",
+    "intake_replay": "select event_id, user_id, event_type, value from events",
+    "csv_mixed_headers": (
+        "select o_orderkey, o_custkey, o_totalprice, case when o_orderstatus='F' then null "
+        "else o_orderpriority end as o_orderpriority from orders"
+    ),
+    "bed_utilization_latest": (
+        "select o_orderpriority, round(avg(residents/nullif(beds,0)*100),2) as bed_utilization "
+        f"from {_LOADS} p join orders on CCN=o_custkey group by o_orderpriority"
+    ),
+    "throughput_latest": (
+        "select user_id, beds, coalesce(value,0.0) as score, "
+        "round(coalesce(value,0.0)/nullif(beds,0),2) as throughput "
+        f"from {_LATEST_PURCHASE} s join {_LOADS} p on user_id=CCN"
+    ),
+    "readmission_latest": (
+        "select round(corr(hours, rate),6) as correlation, count(*) as n from "
+        f"(select beds/1000 as hours, residents + beds/5000 as rate from {_LOADS} p) t where hours>1 and hours<15"
+    ),
+    "report_total_hours": f"select round(sum(l_quantity),4) as Total_RN_Hours {_STAFF_JOIN}",
+    "report_hours_series": (
+        f"select n_name as state, cast(l_shipdate as date) as work_date, {_HOURS} as hours {_STAFF_JOIN} "
+        "group by n_name, cast(l_shipdate as date)"
+    ),
+    "report_hospital_bars": (
+        f"select s_suppkey as PROVNUM, s_name as PROVNAME, {_RATIO} as avg_ratio {_STAFF_JOIN} "
+        "where s_name in (select s_name from lineitem join supplier on l_suppkey=s_suppkey group by s_name "
+        "order by s_name limit 5) group by s_suppkey, s_name"
+    ),
+    "report_bed_bars": (
+        "with b as (select c_name, n_name as State, round(avg(residents/nullif(beds,0)*100),2) as bed_utilization "
+        f"from {_LOADS} p join orders on CCN=o_custkey join nation on n_nationkey=residents-1 "
+        "where n_name='NATION_3' group by c_name, n_name) "
+        "select * from b where c_name in (select c_name from b group by c_name order by c_name limit 5)"
+    ),
+    "report_scatter": (
+        "select l_orderkey, l_linenumber, l_partkey, l_quantity, nullif(l_tax,0.0) as readmission "
+        f"{_BAND_JOIN} and nullif(l_tax,0.0) is not null and n_name='NATION_3'"
+    ),
+    "report_kpis_stored": (
+        "select count(*) filter (where s_nationkey=3) as facilities, "
+        "round(avg(l_quantity) filter (where s_nationkey=3),4) as avg_hours, "
+        "round(corr(l_quantity, coalesce(nullif(l_tax,0.0),0.0)),4) as correlation "
+        "from lineitem join supplier on l_suppkey=s_suppkey where l_quantity>1 and l_quantity<15"
+    ),
     "staffing_readmission_written": (
         "select round(corr(l_quantity, coalesce(nullif(l_tax,0.0),0.0)),6) as correlation "
         "from lineitem join supplier on l_suppkey=s_suppkey where l_quantity>1 and l_quantity<15"

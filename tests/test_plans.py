@@ -277,3 +277,93 @@ def test_transaction_checks(layers):
     got = {r.check_name: r.n for r in checks.transaction_checks(layers["skilled"], extra_key=("Measure_Code",)).collect()}
     # 015012 appears twice for the same measure in one load
     assert got == {"row_count": len(fx.SKILLED_ROWS), "null_key": 0, "duplicate_key": 1}
+
+
+def test_jobs_and_reports_in_orc(spark, tmp_path):
+    """Every job writes and reads the asked format, and every page has rows."""
+    from wardstat.plans.runner import run as run_job
+
+    raw, out = str(tmp_path / "raw"), str(tmp_path / "lake")
+    run = lambda *a: run_job([*a, "--format", "orc"], spark)
+    master = fx.write_csv(raw + "/master", "PBJ.csv", fx.MASTER_HEADER, fx.MASTER_ROWS)
+    assert run("silver-master", "--raw", master, "--out", out + "/master")["undated_rows"] == 1
+    land = raw + "/landing"
+    files = {"provider": ("NH_ProviderInfo_Oct2024.csv", fx.PROVIDER_HEADER, fx.PROVIDER_LOAD_1),
+             "facility": ("FY_2024_SNF_VBP_Facility_Performance.csv", fx.FACILITY_HEADER, fx.FACILITY_ROWS),
+             "mds": ("NH_QualityMsr_MDS.csv", fx.MDS_HEADER, fx.MDS_ROWS)}
+    for job, (name, header, body) in files.items():
+        fx.write_csv(land, name, header, body)
+        took = run("intake", "--landing", land, "--manifest", out + "/manifest", "--out", f"{out}/{job}", "--job-name", f"silver-{job}")
+        assert took["files"] == 1
+    sk = fx.write_csv(raw + "/sk", "skilled.csv", fx.SKILLED_HEADER, fx.SKILLED_ROWS)
+    run("silver-skilled", "--raw", sk, "--out", out + "/skilled", "--batch", "b1")
+    run("gold-staffing", "--silver", out + "/master", "--out", out + "/g/staffing")
+    run("gold-staffing", "--silver", out + "/master", "--out", out + "/g/tables", "--layout", "tables")
+    run("gold-bed", "--provider", out + "/provider", "--mds", out + "/mds", "--out", out + "/g/bed")
+    run("gold-throughput", "--provider", out + "/provider", "--skilled", out + "/skilled", "--out", out + "/g/throughput")
+    detail, summary = run("gold-readmission", "--provider", out + "/provider", "--facility", out + "/facility", "--out", out + "/g/readmission")["written"]
+    assert spark.read.orc(out + "/provider").count() == len(fx.PROVIDER_LOAD_1)
+    assert spark.read.orc(summary).count() == 1
+    got = run("checks", "--silver", out + "/master", "--n", "2")
+    assert len(got["preview"]) == 2 and ("WorkDate", "date") in got["schema"]
+
+    silver_hours = spark.read.orc(out + "/master").agg(F.sum("Hrs_RNDON")).first()[0]
+    for path in ("/g/staffing", "/g/tables/onduty_hours_summary"):
+        assert run("report-total-hours", "--gold", out + path)["rows"][0][gold.TOTAL_RN_HOURS] == silver_hours
+        assert len(run("report-hours-series", "--gold", out + path)["rows"]) == 5
+    assert len(run("report-hospitals", "--gold", out + "/g/staffing", "--names", "Alpha Home")["rows"]) == 1
+    for job, path in (("ratio-states", "staffing"), ("departments", "staffing"), ("bed-departments", "bed"),
+                      ("bed-hospitals", "bed"), ("top-throughput", "throughput")):
+        assert run(f"report-{job}", "--gold", f"{out}/g/{path}")["rows"], job
+    kpi = run("report-kpis", "--gold", detail, "--summary", summary)["rows"][0]
+    assert kpi["correlation"] == spark.read.orc(summary).first()[0]
+    assert run("report-scatter", "--gold", detail, "--out", out + "/points")["written"]
+    assert spark.read.orc(out + "/points").count() == spark.read.orc(detail).count()
+    # pages whose tables are not there yet
+    assert run("report-hours-series", "--gold", out + "/none")["rows"] == []
+    assert run("report-kpis", "--gold", out + "/none", "--summary", out + "/none2")["rows"][0]["facilities"] == 0
+
+
+def test_master_options_and_append_rules(spark, tmp_path):
+    from wardstat.plans.runner import run
+
+    extra = fx.MASTER_ROWS + [["015010", "Beta Care", "ny", "April 3", "1", "1", "1", "1", "", "", "10"]]
+    raw = fx.write_csv(str(tmp_path), "m.csv", fx.MASTER_HEADER, extra)
+    args = ["silver-master", "--raw", raw, "--out", str(tmp_path / "t")]
+    kept = run(args, spark)
+    assert kept["undated_rows"] == 2 and read_table(spark, kept["written"]).filter("WorkDate is null").count() == 2
+    run([*args, "--undated", "collapse"], spark)
+    assert read_table(spark, kept["written"]).filter("WorkDate is null").count() == 1
+    with pytest.raises(SystemExit):
+        run([*args, "--undated", "fail"], spark)
+    with pytest.raises(SystemExit):  # an append needs the name of its load
+        run(["silver-mds", "--raw", raw, "--out", str(tmp_path / "x")], spark)
+
+
+def test_master_intake_rebuilds_from_all_files(spark, tmp_path):
+    import os
+
+    from wardstat.sources.intake import MASTER_FILE
+    from wardstat.plans.runner import run
+
+    land = tmp_path / "landing"
+    day = lambda k: [["015009", "Alpha", "al", f"2024-04-0{k}", "1", "1", "1", "1", "", "", "10"]]
+    names = [MASTER_FILE, "second.csv"]
+    for k, name in enumerate(names, 1):
+        fx.write_csv(str(land), name, fx.MASTER_HEADER, day(k))
+    args = ["intake", "--landing", str(land), "--manifest", str(tmp_path / "m"), "--out", str(tmp_path / "t"),
+            "--job-name", "silver-master", "--names", ",".join(names)]
+    assert run(args, spark)["files"] == 2
+    assert run(args, spark)["files"] == 0
+    os.utime(land / "second.csv", (2_000_000_000, 2_000_000_000))
+    assert run(args, spark)["files"] == 1  # one file changed, and the other one's rows stay
+    assert read_table(spark, str(tmp_path / "t")).count() == 2
+
+
+def test_untrimmed_sees_every_white_space(spark):
+    from wardstat.operators.quality import quality_counts
+
+    values = ["NY", "\tNY", "NY\n", "\u00a0NY", "NY\u2003", " NY", None, "N Y", "\x1cNY", ""]
+    df = spark.createDataFrame([(v,) for v in values], "STATE string")
+    want = sum(v is None or v != v.strip() for v in values)
+    assert quality_counts(df, trimmed=["STATE"], row_count=False).first().n == want

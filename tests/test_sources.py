@@ -1,6 +1,7 @@
 import datetime as dt
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from tests import fixtures as fx
@@ -10,10 +11,12 @@ from wardstat.sources.files import read_csv, read_or_empty, read_table
 from wardstat.sources.intake import (
     TRANSACTION_FILES,
     allow_listed,
+    batch_id_for,
     changed_files,
-    commit_manifest,
+    ingest_changed,
     list_files,
     read_manifest,
+    record_file,
 )
 from wardstat.sources.sinks import BATCH_COL, append_batch, overwrite
 from wardstat.streaming.landing import run_landing_once
@@ -71,7 +74,7 @@ def test_changed_file_intake(spark, tmp_path):
     # first run: no manifest yet -> every allowed file
     first = changed_files(listing, read_manifest(spark, manifest_path))
     assert first.count() == 3
-    commit_manifest(first, manifest_path, "run-1")
+    _commit(spark, first, manifest_path)
 
     # nothing changed -> nothing taken
     assert changed_files(allow_listed(list_files(spark, str(land))), read_manifest(spark, manifest_path)).count() == 0
@@ -84,8 +87,8 @@ def test_changed_file_intake(spark, tmp_path):
     _touch(p, t0 - dt.timedelta(days=1))  # older than every bookmark, but never seen
     again = changed_files(allow_listed(list_files(spark, str(land))), read_manifest(spark, manifest_path))
     assert sorted(r.name for r in again.collect()) == sorted([TRANSACTION_FILES[0], TRANSACTION_FILES[3]])
-    commit_manifest(again, manifest_path, "run-2")
-    commit_manifest(again, manifest_path, "run-2")  # replayed commit is harmless
+    _commit(spark, again, manifest_path)
+    _commit(spark, again, manifest_path)  # replayed commit is harmless
     assert changed_files(allow_listed(list_files(spark, str(land))), read_manifest(spark, manifest_path)).count() == 0
 
 
@@ -118,52 +121,95 @@ def test_streaming_landing_takes_each_file_once(spark, tmp_path):
     ] is None
 
 
-def test_ingest_changed_run(spark, tmp_path):
-    from wardstat.sources.intake import ingest_changed
+def _commit(spark, changed, manifest_path):
+    for r in changed.select("path", F.unix_micros("modified").alias("micros")).collect():
+        record_file(spark, manifest_path, "", r.path, r.micros, batch_id_for("", r.path, r.micros))
+
+
+def _facility_run(spark, land, manifest, target, run_id=None, job="facility"):
+    return ingest_changed(spark, allow_listed(list_files(spark, land)), manifest, target, silver.facility_performance, run_id, job=job)
 
-    land = str(tmp_path / "raw")
+
+def test_ingest_changed_run(spark, tmp_path):
+    land, manifest, target = (str(tmp_path / x) for x in ("raw", "manifest", "silver"))
     name = TRANSACTION_FILES[4]  # facility performance file
     p = fx.write_csv(land, name, fx.FACILITY_HEADER, fx.FACILITY_ROWS)
     _touch(p, dt.datetime(2024, 6, 1))
-    manifest, target = str(tmp_path / "manifest"), str(tmp_path / "silver")
-
-    def run(run_id):
-        return ingest_changed(spark, allow_listed(list_files(spark, land)), manifest, target,
-                              silver.facility_performance, run_id)
-
-    assert run("r1") == 1
-    assert run("r2") == 0  # nothing changed: no job beyond the listing
+    assert _facility_run(spark, land, manifest, target) == 1
+    assert _facility_run(spark, land, manifest, target) == 0  # nothing changed: no job beyond the listing
     fx.write_csv(land, name, fx.FACILITY_HEADER, fx.FACILITY_ROWS[:1])
     _touch(p, dt.datetime(2024, 7, 1))
-    assert run("r3") == 1
+    assert _facility_run(spark, land, manifest, target) == 1
     t = read_table(spark, target)
     assert t.count() == len(fx.FACILITY_ROWS) + 1
-    assert sorted(r.batch_id for r in t.select(BATCH_COL).distinct().collect()) == ["r1", "r3"]
+    assert t.select(BATCH_COL).distinct().count() == 2
 
 
-def test_ingest_rerun_after_crash_replaces_its_batch(spark, tmp_path):
-    from wardstat.sources.intake import ingest_changed
+def test_ingest_reused_run_id_replaces_nothing(spark, tmp_path):
+    land, manifest, target = (str(tmp_path / x) for x in ("raw", "manifest", "silver"))
+    _touch(fx.write_csv(land, TRANSACTION_FILES[0], fx.FACILITY_HEADER, fx.FACILITY_ROWS[:2]), dt.datetime(2024, 6, 1))
+    assert _facility_run(spark, land, manifest, target, "2024-10") == 1
+    _touch(fx.write_csv(land, TRANSACTION_FILES[1], fx.FACILITY_HEADER, fx.FACILITY_ROWS[2:3]), dt.datetime(2024, 6, 2))
+    assert _facility_run(spark, land, manifest, target, "2024-10") == 1
+    assert _facility_run(spark, land, manifest, target, "2024-10") == 0
+    assert read_table(spark, target).count() == 3
+    # another job with the same manifest keeps its own records
+    assert _facility_run(spark, land, manifest, str(tmp_path / "other"), "2024-10", job="other") == 2
+    assert _facility_run(spark, land, manifest, target, "2024-10") == 0
+
+
+def test_ingest_crash_with_another_file_changed_before_the_rerun(spark, tmp_path):
+    land, target = str(tmp_path / "raw"), str(tmp_path / "silver")
+    _touch(fx.write_csv(land, TRANSACTION_FILES[0], fx.FACILITY_HEADER, fx.FACILITY_ROWS[:2]), dt.datetime(2024, 6, 1))
+    # the first run "crashes" before its manifest counts
+    assert _facility_run(spark, land, str(tmp_path / "lost"), target) == 1
+    _touch(fx.write_csv(land, TRANSACTION_FILES[1], fx.FACILITY_HEADER, fx.FACILITY_ROWS[2:3]), dt.datetime(2024, 6, 2))
+    assert _facility_run(spark, land, str(tmp_path / "manifest"), target) == 2
+    t = read_table(spark, target)
+    assert t.count() == 3 and t.select(BATCH_COL).distinct().count() == 2
 
-    land = str(tmp_path / "raw")
-    p = fx.write_csv(land, TRANSACTION_FILES[4], fx.FACILITY_HEADER, fx.FACILITY_ROWS)
-    _touch(p, dt.datetime(2024, 6, 1))
-    target = str(tmp_path / "silver")
+
+def test_ingest_format_and_files_with_other_headers(spark, tmp_path):
+    land, target = str(tmp_path / "raw"), str(tmp_path / "silver")
+    header = fx.FACILITY_HEADER
+    _touch(fx.write_csv(land, TRANSACTION_FILES[0], header, fx.FACILITY_ROWS[:1]), dt.datetime(2024, 6, 1))
+    turned = [["extra", *reversed(fx.FACILITY_ROWS[1])]]
+    _touch(fx.write_csv(land, TRANSACTION_FILES[1], ["Extra", *reversed(header)], turned), dt.datetime(2024, 6, 2))
     listing = allow_listed(list_files(spark, land))
-    # first run "crashes" before its manifest commit: its manifest is lost
-    assert ingest_changed(spark, listing, str(tmp_path / "lost-manifest"), target, silver.facility_performance) == 1
-    # the re-run takes the same file again under the same derived batch id
-    assert ingest_changed(spark, listing, str(tmp_path / "manifest"), target, silver.facility_performance) == 1
-    t = read_table(spark, target)
-    assert t.count() == len(fx.FACILITY_ROWS)
-    assert t.select(BATCH_COL).distinct().count() == 1
+    assert ingest_changed(spark, listing, str(tmp_path / "m"), target, silver.facility_performance, fmt="orc") == 2
+    both = read_csv(spark, sorted(r.path for r in listing.collect()))
+    got = {r["CMS Certification Number (CCN)"] for r in both.collect()}
+    assert got == {fx.FACILITY_ROWS[0][header.index("CMS Certification Number (CCN)")], fx.FACILITY_ROWS[1][header.index("CMS Certification Number (CCN)")]}
+    stored = spark.read.option("mergeSchema", True).orc(target)
+    assert {r.CMS_Certification_Number_CCN for r in stored.collect()} == got
+    assert "Extra" in stored.columns
+
+
+def test_manifest_folder_without_data_files_is_empty(spark, tmp_path):
+    (tmp_path / "manifest").mkdir()
+    assert read_manifest(spark, str(tmp_path / "manifest")).count() == 0
+
+
+def test_landing_from_another_checkpoint_replaces_nothing(spark, tmp_path):
+    target, schema = str(tmp_path / "silver"), ", ".join(f"`{h}` string" for h in fx.FACILITY_HEADER)
+    for k, part in enumerate((fx.FACILITY_ROWS[:2], fx.FACILITY_ROWS[2:3])):
+        fx.write_csv(str(tmp_path / f"land{k}"), "f.csv", fx.FACILITY_HEADER, part)
+        run_landing_once(spark, str(tmp_path / f"land{k}"), schema, target, silver.facility_performance, checkpoint=str(tmp_path / f"ckpt{k}"))
+    assert read_table(spark, target).count() == 3
+    with pytest.raises(ValueError):
+        run_landing_once(spark, str(tmp_path / "land0"), schema, target, silver.facility_performance, checkpoint="")
+
 
+def test_shared_folder_is_needed_off_local_mode():
+    from wardstat.session import _local_folder
 
-def test_batch_id_for_is_order_independent():
-    from types import SimpleNamespace as NS
+    assert _local_folder("local[2]")
+    for master in ("yarn", "spark://host:7077", "local-cluster[2,1,1024]", "k8s://x"):
+        with pytest.raises(ValueError):
+            _local_folder(master)
 
-    from wardstat.sources.intake import batch_id_for
 
-    a = [NS(path="/l/a.csv", modified=dt.datetime(2024, 1, 1)), NS(path="/l/b.csv", modified=dt.datetime(2024, 1, 2))]
-    assert batch_id_for(a) == batch_id_for(list(reversed(a)))
-    changed = [a[0], NS(path="/l/b.csv", modified=dt.datetime(2024, 1, 3))]
-    assert batch_id_for(changed) != batch_id_for(a)  # a rewritten file is a new batch
+def test_batch_id_for_is_one_file_version():
+    a = batch_id_for("j", "/l/a.csv", 1)
+    assert a == batch_id_for("j", "/l/a.csv", 1)
+    assert len({a, batch_id_for("k", "/l/a.csv", 1), batch_id_for("j", "/l/b.csv", 1), batch_id_for("j", "/l/a.csv", 2)}) == 4

@@ -8,9 +8,9 @@ right table reads only those columns.
 No broadcast hint is set.  Spark broadcasts a side only when its measured
 size is under ``spark.sql.autoBroadcastJoinThreshold`` (statically from
 file sizes, and again by AQE from the real shuffle size); above it the
-join stays a sort-merge join whose skewed partitions AQE splits.  That is
-the size-checked broadcast with a fallback.  ``broadcast_if_small`` is for
-callers that want the check made explicitly on a row bound.
+join stays a sort-merge join.  AQE splits its skewed partitions where both
+sides come straight from a shuffle; after a latest-record pick (a window) it
+does not, so the gold plans reduce the many-row side before such a join.
 """
 
 from __future__ import annotations
@@ -44,8 +44,8 @@ def join_keep_left(
     ``salt_buckets`` spreads every key of the ``skewed`` side over that many
     buckets and copies the other side once per bucket, so a key holding a
     third of the rows is joined by many tasks.  Leave it unset where AQE's
-    skew split applies (the default); use it for an inner join whose other
-    side is small per key and too large to broadcast.
+    skew split applies; use it for an inner join whose other side is small
+    per key and too large to broadcast, e.g. after a latest-record pick.
     """
     on = _as_list(on)
     on_l = {k.lower() for k in on}
@@ -85,13 +85,3 @@ def _salted(df: DataFrame, buckets: int) -> DataFrame:
 def _replicated(df: DataFrame, buckets: int) -> DataFrame:
     """One copy of every row per bucket."""
     return df.withColumn(_SALT, F.explode(F.sequence(F.lit(0), F.lit(buckets - 1))))
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int) -> DataFrame:
-    """Broadcast hint only when ``df`` has at most ``max_rows`` rows.
-
-    The check reads at most ``max_rows + 1`` rows (a bounded job); a larger
-    side is returned unhinted and joined by sort-merge.
-    """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df

@@ -10,6 +10,12 @@ from pyspark.sql import functions as F
 from wardstat.functions.names import col_of
 
 
+# --- fixed values: the characters that count as white space at a value's ends ------
+_SPACE = r"[\t-\r\x1c-\x20\x85\xa0\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
+OUTER_SPACE = rf"\A{_SPACE}|{_SPACE}\z"
+# ------------------------------------------------------------------------------------
+
+
 def quality_counts(
     df: DataFrame,
     not_null: Sequence[str] = (),
@@ -22,8 +28,9 @@ def quality_counts(
 
     - ``row_count``: rows in the table.
     - ``null_key``: rows where any ``not_null`` column is NULL.
-    - ``untrimmed``: rows where a ``trimmed`` column is NULL or differs from
-      its trimmed value (a missing value counts as a violation).
+    - ``untrimmed``: rows where a ``trimmed`` column is NULL or begins or ends
+      with white space of any kind, tabs, line ends and no-break spaces
+      included (a missing value counts as a violation).
     - ``duplicate_key``: rows beyond the first per ``unique`` key, NULLs
       comparing equal.
     - one row per ``missing`` entry ``{check name: column}``: rows where that
@@ -46,7 +53,7 @@ def quality_counts(
         bad = None
         for c in trimmed:
             x = col_of(c)
-            cond = x.isNull() | (F.trim(x) != x)
+            cond = x.isNull() | x.rlike(OUTER_SPACE)
             bad = cond if bad is None else (bad | cond)
         row_level["untrimmed"] = bad
     for check, c in (missing or {}).items():

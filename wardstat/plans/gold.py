@@ -102,7 +102,7 @@ def bed_utilization(
     tie_break=None,
     digits: int = 2,
     enrich=None,
-    pre_aggregate: bool = False,
+    pre_aggregate: bool | None = None,
 ) -> DataFrame:
     """Mean bed utilisation percent per group, rounded.
 
@@ -113,12 +113,15 @@ def bed_utilization(
     ``enrich`` (joined frame -> frame) attaches lookup columns, e.g. a state
     name from a dimension, after the fact-sized join and before grouping.
 
-    ``pre_aggregate=True`` (residents and beds must be provider columns)
-    first reduces the MDS rows to a row count per facility and MDS grouping
-    key, so the join shuffles counts instead of every MDS row; the mean is
-    then weighted by those counts (equal up to floating-point rounding).
+    Where residents and beds are provider columns the MDS rows are first
+    reduced to a row count per facility and MDS grouping key, so the join
+    shuffles counts instead of every MDS row (also of a facility that has
+    very many); the mean is then weighted by those counts (equal up to
+    floating-point rounding).  ``pre_aggregate`` forces or forbids that.
     """
     prov = _latest(provider, key, stamp, tie_break)
+    if pre_aggregate is None:
+        pre_aggregate = mds_keep is None and on_provider(prov, residents, beds)
     if pre_aggregate:
         return _bed_utilization_weighted(prov, mds, by, name, key, residents, beds, digits, enrich)
     joined = join_keep_left(prov, mds, key, keep=mds_keep)
@@ -128,20 +131,29 @@ def bed_utilization(
     return joined.groupBy(*[col_of(b) for b in by]).agg(F.round(F.avg(rate), digits).alias(name))
 
 
+ROWS = "__rows"
+
+
+def on_provider(prov: DataFrame, *columns: str) -> bool:
+    """Whether all the columns are the provider's."""
+    return {c.lower() for c in columns} <= {c.lower() for c in prov.columns}
+
+
+def mds_counts(prov: DataFrame, mds: DataFrame, key: str, by: Sequence[str]) -> DataFrame:
+    """MDS rows counted per facility and the grouping columns that only MDS has."""
+    prov_cols, mds_cols = ({c.lower() for c in df.columns} for df in (prov, mds))
+    own = [b for b in dict.fromkeys(by) if b.lower() in mds_cols and b.lower() not in prov_cols]
+    return mds.groupBy(col_of(key).alias(key), *[col_of(b) for b in own]).agg(F.count(F.lit(1)).alias(ROWS))
+
+
 def _bed_utilization_weighted(prov, mds, by, name, key, residents, beds, digits, enrich):
-    prov_cols = {c.lower() for c in prov.columns}
-    if residents.lower() not in prov_cols or beds.lower() not in prov_cols:
+    if not on_provider(prov, residents, beds):
         raise ValueError("pre_aggregate needs residents and beds on the provider side")
-    mds_cols = {c.lower() for c in mds.columns}
-    mds_by = [b for b in by if b.lower() in mds_cols and b.lower() not in prov_cols]
-    counts = mds.groupBy(col_of(key).alias(key), *[col_of(b) for b in mds_by]).agg(
-        F.count(F.lit(1)).alias("__rows")
-    )
-    joined = join_keep_left(prov, counts, key)
+    joined = join_keep_left(prov, mds_counts(prov, mds, key, by), key)
     if enrich is not None:
         joined = enrich(joined)
     rate = percent(residents, beds)
-    rows = F.col("__rows")
+    rows = F.col(ROWS)
     mean = F.try_divide(F.sum(rate * rows), F.sum(F.when(rate.isNotNull(), rows)))
     return joined.groupBy(*[col_of(b) for b in by]).agg(F.round(mean, digits).alias(name))
 

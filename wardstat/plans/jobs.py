@@ -3,11 +3,13 @@
 The per-output functions in ``gold`` are what a report reads.  These jobs
 are what a scheduler runs, written for the case where the inputs are large:
 
-- ``staffing_rollups``: the hours table and the three ratio tables share one
-  silver scan.  They are computed as one ``GROUPING SETS`` aggregate (one
-  scan, partial aggregation per grouping set in the map task, one shuffle)
-  instead of four scans and four shuffles, and written once as a table
-  partitioned by ``summary``; each report reads its partition (pruned).
+- ``staffing_rollups``: the hours table and the hospital and state ratio
+  tables have few groups and share one scan and one ``GROUPING SETS``
+  aggregate (partial aggregation per grouping set in the map task, one
+  shuffle).  The "department" table groups by two continuous ratios, nearly
+  one group per row, which no partial aggregation reduces; it is a second
+  aggregate of its own, so it does not fill the small sets' hash map.  Both
+  are written once as a table partitioned by ``summary``.
 - ``bed_utilization_rollups``: the by-hospital and by-resident-type tables
   share the provider x MDS join; same technique, one join.
 - ``staffing_readmission_tables``: the detail table is written first and the
@@ -39,6 +41,7 @@ STAFFING_SETS = {
     "ratio_by_state": ("STATE",),
     "ratio_by_department": ("RN_Ratio", "CNA_Ratio"),
 }
+NEAR_UNIQUE_SETS = ("ratio_by_department",)
 BED_SETS = {
     "utilization_by_hospital": ("Provider_Name", "State"),
     "utilization_by_department": ("Resident_type",),
@@ -96,7 +99,19 @@ def staffing_rollups(
     ``Avg_Nurse_Ratio`` (mean total-hours-per-resident) per grouping set."""
     inputs = {"__hours": col_of(hours), "__ratio": gold.nurse_ratio_column(total, census)}
     outputs = {gold.TOTAL_RN_HOURS: ("__hours", F.sum), "Avg_Nurse_Ratio": ("__ratio", F.avg)}
-    return _grouping_sets(silver, sets, inputs, outputs)
+    wide = {n: keys for n, keys in sets.items() if n in NEAR_UNIQUE_SETS}
+    small = {n: keys for n, keys in sets.items() if n not in wide}
+    out = _grouping_sets(silver, small, inputs, outputs) if small else None
+    for name, keys in wide.items():
+        aggs = [build(inputs[src]).alias(n) for n, (src, build) in outputs.items()]
+        part = silver.groupBy(*[col_of(k) for k in keys]).agg(*aggs).withColumn(SUMMARY, F.lit(name))
+        out = part if out is None else out.unionByName(part, allowMissingColumns=True)
+    # a measure that a summary does not define is NULL there
+    defined = [n for n in sets if gold.TOTAL_RN_HOURS in STAFFING_TABLE_MEASURES.get(n, {gold.TOTAL_RN_HOURS: ""})]
+    with_hours = F.when(F.col(SUMMARY).isin(defined), F.col(gold.TOTAL_RN_HOURS))
+    ratio_sets = [n for n in sets if "Avg_Nurse_Ratio" in STAFFING_TABLE_MEASURES.get(n, {"Avg_Nurse_Ratio": ""})]
+    with_ratio = F.when(F.col(SUMMARY).isin(ratio_sets), F.col("Avg_Nurse_Ratio"))
+    return out.withColumns({gold.TOTAL_RN_HOURS: with_hours, "Avg_Nurse_Ratio": with_ratio})
 
 
 def bed_utilization_rollups(
@@ -112,14 +127,29 @@ def bed_utilization_rollups(
     enrich=None,
 ) -> DataFrame:
     """Both bed-utilisation tables from one provider x MDS join
-    (``enrich`` as in ``gold.bed_utilization``)."""
+    (``enrich`` as in ``gold.bed_utilization``).
+
+    Where residents and beds are provider columns (the job's tables), the MDS
+    rows are first reduced to counts per facility and MDS grouping column:
+    the join then carries one row per facility and resident type, and a
+    facility with very many MDS rows is reduced inside the map tasks."""
     prov = gold._latest(provider, key, stamp, tie_break)
+    counted = gold.on_provider(prov, residents, beds)
+    if counted:
+        keys = [k for names in sets.values() for k in names]
+        mds = gold.mds_counts(prov, mds, key, keys)
     joined = join_keep_left(prov, mds, key)
     if enrich is not None:
         joined = enrich(joined)
-    inputs = {"__rate": percent(residents, beds)}
+    rate = percent(residents, beds)
+    if counted:
+        inputs = {"__sum": rate * F.col(gold.ROWS), "__n": F.when(rate.isNotNull(), F.col(gold.ROWS))}
+        outputs = {"__total": ("__sum", F.sum), "__count": ("__n", F.sum)}
+        out = _grouping_sets(joined, sets, inputs, outputs)
+        mean = F.round(F.try_divide("__total", "__count"), digits)
+        return out.withColumn("Bed_Utilization", mean).drop("__total", "__count")
     outputs = {"Bed_Utilization": ("__rate", lambda c: F.round(F.avg(c), digits))}
-    return _grouping_sets(joined, sets, inputs, outputs)
+    return _grouping_sets(joined, sets, {"__rate": rate}, outputs)
 
 
 def summary_part(rollups: DataFrame, name: str, sets: dict[str, Sequence[str]]) -> DataFrame:
@@ -150,6 +180,7 @@ def staffing_readmission_tables(
     facility: DataFrame,
     detail_path: str,
     summary_path: str,
+    fmt: str = "parquet",
     **options,
 ) -> tuple[DataFrame, DataFrame]:
     """Write the detail table, then the correlation summary computed from it.
@@ -158,13 +189,13 @@ def staffing_readmission_tables(
     written tables read back.
     """
     detail, _ = gold.staffing_readmission(provider, facility, **options)
-    overwrite(detail, detail_path)
-    stored = read_table(spark, detail_path)
+    overwrite(detail, detail_path, fmt=fmt)
+    stored = read_table(spark, detail_path, fmt)
     hours = options.get("hours", gold.STAFF_HOURS)
     rate = options.get("rate", gold.READMISSION)
     summary = stored.agg(safe_corr(hours, rate, missing="drop").alias(gold.CORRELATION))
-    overwrite(summary, summary_path, single_file=True)
-    return stored, read_table(spark, summary_path)
+    overwrite(summary, summary_path, fmt=fmt, single_file=True)
+    return stored, read_table(spark, summary_path, fmt)
 
 
 def write_summary_tables(

@@ -12,16 +12,20 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wardstat.functions.measures import linear_fit
+from wardstat.functions.measures import linear_fit, safe_corr
 from wardstat.functions.names import col_of
 from wardstat.operators import select as sel
+from wardstat.plans import gold, jobs
 
 ALL = None
 
 
-def total_hours(hours: DataFrame, column: str = "Total_RN_Hours", name: str | None = None, digits: int | None = 2) -> DataFrame:
-    """Grand total of a gold hours table; 0.0 when the column is absent."""
+def total_hours(hours: DataFrame, column: str = gold.TOTAL_RN_HOURS, name: str | None = None, digits: int | None = 2) -> DataFrame:
+    """Grand total of a gold hours table; 0.0 when the column is absent.  Of a
+    rollup table only the hours summary counts."""
     name = name or column
+    if jobs.SUMMARY in hours.columns:
+        hours = hours.filter(F.col(jobs.SUMMARY) == F.lit("onduty_hours_summary"))
     if column.lower() not in {c.lower() for c in hours.columns}:
         return hours.sparkSession.range(1).select(F.lit(0.0).alias(name))
     total = F.sum(col_of(column))
@@ -39,7 +43,7 @@ def facility_kpis(
     detail: DataFrame,
     state: str | None = ALL,
     state_col: str = "State",
-    hours: str = "Reported_Total_Nurse_Staffing_Hours_per_Resident_per_Day",
+    hours: str = gold.STAFF_HOURS,
     count_name: str = "facilities",
     avg_name: str = "avg_hours",
     digits: int | None = None,
@@ -100,11 +104,26 @@ def default_selection(df: DataFrame, name_col: str = "Provider_Name", n: int = 5
     return sel.one_of(df, name_col, sel.first_names(df, name_col, n))
 
 
+def hospital_bars(
+    df: DataFrame, names: Sequence[str] | None, name_col: str, state: str | None = ALL, state_col: str = "State", n: int = 5
+) -> DataFrame:
+    """Bars of the chosen hospitals of a state; of its first ``n`` names in
+    order while none is chosen."""
+    rows = sel.equals(df, state_col, state)
+    return selected_hospitals(rows, names, name_col) if names else default_selection(rows, name_col, n)
+
+
+def scatter_points(df: DataFrame, x: str, y: str, state: str | None = ALL, state_col: str = "State") -> DataFrame:
+    """The points of the scatter chart: rows of a state with both values."""
+    rows = sel.equals(df, state_col, state)
+    return rows.filter(col_of(x).isNotNull() & col_of(y).isNotNull())
+
+
 def top_throughput(
     df: DataFrame,
     n: int = 10,
-    by: str = "Patient_Throughput",
-    key: str = "CMS_Certification_Number_CCN",
+    by: str = gold.THROUGHPUT,
+    key: str = gold.CCN,
     columns: Sequence[str] | None = None,
 ) -> DataFrame:
     """The ``n`` facilities with the highest throughput; ties by key."""
@@ -116,9 +135,11 @@ def kpi_cards(
     detail: DataFrame,
     state: str | None = ALL,
     state_col: str = "State",
-    hours: str = "Reported_Total_Nurse_Staffing_Hours_per_Resident_per_Day",
-    rate: str = "Performance_Period_FY_2022_Risk_Standardized_Readmission_Rate",
+    hours: str = gold.STAFF_HOURS,
+    rate: str = gold.READMISSION,
     digits: int | None = None,
+    stored: float | None = None,
+    use_stored: bool = False,
 ) -> DataFrame:
     """The report's three cards in one row: facilities in the chosen state,
     their mean staffing hours, and the correlation over *all* states (the
@@ -126,13 +147,12 @@ def kpi_cards(
 
     One aggregation pass over the detail table: the state choice is a
     condition inside the aggregates, so no second scan and no join of
-    one-row frames is needed.
+    one-row frames is needed.  With ``use_stored`` the correlation is the
+    value ``stored`` in the summary table (NULL while there is none).
     """
-    from wardstat.functions.measures import safe_corr
-
     match = F.lit(True) if state is None else (col_of(state_col) == F.lit(state))
     avg = F.avg(F.when(match, col_of(hours)))
-    corr = safe_corr(hours, rate, missing="drop")
+    corr = F.max(F.lit(stored).cast("double")) if use_stored else safe_corr(hours, rate, missing="drop")
     if digits is not None:
         avg, corr = F.round(avg, digits), F.round(corr, digits)
     return detail.agg(

@@ -88,6 +88,11 @@ def master_staffing(
     return with_columns(deduped, derived)
 
 
+def undated_rows(raw: DataFrame, date_format: str = "yyyy-MM-dd") -> DataFrame:
+    """Rows with a key whose WorkDate does not parse (or is missing)."""
+    return raw.filter(F.col("PROVNUM").isNotNull() & _work_date(raw, date_format).isNull())
+
+
 def _work_date(raw: DataFrame, date_format: str):
     """WorkDate as a date: parsed by pattern when it is text, taken as is
     (or truncated) when the source already carries a date or timestamp."""

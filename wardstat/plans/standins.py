@@ -32,7 +32,7 @@ from wardstat.operators.select import present
 from wardstat.plans import checks, gold, jobs, serving, silver
 from wardstat.session import scratch_path
 from wardstat.sources.files import read_csv, read_table
-from wardstat.sources.intake import allow_listed, changed_files
+from wardstat.sources.intake import allow_listed, changed_files, ingest_changed, list_files, rebuild_if_changed
 from wardstat.sources.sinks import BATCH_COL, append_batch, overwrite
 from wardstat.streaming.landing import run_landing_once
 
@@ -526,6 +526,8 @@ def q_quality_checks(spark, d):
     seg = (
         F.when(F.col("c_nationkey") == 3, F.lit(None).cast("string"))
         .when(F.col("c_nationkey") == 4, F.concat(F.col("c_mktsegment"), F.lit(" ")))
+        .when(F.col("c_nationkey") == 5, F.concat(F.lit("\t"), F.col("c_mktsegment")))
+        .when(F.col("c_nationkey") == 6, F.concat(F.col("c_mktsegment"), F.lit("\u00a0")))
         .otherwise(F.col("c_mktsegment"))
     )
     trims = quality_counts(cust.select(seg.alias("STATE")), trimmed=["STATE"], row_count=False)
@@ -736,6 +738,193 @@ def q_streaming_landing(spark, d):
     run_landing_once(spark, land, LANDING_SCHEMA, target, trim_all, checkpoint=ckpt)
     return read_table(spark, target).drop(BATCH_COL)
 
+
+# --- intake of landed files ----------------------------------------------------------
+
+
+def q_intake_replay(spark, d):
+    """Events land as one CSV folder per user group.  The first run crashes
+    before its manifest counts, more files arrive, and the re-run replaces
+    what the crashed run wrote; a further run finds nothing to do."""
+    ev = table(spark, d, "events").select("event_id", "user_id", "event_type", "value")
+    land, target = scratch_path(spark, "landing"), scratch_path(spark, "intake")
+    manifest = scratch_path(spark, "manifest")
+
+    def arrive(k):
+        part = ev.filter(F.pmod("user_id", F.lit(4)) == k)
+        part.coalesce(1).write.option("header", True).csv(f"{land}/group={k}.csv")
+
+    def take(manifest_path):
+        listing = list_files(spark, land, glob="*.csv")
+        return ingest_changed(spark, listing, manifest_path, target, trim_all, job="events")
+
+    arrive(0)
+    arrive(1)
+    take(scratch_path(spark, "manifest-lost"))
+    arrive(2)
+    arrive(3)
+    take(manifest)
+    if take(manifest):
+        raise AssertionError("an unchanged file was taken again")
+    stored = read_table(spark, target)
+    return stored.select(
+        F.col("event_id").cast("bigint"), F.col("user_id").cast("bigint"), "event_type", F.col("value").cast("double")
+    )
+
+
+def _raw_staffing(spark, d):
+    f = staffing_facts(spark, d, ["l_suppkey", "l_linenumber", "l_quantity", "l_discount", "l_tax", "l_shipdate"])
+    return f.select(
+        "l_linenumber",
+        _pad(F.lpad(F.col("l_suppkey").cast("string"), 6, "0")).alias("PROVNUM"),
+        F.col("s_name").alias("PROVNAME"),
+        _pad(F.lower(F.col("n_name"))).alias("STATE"),
+        F.date_format("l_shipdate", "yyyy-MM-dd").alias("WorkDate"),
+        F.col("l_quantity").cast("string").alias("Hrs_RNDON"),
+        F.col("l_quantity").cast("string").alias("Hrs_RN"),
+        F.col("l_tax").cast("string").alias("Hrs_LPN"),
+        F.when(F.col("l_discount") > 0.05, F.col("l_tax").cast("string")).alias("Hrs_CNA"),
+        F.col("l_discount").cast("string").alias("MDScensus"),
+    )
+
+
+def q_master_two_files(spark, d):
+    """The staffing table after a second file arrives: rebuilt from both."""
+    raw = _raw_staffing(spark, d)
+    land, target, manifest = (scratch_path(spark, n) for n in ("master-landing", "master", "master-manifest"))
+    options = {"header": True, "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+
+    def take():
+        listing = list_files(spark, land, glob="*.csv")
+        rebuild_if_changed(spark, listing, manifest, lambda rows: overwrite(silver.master_staffing(rows), target), job="master")
+
+    for name, part in (("early", F.col("l_linenumber") <= 3), ("late", F.col("l_linenumber") > 3)):
+        raw.filter(part).drop("l_linenumber").coalesce(1).write.options(**options).csv(f"{land}/{name}")
+        take()
+    return read_table(spark, target).select(
+        "PROVNUM", "STATE", "WorkDate",
+        F.round("TotalNursing_Hours", 6).alias("TotalNursing_Hours"),
+        F.round("RN_Ratio", 6).alias("RN_Ratio"),
+        F.round("CNA_Ratio", 6).alias("CNA_Ratio"),
+        F.round("LPN_Ratio", 6).alias("LPN_Ratio"),
+    )
+
+
+def q_csv_mixed_headers(spark, d):
+    """Two CSV folders whose headers differ in order and columns, one read."""
+    o = table(spark, d, "orders")
+    a = o.filter(F.col("o_orderstatus") == "F").select("o_orderkey", "o_custkey", "o_totalprice")
+    b = o.filter(F.col("o_orderstatus") != "F").select("o_totalprice", "o_orderpriority", "o_orderkey", "o_custkey")
+    rows = read_csv(spark, [_write_raw_csv(spark, a, "raw-mixed"), _write_raw_csv(spark, b, "raw-mixed")])
+    return rows.select(
+        F.col("o_orderkey").cast("bigint"), F.col("o_custkey").cast("bigint"), F.col("o_totalprice").cast("double"), "o_orderpriority"
+    )
+
+
+# --- gold over appended loads ----------------------------------------------------------
+
+
+def _loads(spark, d) -> DataFrame:
+    """Two stamped provider loads: all facilities, then a newer load of two
+    thirds of them, in which every fifth comes twice."""
+    c = table(spark, d, "customer").select(F.col("c_custkey").alias("CCN"), "c_name", "c_nationkey", "c_acctbal")
+
+    def load(rows, stamp, beds):
+        return rows.select("CCN", "c_name", (F.col("c_nationkey") + 1).cast("double").alias("residents"), beds.alias("beds"),
+                           F.lit(stamp).cast("timestamp_ntz").alias("loaded"))
+
+    newer = c.filter(F.pmod("CCN", F.lit(3)) != 0)
+    return (
+        load(c, "2024-10-01 00:00:00", F.col("c_acctbal") * 2)
+        .unionByName(load(newer, "2024-11-01 00:00:00", F.col("c_acctbal")))
+        .unionByName(load(newer.filter(F.pmod("CCN", F.lit(5)) == 0), "2024-11-01 00:00:00", F.col("c_acctbal") + 100))
+    )
+
+
+def q_bed_utilization_latest(spark, d):
+    return gold.bed_utilization(
+        _loads(spark, d), _mds(spark, d).select("CCN", "o_orderpriority"), by=["o_orderpriority"], name="bed_utilization",
+        key="CCN", residents="residents", beds="beds", stamp="loaded", tie_break="beds",
+    )
+
+
+def q_throughput_latest(spark, d):
+    t = gold.patient_throughput(
+        _loads(spark, d), snapshots(spark, d), key="CCN", measure=MEASURE_PICK, measure_col="event_type", score="value",
+        beds="beds", skilled_keep=["value"], provider_stamp="loaded", provider_tie_break="beds", skilled_stamp="ts",
+        skilled_tie_break="event_id", name="throughput",
+    )
+    return t.select(F.col("CCN").alias("user_id"), "beds", F.col("value").alias("score"), "throughput")
+
+
+def q_readmission_latest(spark, d):
+    loads = _loads(spark, d)
+    prov = loads.select("CCN", "c_name", (F.col("beds") / 1000).alias("hours"), "loaded", F.col("beds").alias("tie"))
+    fac = loads.select("CCN", (F.col("residents") + F.col("beds") / 5000).alias("rate"), "loaded", F.col("beds").alias("tie"))
+    _, summary = gold.staffing_readmission(
+        prov, fac, key="CCN", hours="hours", rate="rate", facility_keep=["rate"], stamp="loaded", tie_break="tie", count_name="n"
+    )
+    return summary.select(F.round(gold.CORRELATION, 6).alias("correlation"), "n")
+
+
+# --- report pages over written gold tables -----------------------------------------------
+
+
+def _written_rollups(spark, d) -> DataFrame:
+    path = scratch_path(spark, "gold-staffing")
+    jobs.write_rollups(jobs.staffing_rollups(staffing_silver(spark, d)), path)
+    return read_table(spark, path)
+
+
+def q_report_total_hours(spark, d):
+    return serving.total_hours(_written_rollups(spark, d), digits=4)
+
+
+def q_report_hours_series(spark, d):
+    part = jobs.summary_part(_written_rollups(spark, d), "onduty_hours_summary", jobs.STAFFING_SETS)
+    return serving.hours_series(part).select(
+        F.col("STATE").alias("state"), F.col("WorkDate").alias("work_date"), F.round(gold.TOTAL_RN_HOURS, 6).alias("hours"))
+
+
+def q_report_hospital_bars(spark, d):
+    """The bars shown first: the first five hospital names."""
+    part = jobs.summary_part(_written_rollups(spark, d), "ratio_by_hospital", jobs.STAFFING_SETS)
+    return serving.hospital_bars(part, None, "PROVNAME").select(
+        "PROVNUM", "PROVNAME", F.round("Avg_Nurse_Ratio", 6).alias("avg_ratio"))
+
+
+def q_report_bed_bars(spark, d):
+    """Bed utilisation of chosen facilities of one state."""
+    loads = _loads(spark, d)
+    nat = table(spark, d, "customer").join(table(spark, d, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
+    state = nat.select(F.col("c_custkey").alias("CCN"), F.col("n_name").alias("State"))
+    bars = gold.bed_utilization(
+        loads, _mds(spark, d).select("CCN", "o_orderpriority"), by=["c_name", "State"], name="bed_utilization", key="CCN",
+        residents="residents", beds="beds", stamp="loaded", tie_break="beds", enrich=lambda df: df.join(state, "CCN"),
+    )
+    return serving.hospital_bars(bars, None, "c_name", STATE_PICK, "State")
+
+
+def q_report_scatter(spark, d):
+    detail, _ = _readmission(spark, d, "drop")
+    points = serving.scatter_points(detail, "l_quantity", "readmission", state=STATE_PICK, state_col="state")
+    return points.select("l_orderkey", "l_linenumber", "l_partkey", "l_quantity", "readmission")
+
+
+def q_report_kpis_stored(spark, d):
+    """The cards with the correlation read from the stored summary."""
+    li = table(spark, d, "lineitem").select(
+        "l_quantity", F.col("l_suppkey").alias("fkey"), F.nullif(F.col("l_tax"), F.lit(0.0)).alias("readmission")
+    )
+    fac = table(spark, d, "supplier").select(F.col("s_suppkey").alias("fkey"), F.col("s_nationkey").cast("string").alias("State"))
+    detail, summary = jobs.staffing_readmission_tables(
+        spark, li, fac, scratch_path(spark, "gold-detail"), scratch_path(spark, "gold-corr"),
+        key="fkey", hours="l_quantity", rate="readmission", stamp=None,
+    )
+    stored = serving.scalar(summary, gold.CORRELATION)
+    return serving.kpi_cards(detail, "3", hours="l_quantity", rate="readmission", digits=4, stored=stored, use_stored=True)
+
+
 QUERIES = {
     "clean_strings": q_clean_strings,
     "normalize_headers": q_normalize_headers,
@@ -787,4 +976,16 @@ QUERIES = {
     "bed_utilization_rollups": q_bed_utilization_rollups,
     "staffing_readmission_written": q_staffing_readmission_written,
     "streaming_landing": q_streaming_landing,
+    "intake_replay": q_intake_replay,
+    "master_two_files": q_master_two_files,
+    "csv_mixed_headers": q_csv_mixed_headers,
+    "bed_utilization_latest": q_bed_utilization_latest,
+    "throughput_latest": q_throughput_latest,
+    "readmission_latest": q_readmission_latest,
+    "report_total_hours": q_report_total_hours,
+    "report_hours_series": q_report_hours_series,
+    "report_hospital_bars": q_report_hospital_bars,
+    "report_bed_bars": q_report_bed_bars,
+    "report_scatter": q_report_scatter,
+    "report_kpis_stored": q_report_kpis_stored,
 }
