@@ -129,9 +129,14 @@ def _segments(touched: DataFrame, text_col: str, window: int, prefix: int) -> Da
                 sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(mixed)))
                 total = sums[np.cumsum(size)] - sums[np.cumsum(size) - size]
                 finger.append(tx.mix64(total ^ (high * 64 + low).astype(np.uint64)).view(np.int64))
+            # the words once a chunk; equal entries are merged later anyhow
+            _, one = np.unique(finger[0], return_index=True)
+            again = np.ones(len(size), bool)
+            again[one] = False
+            words = words.cast(pa.binary()).take(pa.array(np.arange(len(size)), mask=again))
             yield pa.RecordBatch.from_arrays(
                 [pa.array(grams[place].view(np.int64)), b.column("key").take(pa.array(owner)), pa.array((place - w.first[owner]).astype(np.int32)),
-                 pa.array(low.astype(np.int32)), pa.array(high.astype(np.int32)), pa.array(finger[0]), pa.array(finger[1]), words.cast(pa.binary())],
+                 pa.array(low.astype(np.int32)), pa.array(high.astype(np.int32)), pa.array(finger[0]), pa.array(finger[1]), words],
                 names=["prefix", "key", "place", "low", "high", "f1", "f2", "words"],
             )
 
@@ -263,11 +268,13 @@ def repeated_words(
     touched = written(keyed.join(places, "key"), "repeats-texts")
     segments = written(_segments(touched, text_col, window, prefix), "repeats-segments")
     entries = segments.groupBy("prefix", "f1", "f2").agg(
-        F.count(F.lit(1)).alias("copies"), F.first("low").alias("low"), F.first("high").alias("high"), F.first("words").alias("words"))
-    marks = (
+        F.count(F.lit(1)).alias("copies"), F.first("low").alias("low"), F.first("high").alias("high"),
+        F.first("words", ignorenulls=True).alias("words"))
+    found = (
         segments.drop("words", "low", "high").join(_trees(entries, window, prefix), ["prefix", "f1", "f2"])
         .groupBy("key").agg(F.collect_set(F.struct("place", "offsets")).alias("marks"))
     )
+    marks = written(found, "repeats-marks")
     hit = touched.drop("places").join(marks, "key")
 
     def run(batches):
