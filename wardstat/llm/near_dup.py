@@ -9,16 +9,22 @@ latest, most documents need one or two, and coordinates agree with the
 Jaccard similarity's probability, with concentration like independent
 permutations.
 
-Bands of the sketch give candidates, which are confirmed on the full sets:
+Bands of the sketch give buckets; candidates are confirmed on the full sets:
 
 1. Documents with the same set are one class, found by a fingerprint.
-2. In every band bucket the most central member (the one whose buckets hold
-   the most members) is compared with the others: a star, not all pairs.
-3. Confirmed links are merged by distributed union-find.  Buckets that still
-   hold several components are compared again with 16, 256, ... leaders
-   until every member has been a leader; only members of different
-   components are compared.  So no candidate link is lost, no bucket is
-   capped, and a bucket that one star resolves costs one comparison a member.
+2. A task that holds a band bucket compares sketches, whole arrays at a time,
+   and returns a spanning forest of the pairs whose estimate is at most five
+   standard deviations below the threshold: a star around one member, and
+   for members outside it their comparison with all others.
+3. The components of these forests are clusters of candidates.  A task that
+   holds a cluster's full sets confirms links in the order of the estimates,
+   skips pairs that are connected already, and returns a spanning forest of
+   the links.  Their components are the result.
+
+So no bucket emits its pairs, none is capped, and no link is lost between
+members of a bucket (but for the estimate's five standard deviations).  A
+bucket or cluster larger than a block is compared block by block, in as many
+tasks as there are pairs of blocks.
 
 Null or empty texts have an empty set and are linked with nothing, as are
 rows whose id is null.  Rows that share an id count as one document with
@@ -27,7 +33,10 @@ several texts.  Extra columns are ignored.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -37,7 +46,8 @@ from wardstat.llm.components import components, written
 from wardstat.llm.ship import ship
 
 ROWS, BANDS = 5, 25
-LEADERS = 16  # growth of the number of leaders a bucket has per round
+BUCKET_BLOCK = 20_000  # members of a bucket that meet in one task
+CLUSTER_BLOCK = 1_000  # members of a cluster whose sets meet in one task
 SET_BYTES = 6  # a shingle's identity within a set: 48 bits
 _MAX = np.uint64(0xFFFFFFFFFFFFFFFF)
 SEEDS = tx.mix64(np.arange(1, 2 * ROWS * BANDS + 1, dtype=np.uint64) * np.uint64(0xA24BAED4963EE407))
@@ -121,26 +131,30 @@ def _fingerprints(values: np.ndarray, first: np.ndarray) -> list[np.ndarray]:
 
 def _signatures(docs: DataFrame, id_col: str, text_col: str, size: int, rows: int, bands: int) -> DataFrame:
     t = rows * bands
-    schema = f"{id_col} long, n_shingles long, fp1 long, fp2 long, bands array<long>"
+    schema = f"{id_col} long, n_shingles long, fp1 long, fp2 long, bands array<long>, sk binary"
 
     def run(batches):
         for b in tx.chunks(batches, text_col):
             values, first = shingle_sets(b.column(text_col), size)
             n = np.diff(first)
-            keys = band_keys(sketches(values, first, t), rows, bands).view(np.int64)
+            sketch = sketches(values, first, t)
+            keys = band_keys(sketch, rows, bands).view(np.int64)
+            # a byte per coordinate is enough to estimate with
+            low = tx.mix64(sketch.reshape(-1)).astype(np.uint8).tobytes()
+            sk = pa.array([low[i : i + t] for i in range(0, len(low), t)], pa.binary())
             offsets = np.concatenate(([0], np.cumsum(np.where(n > 0, bands, 0)))).astype(np.int32)
             lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(keys[n > 0].reshape(-1)))
             fp1, fp2 = _fingerprints(values, first)
             yield pa.RecordBatch.from_arrays(
-                [b.column(id_col).cast(pa.int64()), pa.array(n), pa.array(fp1), pa.array(fp2), lists],
-                names=[id_col, "n_shingles", "fp1", "fp2", "bands"],
+                [b.column(id_col).cast(pa.int64()), pa.array(n), pa.array(fp1), pa.array(fp2), lists, sk],
+                names=[id_col, "n_shingles", "fp1", "fp2", "bands", "sk"],
             )
 
     return docs.select(id_col, text_col).mapInArrow(run, schema)
 
 
 def _sets(docs: DataFrame, id_col: str, text_col: str, size: int) -> DataFrame:
-    """(id, packed set) of every document."""
+    """(rep, fp1, fp2, packed set) of every row."""
 
     def run(batches):
         for b in tx.chunks(batches, text_col):
@@ -148,9 +162,12 @@ def _sets(docs: DataFrame, id_col: str, text_col: str, size: int) -> DataFrame:
             packed = values.view(np.uint8).reshape(-1, 8)[:, :SET_BYTES].tobytes()
             offsets = (first * SET_BYTES).astype(np.int64)
             column = pa.Array.from_buffers(pa.large_binary(), len(offsets) - 1, [None, pa.py_buffer(offsets.tobytes()), pa.py_buffer(packed)])
-            yield pa.RecordBatch.from_arrays([b.column(id_col).cast(pa.int64()), column.cast(pa.binary())], names=["id", "items"])
+            fp1, fp2 = _fingerprints(values, first)
+            yield pa.RecordBatch.from_arrays(
+                [b.column(id_col).cast(pa.int64()), pa.array(fp1), pa.array(fp2), column.cast(pa.binary())], names=["rep", "fp1", "fp2", "items"]
+            )
 
-    return docs.select(id_col, text_col).mapInArrow(run, "id long, items binary")
+    return docs.select(id_col, text_col).mapInArrow(run, "rep long, fp1 long, fp2 long, items binary")
 
 
 def unpacked(raw: bytes) -> np.ndarray:
@@ -159,26 +176,142 @@ def unpacked(raw: bytes) -> np.ndarray:
     return wide.view(np.uint64).reshape(-1)
 
 
-def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b) with 100 * intersection >= percent * union."""
-    right = pairs.join(sets.withColumnsRenamed({"id": "b", "items": "items_b"}), "b")
-    both = right.join(sets.withColumnsRenamed({"id": "a", "items": "items_a"}), "a").select("a", "b", "items_a", "items_b")
+def _groups(batches, keys: int) -> Iterator[pa.Table]:
+    """Whole groups of rows that agree in the first ``keys`` columns, from
+    batches sorted by them."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        if batch.num_rows:
+            held.append(batch)
+        if sum(x.num_rows for x in held) < 2000:
+            continue
+        table = pa.Table.from_batches(held)
+        edges = _edges(table, keys)
+        # the last group may go on in the next batch
+        for lo, hi in zip(edges[:-2], edges[1:-1], strict=True):
+            yield table.slice(lo, hi - lo)
+        held = table.slice(edges[-2]).to_batches()
+    if held:
+        table = pa.Table.from_batches(held)
+        edges = _edges(table, keys)
+        for lo, hi in zip(edges[:-1], edges[1:], strict=True):
+            yield table.slice(lo, hi - lo)
+
+
+def _edges(table: pa.Table, keys: int) -> list[int]:
+    new = np.zeros(table.num_rows, bool)
+    new[0] = True
+    for k in range(keys):
+        v = table.column(k).to_numpy()
+        new[1:] |= v[1:] != v[:-1]
+    return [*np.flatnonzero(new).tolist(), table.num_rows]
+
+
+def _matrix(column: pa.ChunkedArray, width: int) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(-1, width)
+
+
+class _Forest:
+    """Union-find over the rows of a group."""
+
+    def __init__(self, n: int):
+        self.root = np.arange(n)
+        self.links: list[tuple[int, int]] = []
+
+    def add(self, a: int, b: int) -> None:
+        x, y = self.root[a], self.root[b]
+        if x != y:
+            self.root[self.root == max(x, y)] = min(x, y)
+            self.links.append((a, b))
+
+
+def _similar(n: np.ndarray, sk: np.ndarray, i: int, percent: int, least: float) -> np.ndarray:
+    """Rows that may be linked with row ``i``."""
+    size = np.minimum(n, n[i]) * 100 >= np.maximum(n, n[i]) * percent
+    out = np.zeros(len(n), bool)
+    at = np.flatnonzero(size)
+    out[at] = (sk[at] == sk[i]).sum(1) >= least
+    out[i] = False
+    return out
+
+
+def _candidates(members: DataFrame, width: int, percent: int, least: float) -> DataFrame:
+    """Spanning forests (a, b) of the similar pairs of every bucket block pair."""
+
+    def run(batches):
+        for g in _groups(batches, 3):
+            rep, n = g.column("rep").to_numpy(), g.column("n").to_numpy()
+            sk = _matrix(g.column("sk"), width)
+            if len(rep) == 2:  # most buckets
+                ok = min(n) * 100 >= max(n) * percent and (sk[0] == sk[1]).sum() >= least
+                pairs = [(0, 1)] if ok else []
+            else:
+                forest = _Forest(len(rep))
+                star = np.flatnonzero(_similar(n, sk, 0, percent, least))
+                for j in star.tolist():
+                    forest.links.append((0, j))
+                forest.root[star] = 0
+                for i in np.flatnonzero(forest.root != 0).tolist():
+                    near = np.flatnonzero(_similar(n, sk, i, percent, least) & (forest.root != forest.root[i]))
+                    # one link per other component is enough
+                    _, one = np.unique(forest.root[near], return_index=True)
+                    for j in near[one].tolist():
+                        forest.add(i, j)
+                pairs = forest.links
+            if pairs:
+                a, b = np.array(pairs).T
+                yield pa.RecordBatch.from_arrays([pa.array(rep[a]), pa.array(rep[b])], names=["a", "b"])
+
+    dealt = members.select("key", "lo", "hi", "rep", "n", "sk").repartition("key", "lo", "hi").sortWithinPartitions("key", "lo", "hi", "rep")
+    return dealt.mapInArrow(run, "a long, b long")
+
+
+def _links(members: DataFrame, width: int, percent: int, least: float) -> DataFrame:
+    """Spanning forests (a, b) of the confirmed links of every cluster block pair."""
 
     def run(batches):
-        for batch in batches:
-            cols = [batch.column(i) for i in range(4)]
-            keep = []
-            last, left = None, None
-            for i in range(batch.num_rows):
-                ra, rb = cols[2][i].as_buffer(), cols[3][i].as_buffer()
-                if last is None or cols[0][i] != last:
-                    last, left = cols[0][i], unpacked(ra)
-                b = unpacked(rb)
-                both = len(left) + len(b) - len(np.union1d(left, b))
-                keep.append(100 * both >= percent * (len(left) + len(b) - both))
-            yield pa.RecordBatch.from_arrays([cols[0], cols[1]], names=["a", "b"]).filter(pa.array(keep))
-
-    return both.mapInArrow(run, "a long, b long")
+        for g in _groups(batches, 3):
+            rep, n = g.column("rep").to_numpy(), g.column("n").to_numpy()
+            sk = _matrix(g.column("sk"), width)
+            sets = [unpacked(x.as_buffer()) for x in g.column("items").combine_chunks()]
+            size = np.array([len(x) for x in sets])
+            first = np.concatenate(([0], np.cumsum(size)))
+            number, names = pd.factorize(np.concatenate(sets))
+            mark = np.zeros(len(names), bool)
+            forest = _Forest(len(rep))
+            order = np.argsort(-(sk == sk[0]).sum(1), kind="stable")  # the first row's neighbours first
+            for i in order.tolist():
+                near = np.flatnonzero(_similar(n, sk, i, percent, least) & (forest.root != forest.root[i]))
+                if not len(near):
+                    continue
+                mark[number[first[i] : first[i + 1]]] = True
+                at = np.repeat(first[near] - (np.cumsum(size[near]) - size[near]), size[near]) + np.arange(size[near].sum())
+                both = np.add.reduceat(mark[number[at]].astype(np.int64), np.cumsum(size[near]) - size[near])
+                mark[number[first[i] : first[i + 1]]] = False
+                linked = near[100 * both >= percent * (size[i] + size[near] - both)]
+                if len(linked):
+                    _, one = np.unique(forest.root[linked], return_index=True)
+                    for j in linked[one].tolist():
+                        forest.add(i, j)
+            if forest.links:
+                a, b = np.array(forest.links).T
+                yield pa.RecordBatch.from_arrays([pa.array(rep[a]), pa.array(rep[b])], names=["a", "b"])
+
+    dealt = members.select("cluster", "lo", "hi", "rep", "n", "sk", "items").repartition("cluster", "lo", "hi").sortWithinPartitions("cluster", "lo", "hi", "rep")
+    return dealt.mapInArrow(run, "a long, b long")
+
+
+def _blocked(members: DataFrame, count: str, block: int) -> DataFrame:
+    """A row per pair of blocks (lo, hi) that a member meets others in; one
+    for a group within a block."""
+    blocks = F.ceil(F.col(count) / block).cast("int")
+    own = F.pmod(F.xxhash64("rep"), blocks).cast("int")
+    other = F.explode(F.sequence(F.lit(0), blocks - 1)).alias("other")
+    return (
+        members.select("*", own.alias("own"), other)
+        .withColumns({"lo": F.least("own", "other"), "hi": F.greatest("own", "other")})
+        .drop("own", "other", count)
+    )
 
 
 def near_duplicates(
@@ -200,64 +333,30 @@ def near_duplicates(
     if rows * bands * 2 > len(SEEDS):
         raise ValueError(f"rows * bands can be at most {len(SEEDS) // 2}")
     ship(docs.sparkSession)
+    t, p = rows * bands, percent / 100
+    least = t * (p - 5 * (p * (1 - p) / t) ** 0.5)
     sig = written(_signatures(docs, id_col, text_col, shingle_words, rows, bands), "near-dup-signatures")
     classed = sig.filter(f"n_shingles > 0 and {id_col} is not null")
-    # one representative per distinct set; min and first combine map-side
-    reps = written(
-        classed.groupBy("fp1", "fp2", "n_shingles").agg(F.min(F.struct(F.col(id_col).alias("rep"), "bands")).alias("x"))
-        .select("fp1", "fp2", F.col("n_shingles").alias("n"), "x.rep", "x.bands"),
-        "near-dup-classes",
-    )
-    entries = reps.select("rep", "n", F.explode("bands").alias("key"))
+    # one representative per distinct set; the minimum combines map-side
+    smallest = classed.groupBy("fp1", "fp2", "n_shingles").agg(F.min(id_col).alias("rep"))
+    reps = written(smallest.join(sig.select(F.col(id_col).alias("rep"), "fp1", "fp2", "bands", "sk").dropDuplicates(["rep", "fp1", "fp2"]),
+                                 ["rep", "fp1", "fp2"]).withColumnRenamed("n_shingles", "n"), "near-dup-classes")
+    entries = reps.select("rep", F.explode("bands").alias("key"))
     shared = entries.groupBy("key").agg(F.count(F.lit(1)).alias("members")).filter("members > 1")
-    buckets = written(entries.join(shared, "key"), "near-dup-buckets")
-
-    central = buckets.groupBy("rep").agg(F.sum("members").alias("weight"))
-    leaders = buckets.join(central, "rep").groupBy("key").agg(F.max(F.struct("weight", F.negative("rep").alias("r"), "n")).alias("top"))
-    close = f"least(n, m) * 100 >= greatest(n, m) * {percent}"
-    pairs = (
-        buckets.join(leaders.select("key", F.negative("top.r").alias("lead"), F.col("top.n").alias("m")), "key")
-        .filter(f"lead != rep and {close}")
-        .select(F.col("lead").alias("a"), F.col("rep").alias("b"))
-        .distinct()
-    )
-    # only documents that share a bucket are read again
-    wanted = buckets.select(F.col("rep").alias(id_col)).distinct()
-    sets = written(_sets(docs.select(id_col, text_col).join(wanted, id_col, "left_semi"), id_col, text_col, shingle_words), "near-dup-sets")
-    links = written(_confirmed(pairs, sets, percent), "near-dup-links")
+    sketch = reps.select("rep", "fp1", "fp2", "n", "sk")
+    members = entries.join(shared, "key").join(sketch.drop("fp1", "fp2"), "rep")
+    candidates = written(_candidates(_blocked(members, "members", BUCKET_BLOCK), t, percent, least), "near-dup-candidates")
+    clusters = written(components(candidates).withColumnsRenamed({"node": "rep", "component": "cluster"}), "near-dup-clusters")
+    # only documents of a cluster are read again
+    wanted = clusters.select(F.col("rep").alias(id_col))
+    sets = _sets(docs.select(id_col, text_col).join(wanted, id_col, "left_semi"), id_col, text_col, shingle_words)
+    sized = clusters.groupBy("cluster").agg(F.count(F.lit(1)).alias("members"))
+    one = sets.dropDuplicates(["rep", "fp1", "fp2"])  # rows that repeat an id and its text
+    full = clusters.join(sized, "cluster").join(sketch, "rep").join(one, ["rep", "fp1", "fp2"])
+    links = _links(_blocked(full, "members", CLUSTER_BLOCK), t, percent, least)
     labels = written(components(links), "near-dup-labels")
 
-    lead, done = 1, False
-    while not done:
-        named = buckets.join(labels.withColumnRenamed("node", "rep"), "rep", "left").withColumn("label", F.coalesce("component", "rep"))
-        mixed = named.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo != hi").select("key")
-        # a bucket of two was compared in full by its star
-        named = named.filter("members > 2")
-        open_ = written(named.join(mixed, "key").select("key", "rep", "n", "members", "label"), "near-dup-open")
-        most = open_.agg(F.max("members")).first()[0] or 0
-        if most <= lead:
-            break
-        lead *= LEADERS
-        # of each open bucket about ``lead`` members lead, in the last round all
-        share = F.pmod(F.xxhash64("rep"), F.lit(1 << 30)) / float(1 << 30)
-        front = open_.filter((F.col("members") <= lead) | (share * F.col("members") < lead)).select(
-            "key", F.col("rep").alias("lead"), F.col("n").alias("m"), F.col("label").alias("other"))
-        more = (
-            open_.join(front, "key")
-            .filter(f"lead != rep and label != other and {close}")
-            .select(F.least("lead", "rep").alias("a"), F.greatest("lead", "rep").alias("b"))
-            .distinct()
-        )
-        found = written(_confirmed(more, sets, percent), "near-dup-links")
-        done = most <= lead
-        if found.limit(1).count():
-            links = links.union(found)
-            # the components found so far stand for their links
-            stars = labels.select(F.col("component").alias("a"), F.col("node").alias("b"))
-            labels = written(components(stars.union(found)), "near-dup-labels")
-
-    member = reps.select("fp1", "fp2", F.col("n").alias("n_shingles"), "rep")
-    joined = sig.drop("bands").join(member, ["fp1", "fp2", "n_shingles"], "left")
+    joined = sig.drop("bands", "sk").join(smallest, ["fp1", "fp2", "n_shingles"], "left")
     named = joined.join(labels.withColumnRenamed("node", "rep"), "rep", "left")
     own = f"n_shingles = 0 or {id_col} is null"
     component = F.expr(f"case when {own} then {id_col} else coalesce(component, rep) end")
