@@ -39,7 +39,7 @@ MAX_LANGUAGES = 500
 KNOWN_WORDS = 300_000
 UNDETERMINED = "und"
 EDGE = 1  # the symbol at both ends of a word
-_M = np.uint64(0x9E3779B97F4A7C15)
+_POWERS = [np.uint64(pow(0x9E3779B97F4A7C15, k, 1 << 64)) for k in range(ORDER + 1)]
 
 
 def symbols(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -70,11 +70,9 @@ def grams(sym: np.ndarray, first: np.ndarray, order: int) -> tuple[np.ndarray, l
     at = np.flatnonzero(place > 0)
     keys = [np.zeros(len(at), np.uint64)]
     total = np.zeros(len(at), np.uint64)
-    power = np.uint64(1)
     for m in range(1, order + 1):
         back = np.maximum(at - (m - 1), 0)
-        total = total + sym[back].astype(np.uint64) * power
-        power = power * _M
+        total = total + sym[back].astype(np.uint64) * _POWERS[m - 1]
         keys.append(tx.mix64(total + np.uint64(m)))
     return at, keys, place[at] + 1
 
@@ -134,10 +132,9 @@ class Models:
 def grams_before(sym: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, list[np.ndarray], None]:
     """Hashes of the m symbols before each position (m from 0 to ORDER - 1)."""
     keys = [np.zeros(len(at), np.uint64)]
-    total, power = np.zeros(len(at), np.uint64), np.uint64(1)
+    total = np.zeros(len(at), np.uint64)
     for m in range(1, ORDER):
-        total = total + sym[np.maximum(at - m, 0)].astype(np.uint64) * power
-        power = power * _M
+        total = total + sym[np.maximum(at - m, 0)].astype(np.uint64) * _POWERS[m - 1]
         keys.append(tx.mix64(total + np.uint64(m)))
     return at, keys, None
 
@@ -228,7 +225,7 @@ def calibrate(model: Models, total: np.ndarray, n: np.ndarray, truth: np.ndarray
     model.cut = np.full(len(model.languages), np.inf)
     for k in range(len(model.languages)):
         own = entropy[truth[use] == k, k]
-        if len(own) >= 20:
+        if len(own) >= 5:
             model.cut[k] = own.mean() + 8 * own.std() + 0.5
 
 
