@@ -149,7 +149,9 @@ def test_hours_series_and_scale_conf(layers):
     keys = [(str(r.WorkDate), r.STATE) for r in series]
     assert keys == sorted(keys, key=lambda k: (k[0] != "None", k))
     conf = scale_conf(100 * 2**40, 4000)
-    assert int(conf["spark.sql.shuffle.partitions"]) == 409600
+    assert int(conf["spark.sql.shuffle.partitions"]) == 50_000  # beyond it reducers get more each
+    assert int(conf["spark.sql.files.maxPartitionBytes"]) * 50_000 >= 100 * 2**40
+    assert int(scale_conf(2**40, 100)["spark.sql.shuffle.partitions"]) == 4096
     assert int(scale_conf(10, 8)["spark.sql.shuffle.partitions"]) == 16
 
 
@@ -367,3 +369,24 @@ def test_untrimmed_sees_every_white_space(spark):
     df = spark.createDataFrame([(v,) for v in values], "STATE string")
     want = sum(v is None or v != v.strip() for v in values)
     assert quality_counts(df, trimmed=["STATE"], row_count=False).first().n == want
+
+
+def test_failed_overwrite_leaves_the_table(spark, tmp_path):
+    from wardstat.sources.sinks import overwrite
+
+    path = str(tmp_path / "t")
+    overwrite(spark.range(5), path)
+    overwrite(read_table(spark, path).filter("id > 1"), path)  # also from itself
+    assert read_table(spark, path).count() == 3
+    with pytest.raises(Exception, match="no luck"):
+        overwrite(spark.range(9).withColumn("x", F.raise_error(F.lit("no luck"))), path)
+    assert sorted(r.id for r in read_table(spark, path).collect()) == [2, 3, 4]
+
+
+def test_stored_schema_has_every_column(spark, tmp_path):
+    path = str(tmp_path / "t")
+    append_batch(spark.createDataFrame([(1, "a")], "id int, v string"), path, "b1", fmt="orc")
+    append_batch(spark.createDataFrame([(2.5, 2)], "extra double, id int"), path, "b2", fmt="orc")
+    t = read_table(spark, path, "orc")
+    assert t.columns == ["id", "v", "extra", "batch_id"]
+    assert rows(t.select("id", "v", "extra")) == [(1, "a", None), (2, None, 2.5)]

@@ -165,13 +165,7 @@ def _all_keys(sets) -> set[str]:
 
 def write_rollups(rollups: DataFrame, path: str, fmt: str = "parquet") -> None:
     """Write a rollup frame once, one partition per summary table."""
-    (
-        rollups.write.format(fmt)
-        .mode("overwrite")
-        .option("partitionOverwriteMode", "static")  # replace the whole table
-        .partitionBy(SUMMARY)
-        .save(path)
-    )
+    overwrite(rollups, path, fmt=fmt, partition_by=[SUMMARY])
 
 
 def staffing_readmission_tables(

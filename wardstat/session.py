@@ -106,6 +106,7 @@ def scale_conf(
     total_cores: int,
     target_partition_bytes: int = 256 * 1024 * 1024,
     scan_split_bytes: int = 256 * 1024 * 1024,
+    max_partitions: int = 50_000,
 ) -> dict[str, str]:
     """Starting settings for a large cluster, to pass as ``extra_conf``.
 
@@ -115,8 +116,17 @@ def scale_conf(
     ``target_partition_bytes`` and at least two waves' worth of tasks; AQE
     then coalesces small partitions and splits skewed ones at runtime, so
     the number only has to be large enough, never exact.
+
+    A shuffle has as many blocks as map tasks times reducers.  Beyond
+    ``max_partitions`` reducers each one gets more than the target instead
+    (2 GB at 100 TB), and a scan split grows alike, so 100 TB make about
+    5 * 10^4 x 5 * 10^4 = 2.5 * 10^9 blocks, of 40 KB each, not 10^11.
     """
     parts = max(2 * total_cores, -(-shuffle_bytes // target_partition_bytes))
+    if parts > max_partitions:
+        parts = max(2 * total_cores, max_partitions)
+        target_partition_bytes = -(-shuffle_bytes // parts)
+        scan_split_bytes = max(scan_split_bytes, target_partition_bytes)
     return {
         "spark.sql.shuffle.partitions": str(parts),
         "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(parts),

@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 from pyspark.sql.utils import AnalysisException
 
+from wardstat.sources.sinks import stored_schema
+
 
 def read_csv(
     spark: SparkSession,
@@ -47,10 +49,16 @@ def read_csv(
     return out
 
 
-def read_table(spark: SparkSession, path: str, fmt: str = "parquet", merge_schema: bool = True) -> DataFrame:
-    """Read a stored table; appended batches with new columns are merged."""
+def read_table(spark: SparkSession, path: str, fmt: str = "parquet", merge_schema: bool = False) -> DataFrame:
+    """Read a stored table with the schema stored beside it, which holds every
+    column any batch brought.  A table without one (written by something
+    else) is read as Spark finds it; ``merge_schema`` then looks at every
+    file's footer."""
+    schema = stored_schema(spark, path)
     reader = spark.read.format(fmt)
-    if fmt == "parquet" and merge_schema:
+    if schema is not None:
+        return reader.schema(schema).load(path)
+    if merge_schema and fmt in ("parquet", "orc"):
         reader = reader.option("mergeSchema", "true")
     return reader.load(path)
 
@@ -60,7 +68,7 @@ def read_or_empty(
     path: str,
     schema: StructType | str,
     fmt: str = "parquet",
-    merge_schema: bool = True,
+    merge_schema: bool = False,
 ) -> DataFrame:
     """Read a table, or an empty frame of ``schema`` when the path does not
     exist or is a folder without data files (what a crashed write leaves).

@@ -2,36 +2,96 @@
 
 An append is written as one partition per batch with dynamic partition
 overwrite: replaying a batch after a failure replaces what the failed try
-left instead of adding the rows twice.  Readers get ``mergeSchema`` so a
-batch that brought a new column is read together with older ones.
+left instead of adding the rows twice.
+
+The schema of a table, merged over its batches, is stored in its folder
+under ``_schema`` (a name that readers skip), so a read needs neither a look
+at every file's footer nor an inference job.
+
+An overwrite is written beside the table first and then takes its place: a
+job that fails, however late, leaves the old table as it was.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import json
+import uuid
+from collections.abc import Sequence
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
+from pyspark.sql.utils import AnalysisException
 
 BATCH_COL = "batch_id"
+SCHEMA_FOLDER = "_schema"
+
+
+def stored_schema(spark: SparkSession, path: str) -> StructType | None:
+    """The schema stored with a table; None if there is none."""
+    try:
+        row = spark.read.schema("value string").text(f"{path.rstrip('/')}/{SCHEMA_FOLDER}").first()
+    except AnalysisException:
+        return None
+    return None if row is None else StructType.fromJson(json.loads(row.value))
+
+
+def _store_schema(spark: SparkSession, path: str, schema: StructType) -> None:
+    one = spark.range(1).select(F.lit(schema.json()).alias("value"))
+    one.coalesce(1).write.mode("overwrite").text(f"{path.rstrip('/')}/{SCHEMA_FOLDER}")
+
+
+def _merged(old: StructType | None, new: StructType) -> StructType:
+    """Columns of both, the batch column last; a shared one keeps its type."""
+    fields = {f.name.lower(): f for f in [*new.fields, *(old.fields if old else [])]}
+    names = [f.name.lower() for f in [*(old.fields if old else []), *new.fields]]
+    order = [n for n in dict.fromkeys(names) if n != BATCH_COL] + [n for n in names if n == BATCH_COL][:1]
+    return StructType([fields[n] for n in order])
 
 
 def append_batch(df: DataFrame, path: str, batch_id: str, fmt: str = "parquet") -> None:
     """Write ``df`` as batch ``batch_id`` of the table at ``path``."""
+    out = df.withColumn(BATCH_COL, F.lit(str(batch_id)))
     (
-        df.withColumn(BATCH_COL, F.lit(str(batch_id)))
-        .write.format(fmt)
+        out.write.format(fmt)
         .mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(BATCH_COL)
         .save(path)
     )
+    old = stored_schema(df.sparkSession, path)
+    merged = _merged(old, out.schema)
+    if old != merged:
+        _store_schema(df.sparkSession, path, merged)
 
 
-def overwrite(df: DataFrame, path: str, fmt: str = "parquet", single_file: bool = False) -> None:
+def overwrite(
+    df: DataFrame, path: str, fmt: str = "parquet", single_file: bool = False, partition_by: Sequence[str] = ()
+) -> None:
     """Replace the table at ``path`` (schema included).
 
     ``single_file=True`` is for small summaries only: it shuffles the result
     into one partition (the upstream stages keep their parallelism, unlike
     ``coalesce(1)`` which would pull the last stage into one task).
     """
+    spark, path = df.sparkSession, path.rstrip("/")
+    mark = uuid.uuid4().hex[:12]
+    fresh, former = f"{path}.next-{mark}", f"{path}.former-{mark}"
     out = df.repartition(1) if single_file else df
-    out.write.format(fmt).mode("overwrite").save(path)
+    writer = out.write.format(fmt)
+    if partition_by:
+        writer = writer.partitionBy(*partition_by)
+    writer.save(fresh)
+    kept = [f for f in out.schema.fields if f.name not in partition_by]
+    _store_schema(spark, fresh, StructType(kept + [out.schema[c] for c in partition_by]))
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path
+    fs = hadoop(path).getFileSystem(spark._jsc.hadoopConfiguration())
+    had = fs.exists(hadoop(path))
+    if had and not fs.rename(hadoop(path), hadoop(former)):
+        raise OSError(f"{path} could not be moved aside")
+    if not fs.rename(hadoop(fresh), hadoop(path)):
+        if had:
+            fs.rename(hadoop(former), hadoop(path))
+        raise OSError(f"{fresh} could not take the place of {path}")
+    if had:
+        fs.delete(hadoop(former), True)
