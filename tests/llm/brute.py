@@ -163,3 +163,38 @@ def line_duplicates(docs, percent=80):
             if first[root[x]] == (i, pos):
                 kept.append(pos)
     return {i: (n, sorted(k)) for i, (n, k) in out.items()}
+
+
+def mixture(docs, weights, seed="mix", epochs=3):
+    """{id: copies} for (id, source, size) rows and sampling weights by id."""
+    import math
+
+    def key(i):
+        u = (int(hashlib.md5(f"{seed}{i}".encode()).hexdigest()[:13], 16) + 0.5) / 2**52
+        return -math.log(u) / weights[i]
+
+    sizes = {}
+    for _, source, n in docs:
+        sizes[source] = sizes.get(source, 0) + n
+    names = sorted((s for s in sizes if s is not None)) + ([None] if None in sizes else [])
+    share = {s: i % 3 + 1 for i, s in enumerate(names)}
+    target, left, open_ = {}, sum(sizes.values()), set(names)
+    while open_:
+        total = sum(share[s] for s in open_)
+        full = [s for s in open_ if 3 * sizes[s] <= left * share[s] / total]
+        if not full:
+            target.update({s: left * share[s] / total for s in open_})
+            break
+        for s in full:
+            target[s] = 3.0 * sizes[s]
+        left -= sum(3 * sizes[s] for s in full)
+        open_ -= set(full)
+    copies = {}
+    for s in names:
+        own = sorted(((key(i), i, n) for i, source, n in docs if source == s))
+        whole = int(target[s] // sizes[s]) if sizes[s] else 0
+        rest, cum = target[s] - whole * sizes[s], 0
+        for _, i, n in own:
+            cum += n
+            copies[i] = whole + (1 if n and rest > 0 and 2 * cum - n < 2 * rest else 0)
+    return copies
