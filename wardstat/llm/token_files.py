@@ -64,7 +64,7 @@ SCALE = 20  # order-0 frequencies sum to 2^20 at most
 LEVELS = 8  # runs of successes told apart
 ORDER2_BITS = 12
 GAIN = 32  # weight of a seen id against an unseen one of the alphabet
-REFRESH = 128
+REFRESH = 256
 _LOW32, _ALL = U64(0xFFFFFFFF), U64(0xFFFFFFFFFFFFFFFF)
 
 
@@ -78,41 +78,47 @@ class Model:
         lanes, width = len(sizes), int(sizes.max(initial=1))
         self.width = width
         self.lane = np.arange(lanes)
-        self.row1, self.row2, self.row0 = self.lane * width, self.lane << ORDER2_BITS, self.lane * (width + 1)
+        # a lane's cumulative frequencies have a power of two of places, for
+        # binary search; places beyond the alphabet are never reached
+        self.jumps = [1 << k for k in range((width + 1).bit_length() - 1, -1, -1)]
+        self.places = 2 * self.jumps[0]
+        self.row1, self.row2, self.row0 = self.lane * width, self.lane << ORDER2_BITS, self.lane * self.places
         self.rowk = self.lane * LEVELS
         # the id seen last in a context and its run of successes: id * LEVELS + run
         self.table1 = np.zeros(lanes * width, np.int32)
         self.table2 = np.zeros(lanes << ORDER2_BITS, np.int32)
         start = np.array([1024, 16384, 32768, 40960, 49152, 53248, 57344, 60000])
         self.odds1, self.odds2 = np.tile(start, lanes), np.tile(start, lanes)
-        self.unseen = (np.arange(width) < sizes[:, None]).astype(np.int32)
-        self.count = np.zeros(lanes * width, np.int32)
+        self.sizes = sizes
+        self.count = np.zeros((lanes, width), np.int32)
+        self.flat_count = self.count.reshape(-1)
+        self.cum = np.full((lanes, self.places), 1 << 30, np.int32)
+        self.flat = self.cum.reshape(-1)
         self.last = np.zeros(lanes, np.int64)
         self.before = np.zeros(lanes, np.int64)
         self.at, self.refresh_at = 0, 16
-        self.searched = False
         self.refresh()
 
     def refresh(self) -> None:
         """Order 0 as cumulative frequencies, at least 1 each, that sum to
         less than 2^SCALE."""
-        lanes = len(self.lane)
-        weight = self.count.reshape(lanes, -1).astype(np.int64) * GAIN + self.unseen
-        cum = np.cumsum(weight, axis=1)
         room = (1 << SCALE) - BLOCK_IDS - 1  # the same whatever blocks are beside
-        cum = cum * room // np.maximum(cum[:, -1:], 1) + np.cumsum(self.unseen, axis=1)
-        full = np.zeros((lanes, self.width + 1), np.int64)
-        full[:, 1:] = cum
-        self.cum = full.reshape(-1)
-        self.top = full[:, -1]
-        self.shifted = None
+        column = np.arange(1, self.width + 1)
+        for k in range(0, len(self.lane), 64):  # a few lanes at a time stay in cache
+            own = np.minimum(column, self.sizes[k : k + 64, None])
+            cum = np.cumsum(self.count[k : k + 64], axis=1, dtype=np.int64) * GAIN + own
+            cum *= room
+            cum //= cum[:, -1:] // room + (cum[:, -1:] == 0)
+            self.cum[k : k + 64, 1 : self.width + 1] = cum + own
+            self.cum[k : k + 64, 0] = 0
+        self.top = self.cum[self.lane, self.sizes].astype(np.int64)
 
     def predict(self) -> None:
         """Candidates and their masses in units of 2^-BITS; order 0 has the rest."""
         self.slot1 = self.row1 + self.last
         self.slot2 = self.row2 + ((self.before * 40503 + self.last * 30011) & ((1 << ORDER2_BITS) - 1))
         e1, e2 = self.table1[self.slot1].astype(np.int64), self.table2[self.slot2].astype(np.int64)
-        self.c1, self.c2, self.r1, self.r2 = e1 // LEVELS, e2 // LEVELS, e1 % LEVELS, e2 % LEVELS
+        self.c1, self.c2, self.r1, self.r2 = e1 >> 3, e2 >> 3, e1 & 7, e2 & 7
         self.k1, self.k2 = self.rowk + self.r1, self.rowk + self.r2
         self.p1, self.p2 = self.odds1[self.k1], self.odds2[self.k2]
         one = (1 << 10) - (1 << 4)  # order 0 keeps a 64th at least
@@ -124,7 +130,7 @@ class Model:
     def interval(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Where the ids' masses begin, and the masses."""
         at = self.row0 + ids
-        low, high = self.cum[at] * self.m0 >> SCALE, self.cum[at + 1] * self.m0 >> SCALE
+        low, high = self.flat[at] * self.m0 >> SCALE, self.flat[at + 1] * self.m0 >> SCALE
         self.hit1, self.hit2 = self.c1 == ids, self.c2 == ids
         start = low + self.m1 * (self.c1 < ids) + self.m2 * (self.c2 < ids)
         return start, high - low + self.m1 * self.hit1 + self.m2 * self.hit2
@@ -134,20 +140,23 @@ class Model:
         swap = self.c1 > self.c2
         a, b = np.where(swap, self.c2, self.c1), np.where(swap, self.c1, self.c2)
         ma, mb = np.where(swap, self.m2, self.m1), np.where(swap, self.m1, self.m2)
-        cum, m0 = self.cum, self.m0
-        low_a, high_a = cum[self.row0 + a] * m0 >> SCALE, (cum[self.row0 + a + 1] * m0 >> SCALE) + ma
-        low_b, high_b = (cum[self.row0 + b] * m0 >> SCALE) + ma, (cum[self.row0 + b + 1] * m0 >> SCALE) + ma + mb
+        cum, m0 = self.flat, self.m0
+        at_a, at_b = self.row0 + a, self.row0 + b
+        low_a, high_a = cum[at_a] * m0 >> SCALE, (cum[at_a + 1] * m0 >> SCALE) + ma
+        low_b, high_b = (cum[at_b] * m0 >> SCALE) + ma, (cum[at_b + 1] * m0 >> SCALE) + ma + mb
         in_a = (value >= low_a) & (value < high_a)
         in_b = (value >= low_b) & (value < high_b)
-        if self.shifted is None:
-            self.shifted = (self.cum.reshape(len(self.lane), -1) + (self.lane << 32)[:, None]).reshape(-1)
         out = np.where(in_a, a, b)
         rest = np.flatnonzero(~(in_a | in_b))
         if len(rest):
             v = value[rest]
             v = v - ma[rest] * (v >= high_a[rest]) - mb[rest] * (v >= high_b[rest])
             s = np.minimum((((v + 1) << SCALE) - 1) // m0[rest], self.top[rest] - 1)
-            out[rest] = np.searchsorted(self.shifted, s + (rest << 32), side="right") - 1 - self.row0[rest]
+            # the last place whose sum is at most s
+            at = self.row0[rest]
+            for jump in self.jumps:
+                at = at + jump * (cum[at + jump] <= s)
+            out[rest] = at - self.row0[rest]
         return out
 
     def learn(self, ids: np.ndarray) -> None:
@@ -158,9 +167,9 @@ class Model:
         keep1, keep2 = h1 | (self.r1 > 1), h2 | (self.r2 > 1)
         run1 = np.where(h1, np.minimum(self.r1 + 1, LEVELS - 1), self.r1 >> 1)
         run2 = np.where(h2, np.minimum(self.r2 + 1, LEVELS - 1), self.r2 >> 1)
-        self.table1[self.slot1] = np.where(keep1, self.c1, ids) * LEVELS + run1
-        self.table2[self.slot2] = np.where(keep2, self.c2, ids) * LEVELS + run2
-        self.count[self.row1 + ids] += 1
+        self.table1[self.slot1] = (np.where(keep1, self.c1, ids) << 3) + run1
+        self.table2[self.slot2] = (np.where(keep2, self.c2, ids) << 3) + run2
+        self.flat_count[self.row1 + ids] += 1
         self.before, self.last = self.last, ids
         self.at += 1
         if self.at == self.refresh_at:
@@ -249,18 +258,75 @@ def decode_lanes(payloads: list[bytes], lengths: np.ndarray, sizes: np.ndarray)
     return out.T
 
 
+_PUNCTUATION = np.zeros(256, bool)  # ASCII punctuation but the apostrophe, which begins contractions
+_PUNCTUATION[[*range(0x21, 0x27), *range(0x28, 0x30), *range(0x3A, 0x41), *range(0x5B, 0x61), *range(0x7B, 0x7F)]] = True
+_LETTER = np.zeros(256, bool)
+_LETTER[0x41:0x5B] = _LETTER[0x61:0x7B] = True
+
+
+def split_at_punctuation(w: tx.Words, offsets: np.ndarray) -> tx.Words:
+    """The words cut where ASCII punctuation follows a letter of Latin, so
+    that "word" and "word," share what has to be encoded."""
+    d = w.data
+    if len(d) < 3:
+        return w
+    letter = _LETTER[d]
+    # two-byte letters U+00C0 to U+024F, without the signs U+00D7 and U+00F7
+    two = (d[:-1] >= 0xC3) & (d[:-1] <= 0xC9) & (d[1:] >= 0x80)
+    two &= ~((d[:-1] == 0xC3) & ((d[1:] == 0x97) | (d[1:] == 0xB7)))
+    letter[1:] |= two
+    cut = np.flatnonzero(letter[:-1] & _PUNCTUATION[d[1:]]) + 1
+    cut = cut[~np.isin(cut, offsets)]
+    start, end = np.sort(np.concatenate((w.start, cut))), np.sort(np.concatenate((w.end, cut)))
+    return tx.Words(d, start, end, np.searchsorted(start, offsets).astype(np.int64))
+
+
 class WordIds:
     """Ids of words, remembered by the words' hashes.
 
-    Splitting at ASCII white space changes no id: the tokenizer must drop
-    white space and never join across it, which ``checked`` tests.
+    Splitting at ASCII white space and before punctuation changes no id: the
+    tokenizer must drop white space and keep letters and punctuation apart,
+    which ``splits_at_space`` tests.  Texts that hold a special token's
+    string are cut at white space alone.
     """
 
     def __init__(self, path: str):
         self.tokenizer = Tokenizer.from_file(path)
         self.encode = getattr(self.tokenizer, "encode_batch_fast", self.tokenizer.encode_batch)
+        self.special = [t.content.encode() for t in self.tokenizer.get_added_tokens_decoder().values()]
+        comma = self.tokenizer.encode(",", add_special_tokens=False).ids
+        self.comma = comma[0] if len(comma) == 1 else -1
         self.clear()
 
+    def cut(self, column: pa.Array) -> tx.Words:
+        data, offsets = tx.utf8(column)
+        w = tx.words(data, offsets)
+        raw = data.tobytes()
+        return w if any(t in raw for t in self.special) else split_at_punctuation(w, offsets)
+
+    def fresh(self, texts: list[str]) -> list[np.ndarray]:
+        """Ids of each text; many in one call, with commas in between."""
+        out: list[np.ndarray] = [np.zeros(0, np.int64)] * len(texts)
+        plain = [i for i, t in enumerate(texts) if "," not in t] if self.comma >= 0 else []
+        groups = [plain[k : k + 1000] for k in range(0, len(plain), 1000)]
+        alone = [i for i, t in enumerate(texts) if "," in t] if self.comma >= 0 else list(range(len(texts)))
+        for k in range(0, len(groups), 20):
+            part = groups[k : k + 20]
+            for g, e in zip(part, self.encode([" , ".join(texts[i] for i in g) for g in part], add_special_tokens=False), strict=True):
+                ids = np.array(e.ids, np.int64)
+                at = np.flatnonzero(ids == self.comma)
+                if len(at) != len(g) - 1:  # another text has that id too
+                    alone += g
+                    continue
+                edges = np.concatenate(([-1], at, [len(ids)]))
+                for n, i in enumerate(g):
+                    out[i] = ids[edges[n] + 1 : edges[n + 1]]
+        for k in range(0, len(alone), 5000):
+            part = alone[k : k + 5000]
+            for i, e in zip(part, self.encode([texts[i] for i in part], add_special_tokens=False), strict=True):
+                out[i] = np.array(e.ids, np.int64)
+        return out
+
     def clear(self) -> None:
         self.known = np.zeros(0, U64)
         self.first = np.zeros(1, np.int64)
@@ -280,9 +346,9 @@ class WordIds:
             where[number[::-1]] = np.arange(len(number))[::-1]
             data = w.data.tobytes()
             texts = [data[w.start[i] : w.end[i]].decode() for i in where[new]]
-            got = [e.ids for e in self.encode(texts, add_special_tokens=False)]
+            got = self.fresh(texts)
             sizes = np.concatenate((np.diff(self.first), [len(g) for g in got])).astype(np.int64)
-            flat = np.concatenate((self.ids, np.array([x for g in got for x in g], np.int64)))
+            flat = np.concatenate((self.ids, *got))
             start = np.concatenate(([0], np.cumsum(sizes)))
             keys = np.concatenate((self.known, distinct[new]))
             order = np.argsort(keys)
@@ -303,11 +369,13 @@ def _ramps(start: np.ndarray, n: np.ndarray) -> np.ndarray:
 
 
 def splits_at_space(path: str) -> bool:
-    """Whether the tokenizer drops white space, so that words can be encoded
-    one by one."""
+    """Whether the tokenizer drops white space and keeps letters and
+    punctuation apart, so that words can be encoded one by one."""
     t = Tokenizer.from_file(path)
     probe = "Ab 1c, 'll\tx\n\n d-e  é́ \x0b\x0cF. 's 2 　 g"
     whole = t.encode(probe, add_special_tokens=False).ids
+    if t.encode("ab,cd\u00e9.", add_special_tokens=False).ids != [i for p in ("ab", ",", "cd\u00e9", ".") for i in t.encode(p, add_special_tokens=False).ids]:
+        return False
     parts = [i for p in probe.replace("\t", " ").replace("\n", " ").replace("\x0b", " ").replace("\x0c", " ").split(" ") if p
              for i in t.encode(p, add_special_tokens=False).ids]
     return whole == parts
@@ -395,6 +463,7 @@ def write_blocks(docs: DataFrame, path: str, tokenizer_path: str, id_col: str =
         import os
         import tempfile
 
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task is one thread
         with tempfile.NamedTemporaryFile(suffix=".json", delete=False) as f:
             f.write(vocabulary.value)
         word_ids = WordIds(f.name)
@@ -446,7 +515,7 @@ def write_blocks(docs: DataFrame, path: str, tokenizer_path: str, id_col: str =
             )
 
         for b in tx.chunks(batches, text_col):
-            w = tx.words(*tx.utf8(b.column(text_col)))
+            w = word_ids.cut(b.column(text_col))
             got, n = word_ids(w, tx.word_hashes(w))
             edge = np.concatenate(([0], np.cumsum(n)))[w.first]
             flat = np.insert(got, edge[1:], end_id)
