@@ -214,17 +214,11 @@ def direct_tokens(rows):
     return out
 
 
-@pytest.mark.parametrize("block,lanes", [(8192, 512), (64, 3)])
-def test_token_blocks(spark, odd, nothing, tmp_path, monkeypatch, block, lanes):
-    import sys
-
-    # blocks are cut in the workers, which import the module anew: small blocks
-    # are tested through the group functions below, whole files here
-    assert sys.modules["wardstat.llm.token_files"] is token_files
-    path = str(tmp_path / f"blocks{block}")
+def test_token_blocks(spark, odd, nothing, tmp_path):
+    path = str(tmp_path / "blocks")
     token_files.write_blocks(odd, path, queries.tokenizer_file())
     assert by_id(token_files.read_documents(spark.read.parquet(path))) == direct_tokens(pairs(odd))
-    empty = str(tmp_path / f"none{block}")
+    empty = str(tmp_path / "none")
     token_files.write_blocks(nothing, empty, queries.tokenizer_file())
     assert token_files.read_documents(spark.read.parquet(empty)).count() == 0
 
@@ -236,13 +230,14 @@ def test_token_ids_of_odd_words():
     rng = random.Random(11)
     alphabet = "ab Z,.'!é ñ×÷'s'll <|endoftext|≯́=…日\x1c\x85\xa0\n\tſİß9_"
     texts = ["".join(rng.choice(alphabet) for _ in range(rng.randrange(60))) for _ in range(1500)] + odd_texts()
-    words = token_files.WordIds(queries.tokenizer_file())
+    file = open(queries.tokenizer_file(), "rb").read()
+    words = token_files.WordIds(file)
     t = Tokenizer.from_file(queries.tokenizer_file())
     for text in texts:
         w = words.cut(pa.array([text], pa.string()))
         got, _ = words(w, token_files.tx.word_hashes(w))
         assert got.tolist() == t.encode(text or "", add_special_tokens=False).ids, repr(text)
-    assert token_files.splits_at_space(queries.tokenizer_file())
+    assert token_files.splits_at_space(file)
 
 
 def test_coder_round_trip_and_damage():

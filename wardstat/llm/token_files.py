@@ -33,6 +33,7 @@ arrays: everything is integer arithmetic, so decoding repeats it exactly.
 
 from __future__ import annotations
 
+import os
 import struct
 import zlib
 from collections.abc import Iterator
@@ -272,8 +273,10 @@ def split_at_punctuation(w: tx.Words, offsets: np.ndarray) -> tx.Words:
         return w
     letter = _LETTER[d]
     # two-byte letters U+00C0 to U+024F, without the signs U+00D7 and U+00F7
+    # and without U+0130, whose lower case ends in a mark
     two = (d[:-1] >= 0xC3) & (d[:-1] <= 0xC9) & (d[1:] >= 0x80)
     two &= ~((d[:-1] == 0xC3) & ((d[1:] == 0x97) | (d[1:] == 0xB7)))
+    two &= ~((d[:-1] == 0xC4) & (d[1:] == 0xB0))
     letter[1:] |= two
     cut = np.flatnonzero(letter[:-1] & _PUNCTUATION[d[1:]]) + 1
     cut = cut[~np.isin(cut, offsets)]
@@ -290,8 +293,8 @@ class WordIds:
     string are cut at white space alone.
     """
 
-    def __init__(self, path: str):
-        self.tokenizer = Tokenizer.from_file(path)
+    def __init__(self, file: bytes):
+        self.tokenizer = Tokenizer.from_buffer(file)
         self.encode = getattr(self.tokenizer, "encode_batch_fast", self.tokenizer.encode_batch)
         self.special = [t.content.encode() for t in self.tokenizer.get_added_tokens_decoder().values()]
         comma = self.tokenizer.encode(",", add_special_tokens=False).ids
@@ -304,60 +307,71 @@ class WordIds:
         raw = data.tobytes()
         return w if any(t in raw for t in self.special) else split_at_punctuation(w, offsets)
 
-    def fresh(self, texts: list[str]) -> list[np.ndarray]:
-        """Ids of each text; many in one call, with commas in between."""
-        out: list[np.ndarray] = [np.zeros(0, np.int64)] * len(texts)
-        plain = [i for i, t in enumerate(texts) if "," not in t] if self.comma >= 0 else []
-        groups = [plain[k : k + 1000] for k in range(0, len(plain), 1000)]
-        alone = [i for i, t in enumerate(texts) if "," in t] if self.comma >= 0 else list(range(len(texts)))
-        for k in range(0, len(groups), 20):
-            part = groups[k : k + 20]
-            for g, e in zip(part, self.encode([" , ".join(texts[i] for i in g) for g in part], add_special_tokens=False), strict=True):
+    def clear(self) -> None:
+        self.known = np.zeros(0, U64)  # sorted; slot k begins at first[k] of ids
+        self.slot = np.zeros(0, np.int64)
+        self.first = np.zeros(1, np.int64)
+        self.ids = np.zeros(0, np.int64)
+
+    def fresh(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ids of the texts, joined; how many each has; and each text's place
+        among them.  Many texts are encoded in one call, with commas between."""
+        comma = [self.comma < 0 or "," in t for t in texts]
+        plain = [i for i, c in enumerate(comma) if not c]
+        alone = [i for i, c in enumerate(comma) if c]
+        flat, sizes, done = [], [], []
+        for k in range(0, len(plain), 20_000):
+            groups = [plain[g : g + 1000] for g in range(k, min(k + 20_000, len(plain)), 1000)]
+            for g, e in zip(groups, self.encode([" , ".join([texts[i] for i in g]) for g in groups], add_special_tokens=False), strict=True):
                 ids = np.array(e.ids, np.int64)
-                at = np.flatnonzero(ids == self.comma)
+                between = ids == self.comma
+                at = np.flatnonzero(between)
                 if len(at) != len(g) - 1:  # another text has that id too
                     alone += g
                     continue
-                edges = np.concatenate(([-1], at, [len(ids)]))
-                for n, i in enumerate(g):
-                    out[i] = ids[edges[n] + 1 : edges[n + 1]]
+                flat.append(ids[~between])
+                sizes.append(np.diff(np.concatenate(([-1], at, [len(ids)]))) - 1)
+                done += g
         for k in range(0, len(alone), 5000):
             part = alone[k : k + 5000]
-            for i, e in zip(part, self.encode([texts[i] for i in part], add_special_tokens=False), strict=True):
-                out[i] = np.array(e.ids, np.int64)
-        return out
-
-    def clear(self) -> None:
-        self.known = np.zeros(0, U64)
-        self.first = np.zeros(1, np.int64)
-        self.ids = np.zeros(0, np.int64)
+            got = [np.array(e.ids, np.int64) for e in self.encode([texts[i] for i in part], add_special_tokens=False)]
+            flat += got
+            sizes.append(np.array([len(g) for g in got], np.int64))
+            done += part
+        place = np.empty(len(texts), np.int64)
+        place[np.array(done, np.int64)] = np.arange(len(texts))
+        return np.concatenate(flat), np.concatenate(sizes), place
 
     def __call__(self, w: tx.Words, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the words, in order, and how many each word has."""
+        if not len(hashes):
+            return np.zeros(0, np.int64), np.zeros(0, np.int64)
         number, distinct = pd.factorize(hashes)
         if len(self.known) > KNOWN_WORDS:
             self.clear()
         at = np.searchsorted(self.known, distinct)
-        at[at == len(self.known)] = 0
-        new = np.flatnonzero(self.known[at] != distinct) if len(self.known) else np.arange(len(distinct))
+        have = np.zeros(len(distinct), bool)
+        inside = at < len(self.known)
+        have[inside] = self.known[at[inside]] == distinct[inside]
+        new = np.flatnonzero(~have)
         if len(new):
             # where each new word stands first
             where = np.empty(len(distinct), np.int64)
             where[number[::-1]] = np.arange(len(number))[::-1]
             data = w.data.tobytes()
-            texts = [data[w.start[i] : w.end[i]].decode() for i in where[new]]
-            got = self.fresh(texts)
-            sizes = np.concatenate((np.diff(self.first), [len(g) for g in got])).astype(np.int64)
-            flat = np.concatenate((self.ids, *got))
-            start = np.concatenate(([0], np.cumsum(sizes)))
-            keys = np.concatenate((self.known, distinct[new]))
-            order = np.argsort(keys)
-            self.known, sizes = keys[order], sizes[order]
-            self.ids = flat[_ramps(start[:-1][order], sizes)]
-            self.first = np.concatenate(([0], np.cumsum(sizes)))
+            texts = [data[s:e].decode() for s, e in zip(w.start[where[new]].tolist(), w.end[where[new]].tolist(), strict=True)]
+            flat, sizes, place = self.fresh(texts)
+            order = np.argsort(distinct[new])
+            slots = len(self.first) - 1 + place[order]
+            self.ids = np.concatenate((self.ids, flat))
+            self.first = np.concatenate((self.first, self.first[-1] + np.cumsum(sizes)))
+            keys = distinct[new][order]
+            spot = np.searchsorted(self.known, keys)
+            self.known, self.slot = np.insert(self.known, spot, keys), np.insert(self.slot, spot, slots)
             at = np.searchsorted(self.known, distinct)
-        n = (self.first[at + 1] - self.first[at])[number] if len(number) else np.zeros(0, np.int64)
-        return self.ids[_ramps(self.first[at][number], n)] if len(number) else np.zeros(0, np.int64), n
+        slot = self.slot[at][number]
+        n = self.first[slot + 1] - self.first[slot]
+        return self.ids[_ramps(self.first[slot], n)], n
 
 
 def _ramps(start: np.ndarray, n: np.ndarray) -> np.ndarray:
@@ -368,10 +382,10 @@ def _ramps(start: np.ndarray, n: np.ndarray) -> np.ndarray:
     return np.repeat(start - (np.cumsum(n) - n), n) + np.arange(total)
 
 
-def splits_at_space(path: str) -> bool:
+def splits_at_space(file: bytes) -> bool:
     """Whether the tokenizer drops white space and keeps letters and
     punctuation apart, so that words can be encoded one by one."""
-    t = Tokenizer.from_file(path)
+    t = Tokenizer.from_buffer(file)
     probe = "Ab 1c, 'll\tx\n\n d-e  é́ \x0b\x0cF. 's 2 　 g"
     whole = t.encode(probe, add_special_tokens=False).ids
     if t.encode("ab,cd\u00e9.", add_special_tokens=False).ids != [i for p in ("ab", ",", "cd\u00e9", ".") for i in t.encode(p, add_special_tokens=False).ids]:
@@ -407,9 +421,14 @@ def _group_records(shard: int, first: int, ids: np.ndarray, pieces: list[np.ndar
     lengths[-1] = len(ids) - BLOCK_IDS * (n_blocks - 1)
     local = np.zeros((n_blocks, int(lengths.max())), np.int64)
     alphabets = []
+    rank = np.zeros(int(ids.max(initial=0)) + 1, np.int64)
     for k in range(n_blocks):
-        distinct, number = np.unique(ids[k * BLOCK_IDS : k * BLOCK_IDS + lengths[k]], return_inverse=True)
-        local[k, : lengths[k]] = number
+        block = ids[k * BLOCK_IDS : k * BLOCK_IDS + lengths[k]]
+        rank[block] = 1
+        distinct = np.flatnonzero(rank)
+        rank[distinct] = np.arange(len(distinct))
+        local[k, : lengths[k]] = rank[block]
+        rank[distinct] = 0
         alphabets.append(distinct)
     payloads = encode_lanes(local, lengths, np.array([len(a) for a in alphabets]))
     out = []
@@ -452,22 +471,16 @@ def write_blocks(docs: DataFrame, path: str, tokenizer_path: str, id_col: str =
     spark = docs.sparkSession
     ship(spark)
     with open(tokenizer_path, "rb") as f:
-        vocabulary = spark.sparkContext.broadcast(f.read())  # the tokenizer's file, whatever the input
-    by_space = splits_at_space(tokenizer_path)
-    if not by_space:
+        file = f.read()
+    vocabulary = spark.sparkContext.broadcast(file)  # the tokenizer's file, whatever the input
+    if not splits_at_space(file):
         raise ValueError("the tokenizer keeps white space; words can't be encoded one by one")
     order = [F.col(id_col).asc_nulls_first(), F.xxhash64(text_col), F.col(text_col)]
     ordered = docs.select(F.col(id_col).cast("long").alias(id_col), text_col).repartitionByRange(*order[:2]).sortWithinPartitions(*order)
 
     def run(batches):
-        import os
-        import tempfile
-
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task is one thread
-        with tempfile.NamedTemporaryFile(suffix=".json", delete=False) as f:
-            f.write(vocabulary.value)
-        word_ids = WordIds(f.name)
-        os.unlink(f.name)
+        word_ids = WordIds(vocabulary.value)
         shard, first, row = TaskContext.get().partitionId(), 0, 0
         ids, sizes, keys = [], [], []  # of documents not yet written
         held, open_piece = 0, 0  # ids held; ids of the first held document that are written already
