@@ -19,7 +19,7 @@ import sys
 ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 sys.path.insert(0, ROOT)
 
-import __spark_entry__ as entry  # noqa: E402
+from wardstat.plans import standins  # noqa: E402
 from wardstat.session import build_session  # noqa: E402
 
 
@@ -76,7 +76,7 @@ def main() -> None:
     print("`table: pushed filters (IsNotNull omitted) / number of columns read`.\n")
     print("| query | shuffles | broadcast (tables) | joins | pre-shuffle limit | other | scans |")
     print("| --- | --- | --- | --- | --- | --- | --- |")
-    for name, build in entry.queries().items():
+    for name, build in standins.QUERIES.items():
         plan = formatted(build(spark, sf_dir))
         head = plan.split("\n\n")[0]
         shuffles = sum(1 for ln in head.split("\n") if re.search(r"\bExchange\b", ln) and "Broadcast" not in ln)

@@ -108,3 +108,28 @@ def test_grouping_sets_job_shuffles_small_sets_once_and_the_pair_set_alone(spark
     # the three small sets share an Expand and a shuffle; the near-unique pair set has its own
     assert len(shuffles) == 2
     assert len([ln for ln in head.split("\n") if "Expand" in ln]) == 1
+
+
+def test_bed_plans_count_the_many_row_side_before_the_join(spark, capsys, tmp_path):
+    """A facility with a third of all MDS rows is reduced inside the map
+    tasks: after the latest pick no join task gets its rows."""
+    mds = spark.range(30_000).select(
+        F.when(F.col("id") % 3 == 0, F.lit(7)).otherwise(F.col("id") % 500).alias("CCN"), (F.col("id") % 4).cast("string").alias("kind")
+    )
+    mds.repartition(6).write.parquet(str(tmp_path / "mds"))
+    mds = spark.read.parquet(str(tmp_path / "mds"))
+    prov = spark.range(500).select(
+        F.col("id").alias("CCN"), F.lit(5.0).alias("residents"), F.lit(10.0).alias("beds"), F.lit("2024-10-01").cast("timestamp").alias("loaded")
+    )
+    plain = gold.bed_utilization(prov, mds, ["kind"], "u", key="CCN", residents="residents", beds="beds", stamp="loaded")
+    rolled = jobs.bed_utilization_rollups(prov, mds, key="CCN", residents="residents", beds="beds", stamp="loaded", sets={"k": ("kind",)})
+    for df in (plain, rolled):
+        tree = plan_of(df, capsys).split("\n\n")[0].split("\n")
+        scan = next(i for i, ln in enumerate(tree) if "Scan parquet" in ln)
+        above = [ln for ln in tree[:scan] if any(k in ln for k in ("HashAggregate", "Exchange", "Join"))]
+        names = [next(k for k in ("HashAggregate", "Exchange", "Join") if k in ln) for ln in above]
+        # from the scan upwards: counted, then shuffled
+        assert names[-1] == "HashAggregate" and names[-2] == "Exchange", tree
+    assert [tuple(r) for r in plain.orderBy("kind").collect()] == [(str(k), 50.0) for k in range(4)]
+    counts = gold.mds_counts(prov, mds, "CCN", ["kind"])
+    assert counts.groupBy("CCN").count().agg(F.max("count")).first()[0] <= 4  # rows of the hot key that meet the join
