@@ -902,7 +902,9 @@ def q_report_bed_bars(spark, d):
         loads, _mds(spark, d).select("CCN", "o_orderpriority"), by=["c_name", "State"], name="bed_utilization", key="CCN",
         residents="residents", beds="beds", stamp="loaded", tie_break="beds", enrich=lambda df: df.join(state, "CCN"),
     )
-    return serving.hospital_bars(bars, None, "c_name", STATE_PICK, "State")
+    path = scratch_path(spark, "gold-bed")
+    overwrite(bars, path)
+    return serving.hospital_bars(read_table(spark, path), None, "c_name", STATE_PICK, "State")
 
 
 def q_report_scatter(spark, d):
