@@ -249,15 +249,13 @@ def q_allow_listed_files(spark, d):
 
 
 def q_silver_master(spark, d):
-    f = staffing_facts(
-        spark, d,
-        ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice",
-         "l_quantity", "l_discount", "l_tax", "l_shipdate"],
+    li = table(spark, d, "lineitem").select(
+        "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_quantity", "l_discount", "l_tax", "l_shipdate"
     )
-    raw = f.select(
+    raw = li.select(
         F.col("l_suppkey").cast("string").alias("PROVNUM"),
         F.col("l_suppkey"),
-        F.col("n_name").alias("STATE"),
+        F.lit(None).cast("string").alias("STATE"),  # belongs to the facility: attached after the de-duplication
         F.col("l_shipdate").alias("WorkDate"),  # a typed source: no text round trip
         F.nullif(F.col("l_quantity"), F.lit(1.0)).alias("Hrs_RN"),
         F.col("l_tax").alias("Hrs_LPN"),
@@ -267,9 +265,12 @@ def q_silver_master(spark, d):
     # the survivor order of the oracle: ..., l_quantity, l_discount, l_tax
     order = ["l_orderkey", "l_linenumber", "l_partkey", "l_extendedprice", "l_quantity", "MDScensus", "Hrs_LPN"]
     s = silver.master_staffing(raw, order=order)
+    sup = table(spark, d, "supplier").select("s_suppkey", "s_nationkey")
+    nat = table(spark, d, "nation").select("n_nationkey", "n_name")
+    s = s.join(sup, s.l_suppkey == sup.s_suppkey).join(nat, F.col("s_nationkey") == nat.n_nationkey)
     return s.select(
         "l_suppkey",
-        F.col("STATE").alias("state"),
+        clean_code("n_name").alias("state"),
         F.col("WorkDate").alias("work_date"),
         F.col("TotalNursing_Hours").alias("total_hours"),
         F.round(guarded_ratio("TotalNursing_Hours", "MDScensus"), 6).alias("ratio"),
