@@ -674,7 +674,7 @@ def q_roundtrip_append_replay(spark, d):
 def q_roundtrip_overwrite(spark, d):
     path = scratch_path(spark, "gold-throughput")
     overwrite(_throughput(spark, d).filter(F.col("throughput") > 0), path)
-    overwrite(_throughput(spark, d), path, single_file=True)  # replaces the first write
+    overwrite(_throughput(spark, d), path)  # replaces the first write
     return read_table(spark, path)
 
 
