@@ -44,11 +44,18 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Each document as often as the mix takes it."""
-    weighted = label_weights(docs, table(spark, sf_dir, "labels"))
-    mixed = mixing.mix(weighted, mixing.word_count(), F.col("_weight"))
-    repeated = F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))
-    return mixed.filter("copies > 0").select(*docs.columns, repeated.alias("_copy")).drop("_copy")
+    """Each document as often as the mix takes it.
+
+    Sizes, weights and the cuts need no texts: those meet the decisions in
+    one join.  Rows that share id and source are taken alike.
+    """
+    sizes = docs.select("doc_id", "source", mixing.word_count().alias("_n"))
+    weighted = label_weights(sizes, table(spark, sf_dir, "labels"))
+    mixed = mixing.mix_sizes(weighted, F.col("_n"), F.col("_weight"))
+    one = mixed.groupBy(F.col("doc_id").alias("_id"), F.col("source").alias("_source")).agg(F.max("copies").alias("_copies"))
+    same = docs["doc_id"].eqNullSafe(F.col("_id")) & docs["source"].eqNullSafe(F.col("_source"))
+    repeated = F.explode(F.sequence(F.lit(1), F.col("_copies").cast("int")))
+    return docs.join(one.filter("_copies > 0"), same).select(*docs.columns, repeated.alias("_copy")).drop("_copy")
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
