@@ -44,7 +44,7 @@ from wardstat.llm.ship import ship
 
 ALPHA = 0.4
 HOT = 20_000
-PART_WORDS = 1_500_000  # occurrences a hash partition holds, about
+PART_WORDS = 2_000_000  # occurrences a hash partition holds, about
 KEY_BYTES = 7
 END = np.uint64(0)  # follows a text's last word
 
@@ -60,12 +60,17 @@ def pack(*arrays: np.ndarray) -> bytes:
     return b"".join(out)
 
 
-def unpack(raw) -> list[np.ndarray]:
-    raw, at, out = memoryview(raw), 0, []
+def unpack(raw, first: int = 0, stop: int = 99) -> list[np.ndarray]:
+    """The packed arrays, or those from ``first`` up to ``stop``."""
+    raw, at, out, k = memoryview(raw), 0, [], -1
     while at < len(raw):
+        k += 1
         kind, n = struct.unpack_from("<cI", raw, at)
         dtype = np.dtype(kind.decode())
         size = KEY_BYTES if dtype == np.uint64 else dtype.itemsize
+        if not first <= k < stop:
+            at += 5 + n * size
+            continue
         planes = np.frombuffer(raw, np.uint8, n * size, at + 5).reshape(size, n)
         wide = np.zeros((n, dtype.itemsize), np.uint8)
         wide[:, :size] = planes.T
@@ -232,31 +237,50 @@ def _pair_sums(rows: DataFrame, parts: int, hot, min_count: int) -> DataFrame:
             if not len(ask):
                 yield _batch(out)
                 continue
-            got = [unpack(data[i].as_buffer()) for i in ask]
+            raw = [data[i].as_buffer() for i in ask]
+            chunks = chunk_of[ask].astype(np.int64)
+            got = [unpack(x, 0, 4) for x in raw]
             k1 = np.concatenate([np.repeat(x[0], x[1]) for x in got])
             k2 = np.concatenate([x[2] for x in got])
-            n = np.concatenate([x[3] for x in got]).astype(np.int64)
-            doc = np.concatenate([x[4] for x in got]).astype(np.int64)
-            chunk_no = np.repeat(np.arange(len(ask)), [len(x[4]) for x in got])
+            n = np.concatenate([x[3] for x in got])
+            edge = np.concatenate(([0], np.cumsum([len(x[2]) for x in got])))
             del got
-            pair, names = pd.factorize(tx.mix64(k1) + k2 * np.uint64(0x9E3779B97F4A7C15))
-            c12 = np.bincount(pair, n, minlength=len(names))[pair]
             one, _ = pd.factorize(k1)
             c1 = np.bincount(one, n)[one]
-            at, is_hot = _find(k1, hot_keys)
             if len(hot_keys):
-                c1 = np.where(is_hot, hot_counts[at], c1)
-            seen = (c12 >= min_count) & (k2 != END)
-            value = np.log(np.where(seen, c12, c1))
+                at, is_hot = _find(k1, hot_keys)
+                c1[is_hot] = hot_counts[at[is_hot]]
+            pair, names = pd.factorize(tx.mix64(k1) + k2 * np.uint64(0x9E3779B97F4A7C15))
+            del k1, one
+            value = np.bincount(pair, n, minlength=len(names))[pair]  # c12
+            del pair, names
+            seen = (value >= min_count) & (k2 != END)
+            np.copyto(value, c1, where=~seen)
+            del c1
+            np.log(value, out=value)
             at, hot2 = _find(k2, hot_keys)
             if len(hot_keys):
-                value -= np.where(seen & hot2, np.log(hot_counts[at]), 0)
-            out += _sum_rows(part, chunk_no, chunk_of[ask], doc, np.repeat(value, n), np.repeat(seen, n))
+                both = seen & hot2
+                value[both] -= np.log(hot_counts[at[both]])
             need = seen & ~hot2
+            del at, hot2
+            # the documents of a pair are looked at chunk by chunk
+            asked = []
+            for i, x in enumerate(raw):
+                own = slice(edge[i], edge[i + 1])
+                (doc,) = unpack(x, 4)
+                times = n[own]
+                there = np.flatnonzero(np.bincount(doc))
+                total = np.bincount(doc, np.repeat(value[own], times))[there]
+                kept = np.bincount(doc, np.repeat(seen[own], times))[there]
+                out.append(_row(SUMS, part, int(chunks[i]), pack(there.astype(np.uint32), total, kept.astype(np.uint32))))
+                asked.append(doc[np.repeat(need[own], times)])
+            yield _batch(out)
+            out = []
             if need.any():
-                k, size = k2[need], n[need]
-                kept = np.repeat(need, n)
-                d, c = doc[kept], chunk_no[kept]
+                k, size = k2[need], n[need].astype(np.int64)
+                d = np.concatenate(asked)
+                c = np.repeat(np.arange(len(raw), dtype=np.uint32), [len(x) for x in asked])
                 to = part_of(k, parts)
                 by = np.argsort(to, kind="stable")
                 start = np.concatenate(([0], np.cumsum(size)))
@@ -265,9 +289,9 @@ def _pair_sums(rows: DataFrame, parts: int, hot, min_count: int) -> DataFrame:
                 edges = _runs(to[by])
                 for a, z in zip(edges[:-1], edges[1:], strict=True):
                     t = take[total[a] : total[z]]
-                    data_row = pack(k[by[a:z]], size[by[a:z]].astype(np.uint32), c[t].astype(np.uint32), d[t].astype(np.uint32), chunk_of[ask].astype(np.int64))
+                    data_row = pack(k[by[a:z]], size[by[a:z]].astype(np.uint32), c[t], d[t], chunks)
                     out.append(_row(ASK, int(to[by[a]]), -1, data_row))
-            yield _batch(out)
+                yield _batch(out)
 
     return rows.repartition("part").sortWithinPartitions("part").mapInArrow(run, SHAPE)
 
