@@ -2,10 +2,12 @@
 
 Each chunk of training texts (a shard) gets a word-level suffix array: the
 start positions of its suffixes in the order of their word sequences.  Every
-suffix of every benchmark item is binary-searched in every shard.  The place
-where it would stand has its longest verbatim match as a neighbour, and the
-suffixes that share its first ``window`` words are one range of the array,
-which gives all locations of the window.
+suffix of every benchmark item is binary-searched in every shard, which puts
+both in one order: the longest match of a text's suffix of up to ``window``
+words is with the benchmark suffix before or after it.  The text's suffixes
+that share a benchmark window are one range of the array, which gives all
+locations of the window; windows that follow each other in text and item make
+the longer matches, to their full length.
 
 The benchmark goes to every task (its size is checked against
 ``MAX_BENCHMARK_BYTES``; a larger one is refused, not cut); the training
@@ -35,7 +37,8 @@ MAX_BENCHMARK_BYTES = 64 << 20
 @dataclass
 class Probes:
     """Benchmark items: word hashes with a 0 after each item, the windows
-    (start, length, item number) and the items' ids."""
+    (start, length, item number), the items' ids, and all suffixes in order
+    (start, words up to ``window``, item number)."""
 
     words: np.ndarray
     vocabulary: np.ndarray
@@ -43,6 +46,9 @@ class Probes:
     length: np.ndarray
     item: np.ndarray
     ids: list[str]
+    suffix: np.ndarray
+    rest: np.ndarray
+    owner: np.ndarray
 
 
 def normal_words(column: pa.Array) -> tuple[tx.Words, np.ndarray]:
@@ -57,10 +63,12 @@ def probes(benchmark: DataFrame, id_col: str, text_col: str, window: int) -> Pro
     if size > MAX_BENCHMARK_BYTES:
         raise ValueError(f"the benchmark has {size} bytes of text; at most {MAX_BENCHMARK_BYTES} fit a task, pass it in parts")
     rows = benchmark.filter(F.col(id_col).isNotNull()).select(F.col(id_col).cast("string"), text_col).collect()
+    rows.sort(key=lambda r: (r[0], r[1] or ""))
     ids = sorted({r[0] for r in rows})
     number = {x: i for i, x in enumerate(ids)}
     w, h = normal_words(pa.array([r[1] for r in rows], pa.large_string()))
     parts, start, length, item, at = [], [], [], [], 0
+    rest, owner = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
     for i, r in enumerate(rows):
         own = h[w.first[i] : w.first[i + 1]]
         if not len(own):
@@ -70,10 +78,13 @@ def probes(benchmark: DataFrame, id_col: str, text_col: str, window: int) -> Pro
         length += [min(window, len(own))] * n
         item += [number[r[0]]] * n
         parts += [own, np.zeros(1, np.uint64)]
+        rest.append(np.minimum(np.arange(len(own), -1, -1), window))
+        owner.append(np.full(len(own) + 1, number[r[0]]))
         at += len(own) + 1
     words = np.concatenate([*parts, np.zeros(window, np.uint64)])
     ints = [np.array(x, np.int64) for x in (start, length, item)]
-    return Probes(words, np.unique(words[words != 0]), *ints, ids)
+    suffix = suffix_array(words, np.flatnonzero(words), window)
+    return Probes(words, np.unique(words[words != 0]), *ints, ids, suffix, np.concatenate(rest)[suffix], np.concatenate(owner)[suffix])
 
 
 def suffix_array(h: np.ndarray, positions: np.ndarray, depth: int) -> np.ndarray:
@@ -125,22 +136,57 @@ def _compare(h: np.ndarray, suffix: np.ndarray, probe_words: np.ndarray, start:
     return sign, agree
 
 
-def _bound(h, array, p: Probes, depth: int, upper: bool) -> np.ndarray:
-    lo, hi = np.zeros(len(p.start), np.int64), np.full(len(p.start), len(array), np.int64)
+def _bound(h, array, words: np.ndarray, start: np.ndarray, length: np.ndarray, depth: int, upper: bool) -> np.ndarray:
+    lo, hi = np.zeros(len(start), np.int64), np.full(len(start), len(array), np.int64)
     while True:
         open_ = np.flatnonzero(lo < hi)
         if not len(open_):
             return lo
         mid = (lo[open_] + hi[open_]) // 2
-        sign, _ = _compare(h, array[mid], p.words, p.start[open_], p.length[open_], depth)
+        sign, _ = _compare(h, array[mid], words, start[open_], length[open_], depth)
         right = sign <= 0 if upper else sign < 0
         lo[open_[right]] = mid[right] + 1
         hi[open_[~right]] = mid[~right]
 
 
+@dataclass
+class Longest:
+    """Per document the longest match: words, first word (-1 if none) and item
+    number."""
+
+    words: np.ndarray
+    at: np.ndarray
+    item: np.ndarray
+
+    def offer(self, doc: np.ndarray, words: np.ndarray, at: np.ndarray, item: np.ndarray) -> None:
+        """Takes over what is longer; the first place of equals."""
+        order = np.lexsort((item, at, -words, doc))
+        order = order[np.concatenate(([True], doc[order][1:] != doc[order][:-1]))] if len(order) else order
+        order = order[words[order] > self.words[doc[order]]]
+        d = doc[order]
+        self.words[d], self.at[d], self.item[d] = words[order], at[order], item[order]
+
+
+def _short_matches(h: np.ndarray, array: np.ndarray, p: Probes, window: int) -> tuple[np.ndarray, np.ndarray]:
+    """Per suffix of the shard: the words it shares with a benchmark suffix,
+    ``window`` at most, and that suffix's item."""
+    best, item = np.zeros(len(array), np.int64), np.zeros(len(array), np.int64)
+    if not len(p.suffix):
+        return best, item
+    # both orders run over the same word sequences, ends of texts and items included
+    below = _bound(h, array, p.words, p.suffix, np.full(len(p.suffix), window), window, False)
+    after = np.searchsorted(below, np.arange(len(array)), side="right")
+    for side in (np.maximum(after - 1, 0), np.minimum(after, len(p.suffix) - 1)):
+        _, agree = _compare(h, array, p.words, p.suffix[side], p.rest[side], window)
+        more = agree > best
+        best[more], item[more] = agree[more], p.owner[side[more]]
+    return best, item
+
+
 def search(w: tx.Words, hashes: np.ndarray, p: Probes, window: int):
-    """All occurrences (word position, words, item) of the probes' windows in
-    a shard, and each document's longest verbatim match with its position."""
+    """All occurrences (word position, words, item, document) of the probes'
+    windows in a shard, and each document's longest verbatim match with its
+    position, of ``window`` words at most and in full with its item."""
     n_docs = len(w.first) - 1
     # one 0 after each text keeps matches inside it
     h = np.zeros(len(hashes) + n_docs + window + 1, np.uint64)
@@ -149,28 +195,31 @@ def search(w: tx.Words, hashes: np.ndarray, p: Probes, window: int):
     known = np.isin(hashes, p.vocabulary)
     positions = np.flatnonzero(known) + shift[known]
     array = suffix_array(h, positions, window)
-    lower = _bound(h, array, p, window, False)
-    upper = _bound(h, array, p, window, True)
-    longest = np.zeros(n_docs, np.int64)
-    where = np.full(n_docs, -1, np.int64)
-    if len(array):
-        start_of = w.first[:-1] + np.arange(n_docs)
-        for side in (np.maximum(lower - 1, 0), np.minimum(lower, len(array) - 1)):
-            _, agree = _compare(h, array[side], p.words, p.start, p.length, window)
-            pos = array[side]
-            doc = np.searchsorted(start_of, pos, side="right") - 1
-            order = np.lexsort((-pos, agree))
-            better = agree[order] > longest[doc[order]]
-            d, a, q = doc[order][better], agree[order][better], pos[order][better]
-            longest[d] = a
-            where[d] = q - start_of[d]
+    lower = _bound(h, array, p.words, p.start, p.length, window, False)
+    upper = _bound(h, array, p.words, p.start, p.length, window, True)
+    start_of = w.first[:-1] + np.arange(n_docs)
+    doc_of = lambda at: np.searchsorted(start_of, at, side="right") - 1
+    full = Longest(np.zeros(n_docs, np.int64), np.full(n_docs, -1, np.int64), np.full(n_docs, -1, np.int64))
+    best, item = _short_matches(h, array, p, window)
+    doc = doc_of(array)
+    full.offer(doc, best, array - start_of[doc], item)
+    longest, where = full.words.copy(), full.at.copy()
     count = upper - lower
     hit = np.repeat(np.arange(len(count)), count)
     step = np.arange(len(hit)) - np.repeat(np.cumsum(count) - count, count)
     at = array[lower[hit] + step] if len(hit) else np.zeros(0, np.int64)
+    # hits that follow each other in text and item are one match
+    whole = np.flatnonzero(p.length[hit] == window)
+    order = whole[np.lexsort((at[whole], at[whole] - p.start[hit[whole]]))]
+    if len(order):
+        a, q = at[order], p.start[hit[order]]
+        begin = np.flatnonzero(np.concatenate(([True], (a[1:] != a[:-1] + 1) | (q[1:] != q[:-1] + 1))))
+        words = np.diff(np.concatenate((begin, [len(a)]))) + window - 1
+        doc = doc_of(a[begin])
+        full.offer(doc, words, a[begin] - start_of[doc], p.item[hit[order[begin]]])
     # back to positions without the separators
-    doc = np.searchsorted(w.first[:-1] + np.arange(n_docs), at, side="right") - 1
-    return at - doc, p.length[hit], p.item[hit], doc, longest, where
+    doc = doc_of(at)
+    return at - doc, p.length[hit], p.item[hit], doc, longest, where, full
 
 
 def overlaps(
@@ -187,9 +236,11 @@ def overlaps(
 
     Adds ``n_words``, ``n_hit`` (words inside an occurring window), ``items``
     (ids with an occurring window, as strings in string order), ``spans``
-    (first word and number of words of each maximal hit stretch), ``longest``
-    and ``longest_at`` (longest verbatim match found next to a benchmark
-    suffix, at most ``window`` words, and its first word; -1 if none).
+    (first word and number of words of each maximal hit stretch), and the
+    longest run of words that is also in an item, the first of equals:
+    ``match_words``, ``match_at`` (its first word, -1 if none) and
+    ``match_item`` (an item that holds it).  ``longest`` and ``longest_at``
+    are the same for matches cut to ``window`` words.
     Windows are ``window`` consecutive words; an item of fewer words is one
     window.  Words are runs of a-z, 0-9 and everything beyond ASCII, after
     lower-casing A-Z.  Null and empty texts have no words.  ``keep`` names
@@ -197,7 +248,8 @@ def overlaps(
     """
     ship(docs.sparkSession)
     added = T._parse_datatype_string(
-        "n_words long, n_hit long, items array<string>, spans array<struct<first:long,words:long>>, longest long, longest_at long"
+        "n_words long, n_hit long, items array<string>, spans array<struct<first:long,words:long>>, longest long, longest_at long, "
+        "match_words long, match_at long, match_item string"
     )
     names = [c for c in (docs.columns if keep is None else keep) if c not in added.names]
     p = docs.sparkSession.sparkContext.broadcast(probes(benchmark, item_col, item_text_col, window))
@@ -207,7 +259,7 @@ def overlaps(
         probe = p.value
         for b in tx.chunks(batches, text_col):
             w, hashes = normal_words(b.column(text_col))
-            at, length, item, doc, longest, where = search(w, hashes, probe, window)
+            at, length, item, doc, longest, where, full = search(w, hashes, probe, window)
             n_docs = len(w.counts)
             # covered words, by starts and ends of windows
             edge = np.zeros(len(hashes) + 1, np.int64)
@@ -233,7 +285,8 @@ def overlaps(
                 [b.column(c) for c in names]
                 + [pa.array(w.counts), pa.array(n_hit), pa.array(items, pa.list_(pa.string())),
                    pa.array(spans, pa.list_(pa.struct([("first", pa.int64()), ("words", pa.int64())]))),
-                   pa.array(longest), pa.array(where)],
+                   pa.array(longest), pa.array(where), pa.array(full.words), pa.array(full.at),
+                   pa.array([probe.ids[i] if i >= 0 else None for i in full.item], pa.string())],
                 names=names + added.names,
             )
 
@@ -248,7 +301,7 @@ def contaminated() -> Column:
 
 def decontaminated(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
     """The rows that are not contaminated, with their own columns."""
-    clash = [c for c in ("n_words", "n_hit", "items", "spans", "longest", "longest_at") if c in docs.columns]
+    clash = [c for c in ("n_words", "n_hit", "items", "spans", "longest", "longest_at", "match_words", "match_at", "match_item") if c in docs.columns]
     renamed = docs.withColumnsRenamed({c: f"_own_{c}" for c in clash})
     left = overlaps(renamed, benchmark, **options).filter(~contaminated())
     return left.select(*[F.col(f"_own_{c}" if c in clash else c).alias(c) for c in docs.columns])
