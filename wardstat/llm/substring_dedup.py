@@ -14,8 +14,12 @@ repeated; the words it covers are removed everywhere.
    A prefix that occurs once leads to a leaf and is dropped, which ends most
    suffixes.  The others are dealt into groups by prefix; equal suffixes with
    equal surroundings are merged first, so a passage with very many copies is
-   one entry with a count.  A task takes whole prefixes until it holds
-   ``GROUP`` entries, builds their trees and goes on to the next.
+   one entry with a count.  A prefix of more than ``GROUP`` entries is made
+   longer, by words to the right, until each of its groups fits or has one
+   entry, which is dropped.  Windows that end inside the longer prefix are
+   decided by map-side combined counts of the windows themselves.  A task
+   takes whole groups until it holds ``GROUP`` entries, builds their trees and
+   goes on to the next.
 3. Subtrees.  The suffixes of a prefix are sorted word by word, only ties
    being read on, to full depth: the sorted order with the common depths of
    neighbours is the suffix tree.  For a window that begins ``o`` words
@@ -210,8 +214,9 @@ def _unpack(raw: pa.Array) -> list[np.ndarray]:
     return out
 
 
-def _trees(entries: DataFrame, window: int, prefix: int) -> DataFrame:
-    """(prefix, f1, f2, offsets): the repeated windows of every distinct entry."""
+def _trees(entries: DataFrame, window: int, prefix: int, by: str = "prefix") -> DataFrame:
+    """(prefix, f1, f2, offsets): the repeated windows of every distinct
+    entry; entries of equal ``by`` share their first ``prefix`` words."""
 
     def run(batches):
         held: list[pa.RecordBatch] = []
@@ -219,8 +224,8 @@ def _trees(entries: DataFrame, window: int, prefix: int) -> DataFrame:
         def solve(table: pa.Table):
             table = table.combine_chunks()
             c = {k: table.column(k).combine_chunks() if table.num_rows else None for k in table.column_names}
-            num = {k: c[k].to_numpy(zero_copy_only=False) for k in ("prefix", "low", "high", "copies")}
-            bits = subtrees(num["prefix"], num["low"].astype(np.int64), num["high"].astype(np.int64), _unpack(c["words"]), window, prefix)
+            num = {k: c[k].to_numpy(zero_copy_only=False) for k in (by, "low", "high", "copies")}
+            bits = subtrees(num[by], num["low"].astype(np.int64), num["high"].astype(np.int64), _unpack(c["words"]), window, prefix)
             full = (np.int64(1) << (num["high"] + 1).astype(np.int64)) - (np.int64(1) << num["low"].astype(np.int64))
             bits = np.where(num["copies"] > 1, full, bits)
             return pa.RecordBatch.from_arrays([c["prefix"], c["f1"], c["f2"], pa.array(bits)], names=["prefix", "f1", "f2", "offsets"]).filter(pa.array(bits != 0))
@@ -232,9 +237,9 @@ def _trees(entries: DataFrame, window: int, prefix: int) -> DataFrame:
             held.append(batch)
             rows += batch.num_rows
             if rows >= GROUP:
-                # whole prefixes only: the last one may go on in the next batch
+                # whole groups only: the last one may go on in the next batch
                 table = pa.Table.from_batches(held)
-                p = table.column("prefix").to_numpy()
+                p = table.column(by).to_numpy()
                 cut = int(np.searchsorted(p, p[-1], side="left"))
                 if cut:
                     yield solve(table.slice(0, cut))
@@ -242,10 +247,48 @@ def _trees(entries: DataFrame, window: int, prefix: int) -> DataFrame:
         if rows:
             yield solve(pa.Table.from_batches(held))
 
-    dealt = entries.select("prefix", "f1", "f2", "low", "high", "copies", "words").repartition("prefix").sortWithinPartitions("prefix")
+    columns = dict.fromkeys([by, "prefix", "f1", "f2", "low", "high", "copies", "words"])
+    dealt = entries.select(*columns).repartition(by).sortWithinPartitions(by)
     return dealt.mapInArrow(run, "prefix long, f1 long, f2 long, offsets long")
 
 
+def _ended(entries: DataFrame, window: int, depth: int, longer: int) -> DataFrame:
+    """(prefix, f1, f2, offsets): the repeated ones of the windows that end
+    ``depth`` to ``longer`` - 1 words after their anchor's begin."""
+    low, high = F.greatest(F.col("low"), F.lit(window - longer + 1)), F.least(F.col("high"), F.lit(window - depth))
+    one = entries.select("prefix", "f1", "f2", "copies", "high", "words", low.alias("_lo"), high.alias("_hi")).filter("_lo <= _hi")
+    one = one.withColumn("o", F.explode(F.sequence("_lo", "_hi")))
+    own = F.expr(f"substring(words, 1 + {WORD_BYTES} * (high - o), {WORD_BYTES * window})")
+    keyed = one.select("prefix", "f1", "f2", "copies", "o", F.xxhash64(own).alias("w1"), F.xxhash64(F.lit("w2"), own).alias("w2"))
+    again = keyed.groupBy("o", "w1", "w2").agg(F.sum("copies").alias("n")).filter("n > 1").drop("n")
+    return keyed.join(again, ["o", "w1", "w2"]).groupBy("prefix", "f1", "f2").agg(F.bit_or(F.expr("shiftleft(1L, o)")).alias("offsets"))
+
+
+def _long_prefixes(entries: DataFrame, window: int, prefix: int) -> DataFrame:
+    """What ``_trees`` finds, for entries whose prefixes are too common for
+    one task.  An entry can have several rows, whose offsets add up."""
+    full = F.expr("shiftleft(1L, high + 1) - shiftleft(1L, low)")
+    found = entries.filter("copies > 1").select("prefix", "f1", "f2", full.alias("offsets"))
+    open_, depth = entries.withColumn("node", F.col("prefix")), prefix
+    while True:
+        sizes = open_.groupBy("node").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+        fit = open_.join(sizes.filter(F.col("n") <= GROUP).select("node"), "node", "left_semi")
+        found = found.unionByName(_trees(fit, window, depth, "node"))
+        open_ = open_.join(sizes.filter(F.col("n") > GROUP).select("node"), "node", "left_semi")
+        open_ = written(open_, "repeats-open")
+        if not open_.limit(1).count():
+            return found
+        longer = min(2 * depth, window + 1)
+        found = found.unionByName(_ended(open_, window, depth, longer))
+        # the windows that are left go on behind the longer prefix
+        next_words = F.expr(f"substring(words, 1 + {WORD_BYTES} * (high + {depth}), {WORD_BYTES * (longer - depth)})")
+        trimmed = F.expr(f"substring(words, 1 + {WORD_BYTES} * greatest(high - {window - longer}, 0))")
+        open_ = open_.filter(F.col("low") <= window - longer).select(
+            F.xxhash64("node", next_words).alias("node"), "prefix", "f1", "f2", "copies", "low",
+            F.least(F.col("high"), F.lit(window - longer)).alias("high"), trimmed.alias("words"))
+        depth = longer
+
+
 def repeated_words(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW, prefix: int = PREFIX, with_text: bool = False
 ) -> DataFrame:
@@ -270,8 +313,14 @@ def repeated_words(
     entries = segments.groupBy("prefix", "f1", "f2").agg(
         F.count(F.lit(1)).alias("copies"), F.first("low").alias("low"), F.first("high").alias("high"),
         F.first("words", ignorenulls=True).alias("words"))
+    crowded = written(segments.groupBy("prefix").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > GROUP).select("prefix"), "repeats-crowded")
+    if crowded.limit(1).count():
+        rest = written(entries.join(crowded, "prefix", "left_semi"), "repeats-open")
+        offsets = _trees(entries.join(crowded, "prefix", "left_anti"), window, prefix).unionByName(_long_prefixes(rest, window, prefix))
+    else:
+        offsets = _trees(entries, window, prefix)
     found = (
-        segments.drop("words", "low", "high").join(_trees(entries, window, prefix), ["prefix", "f1", "f2"])
+        segments.drop("words", "low", "high").join(offsets, ["prefix", "f1", "f2"])
         .groupBy("key").agg(F.collect_set(F.struct("place", "offsets")).alias("marks"))
     )
     marks = written(found, "repeats-marks")
