@@ -122,13 +122,7 @@ def stupid_backoff(docs, min_count=2, alpha=0.4):
 
 
 def line_shingles(line):
-    n = len(re.findall(r"\S+", line))
-    if len(line) < 5:
-        return {line}
-    if n < 6:
-        return {line[i : i + 5] for i in range(len(line) - 4)}
-    starts = [i for i in range(len(line)) if not line[i].isspace() and (i == 0 or line[i - 1].isspace())]
-    return {line[i : i + 8] for i in starts}
+    return {line[i : i + 5] for i in range(len(line) - 4)} or {line}
 
 
 def line_duplicates(docs, percent=80):
@@ -198,3 +192,84 @@ def mixture(docs, weights, seed="mix", epochs=3):
             cum += n
             copies[i] = whole + (1 if n and rest > 0 and 2 * cum - n < 2 * rest else 0)
     return copies
+
+
+def crc(text):
+    import zlib
+
+    return zlib.crc32(text.encode()) & 0xFFFFFFFF
+
+
+def damage(rows):
+    """(conv, turn, role, text) rows as the conversation test damages them."""
+    out = []
+    for conv, turn, role, text in rows:
+        role, text = " " if role is None else role, " " if text is None else text
+        kind = crc(f"{' ' if conv is None else conv}:{' ' if turn is None else turn}") % 20
+        text = "" if kind == 1 else re.sub("[.!?]", "", text) if kind == 2 else text
+        out += [(conv, turn, "user" if kind == 4 else role, text)] * (0 if kind == 0 else 2 if kind == 3 else 1)
+    return out
+
+
+def cheapest_edits(rows):
+    """(cost, audit, repaired lines) of (role, text, fault) rows, by keeping
+    the least (cost, audit) of every state before the next row."""
+    go = {("", "s"): "s", ("", "u"): "u", ("s", "u"): "u", ("u", "a"): "a", ("a", "u"): "u"}
+    names = {"u": "user", "a": "assistant"}
+    now = {"": (0, "", [])}
+
+    def inserted(states):
+        out = dict(states)
+        for _ in range(3):
+            for s, (c, x, lines) in list(out.items()):
+                for i, name in names.items():
+                    if (s, i) in go:
+                        one = (c + 5, x + "I", [*lines, name + ":"])
+                        t = go[s, i]
+                        if t not in out or one[:2] < out[t][:2]:
+                            out[t] = one
+        return out
+
+    for role, text, fault in rows:
+        after = {}
+        stay = 5 if fault == "truncated" else 0
+
+        # insertions are tried from each state by itself: ties are between edit texts that end with a row
+        for s0, v in now.items():
+            for s, (c, x, lines) in inserted({s0: v}).items():
+                moves = [(s, 2, "D", None)]
+                if fault not in ("blank", "duplicate"):
+                    if (s, role[:1]) in go:
+                        moves.append((go[s, role[:1]], stay, "K", f"{role}:{text}"))
+                    moves += [(go[s, i], 1 + stay, "R", f"{n}:{text}") for i, n in names.items() if (s, i) in go]
+                for t, price, edit, line in moves:
+                    one = (c + price, x + edit, lines if line is None else [*lines, line])
+                    if t not in after or one[:2] < after[t][:2]:
+                        after[t] = one
+        now = after
+    ends = [inserted({s: v}).get(e) for s, v in now.items() for e in ("", "a")]
+    return min((e for e in ends if e), key=lambda e: e[:2])
+
+
+def conversations(rows):
+    """{conv: digest columns} of (conv, turn, role, text) rows."""
+    out = {}
+    by = {r[0]: [] for r in rows}
+    for r in damage(rows):
+        by[r[0]].append(r[1:])
+    for conv, own in by.items():
+        own.sort(key=lambda r: (r[0] is not None, r[0] or 0, r[1].encode(), r[2].encode()))
+        seen, told, counts = set(), [], {"blank": 0, "duplicate": 0, "truncated": 0}
+        for _, role, text in own:
+            bare = text.rstrip(" \t\n\x0b\x0c\r")
+            fault = "blank" if not bare else "duplicate" if (role, text) in seen else "truncated" if bare[-1] not in ".!?" else ""
+            seen.add((role, text))
+            told.append((role, text, fault))
+            if fault:
+                counts[fault] += 1
+        turns = [t for t, _, _ in own if t is not None]
+        gaps = max(turns) - min(turns) + 1 - len(set(turns)) if turns else 0
+        illegal = sum(a[0][:1] + b[0][:1] not in ("su", "ua", "au") for a, b in zip(told, told[1:]))
+        cost, audit, lines = cheapest_edits(told)
+        out[conv] = (gaps, *counts.values(), illegal, cost, audit, sha("\n".join(lines)))
+    return out

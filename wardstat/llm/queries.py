@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wardstat.llm import decontaminate, language_id, line_dedup, lm_scoring, mixing, mtree, near_dup, quality_mil, substring_dedup, token_files
+from wardstat.llm import conversation_repair, decontaminate, language_id, line_dedup, lm_scoring, mixing, mtree, near_dup, quality_mil, substring_dedup, token_files
 from wardstat.session import scratch_path
 
 
@@ -156,6 +156,72 @@ def op10_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_rows(spark, table(spark, sf_dir, "documents"))
 
 
+def op11_conversation_structure_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    return conversation_repair.audit(conversation_repair.damaged(rows), rows)
+
+
+OP11_SQL = r"""
+with recursive hit as (
+  select conv_id, turn, coalesce(role, ' ') as role, coalesce(text, ' ') as text, xor(4294967295, list_reduce(
+    list_transform(string_split(coalesce(conv_id::varchar, ' ') || ':' || coalesce(turn::varchar, ' '), ''), lambda c: ord(c)::bigint),
+    lambda acc, b: list_reduce([0, 0, 0, 0, 0, 0, 0, 0]::bigint[], lambda x, y: xor(x >> 1, (x & 1) * 3988292384), xor(acc, b)),
+    4294967295::bigint)) % 20 as kind
+  from conversations
+), harmed as (
+  select conv_id, turn, case when kind = 4 then 'user' else role end as role,
+    case kind when 1 then '' when 2 then translate(text, '.!?', '') else text end as text,
+    unnest(case when kind = 3 then [0, 1] else [0] end) as copy
+  from hit where kind <> 0
+), placed as (
+  select *, row_number() over (partition by conv_id order by turn nulls first, role, text, copy) as pos from harmed
+), judged as (
+  select conv_id, pos, turn, role, text, left(role, 1) as i,
+    case when not regexp_matches(text, '[^\x20\x09-\x0D]') then 'blank'
+      when row_number() over (partition by conv_id, role, text order by pos) > 1 then 'duplicate'
+      when not regexp_matches(text, '[.!?][\x20\x09-\x0D]*\z') then 'truncated' else '' end as fault,
+    left(role, 1) || left(lead(role) over (partition by conv_id order by pos), 1) as pair
+  from placed
+), counted as (
+  select conv_id,
+    coalesce(max(turn) - min(turn) + 1 - count(distinct turn), 0)::bigint as gaps,
+    count(*) filter (where fault = 'blank') as blank, count(*) filter (where fault = 'duplicate') as duplicate,
+    count(*) filter (where fault = 'truncated') as truncated,
+    count(*) filter (where pair is not null and pair not in ('su', 'ua', 'au')) as illegal, max(pos) as n
+  from judged group by conv_id
+), before(s, t, price, edits, lines) as (values
+  (0, 0, 0, '', ''), (1, 1, 0, '', ''), (2, 2, 0, '', ''), (3, 3, 0, '', ''),
+  (0, 2, 5, 'I', e'user:\n'), (1, 2, 5, 'I', e'user:\n'), (2, 3, 5, 'I', e'assistant:\n'), (3, 2, 5, 'I', e'user:\n'),
+  (0, 3, 10, 'II', e'user:\nassistant:\n'), (1, 3, 10, 'II', e'user:\nassistant:\n'),
+  (2, 2, 10, 'II', e'assistant:\nuser:\n'), (3, 3, 10, 'II', e'user:\nassistant:\n')
+), edit(i, s, t, price, edit) as (values
+  ('', 0, 0, 2, 'D'), ('', 1, 1, 2, 'D'), ('', 2, 2, 2, 'D'), ('', 3, 3, 2, 'D'),
+  ('s', 0, 1, 0, 'K'), ('u', 0, 2, 0, 'K'), ('u', 1, 2, 0, 'K'), ('u', 3, 2, 0, 'K'), ('a', 2, 3, 0, 'K'),
+  ('', 0, 2, 1, 'R'), ('', 1, 2, 1, 'R'), ('', 3, 2, 1, 'R'), ('', 2, 3, 1, 'R')
+), walk as (
+  select conv_id, 0::bigint as pos, 0 as s, {'cost': 0::bigint, 'audit': '', 'lines': ''} as best from counted
+  union all
+  select w.conv_id, j.pos, e.t, min({'cost': w.best.cost + b.price + e.price + case when e.edit <> 'D' and j.fault = 'truncated' then 5 else 0 end,
+    'audit': w.best.audit || b.edits || e.edit,
+    'lines': w.best.lines || b.lines || case e.edit when 'D' then '' when 'K' then j.role || ':' || j.text || chr(10)
+      else case when b.t = 2 then 'assistant:' else 'user:' end || j.text || chr(10) end})
+  from walk w join judged j on j.conv_id is not distinct from w.conv_id and j.pos = w.pos + 1
+    join before b on b.s = w.s join edit e on e.s = b.t and (e.i = '' or e.i = j.i) and (e.edit = 'D' or j.fault not in ('blank', 'duplicate'))
+  group by w.conv_id, j.pos, e.t
+), ended as (
+  select w.conv_id, min({'cost': w.best.cost + case w.s when 1 then 10 when 2 then 5 else 0 end,
+    'audit': w.best.audit || case w.s when 1 then 'II' when 2 then 'I' else '' end,
+    'lines': w.best.lines || case w.s when 1 then e'user:\nassistant:\n' when 2 then e'assistant:\n' else '' end}) as best
+  from walk w join counted c on c.conv_id is not distinct from w.conv_id and c.n = w.pos group by w.conv_id
+)
+select o.conv_id, coalesce(c.gaps, 0) as gaps, coalesce(c.blank, 0) as blank, coalesce(c.duplicate, 0) as duplicate,
+  coalesce(c.truncated, 0) as truncated, coalesce(c.illegal, 0) as illegal, coalesce(e.best.cost, 0) as cost,
+  coalesce(e.best.audit, '') as audit, sha256(coalesce(left(e.best.lines, length(e.best.lines) - 1), '')) as repaired_sha256
+from (select distinct conv_id from conversations) o left join counted c on c.conv_id is not distinct from o.conv_id
+  left join ended e on e.conv_id is not distinct from o.conv_id
+"""
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mixing_sources": op1_mixing_sources,
     "op2_lm_scoring": op2_lm_scoring,
@@ -167,6 +233,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_line_dedup": op8_line_dedup,
     "op9_substring_dedup": op9_substring_dedup,
     "op10_token_output": op10_token_output,
+    "op11_conversation_structure_repair": op11_conversation_structure_repair,
 }
 
-ORACLE_SQL: dict[str, str] = {"op1_mixing_sources": OP1_SQL, "op4_exact_top_k": OP4_SQL}
+ORACLE_SQL: dict[str, str] = {
+    "op1_mixing_sources": OP1_SQL,
+    "op4_exact_top_k": OP4_SQL,
+    "op11_conversation_structure_repair": OP11_SQL,
+}
