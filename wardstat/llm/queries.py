@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wardstat.llm import conversation_repair, decontaminate, language_id, line_dedup, lm_scoring, mixing, mtree, near_dup, quality_mil, substring_dedup, token_files
+from wardstat.llm import arc_convert, conversation_repair, decontaminate, language_id, line_dedup, lm_scoring, mixing, mtree, near_dup, quality_mil, substring_dedup, token_files
 from wardstat.session import scratch_path
 
 
@@ -222,6 +222,26 @@ from (select distinct conv_id from conversations) o left join counted c on c.con
 """
 
 
+def op13_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return arc_convert.archived(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+
+
+OP13_SQL = """
+with p as (
+  select page_id, coalesce(html, '') as payload, sha1(coalesce(html, '')) as digest,
+    row_number() over (partition by coalesce(html, '') order by page_id desc nulls last) as rn,
+    max(page_id) over (partition by coalesce(html, '')) as largest
+  from pages
+)
+select page_id, strlen(payload)::bigint as payload_bytes,
+  list_aggregate(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+    ((('0x' || substr(digest, (i // 4 * 5 + 1)::int, 5))::int >> (15 - 5 * (i % 4))::int) & 31) + 1, 1)), 'string_agg', '') as payload_digest,
+  case when rn = 1 then 'response' else 'revisit' end as record_type,
+  case when rn > 1 then largest end as refers_to
+from p
+"""
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mixing_sources": op1_mixing_sources,
     "op2_lm_scoring": op2_lm_scoring,
@@ -234,10 +254,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_substring_dedup": op9_substring_dedup,
     "op10_token_output": op10_token_output,
     "op11_conversation_structure_repair": op11_conversation_structure_repair,
+    "op13_warc": op13_warc,
 }
 
 ORACLE_SQL: dict[str, str] = {
     "op1_mixing_sources": OP1_SQL,
     "op4_exact_top_k": OP4_SQL,
     "op11_conversation_structure_repair": OP11_SQL,
+    "op13_warc": OP13_SQL,
 }
