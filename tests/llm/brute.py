@@ -273,3 +273,45 @@ def conversations(rows):
         cost, audit, lines = cheapest_edits(told)
         out[conv] = (gaps, *counts.values(), illegal, cost, audit, sha("\n".join(lines)))
     return out
+
+
+def phrase_table(docs, max_words=5):
+    """({lang: words}, {(lang, words): count}) for (text, lang) pairs."""
+    from collections import Counter
+
+    totals, counts = Counter(), Counter()
+    for text, lang in docs:
+        lang = "und" if lang is None else lang
+        text = re.sub("[A-Z]", lambda m: m[0].lower(), text or "")
+        for piece in re.split(r"[.,;:!?\x0A-\x0D]", text):
+            w = re.findall(r"[^\x20\x09]+", piece)
+            totals[lang] += len(w)
+            for k in range(1, max_words + 1):
+                counts.update((lang, tuple(w[i : i + k])) for i in range(len(w) - k + 1))
+    return totals, counts
+
+
+def collocations(docs, min_count=100, max_words=5, percent=100, top=2000):
+    totals, counts = phrase_table(docs, max_words)
+    found = {p: a for p, a in counts.items() if a >= min_count and len(p[1]) > 1}
+    inside = {}
+    for (lang, w), a in found.items():
+        for m in range(2, len(w)):
+            for i in range(len(w) - m + 1):
+                p = (lang, w[i : i + m])
+                inside[p] = max(inside.get(p, 0), a)
+    rows = {}
+    for (lang, w), a in found.items():
+        if 100 * inside.get((lang, w), 0) >= percent * a:
+            continue
+        cuts = []
+        for k in range(1, len(w)):
+            left, right = counts[lang, w[:k]], counts[lang, w[k:]]
+            cuts.append((1000 * a * totals[lang] // (left * right), k, left, right))
+        score, _, left, right = min(cuts)
+        rows.setdefault(lang, []).append((-score, -a, " ".join(w).encode(), left, right))
+    out = []
+    for lang, own in rows.items():
+        for rank, (score, a, phrase, left, right) in enumerate(sorted(own)[:top], 1):
+            out.append((lang, rank, phrase.decode(), -a, left, right, totals[lang], -score))
+    return sorted(out)

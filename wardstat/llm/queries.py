@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wardstat.llm import arc_convert, conversation_repair, decontaminate, language_id, line_dedup, lm_scoring, mixing, mtree, near_dup, quality_mil, substring_dedup, token_files
+from wardstat.llm import arc_convert, conversation_repair, decontaminate, language_id, line_dedup, lm_scoring, mixing, mtree, near_dup, phrases, quality_mil, substring_dedup, token_files
 from wardstat.session import scratch_path
 
 
@@ -222,6 +222,47 @@ from (select distinct conv_id from conversations) o left join counted c on c.con
 """
 
 
+def op12_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(table(spark, sf_dir, "documents"))
+
+
+OP12_SQL = r"""
+with pieces as (
+  select coalesce(lang, 'und') as lang, list_filter(string_split_regex(piece, '[\x20\x09]+'), lambda w: w <> '') as w
+  from (select lang, unnest(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[.,;:!?\x0A-\x0D]')) as piece from documents)
+), total as (
+  select lang, sum(len(w))::bigint as n from pieces group by lang
+), grams as (
+  select lang, array_to_string(w[i:i + k - 1], ' ') as phrase, k
+  from (select lang, w, k, unnest(range(1, len(w) - k + 2)) as i from pieces, range(1, 6) as lengths(k) where len(w) >= k)
+), counts as (
+  select lang, phrase, any_value(k) as k, count(*) as f from grams group by lang, phrase having count(*) >= 100
+), candidates as (
+  select lang, phrase, string_split(phrase, ' ') as w, f as a from counts where k >= 2
+), cuts as (
+  select lang, phrase, w, a, unnest(range(1, len(w))) as k from candidates
+), scored as (
+  select c.lang, c.phrase, c.a, t.n, x.f as l, y.f as r, (1000::hugeint * c.a * t.n) // (x.f::hugeint * y.f) as score, c.k
+  from cuts c join total t on t.lang = c.lang
+    join counts x on x.lang = c.lang and x.phrase = array_to_string(c.w[1:c.k], ' ')
+    join counts y on y.lang = c.lang and y.phrase = array_to_string(c.w[c.k + 1:], ' ')
+), lowest as (
+  select * from scored qualify row_number() over (partition by lang, phrase order by score, k) = 1
+), inner_parts as (
+  select lang, array_to_string(w[i:i + m - 1], ' ') as phrase, max(a) as longest
+  from (select lang, w, a, m, unnest(range(1, len(w) - m + 2)) as i from candidates, range(2, 5) as sizes(m) where len(w) > m)
+  group by 1, 2
+), kept as (
+  select o.* from lowest o left join inner_parts p on p.lang = o.lang and p.phrase = o.phrase
+  where p.longest is null or 100 * p.longest < 100 * o.a
+)
+select lang, rank, phrase, a, l, r, n, score::bigint as score
+from (select *, row_number() over (partition by lang order by score desc, a desc, phrase) as rank from kept)
+where rank <= 2000
+"""
+
+
 def op13_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return arc_convert.archived(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
 
@@ -254,6 +295,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_substring_dedup": op9_substring_dedup,
     "op10_token_output": op10_token_output,
     "op11_conversation_structure_repair": op11_conversation_structure_repair,
+    "op12_phrase_collocations": op12_phrase_collocations,
     "op13_warc": op13_warc,
 }
 
@@ -261,5 +303,6 @@ ORACLE_SQL: dict[str, str] = {
     "op1_mixing_sources": OP1_SQL,
     "op4_exact_top_k": OP4_SQL,
     "op11_conversation_structure_repair": OP11_SQL,
+    "op12_phrase_collocations": OP12_SQL,
     "op13_warc": OP13_SQL,
 }
