@@ -19,11 +19,12 @@ are sums over subtrees.  When a trie holds too many entries, whole subtrees
 leave it, the largest first, as runs sorted by the words' bytes, and runs are
 merged per prefix partition: the shuffle is by the first ``PREFIX`` words.
 
-Nothing can be a candidate that holds a word, or a pair of words, with fewer
-than ``min_count`` occurrences.  So words are counted first, then pairs of
-words that may be frequent, then longer phrases of pairs that may be.  "May
-be" is a bit per hash, in a filter of at most ``FILTER_BITS`` bits whatever the
-corpus: a wrong bit costs work, never a wrong result.
+Nothing can be a candidate that holds a word, or a pair of neighbours, with
+fewer than ``min_count`` occurrences.  So words are counted first; then the
+hashes of pairs of words that may be frequent, which bounds the counts of pairs
+from above; then, by their words, the phrases of pairs that may be frequent.
+"May be" is a bit per hash, in a filter of at most ``FILTER_BITS`` bits
+whatever the corpus: a wrong bit costs work, never a wrong result.
 
 Word identity is exact between tasks (runs carry words); inside a chunk of a
 few MB it is a 64-bit hash.
@@ -51,6 +52,8 @@ HELD = 400_000  # entries and words of a task's tries
 PREFIX = 3  # words that name the partition where runs are merged
 FILTER_BITS = 1 << 27
 SLICE_BITS = 1 << 16
+PAIRS_HELD = 2_000_000  # hashes of pairs of a task
+PART_PAIRS = 4_000_000  # neighbours, by number of words, whose hashes are merged in a task
 RUN_ROWS = 20_000
 
 _BREAK = np.zeros(256, bool)
@@ -313,94 +316,88 @@ def _lang_seed(lang: str) -> np.uint64:
 
 
 class Filter:
-    """Bits of the hashes that may be frequent."""
+    """Bits of the hashes that may be frequent, by their first bits."""
 
     def __init__(self, bits: bytes) -> None:
         self.bits = np.frombuffer(bits, np.uint8)
-        self.mask = np.uint64(len(bits) * 8 - 1)
+        self.shift = np.uint64(64 - (len(bits) * 8).bit_length() + 1)
 
     def has(self, hashes: np.ndarray) -> np.ndarray:
-        at = T.mix64(hashes) & self.mask
+        at = hashes >> self.shift
         return (self.bits[(at >> np.uint64(3)).astype(np.int64)] >> (at & np.uint64(7)).astype(np.uint8)) & 1 == 1
 
 
-def _counted(docs: DataFrame, width: int, least: int, keep, held: int, burst: int) -> DataFrame:
-    """The runs of all tasks.  ``keep`` is None (all words), a filter of words
-    (pairs of them) or one of pairs (longer phrases of them)."""
+def _told(batches) -> Iterator[tuple[str, np.ndarray, np.ndarray, np.ndarray, np.ndarray, bytes]]:
+    """(language, word hashes, whether the next word is a neighbour, word
+    starts, word ends, bytes) per language of every section."""
+    for langs, data, off in _sections(batches):
+        w = T.words(data, off, _WORD, lower=True)
+        if not len(w.start):
+            continue
+        hashes = T.word_hashes(w)
+        piece = np.cumsum(_BREAK[w.data])[w.start]
+        text = w.text_of_word()
+        together = np.zeros(len(hashes), bool)
+        together[:-1] = (piece[1:] == piece[:-1]) & (text[1:] == text[:-1])
+        raw = w.data.tobytes()
+        groups: dict[str, list[int]] = {}
+        for k, lang in enumerate(langs):
+            groups.setdefault("und" if lang is None else lang, []).append(k)
+        for lang, texts in groups.items():
+            own = np.concatenate([np.arange(w.first[k], w.first[k + 1]) for k in texts]) if len(groups) > 1 else slice(None)
+            if len(hashes[own]):
+                # a word's neighbour is of the same text, so it is the next of the language's as well
+                yield lang, hashes[own], together[own][:-1], w.start[own], w.end[own], raw
+
+
+def _seeded(hashes: np.ndarray, lang: str) -> np.ndarray:
+    return T.mix64(hashes ^ _lang_seed(lang))
+
+
+def _counted(docs: DataFrame, width: int, least: int, pairs, held: int, burst: int) -> DataFrame:
+    """The runs of all tasks: of words (width 1), or of phrases of pairs that
+    the filter ``pairs`` has."""
 
     def run(batches):
         counter = Counter(width, least, held, burst)
-        known = None if keep is None else Filter(keep.value)
+        known = None if pairs is None else Filter(pairs.value)
         totals: dict[str, int] = {}
-        for langs, data, off in _sections(batches):
-            w = T.words(data, off, _WORD, lower=True)
-            if not len(w.start):
+        for lang, hashes, near, start, end, raw in _told(batches):
+            n = len(hashes)
+            reach = np.ones(n, np.int64)  # words from each word on that hang together, at most ``width``
+            if known is None:
+                totals[lang] = totals.get(lang, 0) + n
+            else:
+                at = np.flatnonzero(near)
+                ok = np.zeros(n + width, bool)
+                ok[at] = known.has(_seeded(pair_hashes(hashes)[at], lang))
+                more = ok[:n].copy()
+                for k in range(1, width):
+                    reach += more
+                    more &= ok[k : n + k]
+            begin = np.flatnonzero(reach >= least)
+            if not len(begin):
                 continue
-            hashes = T.word_hashes(w)
-            piece = np.cumsum(_BREAK[w.data])[w.start]
-            text = w.text_of_word()
-            together = (piece[1:] == piece[:-1]) & (text[1:] == text[:-1])
-            groups: dict[str, list[int]] = {}
-            for k, lang in enumerate(langs):
-                groups.setdefault("und" if lang is None else lang, []).append(k)
-            raw = w.data.tobytes()
-            for lang, texts in groups.items():
-                if len(groups) == 1:
-                    own, near = np.arange(len(hashes)), together
-                else:
-                    own = np.concatenate([np.arange(w.first[k], w.first[k + 1]) for k in texts])
-                    if not len(own):
-                        continue
-                    near = together[np.minimum(own[:-1], len(together) - 1)] & (own[1:] == own[:-1] + 1) if len(together) else np.zeros(0, bool)
-                yield from _lang_paths(counter, lang, hashes[own], near, w.start[own], w.end[own], raw, known, width, totals)
+            used = np.zeros(n + width, bool)
+            for k in range(width):
+                used[begin[reach[begin] > k] + k] = True
+            at = np.flatnonzero(used)
+            own, first, which = np.unique(hashes[at], return_index=True, return_inverse=True)
+            spots = at[first]
+            ids = np.zeros(n + width, np.uint32)
+            ids[at] = counter.id_of([raw[a:b] for a, b in zip(start[spots].tolist(), end[spots].tolist())])[which]
+            paths = np.stack([np.where(reach[begin] > k, ids[begin + k], 0) for k in range(width)], 1).astype(np.uint32)
+            yield from counter.add(lang, paths)
         yield from counter.flush()
         if totals:
             names = list(totals)
             none = pa.nulls(len(names), pa.binary())
-            yield pa.RecordBatch.from_arrays([pa.array(names, pa.string()), none, none, pa.array([0] * len(names), pa.int32()), pa.array(list(totals.values()), pa.int64())], names=_RUN_NAMES)
+            columns = [pa.array(names, pa.string()), none, none, pa.array([0] * len(names), pa.int32()), pa.array(list(totals.values()), pa.int64())]
+            yield pa.RecordBatch.from_arrays(columns, names=_RUN_NAMES)
 
     return docs.mapInArrow(run, _RUN)
 
 
-def _lang_paths(counter, lang, hashes, near, start, end, raw, known, width, totals):
-    if width == 1:
-        totals[lang] = totals.get(lang, 0) + len(hashes)
-        used = np.ones(len(hashes), bool)
-        begin = np.arange(len(hashes))
-        reach = np.ones(len(hashes), np.int64)
-    else:
-        seed = _lang_seed(lang)
-        if width == 2:
-            may = known.has(hashes ^ seed)
-            ok = near & may[:-1] & may[1:]
-        else:
-            ok = near.copy()
-            at = np.flatnonzero(near)
-            ok[at] = known.has(pair_hashes(hashes)[at] ^ seed)
-        # words from each word on that hang together, at most ``width``
-        reach = np.ones(len(hashes), np.int64)
-        more = np.ones(len(ok), bool)
-        for k in range(width - 1):
-            more = more[: len(ok) - k] & ok[k:]
-            if not more.any():
-                break
-            reach[: len(more)] += more
-        begin = np.flatnonzero(reach >= min(width, 3))
-        if not len(begin):
-            return
-        used = np.zeros(len(hashes) + width, bool)
-        for k in range(width):
-            used[begin[reach[begin] > k] + k] = True
-        used = used[: len(hashes)]
-    at = np.flatnonzero(used)
-    own, first, which = np.unique(hashes[at], return_index=True, return_inverse=True)
-    spots = at[first]
-    ids = np.zeros(len(hashes) + width, np.uint32)
-    ids[at] = counter.id_of([raw[a:b] for a, b in zip(start[spots].tolist(), end[spots].tolist())])[which]
-    paths = np.stack([np.where(reach[begin] > k, ids[begin + k], 0) for k in range(width)], 1).astype(np.uint32)
-    yield from counter.add(lang, paths)
-
-
 # --- merged counts ------------------------------------------------------------------------
 
 
@@ -411,53 +408,119 @@ def _merged(runs: DataFrame, min_count: int) -> DataFrame:
     return written(merged.filter((F.col("f") >= min_count) | F.col("phrase").isNull()).drop("prefix"), "phrase-counts")
 
 
-def _filter(counts: DataFrame, words: int, max_bits: int):
-    """The bits of all frequent phrases of so many words, made in slices."""
-    spark = counts.sparkSession
-    some = counts.filter(F.col("words") == words)
-    n = some.count()
-    bits = SLICE_BITS
+def _filter(hashes: DataFrame, max_bits: int):
+    """The bits of the hashes (column h), made in slices."""
+    spark = hashes.sparkSession
+    n, bits = hashes.count(), SLICE_BITS
     while bits < min(max_bits, 32 * n):
         bits *= 2
-
-    def places(batches):
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            data, off = T.utf8(batch.column("phrase").cast(pa.string()))
-            w = T.words(data, off, _WORD)
-            h = T.word_hashes(w)
-            h = pair_hashes(h)[w.first[:-1]] if words == 2 else h
-            langs = batch.column("lang").to_pylist()
-            seeds = {x: _lang_seed(x) for x in set(langs)}
-            at = T.mix64(h ^ np.array([seeds[x] for x in langs], np.uint64)) & np.uint64(bits - 1)
-            yield pa.RecordBatch.from_arrays([pa.array((at // SLICE_BITS).astype(np.int64)), pa.array((at % SLICE_BITS).astype(np.int32))], names=["slice", "bit"])
+    shift = 64 - bits.bit_length() + 1
 
     def slices(key, table):
         own = np.zeros(SLICE_BITS, np.uint8)
-        own[table.column("bit").to_numpy()] = 1
+        own[table.column("at").to_numpy() % SLICE_BITS] = 1
         packed = np.packbits(own, bitorder="little").tobytes()
         return pa.table({"slice": pa.array([key[0].as_py()], pa.int64()), "bits": pa.array([packed], pa.binary())})
 
-    set_bits = some.select("lang", "phrase").mapInArrow(places, "slice long, bit int").distinct()
-    made = set_bits.groupBy("slice").applyInArrow(slices, "slice long, bits binary")
+    at = hashes.select(F.shiftrightunsigned("h", shift).alias("at")).distinct()
+    made = at.groupBy(F.floor(F.col("at") / SLICE_BITS).alias("slice")).applyInArrow(slices, "slice long, bits binary")
     whole = bytearray(bits // 8)
     for r in made.toLocalIterator():  # at most max_bits / 8 bytes in all
         whole[r.slice * SLICE_BITS // 8 : (r.slice + 1) * SLICE_BITS // 8] = r.bits
     return spark.sparkContext.broadcast(bytes(whole))
 
 
+def _word_hashes(words: DataFrame) -> DataFrame:
+    """The hashes (h) of (lang, phrase) rows of single words."""
+
+    def run(batches):
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            data, off = T.utf8(batch.column("phrase").cast(pa.string()))
+            h = T.word_hashes(T.words(data, off, _WORD))
+            langs = batch.column("lang").to_pylist()
+            seeds = {x: _lang_seed(x) for x in set(langs)}
+            h = T.mix64(h ^ np.array([seeds[x] for x in langs], np.uint64))
+            yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64))], names=["h"])
+
+    return words.select("lang", "phrase").mapInArrow(run, "h long")
+
+
+def _pair_hashes(docs: DataFrame, words, n_words: int, min_count: int) -> DataFrame:
+    """The hashes (h; their first 40 bits and more) that pairs of neighbours
+    with at least ``min_count`` occurrences can have.
+
+    Tasks send sorted hashes with counts, packed, to the partition of the
+    hash's first bits, where all counts of a hash meet; a partition has the
+    hashes of about ``PART_PAIRS`` neighbours, however large the corpus."""
+    first = max(6, min(20, (n_words // PART_PAIRS).bit_length()))
+    low = 64 - first - 40
+
+    def packed(hashes: list[np.ndarray], counts: list[np.ndarray]) -> pa.RecordBatch:
+        h, n = _summed(np.concatenate(hashes), np.concatenate(counts))
+        part = (h >> np.uint64(64 - first)).astype(np.int64)
+        names, at = np.unique(part, return_index=True)
+        rest = np.ascontiguousarray(h >> np.uint64(low)).view(np.uint8).reshape(-1, 8)[:, :5]
+        ends = [*at[1:].tolist(), len(h)]
+        keys = [rest[a:b].T.tobytes() for a, b in zip(at.tolist(), ends)]  # byte by byte: the first bytes repeat
+        sums = [n[a:b].astype(np.uint32).tobytes() for a, b in zip(at.tolist(), ends)]
+        return pa.RecordBatch.from_arrays([pa.array(names), pa.array(keys, pa.binary()), pa.array(sums, pa.binary())], names=["part", "keys", "counts"])
+
+    def run(batches):
+        known, hashes, counts, held = Filter(words.value), [], [], 0
+        for lang, h, near, *_ in _told(batches):
+            may = known.has(_seeded(h, lang))
+            at = np.flatnonzero(near & may[:-1] & may[1:])
+            if not len(at):
+                continue
+            own, n = np.unique(_seeded(pair_hashes(h)[at], lang), return_counts=True)
+            hashes.append(own)
+            counts.append(n)
+            held += len(own)
+            if held > PAIRS_HELD:
+                own, n = _summed(np.concatenate(hashes), np.concatenate(counts))
+                hashes, counts, held = [own], [n], len(own)
+                if held > PAIRS_HELD // 2:
+                    yield packed(hashes, counts)
+                    hashes, counts, held = [], [], 0
+        if held:
+            yield packed(hashes, counts)
+
+    def merged(key, table):
+        keys = [np.frombuffer(k, np.uint8).reshape(5, -1).T for k in table.column("keys").to_pylist()]
+        wide = np.zeros((sum(map(len, keys)), 8), np.uint8)
+        wide[:, :5] = np.concatenate(keys)
+        counts = np.frombuffer(b"".join(table.column("counts").to_pylist()), np.uint32).astype(np.int64)
+        h, n = _summed(wide.view(np.uint64).ravel(), counts)
+        h = (h[n >= min_count] << np.uint64(low)) | np.uint64(key[0].as_py()) << np.uint64(64 - first)
+        return pa.table({"h": pa.array(h.view(np.int64))})
+
+    runs = docs.mapInArrow(run, "part long, keys binary, counts binary")
+    return written(runs.groupBy("part").applyInArrow(merged, "h long"), "phrase-pairs")
+
+
+def _summed(hashes: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted distinct hashes with the sums of their counts."""
+    if not len(hashes):
+        return hashes, counts
+    by = np.argsort(hashes, kind="stable")
+    hashes, counts = hashes[by], counts[by]
+    at = np.flatnonzero(np.concatenate([[True], hashes[1:] != hashes[:-1]]))
+    return hashes[at], np.add.reduceat(counts, at)
+
+
 def phrase_counts(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", min_count: int = 100, max_words: int = 5, held: int = HELD, burst: int = BURST, filter_bits: int = FILTER_BITS) -> DataFrame:
     """(lang, phrase, words, f) of all phrases of 1 to ``max_words`` words with
     f >= ``min_count``, and a row per language with null phrase: all words."""
     ship(docs.sparkSession)
     told = docs.select(F.col(text_col).cast("string").alias("text"), F.col(lang_col).cast("string").alias("lang"))
-    out = ones = _merged(_counted(told, 1, 1, None, held, burst), min_count)
+    out = _merged(_counted(told, 1, 1, None, held, burst), min_count)
     if max_words >= 2:
-        twos = _merged(_counted(told, 2, 2, _filter(ones, 1, filter_bits), held, burst), min_count)
-        out = out.union(twos)
-    if max_words >= 3:
-        out = out.union(_merged(_counted(told, max_words, 3, _filter(twos, 2, filter_bits), held, burst), min_count))
+        n_words = out.filter("phrase is null").agg(F.sum("f")).first()[0] or 0
+        words = _filter(_word_hashes(out.filter("words = 1")), filter_bits)
+        pairs = _filter(_pair_hashes(told, words, n_words, min_count), filter_bits)
+        out = out.union(_merged(_counted(told, max_words, 2, pairs, held, burst), min_count))
     return out.withColumn("phrase", F.col("phrase").cast("string"))
 
 
