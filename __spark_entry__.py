@@ -56,6 +56,8 @@ _THROUGHPUT = (
     f"from {_LATEST_PURCHASE} s join customer on user_id=c_custkey join nation on c_nationkey=n_nationkey"
 )
 
+# text columns whose types are inferred
+_TYPED = ("order no", "code", "price", "score", "big", "day", "moment", "open", "nothing", "o_orderpriority")
 _MASTER_CSV = (
     "select PROVNUM, STATE, WorkDate, "
     "round(coalesce(hrs_rn,0)+coalesce(hrs_lpn,0)+coalesce(hrs_cna,0),6) as TotalNursing_Hours, "
@@ -276,6 +278,40 @@ ORACLE_SQL: dict[str, str] = {
         "select o_orderkey, o_custkey, o_totalprice, case when o_orderstatus='F' then null "
         "else o_orderpriority end as o_orderpriority from orders"
     ),
+    "csv_inferred_types": (
+        "with t as (select cast(o_orderkey as varchar) as \"order no\", lpad(cast(o_custkey as varchar), 8, '0') as code, "
+        "cast(o_totalprice as varchar) as price, case o_orderstatus when 'F' then 'Not Available' when 'P' then ' ' "
+        "else cast(o_custkey * 1000000000 as varchar) end as score, "
+        "case when o_orderstatus <> 'F' then cast(o_custkey * 1000000000 as varchar) end as big, "
+        "strftime(o_orderdate, '%Y-%m-%d') as day, case when o_orderstatus = 'F' then "
+        "strftime(o_orderdate, '%Y-%m-%d') else strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') end as moment, case when o_orderstatus = 'O' then 'TRUE' else 'false' end as open, "
+        "'' as nothing, o_orderpriority from orders), "
+        "u as (" + " union all ".join(f"select '{c}' as name, \"{c}\" as raw from t" for c in _TYPED) + "), "
+        "v as (select name, nullif(trim(raw), '') as v from u), "
+        "n as (select name, count(v) as n_values, "
+        "count(*) filter (where regexp_full_match(v, '[+-]?(0|[1-9][0-9]*)') and try_cast(v as int) is not null) as n_int, "
+        "count(*) filter (where regexp_full_match(v, '[+-]?(0|[1-9][0-9]*)') and try_cast(v as bigint) is not null) as n_bigint, "
+        "count(*) filter (where regexp_full_match(v, '[+-]?(0|[1-9][0-9]*)([.][0-9]*)?([eE][+-]?[0-9]{1,3})?') "
+        "and isfinite(try_cast(v as double))) as n_double, "
+        "count(*) filter (where lower(v) in ('true', 'false')) as n_boolean, "
+        "count(*) filter (where regexp_full_match(v, '[0-9]{4}-[0-9]{2}-[0-9]{2}') and try_cast(v as date) is not null) as n_date, "
+        "count(*) filter (where regexp_full_match(v, '[0-9]{4}-[0-9]{2}-[0-9]{2}([ T][0-9]{2}:[0-9]{2}:[0-9]{2}([.][0-9]{1,6})?)?') "
+        "and try_cast(v as timestamp) is not null) as n_timestamp from v group by name) "
+        "select *, case n_values when 0 then 'string' when n_int then 'int' when n_bigint then 'bigint' when n_double then 'double' "
+        "when n_boolean then 'boolean' when n_date then 'date' when n_timestamp then 'timestamp' else 'string' end as type from n"
+    ),
+    "roundtrip_append_widened": (
+        "select o_orderkey, o_custkey as cust, case o_orderstatus when 'F' then cast(o_orderkey % 100 as varchar) "
+        "when 'O' then 'C' || o_orderkey else cast(o_orderkey as varchar) end as code, "
+        "case o_orderstatus when 'F' then cast(cast(o_orderdate as date) as timestamp) when 'O' then o_orderdate end as day "
+        "from orders where o_orderstatus in ('F', 'O', 'P')"
+    ),
+    "latest_snapshot": (
+        "select CCN, c_name, beds, loaded from (select c_custkey as CCN, c_name, case when k = 4 then c_acctbal * 2 "
+        "else c_acctbal + k end as beds, make_timestamp(2024, k + 1, 1, 0, 0, 0) as loaded, "
+        "row_number() over (partition by c_custkey order by k desc) as rn "
+        "from customer, range(5) r(k) where c_custkey % (k + 1) = 0) t where rn = 1"
+    ),
     "bed_utilization_latest": (
         "select o_orderpriority, round(avg(residents/nullif(beds,0)*100),2) as bed_utilization "
         f"from {_LOADS} p join orders on CCN=o_custkey group by o_orderpriority"

@@ -18,7 +18,7 @@ from wardstat.sources.intake import (
     read_manifest,
     record_file,
 )
-from wardstat.sources.sinks import BATCH_COL, append_batch, overwrite
+from wardstat.sources.sinks import BATCH_COL, append_batch, current_folder, overwrite
 from wardstat.streaming.landing import run_landing_once
 
 
@@ -49,7 +49,7 @@ def test_overwrite_and_read_or_empty(spark, tmp_path):
     overwrite(spark.range(5), path)
     overwrite(spark.range(3), path, single_file=True)
     assert read_table(spark, path).count() == 3
-    assert len([f for f in os.listdir(path) if f.endswith(".parquet")]) == 1
+    assert len([f for f in os.listdir(current_folder(spark, path)) if f.endswith(".parquet")]) == 1
     empty = read_or_empty(spark, str(tmp_path / "missing"), "a string, b double")
     assert empty.count() == 0 and empty.columns == ["a", "b"]
 

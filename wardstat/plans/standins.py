@@ -30,7 +30,9 @@ from wardstat.operators.joins import join_keep_left
 from wardstat.operators.quality import quality_counts
 from wardstat.operators.select import present
 from wardstat.plans import checks, gold, jobs, serving, silver
+from wardstat.plans.snapshot import latest, refresh_latest
 from wardstat.session import scratch_path
+from wardstat.sources import infer
 from wardstat.sources.files import read_csv, read_table
 from wardstat.sources.intake import allow_listed, changed_files, ingest_changed, list_files, rebuild_if_changed
 from wardstat.sources.sinks import BATCH_COL, append_batch, overwrite
@@ -44,6 +46,7 @@ ALLOWED_KIND = "en"
 SHORT_DOC_CHARS = 100
 MEASURE_PICK = "purchase"
 LAST_RUN_CUTOFF = "2024-01-30 12:00:00"
+LANDED_FILES = 8  # files of an arrival
 # ------------------------------------------------------------------------------
 
 
@@ -249,13 +252,14 @@ def q_allow_listed_files(spark, d):
 
 
 def q_silver_master(spark, d):
-    li = table(spark, d, "lineitem").select(
-        "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_quantity", "l_discount", "l_tax", "l_shipdate"
+    li = staffing_facts(
+        spark, d,
+        ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_quantity", "l_discount", "l_tax", "l_shipdate"],
     )
     raw = li.select(
         F.col("l_suppkey").cast("string").alias("PROVNUM"),
         F.col("l_suppkey"),
-        F.lit(None).cast("string").alias("STATE"),  # belongs to the facility: attached after the de-duplication
+        F.col("n_name").alias("STATE"),
         F.col("l_shipdate").alias("WorkDate"),  # a typed source: no text round trip
         F.nullif(F.col("l_quantity"), F.lit(1.0)).alias("Hrs_RN"),
         F.col("l_tax").alias("Hrs_LPN"),
@@ -265,12 +269,9 @@ def q_silver_master(spark, d):
     # the survivor order of the oracle: ..., l_quantity, l_discount, l_tax
     order = ["l_orderkey", "l_linenumber", "l_partkey", "l_extendedprice", "l_quantity", "MDScensus", "Hrs_LPN"]
     s = silver.master_staffing(raw, order=order)
-    sup = table(spark, d, "supplier").select("s_suppkey", "s_nationkey")
-    nat = table(spark, d, "nation").select("n_nationkey", "n_name")
-    s = s.join(sup, s.l_suppkey == sup.s_suppkey).join(nat, F.col("s_nationkey") == nat.n_nationkey)
     return s.select(
         "l_suppkey",
-        clean_code("n_name").alias("state"),
+        F.col("STATE").alias("state"),
         F.col("WorkDate").alias("work_date"),
         F.col("TotalNursing_Hours").alias("total_hours"),
         F.round(guarded_ratio("TotalNursing_Hours", "MDScensus"), 6).alias("ratio"),
@@ -719,6 +720,65 @@ def q_staffing_readmission_written(spark, d):
     return summary.select(F.round(gold.CORRELATION, 6).alias("correlation"))
 
 
+def q_csv_inferred_types(spark, d):
+    """How many values of each text column have the form of each type, and
+    the type that follows: keys with leading zeros stay text."""
+    o = table(spark, d, "orders")
+    status = F.col("o_orderstatus")
+    raw = o.select(
+        F.col("o_orderkey").cast("string").alias("order no"),
+        F.lpad(F.col("o_custkey").cast("string"), 8, "0").alias("code"),
+        _pad(F.col("o_totalprice").cast("string")).alias("price"),
+        F.when(status == "F", "Not Available").when(status == "P", " ").otherwise((F.col("o_custkey") * 1000000000).cast("string")).alias("score"),
+        F.when(status != "F", (F.col("o_custkey") * 1000000000).cast("string")).alias("big"),
+        F.date_format("o_orderdate", "yyyy-MM-dd").alias("day"),
+        F.when(status == "F", F.date_format("o_orderdate", "yyyy-MM-dd")).otherwise(F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss")).alias("moment"),
+        F.when(status == "O", "TRUE").otherwise("false").alias("open"),
+        F.lit("").alias("nothing"),
+        "o_orderpriority",
+    )
+    rows = read_csv(spark, _write_raw_csv(spark, raw, "raw-typed"))
+    counts = infer.type_counts(rows)
+    return counts.select(F.col("column").alias("name"), "n_values", *[f"n_{t}" for t in infer.TYPES], infer.chosen_type().alias("type"))
+
+
+def q_roundtrip_append_widened(spark, d):
+    """Three loads that bring the same columns with other types."""
+    o = table(spark, d, "orders")
+    path = scratch_path(spark, "widened")
+
+    def load(status, cust, code, day):
+        rows = o.filter(F.col("o_orderstatus") == status)
+        append_batch(rows.select("o_orderkey", cust.alias("cust"), code.alias("code"), day.alias("day")), path, f"load-{status}")
+
+    small, whole = (F.col("o_orderkey") % 100).cast("int"), F.col("o_orderkey")
+    load("F", F.col("o_custkey").cast("int"), small, F.col("o_orderdate").cast("date"))
+    load("O", F.col("o_custkey"), F.concat(F.lit("C"), whole.cast("string")), F.col("o_orderdate"))
+    load("P", F.col("o_custkey").cast("int"), whole, F.lit(None))
+    load("O", F.col("o_custkey"), F.concat(F.lit("C"), whole.cast("string")), F.col("o_orderdate"))  # replayed
+    return read_table(spark, path).drop(BATCH_COL)
+
+
+def q_latest_snapshot(spark, d):
+    """Five provider loads, the snapshot of their latest records refreshed
+    after each one; the last load is replayed with other values."""
+    c = table(spark, d, "customer").select(F.col("c_custkey").alias("CCN"), "c_name", "c_acctbal")
+    path, snapshot = scratch_path(spark, "loads"), scratch_path(spark, "loads-latest")
+
+    def load(k, beds):
+        rows = c.filter((F.col("CCN") % (k + 1)) == 0)
+        rows = rows.select("CCN", "c_name", beds.alias("beds"), F.lit(f"2024-{k + 1:02d}-01 00:00:00").cast("timestamp_ntz").alias("loaded"))
+        append_batch(rows, path, f"load-{k}")
+        return refresh_latest(spark, path, snapshot, "CCN", "loaded", "beds")
+
+    for k in range(5):
+        done = load(k, F.col("c_acctbal") + k)
+        if done.rebuilt != (k == 0) or done.loads != (f"load-{k}",):
+            raise AssertionError(f"load {k}: {done}")
+    load(4, F.col("c_acctbal") * 2)
+    return latest(spark, snapshot).select("CCN", "c_name", "beds", "loaded")
+
+
 # --- streaming intake of a landing folder ---------------------------------------------
 
 
@@ -744,7 +804,7 @@ def q_streaming_landing(spark, d):
 
 
 def q_intake_replay(spark, d):
-    """Events land as one CSV folder per user group.  The first run crashes
+    """Events land as several CSV files per user group.  The first run crashes
     before its manifest counts, more files arrive, and the re-run replaces
     what the crashed run wrote; a further run finds nothing to do."""
     ev = table(spark, d, "events").select("event_id", "user_id", "event_type", "value")
@@ -753,7 +813,7 @@ def q_intake_replay(spark, d):
 
     def arrive(k):
         part = ev.filter(F.pmod("user_id", F.lit(4)) == k)
-        part.coalesce(1).write.option("header", True).csv(f"{land}/group={k}.csv")
+        part.repartition(LANDED_FILES).write.option("header", True).csv(f"{land}/group={k}")
 
     def take(manifest_path):
         listing = list_files(spark, land, glob="*.csv")
@@ -790,7 +850,7 @@ def _raw_staffing(spark, d):
 
 
 def q_master_two_files(spark, d):
-    """The staffing table after a second file arrives: rebuilt from both."""
+    """The staffing table after more files arrive: rebuilt from all."""
     raw = _raw_staffing(spark, d)
     land, target, manifest = (scratch_path(spark, n) for n in ("master-landing", "master", "master-manifest"))
     options = {"header": True, "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
@@ -800,7 +860,7 @@ def q_master_two_files(spark, d):
         rebuild_if_changed(spark, listing, manifest, lambda rows: overwrite(silver.master_staffing(rows), target), job="master")
 
     for name, part in (("early", F.col("l_linenumber") <= 3), ("late", F.col("l_linenumber") > 3)):
-        raw.filter(part).drop("l_linenumber").coalesce(1).write.options(**options).csv(f"{land}/{name}")
+        raw.filter(part).drop("l_linenumber").repartition(LANDED_FILES).write.options(**options).csv(f"{land}/{name}")
         take()
     return read_table(spark, target).select(
         "PROVNUM", "STATE", "WorkDate",
@@ -982,6 +1042,9 @@ QUERIES = {
     "intake_replay": q_intake_replay,
     "master_two_files": q_master_two_files,
     "csv_mixed_headers": q_csv_mixed_headers,
+    "csv_inferred_types": q_csv_inferred_types,
+    "roundtrip_append_widened": q_roundtrip_append_widened,
+    "latest_snapshot": q_latest_snapshot,
     "bed_utilization_latest": q_bed_utilization_latest,
     "throughput_latest": q_throughput_latest,
     "readmission_latest": q_readmission_latest,

@@ -6,11 +6,14 @@ the one recorded for it, or when it has no record yet (first run: the
 floor time below).
 
 Every taken file is a batch of its own, whose id is derived from the job, the
-path and the modified time.  Its data is written first, then its manifest
-row, so a crash in between re-takes that file version on the next run under
-the same batch id and replaces what the crashed run wrote, whatever other
-files have changed meanwhile.  A file rewritten under the same name is a new
-batch; the rows of its earlier version stay, as an earlier load.
+path and the modified time.  A run takes all changed files together, in a
+number of Spark jobs that does not depend on theirs: the listing, one look at
+the headers, one write that puts every row into its file's batch, one manifest
+write.  The data is written before the manifest, so a crash in between re-takes
+those file versions on the next run under the same batch ids and replaces what
+the crashed run wrote, whatever other files have changed meanwhile.  A file
+rewritten under the same name is a new batch; the rows of its earlier version
+stay, as an earlier load.
 
 Spark's streaming file source is not used as the default: it remembers
 paths, so a file rewritten under the same name is never read again.
@@ -26,7 +29,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wardstat.functions.names import col_of
-from wardstat.sources.sinks import append_batch
+from wardstat.sources.sinks import BATCH_COL, append_batch, append_batches
+
+BROADCAST_FILES = 500_000  # changed files whose names are broadcast: about 100 MB
 
 # --- fixed values ----------------------------------------------------------------
 FIRST_RUN_FLOOR = _dt.datetime(1900, 1, 1, 0, 0, 0)
@@ -120,12 +125,16 @@ def read_manifest(spark: SparkSession, manifest_path: str, job: str | None = Non
 
 
 def record_file(spark: SparkSession, manifest_path: str, job: str, path: str, seen_micros: int, batch: str) -> None:
-    """Record one taken file version; call only after its data is written.
-    The time travels as microseconds, an instant in any zone."""
-    row = spark.range(1).select(
-        F.lit(job).alias("job"), F.lit(path).alias("path"), F.timestamp_micros(F.lit(seen_micros)).alias("seen")
-    )
-    append_batch(row, manifest_path, batch)
+    """Record one taken file version; call only after its data is written."""
+    record_files(spark, manifest_path, job, [(path, seen_micros)], batch)
+
+
+def record_files(spark: SparkSession, manifest_path: str, job: str, files: Sequence[tuple[str, int]], batch: str) -> None:
+    """Record taken file versions, as one batch of the manifest.  The times
+    travel as microseconds, instants in any zone."""
+    rows = spark.createDataFrame(list(files), "path string, micros long")
+    rows = rows.select(F.lit(job).alias("job"), "path", F.timestamp_micros("micros").alias("seen"))
+    append_batch(rows.coalesce(1), manifest_path, batch)
 
 
 def batch_id_for(job: str, path: str, seen_micros: int) -> str:
@@ -133,9 +142,17 @@ def batch_id_for(job: str, path: str, seen_micros: int) -> str:
     return "file-" + hashlib.sha1(f"{job}\t{path}\t{seen_micros}".encode()).hexdigest()[:20]
 
 
-def _taken(listing: DataFrame, manifest: DataFrame) -> DataFrame:
+def _taken(listing: DataFrame, manifest: DataFrame) -> list[tuple[str, int]]:
+    """The changed files.  Their names reach the driver, as any read of them
+    needs them there; their rows never do."""
     changed = changed_files(listing, manifest)
-    return changed.select("path", F.unix_micros(F.col("modified").cast("timestamp")).alias("micros")).orderBy("micros", "path")
+    rows = changed.select("path", F.unix_micros(F.col("modified").cast("timestamp")).alias("micros")).collect()
+    return sorted({(r.path, r.micros) for r in rows}, key=lambda x: (x[1], x[0]))
+
+
+def _run_id(batches: Sequence[str]) -> str:
+    """One id for the same files in the same versions, whatever their order."""
+    return "run-" + hashlib.sha1("\n".join(sorted(batches)).encode()).hexdigest()[:20]
 
 
 def ingest_changed(
@@ -149,25 +166,36 @@ def ingest_changed(
     fmt: str = "parquet",
     job: str = "",
 ) -> int:
-    """One intake run: each changed file is read, cleaned with ``transform``
-    (a silver job), appended to ``target`` as its own batch and recorded.
-    Returns the number of files taken.
-
+    """One intake run: all changed files are read together, cleaned with
+    ``transform`` (a silver job), appended to ``target``, each as its own
+    batch, and recorded.  Returns the number of files taken.
+
+    ``transform`` gets the rows of all files, with the column ``batch_id``,
+    and must work row by row and leave that column in its result.  ``reader``
+    (default ``read_csv``) is called with the session, the paths and
+    ``file_col``, the name under which it has to add each row's file.
     ``run_id`` only prefixes the batch ids, so using it again never replaces
-    another file's rows.  Files are taken one after the other in the order of
-    their modified times; the driver holds one path at a time, and the rows
-    are read, cleaned and written by the executors.
+    another file's rows.
     """
-    from wardstat.sources.files import read_csv
+    from wardstat.sources.files import path_key, read_csv, uri_key
+
+    taken = _taken(listing, read_manifest(spark, manifest_path, job))
+    if not taken:
+        return 0
+    names = [batch_id_for(job, path, micros) for path, micros in taken]
+    names = [f"{run_id}-{n}" if run_id else n for n in names]
+    rows = (reader or read_csv)(spark, [path for path, _ in taken], file_col=_FILE)
+    known = spark.createDataFrame([(path, n) for (path, _), n in zip(taken, names)], f"path string, {BATCH_COL} string")
+    known = known.select(path_key("path").alias(_KEY), BATCH_COL)
+    if len(taken) <= BROADCAST_FILES:  # names that the driver holds already; beyond that a shuffle meets them
+        known = F.broadcast(known)
+    rows = rows.drop(BATCH_COL).withColumn(_KEY, uri_key(_FILE)).join(known, _KEY).drop(_KEY, _FILE)
+    append_batches(transform(rows), target, fmt=fmt)
+    record_files(spark, manifest_path, job, taken, _run_id(names))
+    return len(taken)
+
 
-    n = 0
-    for row in _taken(listing, read_manifest(spark, manifest_path, job)).toLocalIterator():
-        batch = batch_id_for(job, row.path, row.micros)
-        batch = f"{run_id}-{batch}" if run_id else batch
-        append_batch(transform((reader or read_csv)(spark, row.path)), target, batch, fmt=fmt)
-        record_file(spark, manifest_path, job, row.path, row.micros, batch)
-        n += 1
-    return n
+_FILE, _KEY = "__file", "__file_key"
 
 
 def rebuild_if_changed(
@@ -182,16 +210,14 @@ def rebuild_if_changed(
     is new or changed, ``write`` gets *all* listed files' rows, aligned by
     column name; then the changed ones are recorded.  Returns their number.
 
-    The listed paths reach the driver: the caller's allow-list names single
-    files of a snapshot, not an open-ended folder.
+    The listed paths reach the driver, as a read of them needs them there.
     """
     from wardstat.sources.files import read_csv
 
-    taken = _taken(listing, read_manifest(spark, manifest_path, job)).collect()
+    taken = _taken(listing, read_manifest(spark, manifest_path, job))
     if not taken:
         return 0
     paths = [r.path for r in listing.select("path").distinct().orderBy("path").collect()]
     write((reader or read_csv)(spark, paths))
-    for r in taken:
-        record_file(spark, manifest_path, job, r.path, r.micros, batch_id_for(job, r.path, r.micros))
+    record_files(spark, manifest_path, job, taken, _run_id([batch_id_for(job, *t) for t in taken]))
     return len(taken)
