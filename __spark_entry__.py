@@ -306,6 +306,22 @@ ORACLE_SQL: dict[str, str] = {
         "case o_orderstatus when 'F' then cast(cast(o_orderdate as date) as timestamp) when 'O' then o_orderdate end as day "
         "from orders where o_orderstatus in ('F', 'O', 'P')"
     ),
+    "readmission_null_keys": (
+        "select round(corr(l_quantity, cast(s_nationkey as double)),6) as correlation, count(*) as n from lineitem join supplier "
+        "on nullif(l_suppkey,7) is not distinct from nullif(s_suppkey,7) where l_quantity>1 and l_quantity<15"
+    ),
+    "bed_utilization_hot_key": (
+        "select o_orderpriority, round(avg(o_totalprice/nullif(beds,0)*100),2) as bed_utilization "
+        f"from {_LOADS} p join orders on CCN=case when o_orderkey % 3 = 0 then 1 else o_custkey end group by o_orderpriority"
+    ),
+    "report_scatter_binned": (
+        "with p as (select l_quantity as x, nullif(l_tax,0.0) as y "
+        f"{_BAND_JOIN} and nullif(l_tax,0.0) is not null), "
+        "f as (select regr_slope(y,x) as slope, regr_intercept(y,x) as intercept, regr_r2(y,x) as r2 from p) "
+        "select least(greatest(floor(x/16.0::double*8),0),7)::int as x_bin, least(greatest(floor(y/0.08::double*8),0),7)::int as y_bin, "
+        "count(*) as points, round(avg(x),6) as mean_x, round(avg(y),6) as mean_y, round(any_value(slope),6) as slope, "
+        "round(any_value(intercept),6) as intercept, round(any_value(r2),6) as r2 from p, f group by 1, 2"
+    ),
     "latest_snapshot": (
         "select CCN, c_name, beds, loaded from (select c_custkey as CCN, c_name, case when k = 4 then c_acctbal * 2 "
         "else c_acctbal + k end as beds, make_timestamp(2024, k + 1, 1, 0, 0, 0) as loaded, "

@@ -76,7 +76,7 @@ def test_one_run_takes_many_files_in_few_jobs(spark, tmp_path):
         assert taken == n
         return land, target, manifest, take, jobs
 
-    *_, some = run(40, 0, "some")  # beyond 32 paths Spark lists them in jobs
+    *_, some = run(80, 0, "some")  # beyond 32 paths of a read Spark lists them in a job
     land, target, manifest, take, many = run(150, 0, "many")
     assert many == some < 15
     t = read_table(spark, target)

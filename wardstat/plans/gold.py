@@ -103,6 +103,7 @@ def bed_utilization(
     digits: int = 2,
     enrich=None,
     pre_aggregate: bool | None = None,
+    hot=None,
 ) -> DataFrame:
     """Mean bed utilisation percent per group, rounded.
 
@@ -117,14 +118,16 @@ def bed_utilization(
     reduced to a row count per facility and MDS grouping key, so the join
     shuffles counts instead of every MDS row (also of a facility that has
     very many); the mean is then weighted by those counts (equal up to
-    floating-point rounding).  ``pre_aggregate`` forces or forbids that.
+    floating-point rounding).  ``pre_aggregate`` forces or forbids that; where
+    it is not done, ``hot="auto"`` spreads facilities with very many MDS rows
+    (see ``join_keep_left``).
     """
     prov = _latest(provider, key, stamp, tie_break)
     if pre_aggregate is None:
         pre_aggregate = mds_keep is None and on_provider(prov, residents, beds)
     if pre_aggregate:
         return _bed_utilization_weighted(prov, mds, by, name, key, residents, beds, digits, enrich)
-    joined = join_keep_left(prov, mds, key, keep=mds_keep)
+    joined = join_keep_left(prov, mds, key, keep=mds_keep, hot=hot)
     if enrich is not None:
         joined = enrich(joined)
     rate = percent(residents, beds)
@@ -207,6 +210,9 @@ def staffing_readmission(
     stamp: str | None = STAMP,
     tie_break=None,
     count_name: str | None = None,
+    hot=None,
+    null_safe: bool = False,
+    skewed: str = "right",
 ) -> tuple[DataFrame, DataFrame]:
     """Detail rows in the staffing band and the one-row correlation summary.
 
@@ -214,14 +220,16 @@ def staffing_readmission(
     into the correlation (what the gold table holds); ``missing="drop"``
     keeps it NULL, and the correlation skips that pair (the cross-check).
     ``stamp=None`` skips the latest-record pick (the cross-check joins all
-    loads).  Staffing hours missing or unparsable count as 0.0, which falls
+    loads); there ``hot`` spreads a facility with very many rows on the
+    ``skewed`` side, and ``null_safe`` joins rows without a key with each
+    other (see ``join_keep_left``).  Staffing hours missing or unparsable count as 0.0, which falls
     outside any band with a non-negative lower bound; so the band is tested
     on the parsed value before the fill, where it can reach the scan.
     """
     low, high = band
     prov = _latest(provider, key, stamp, tie_break)
     fac = _latest(facility, key, stamp, tie_break)
-    joined = join_keep_left(prov, fac, key, keep=facility_keep)
+    joined = join_keep_left(prov, fac, key, keep=facility_keep, hot=hot, null_safe=null_safe, skewed=skewed)
     if low >= 0:
         detail = joined.filter(in_band(to_number(hours), low, high))
         filled = {hours: to_number(hours)}

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from wardstat.functions.measures import linear_fit, safe_corr
@@ -176,3 +176,50 @@ def collect_bounded(df: DataFrame, max_rows: int = 100_000):
     if len(head) > max_rows:
         raise ValueError(f"result has more than {max_rows} rows; aggregate or filter it first")
     return head
+
+
+def scatter_binned(
+    detail: DataFrame,
+    x: str,
+    y: str,
+    x_range: tuple[float, float],
+    y_range: tuple[float, float],
+    bins: int = 50,
+    state: str | None = ALL,
+    state_col: str = "State",
+) -> DataFrame:
+    """A scatter plot of any number of points: at most ``bins`` x ``bins``
+    cells with the points in them, their means, and the least-squares line of
+    all points (the same in every row).
+
+    One aggregate makes the cells with their counts, sums and sums of squares;
+    the line is computed from the cells, not from the points.  Points outside
+    the ranges are counted in the cells at the edges.  Pairs with a missing
+    value are no points.  Sums are taken about the middle of the ranges, so
+    that large values do not cost digits.
+    """
+    rows = sel.equals(detail, state_col, state).select(col_of(x).cast("double").alias("x"), col_of(y).cast("double").alias("y"))
+    rows = rows.filter(F.col("x").isNotNull() & F.col("y").isNotNull() & ~F.isnan("x") & ~F.isnan("y"))
+    (x0, x1), (y0, y1) = x_range, y_range
+    if not (x0 < x1 and y0 < y1 and bins > 0):
+        raise ValueError("ranges must rise and there must be a bin")
+
+    def cell(c: str, low: float, high: float) -> F.Column:
+        return F.least(F.greatest(F.floor((F.col(c) - low) / (high - low) * bins), F.lit(0)), F.lit(bins - 1)).cast("int")
+
+    dx, dy = F.col("x") - (x0 + x1) / 2, F.col("y") - (y0 + y1) / 2
+    cells = rows.groupBy(cell("x", x0, x1).alias("x_bin"), cell("y", y0, y1).alias("y_bin")).agg(
+        F.count(F.lit(1)).alias("n"), F.sum(dx).alias("sx"), F.sum(dy).alias("sy"),
+        F.sum(dx * dx).alias("sxx"), F.sum(dx * dy).alias("sxy"), F.sum(dy * dy).alias("syy"),
+    )
+    whole = Window.partitionBy()  # over the cells: bins x bins rows at most
+    n, sx, sy, sxx, sxy, syy = (F.sum(c).over(whole) for c in ("n", "sx", "sy", "sxx", "sxy", "syy"))
+    told = cells.select(
+        "x_bin", "y_bin", F.col("n").alias("points"), (F.col("sx") / F.col("n") + (x0 + x1) / 2).alias("mean_x"),
+        (F.col("sy") / F.col("n") + (y0 + y1) / 2).alias("mean_y"), n.alias("n_all"), (sx / n).alias("mx"), (sy / n).alias("my"),
+        (sxx - sx * sx / n).alias("cxx"), (sxy - sx * sy / n).alias("cxy"), (syy - sy * sy / n).alias("cyy"),
+    )
+    slope = F.try_divide(F.col("cxy"), F.col("cxx"))
+    intercept = F.col("my") + (y0 + y1) / 2 - slope * (F.col("mx") + (x0 + x1) / 2)
+    r2 = F.try_divide(F.col("cxy") * F.col("cxy"), F.col("cxx") * F.col("cyy"))
+    return told.select("x_bin", "y_bin", "points", "mean_x", "mean_y", slope.alias("slope"), intercept.alias("intercept"), r2.alias("r2"))

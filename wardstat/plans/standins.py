@@ -779,6 +779,41 @@ def q_latest_snapshot(spark, d):
     return latest(spark, snapshot).select("CCN", "c_name", "beds", "loaded")
 
 
+def q_readmission_null_keys(spark, d):
+    """The cross-check with NULL facility keys that match each other."""
+    li = table(spark, d, "lineitem").select(
+        "l_orderkey", "l_linenumber", "l_quantity", F.nullif(F.col("l_suppkey"), F.lit(7)).alias("fkey")
+    )
+    fac = table(spark, d, "supplier").select(F.nullif(F.col("s_suppkey"), F.lit(7)).alias("fkey"), "s_nationkey")
+    _, summary = gold.staffing_readmission(
+        li, fac, key="fkey", hours="l_quantity", rate="s_nationkey", missing="drop", stamp=None, count_name="n",
+        null_safe=True, skewed="left",
+    )
+    return summary.select(F.round(gold.CORRELATION, 6).alias("correlation"), "n")
+
+
+def q_bed_utilization_hot_key(spark, d):
+    """A third of all MDS rows at one facility, joined row by row to the
+    latest provider load."""
+    o = table(spark, d, "orders").select(
+        "o_orderkey", "o_orderpriority", "o_totalprice",
+        F.when(F.col("o_orderkey") % 3 == 0, F.lit(1).cast("bigint")).otherwise(F.col("o_custkey")).alias("CCN"),
+    )
+    return gold.bed_utilization(
+        _loads(spark, d), o, by=["o_orderpriority"], name="bed_utilization", key="CCN", residents="o_totalprice", beds="beds",
+        stamp="loaded", tie_break="beds", pre_aggregate=False, mds_keep=["o_orderkey", "o_orderpriority", "o_totalprice"], hot="auto",
+    )
+
+
+def q_report_scatter_binned(spark, d):
+    """All points of the scatter page as cells, with the line through them."""
+    detail, _ = _readmission(spark, d, "drop")
+    cells = serving.scatter_binned(detail, "l_quantity", "readmission", (0.0, 16.0), (0.0, 0.08), bins=8)
+    return cells.select(
+        "x_bin", "y_bin", "points", *[F.round(c, 6).alias(c) for c in ("mean_x", "mean_y", "slope", "intercept", "r2")]
+    )
+
+
 # --- streaming intake of a landing folder ---------------------------------------------
 
 
@@ -1045,6 +1080,9 @@ QUERIES = {
     "csv_inferred_types": q_csv_inferred_types,
     "roundtrip_append_widened": q_roundtrip_append_widened,
     "latest_snapshot": q_latest_snapshot,
+    "readmission_null_keys": q_readmission_null_keys,
+    "bed_utilization_hot_key": q_bed_utilization_hot_key,
+    "report_scatter_binned": q_report_scatter_binned,
     "bed_utilization_latest": q_bed_utilization_latest,
     "throughput_latest": q_throughput_latest,
     "readmission_latest": q_readmission_latest,
