@@ -29,12 +29,13 @@ from wardstat.operators.dedup import dedup_by_key, latest_per_key
 from wardstat.operators.joins import join_keep_left
 from wardstat.operators.quality import quality_counts
 from wardstat.operators.select import present
-from wardstat.plans import checks, gold, jobs, serving, silver
+from wardstat.plans import checks, gold, jobs, partials, serving, silver
 from wardstat.plans.snapshot import latest, refresh_latest
 from wardstat.session import scratch_path
 from wardstat.sources import infer
 from wardstat.sources.files import read_csv, read_table
 from wardstat.sources.intake import allow_listed, changed_files, ingest_changed, list_files, rebuild_if_changed
+from wardstat.sources.ordered import overwrite_sorted, read_range
 from wardstat.sources.sinks import BATCH_COL, append_batch, overwrite
 from wardstat.streaming.landing import run_landing_once
 
@@ -779,6 +780,47 @@ def q_latest_snapshot(spark, d):
     return latest(spark, snapshot).select("CCN", "c_name", "beds", "loaded")
 
 
+def q_hours_stored_in_order(spark, d):
+    """The hours table stored by day, and one year of it read back."""
+    path = scratch_path(spark, "gold-hours")
+    overwrite_sorted(gold.onduty_hours(staffing_silver(spark, d)), path, ["WorkDate", "STATE"], files=6)
+    rows = read_range(spark, path, F.lit("1995-01-01").cast("date"), F.lit("1995-12-31").cast("date"))
+    return rows.select(
+        F.col("STATE").alias("state"), F.col("WorkDate").alias("work_date"), F.round(gold.TOTAL_RN_HOURS, 6).alias("total_rn_hours")
+    )
+
+
+def q_staffing_rollups_incremental(spark, d):
+    """The staffing tables after three loads, each reduced once when it came."""
+    silver_rows, path, states = staffing_silver(spark, d), scratch_path(spark, "silver-loads"), scratch_path(spark, "partials")
+    for k in range(3):
+        append_batch(silver_rows.filter(F.pmod("CNA_Ratio", F.lit(3)) == k), path, f"load-{k}")
+        if partials.refresh_staffing(spark, path, states) != [f"load-{k}"]:
+            raise AssertionError("a refresh did not read just the new load")
+    return partials.staffing_rollups(spark, path, states).select(
+        jobs.SUMMARY, "STATE", "WorkDate", "PROVNUM", "PROVNAME", "RN_Ratio", "CNA_Ratio",
+        F.round(gold.TOTAL_RN_HOURS, 6).alias(gold.TOTAL_RN_HOURS),
+        F.round("Avg_Nurse_Ratio", 6).alias("Avg_Nurse_Ratio"),
+    )
+
+
+def q_bed_utilization_incremental(spark, d):
+    """Bed utilisation from the provider snapshot and the counts of MDS loads."""
+    path, snapshot, mds, counts = (scratch_path(spark, n) for n in ("provider-loads", "provider-latest", "mds-loads", "mds-counts"))
+    both = _loads(spark, d)
+    for name, day in (("first", "2024-10-01"), ("second", "2024-11-01")):
+        append_batch(both.filter(F.col("loaded") == F.lit(day).cast("timestamp_ntz")), path, name)
+        refresh_latest(spark, path, snapshot, "CCN", "loaded", "beds")
+    rows = _mds(spark, d).select("CCN", "o_orderpriority", "o_totalprice")
+    for k in range(2):
+        append_batch(rows.filter((F.col("o_totalprice") > 100000) == bool(k)).drop("o_totalprice"), mds, f"load-{k}")
+        partials.refresh_mds_counts(spark, mds, counts, ["o_orderpriority"], key="CCN")
+    return partials.bed_utilization(
+        spark, latest(spark, snapshot), mds, counts, by=["o_orderpriority"], name="bed_utilization", mds_by=["o_orderpriority"],
+        key="CCN", residents="residents", beds="beds",
+    )
+
+
 def q_readmission_null_keys(spark, d):
     """The cross-check with NULL facility keys that match each other."""
     li = table(spark, d, "lineitem").select(
@@ -1080,6 +1122,9 @@ QUERIES = {
     "csv_inferred_types": q_csv_inferred_types,
     "roundtrip_append_widened": q_roundtrip_append_widened,
     "latest_snapshot": q_latest_snapshot,
+    "hours_stored_in_order": q_hours_stored_in_order,
+    "staffing_rollups_incremental": q_staffing_rollups_incremental,
+    "bed_utilization_incremental": q_bed_utilization_incremental,
     "readmission_null_keys": q_readmission_null_keys,
     "bed_utilization_hot_key": q_bed_utilization_hot_key,
     "report_scatter_binned": q_report_scatter_binned,

@@ -21,7 +21,7 @@ from __future__ import annotations
 
 import json
 import uuid
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -113,12 +113,13 @@ def overwrite(
     fmt: str = "parquet",
     single_file: bool = False,
     partition_by: Sequence[str] = (),
-    notes: Mapping[str, str] | None = None,
+    notes: Mapping[str, str] | Callable[[str], Mapping[str, str]] | None = None,
 ) -> None:
     """Replace the table at ``path`` (schema included).
 
     ``notes`` are small texts, by names that begin with ``_``, that belong to
-    this version of the table and are replaced with it (see ``read_note``).
+    this version of the table and are replaced with it (see ``read_note``); a
+    function gets the written version's folder and returns them.
 
     ``single_file=True`` is for small summaries only: it shuffles the result
     into one partition (the upstream stages keep their parallelism, unlike
@@ -137,7 +138,8 @@ def overwrite(
     last = {p.lower() for p in partition_by}
     kept = [f for f in schema.fields if f.name.lower() not in last]
     _store_schema(spark, f"{path}/{version}", StructType(kept + [forms(schema)[p.lower()][0] for p in partition_by]))
-    for name, text in (notes or {}).items():
+    own = notes(f"{path}/{version}") if callable(notes) else notes or {}
+    for name, text in own.items():
         fs.write_text(spark, f"{path}/{version}/{name}", text)
     fs.write_text(spark, f"{path}/{POINTER}", version)
     keep = {version, POINTER, (before or "").strip()}
