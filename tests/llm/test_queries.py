@@ -29,7 +29,7 @@ def held(i):
 
 def test_every_operator_is_registered():
     numbers = {int(n[2:].split("_")[0]) for n in queries.QUERIES}
-    assert numbers == set(range(1, 11)) and set(queries.ORACLE_SQL) <= set(queries.QUERIES)
+    assert numbers == set(range(1, 14)) and set(queries.ORACLE_SQL) <= set(queries.QUERIES)
 
 
 def test_op2(spark, docs):
@@ -85,6 +85,23 @@ def test_op10(spark, docs):
     assert {r.doc_id: (r.start, r.n_tokens, r.ids_crc32) for r in rows_of(spark, "op10_token_output")} == want
 
 
+def test_op11(spark):
+    rows = [tuple(r) for r in spark.read.parquet(f"{SF_SMALL}/conversations.parquet").select("conv_id", "turn", "role", "text").collect()]
+    assert {r[0]: tuple(r)[1:] for r in rows_of(spark, "op11_conversation_structure_repair")} == brute.conversations(rows)
+
+
+def test_op12(spark):
+    rows = [(r.text, r.lang) for r in spark.read.parquet(f"{SF_CHECK}/documents.parquet").collect()]
+    assert sorted(map(tuple, rows_of(spark, "op12_phrase_collocations", SF_CHECK))) == brute.collocations(rows)
+
+
+def test_op13(spark):
+    from tests.llm.test_arc_convert import expected
+
+    rows = [(r.page_id, r.url, r.html) for r in spark.read.parquet(f"{SF_SMALL}/pages.parquet").collect()]
+    assert sorted((tuple(r) for r in rows_of(spark, "op13_warc")), key=str) == expected(rows)
+
+
 def test_pipeline_against_plain_stages(spark):
     """Each stage on what the stage before left."""
     left = spark.read.parquet(f"{SF_SMALL}/documents.parquet")

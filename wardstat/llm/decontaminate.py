@@ -45,7 +45,7 @@ class Probes:
     start: np.ndarray
     length: np.ndarray
     item: np.ndarray
-    ids: list[str]
+    ids: list[str | None]
     suffix: np.ndarray
     rest: np.ndarray
     owner: np.ndarray
@@ -58,13 +58,14 @@ def normal_words(column: pa.Array) -> tuple[tx.Words, np.ndarray]:
 
 def probes(benchmark: DataFrame, id_col: str, text_col: str, window: int) -> Probes:
     """The benchmark's windows.  Items without words have none; rows that
-    repeat an id add their windows to it; a null id counts as no item."""
+    repeat an id add their windows to it; rows without an id are one item, the
+    last, whose name is null."""
     size = benchmark.agg(F.sum(F.octet_length(text_col))).first()[0] or 0
     if size > MAX_BENCHMARK_BYTES:
         raise ValueError(f"the benchmark has {size} bytes of text; at most {MAX_BENCHMARK_BYTES} fit a task, pass it in parts")
-    rows = benchmark.filter(F.col(id_col).isNotNull()).select(F.col(id_col).cast("string"), text_col).collect()
-    rows.sort(key=lambda r: (r[0], r[1] or ""))
-    ids = sorted({r[0] for r in rows})
+    rows = benchmark.select(F.col(id_col).cast("string"), text_col).collect()
+    rows.sort(key=lambda r: (r[0] is None, r[0] or "", r[1] or ""))
+    ids = sorted({r[0] for r in rows}, key=lambda x: (x is None, x or ""))
     number = {x: i for i, x in enumerate(ids)}
     w, h = normal_words(pa.array([r[1] for r in rows], pa.large_string()))
     parts, start, length, item, at = [], [], [], [], 0
@@ -235,7 +236,7 @@ def overlaps(
     """Every row with what it shares with the benchmark.
 
     Adds ``n_words``, ``n_hit`` (words inside an occurring window), ``items``
-    (ids with an occurring window, as strings in string order), ``spans``
+    (ids with an occurring window, as strings in string order, a null for items without id), ``spans``
     (first word and number of words of each maximal hit stretch), and the
     longest run of words that is also in an item, the first of equals:
     ``match_words``, ``match_at`` (its first word, -1 if none) and
@@ -268,7 +269,7 @@ def overlaps(
             covered = np.cumsum(edge[:-1]) > 0
             sums = np.concatenate(([0], np.cumsum(covered)))
             n_hit = sums[w.first[1:]] - sums[w.first[:-1]]
-            items: list[list[str]] = [[] for _ in range(n_docs)]
+            items: list[list[str | None]] = [[] for _ in range(n_docs)]
             found = np.unique(doc * len(probe.ids) + item) if len(doc) else []
             for x in found:  # items of a chunk's contaminated documents only
                 items[int(x) // len(probe.ids)].append(probe.ids[int(x) % len(probe.ids)])

@@ -8,9 +8,10 @@ mean of the hidden vectors is scored by a logistic unit.  Only the document
 label is known in training: the attention weights are learned from it.
 
 Training rows are a bounded, documented sample (``per_label`` documents per
-label, the same ones on every run); scoring runs in one pass over the texts
-without a shuffle.  Attention sums are accumulated chunk by chunk, so a very
-long text needs no more memory than a short one, beyond its own bytes.
+label, the same ones on every run, of at most ``max_passages`` passages each);
+every passage of a training text is learned from.  Scoring runs in one pass
+over the texts without a shuffle.  The features of a text are made in one
+piece, so a very long text needs memory in proportion to its length.
 
 Null and empty texts are bags of one all-zero passage and get a score like
 any other; extra columns are kept.
@@ -214,8 +215,11 @@ def training_rows(labels: DataFrame, per_label: int, label_col: str, id_col: str
 
 
 def fit(docs: DataFrame, labels: DataFrame, per_label: int = 1500, label_col: str = "quality",
-        id_col: str = "doc_id", text_col: str = "text") -> MilModel:
-    """Train on at most ``per_label`` documents of each label.
+        id_col: str = "doc_id", text_col: str = "text", max_passages: int = 2000) -> MilModel:
+    """Train on at most ``per_label`` documents of each label, all passages of
+    each.  A document of more than ``max_passages`` passages (96,000 words) is
+    not one of the sample, so the driver gets 2 * per_label * max_passages
+    feature vectors at most.
 
     ``labels`` holds (id, 0/1 label) rows that may be learned from; rows with
     null id or another label value are ignored.  Without any document of label
@@ -230,10 +234,8 @@ def fit(docs: DataFrame, labels: DataFrame, per_label: int = 1500, label_col: st
     def features(batches):
         for b in tx.chunks(batches, text_col):
             bags = passage_features(b.column(text_col))
-            sizes = np.diff(bags.first)
-            # a long training text contributes evenly spaced passages only
-            keep = [np.unique(np.linspace(0, n - 1, min(n, 40)).astype(int)) for n in sizes]
-            vec = [bags.x[f + k].astype(np.float32).tobytes() for f, k in zip(bags.first, keep)]
+            fits = np.diff(bags.first) <= max_passages
+            vec = [bags.x[f:e].astype(np.float32).tobytes() if ok else None for f, e, ok in zip(bags.first, bags.first[1:], fits)]
             yield pa.RecordBatch.from_arrays(
                 [b.column(id_col).cast(pa.string()), b.column("label").cast(pa.int32()), pa.array(vec, pa.binary())],
                 names=["id", "label", "x"],
@@ -241,7 +243,7 @@ def fit(docs: DataFrame, labels: DataFrame, per_label: int = 1500, label_col: st
 
     schema = T.StructType([T.StructField("id", T.StringType()), T.StructField("label", T.IntegerType()), T.StructField("x", T.BinaryType())])
     # one row per id, also where the documents repeat it
-    one = sample.mapInArrow(features, schema).groupBy("id").agg(F.min(F.struct("x", "label")).alias("r")).select("id", "r.*")
+    one = sample.mapInArrow(features, schema).filter("x is not null").groupBy("id").agg(F.min(F.struct("x", "label")).alias("r")).select("id", "r.*")
     rows = sorted(one.collect(), key=lambda r: r.id)
     label = np.array([r.label for r in rows], np.int64)
     if len(set(label.tolist())) < 2:
