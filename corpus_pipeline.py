@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wardstat.llm import decontaminate, mixing, near_dup, quality_mil
+from wardstat.llm.components import written
 from wardstat.llm.queries import held_out, label_weights, table, token_rows
 from wardstat.session import scratch_path
 
@@ -28,14 +29,27 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return scored.filter(f"_quality_score >= {QUALITY_CUT}").select(*docs.columns)
 
 
+def unused(docs: DataFrame, name: str) -> str:
+    """The name, with underscores before it until no column has it."""
+    taken = {c.lower() for c in docs.columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
+
+
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies (five-word shingles, 0.8),
-    the one with the smallest id; repeated rows of an id count as copies, rows
-    without an id stay."""
-    found = near_dup.near_duplicates(docs, shingle_words=5, percent=80)
-    stay = found.filter("kept and doc_id is not null").select("doc_id").distinct()
-    named = docs.filter("doc_id is not null").join(stay, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return named.select(*docs.columns).unionByName(docs.filter("doc_id is null"))
+    """One row of each group of near copies (five-word shingles, 0.8): the one
+    with the smallest id, rows without an id last, then the first stored.
+    Rows are told apart by a number of their own, so rows that share an id, or
+    have none, but hold different texts all stay, and copies among them do not.
+    """
+    row = unused(docs, "row_number")
+    numbered = written(docs.withColumn(row, F.monotonically_increasing_id()), "corpus-rows")
+    found = near_dup.near_duplicates(numbered.select(row, "text"), id_col=row, shingle_words=5, percent=80)
+    ids = numbered.select(F.col(row).alias("n"), "doc_id")
+    named = found.select(F.col(row).alias("n"), "component_id").join(ids, "n")
+    first = named.groupBy("component_id").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "n")).alias("first"))
+    return numbered.join(first.select(F.col("first.n").alias(row)), row, "left_semi").select(*docs.columns)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -52,10 +66,11 @@ def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     sizes = docs.select("doc_id", "source", mixing.word_count().alias("_n"))
     weighted = label_weights(sizes, table(spark, sf_dir, "labels"))
     mixed = mixing.mix_sizes(weighted, F.col("_n"), F.col("_weight"))
-    one = mixed.groupBy(F.col("doc_id").alias("_id"), F.col("source").alias("_source")).agg(F.max("copies").alias("_copies"))
-    same = docs["doc_id"].eqNullSafe(F.col("_id")) & docs["source"].eqNullSafe(F.col("_source"))
-    repeated = F.explode(F.sequence(F.lit(1), F.col("_copies").cast("int")))
-    return docs.join(one.filter("_copies > 0"), same).select(*docs.columns, repeated.alias("_copy")).drop("_copy")
+    i, s, n, k = (unused(docs, c) for c in ("mix_id", "mix_source", "mix_copies", "mix_copy"))
+    one = mixed.groupBy(F.col("doc_id").alias(i), F.col("source").alias(s)).agg(F.max("copies").alias(n))
+    same = docs["doc_id"].eqNullSafe(F.col(i)) & docs["source"].eqNullSafe(F.col(s))
+    repeated = F.explode(F.sequence(F.lit(1), F.col(n).cast("int")))
+    return docs.join(one.filter(F.col(n) > 0), same).select(*docs.columns, repeated.alias(k)).drop(k)
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
