@@ -9,7 +9,7 @@ import pytest
 import __spark_entry__ as entry
 from tests.conftest import SF_SMALL
 
-TABLES = "region nation customer supplier part orders lineitem events documents embeddings benchmark labels".split()
+TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
 
 
 def _norm(v):

@@ -305,11 +305,11 @@ def test_jobs_and_reports_in_orc(spark, tmp_path):
     run("gold-throughput", "--provider", out + "/provider", "--skilled", out + "/skilled", "--out", out + "/g/throughput")
     detail, summary = run("gold-readmission", "--provider", out + "/provider", "--facility", out + "/facility", "--out", out + "/g/readmission")["written"]
     assert spark.read.orc(out + "/provider").count() == len(fx.PROVIDER_LOAD_1)
-    assert spark.read.orc(summary).count() == 1
+    assert read_table(spark, summary, "orc").count() == 1
     got = run("checks", "--silver", out + "/master", "--n", "2")
     assert len(got["preview"]) == 2 and ("WorkDate", "date") in got["schema"]
 
-    silver_hours = spark.read.orc(out + "/master").agg(F.sum("Hrs_RNDON")).first()[0]
+    silver_hours = read_table(spark, out + "/master", "orc").agg(F.sum("Hrs_RNDON")).first()[0]
     for path in ("/g/staffing", "/g/tables/onduty_hours_summary"):
         assert run("report-total-hours", "--gold", out + path)["rows"][0][gold.TOTAL_RN_HOURS] == silver_hours
         assert len(run("report-hours-series", "--gold", out + path)["rows"]) == 5
@@ -318,9 +318,9 @@ def test_jobs_and_reports_in_orc(spark, tmp_path):
                       ("bed-hospitals", "bed"), ("top-throughput", "throughput")):
         assert run(f"report-{job}", "--gold", f"{out}/g/{path}")["rows"], job
     kpi = run("report-kpis", "--gold", detail, "--summary", summary)["rows"][0]
-    assert kpi["correlation"] == spark.read.orc(summary).first()[0]
+    assert kpi["correlation"] == read_table(spark, summary, "orc").first()[0]
     assert run("report-scatter", "--gold", detail, "--out", out + "/points")["written"]
-    assert spark.read.orc(out + "/points").count() == spark.read.orc(detail).count()
+    assert read_table(spark, out + "/points", "orc").count() == read_table(spark, detail, "orc").count()
     # pages whose tables are not there yet
     assert run("report-hours-series", "--gold", out + "/none")["rows"] == []
     assert run("report-kpis", "--gold", out + "/none", "--summary", out + "/none2")["rows"][0]["facilities"] == 0
