@@ -100,23 +100,25 @@ def repeats(docs, size):
     return {i: (len(w), len(gone[i]), sha(" ".join(x for k, x in enumerate(w) if k not in gone[i]))) for i, w in split.items()}
 
 
-def stupid_backoff(docs, min_count=2, alpha=0.4):
+def stupid_backoff(docs, min_count=1, alpha=0.4, order=3, corpus=None):
     """{id: (n_words, n_backoff, score)}."""
     import math
     from collections import Counter
 
     split = {i: words(t) for i, t in docs}
-    one = Counter(w for x in split.values() for w in x)
-    two = Counter(p for x in split.values() for p in zip(x, x[1:]))
-    total, out = sum(one.values()), {}
+    seen = list(split.values()) if corpus is None else [words(t) for t in corpus]
+    count = Counter(tuple(x[p : p + k]) for x in seen for k in range(1, order + 1) for p in range(len(x) - k + 1))
+    total, out = sum(len(x) for x in seen), {}
     for i, x in split.items():
-        logs, off = [math.log(one[x[0]] / total)] if x else [], 0
-        for p in zip(x, x[1:]):
-            if two[p] >= min_count:
-                logs.append(math.log(two[p] / one[p[0]]))
-            else:
-                off += 1
-                logs.append(math.log(alpha * one[p[1]] / total))
+        logs, off = [], 0
+        for p in range(len(x)):
+            longest = k = min(p + 1, order)
+            while k > 1 and count[tuple(x[p + 1 - k : p + 1])] < min_count:
+                k -= 1
+            gram = tuple(x[p + 1 - k : p + 1])
+            share = count[gram] / count[gram[:-1]] if k > 1 else max(count[gram], 1) / total
+            logs.append(math.log(share) + (longest - k) * math.log(alpha))
+            off += k < longest
         out[i] = (len(x), off, sum(logs) / len(logs) if logs else None)
     return out
 

@@ -185,17 +185,43 @@ def test_line_duplicates(spark, odd, nothing):
 # --- language-model scores --------------------------------------------------------------
 
 
-@pytest.mark.parametrize("hot,part", [(20_000, 1_500_000), (30, 300)])
-def test_stupid_backoff(spark, odd, nothing, monkeypatch, hot, part):
-    monkeypatch.setattr(lm_scoring, "HOT", hot)
-    monkeypatch.setattr(lm_scoring, "PART_WORDS", part)
-    got = by_id(lm_scoring.stupid_backoff(odd))
-    want = brute.stupid_backoff(pairs(odd))
+def same_scores(got, want):
     assert got.keys() == want.keys()
     for i, (n, off, score) in want.items():
         assert got[i][:2] == (n, off)
         assert (got[i][2] is None) == (score is None) and (score is None or math.isclose(got[i][2], score, abs_tol=1e-9))
+
+
+@pytest.mark.parametrize("part", [500_000, 90])
+@pytest.mark.parametrize("least,order", [(1, 3), (2, 3), (3, 4), (2, 1)])
+def test_stupid_backoff(spark, odd, nothing, monkeypatch, part, least, order):
+    monkeypatch.setattr(lm_scoring, "PART_WORDS", part)
+    same_scores(by_id(lm_scoring.stupid_backoff(odd, min_count=least, order=order)), brute.stupid_backoff(pairs(odd), least, order=order))
+
+
+def test_stupid_backoff_by_another_corpus(spark, odd, nothing, monkeypatch):
+    monkeypatch.setattr(lm_scoring, "PART_WORDS", 200)
+    known = odd.filter("doc_id % 2 = 0")
+    texts = [t for _, t in pairs(known)]
+    got = by_id(lm_scoring.stupid_backoff(odd, corpus=known))
+    assert any(off for _, off, _ in got.values())
+    same_scores(got, brute.stupid_backoff(pairs(odd), corpus=texts))
+    assert {r.n_words for r in lm_scoring.stupid_backoff(odd.filter("text = 'one'"), corpus=nothing).collect()} == {1}
+
+
+def test_stupid_backoff_with_a_word_in_a_third_of_all_places(spark, monkeypatch):
+    """Hot words and phrases are one entry per chunk in their partition."""
+    monkeypatch.setattr(lm_scoring, "PART_WORDS", 500)
+    rng = random.Random(3)
+    rows = [(i, " ".join("the" if rng.random() < 0.4 else f"w{rng.randrange(900)}" for _ in range(60))) for i in range(200)]
+    same_scores(by_id(lm_scoring.stupid_backoff(spark.createDataFrame(rows, "doc_id long, text string"))), brute.stupid_backoff(rows))
+
+
+def test_stupid_backoff_ids_and_empty_tables(spark, odd, nothing):
     assert lm_scoring.stupid_backoff(nothing).count() == 0
+    rows = spark.createDataFrame([(None, "the of"), ("a", "one"), ("a", "one"), ("b", None)], "doc_id string, text string")
+    got = sorted((str(r.doc_id), r.n_words, r.score is None) for r in lm_scoring.stupid_backoff(rows).collect())
+    assert got == [("None", 2, False), ("a", 1, False), ("a", 1, False), ("b", 0, True)]
     twice = lm_scoring.stupid_backoff(odd.select("doc_id", "text").union(spark.createDataFrame([(None, "the of"), (1, "one")], "doc_id long, text string")))
     assert twice.count() == odd.count() + 2
 

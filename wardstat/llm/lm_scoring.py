@@ -1,28 +1,29 @@
-"""Documents scored by a bigram language model with stupid backoff.
-
-S(w2 | w1) = c(w1 w2) / c(w1) if the pair occurs ``min_count`` times or more,
-else ALPHA * c(w2) / N; the first word of a text has c(w) / N.  All counts
-are over all texts.  A document's score is the mean of log S over its words.
-
-Relationally this is: explode every text into n-grams, count them, join the
-counts back to the occurrences, sum per document.  Rows of single n-grams
-would be many times the text, so a row here is a packed array of the n-grams
-that one chunk of texts sends to one hash partition, which holds distinct
-n-grams once with the documents they occur in.
-
-1. Unigram counts: distinct words of each chunk with their counts, summed in
-   hash partitions.  Words with at least N / HOT occurrences, of which there
-   can be HOT at most, go to every task.
-2. Pairs: each chunk's pairs, with the documents they occur in, go to the
-   partition of their first word (of the whole pair if the first word is
-   hot).  There c(w1 w2) and c(w1) are complete, and each document gets its
-   partial sum.
-3. What is left is log c(w2) of pairs that did not back off and whose second
-   word is not hot: these go to the partition of that word, where they meet
-   the unigram table.
-4. Partial sums meet per chunk.
-
-The number of partitions follows the size of the input.
+"""Documents scored by an n-gram language model with stupid backoff.
+
+S(w | context) = c(context w) / c(context) if the n-gram occurs ``min_count``
+times or more, else ALPHA * S(w | context without its first word); a word
+alone has c(w) / N.  Counts are over all texts of the corpus, every n-gram
+counts.  A document's score is the mean of log S over its words.
+
+Relationally this is: explode every text into n-grams, count them in tables
+partitioned by hash, join the counts back to the occurrences, sum per
+document.  Rows of single n-grams would be many times the text, so a row here
+is a packed array of the distinct n-grams that one chunk of texts has in one
+hash partition.
+
+1. Each chunk sends its distinct n-grams of all orders, with their counts, to
+   the partitions of their hashes, and a plan row: its documents and its words
+   by number.
+2. A partition sums the counts and answers each row with the totals, in the
+   row's order.
+3. Plan and answers meet by chunk, where the n-grams are put together again
+   from the numbers; each word takes the longest n-gram that is known.
+
+An n-gram is one entry per chunk wherever it goes, so neither a word nor a
+phrase in a third of all positions makes a partition or a row long, and no
+documents travel to the counts.  A miss falls back to the shorter n-gram, whose
+count came by the same partitions.  Partitions are ranges of 56-bit hashes, the
+number of which follows the number of words.
 """
 
 from __future__ import annotations
@@ -36,130 +37,48 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from wardstat.llm import text as tx
-from wardstat.llm.components import written
 from wardstat.llm.near_dup import _groups
 from wardstat.llm.ship import ship
 
 ALPHA = 0.4
-HOT = 20_000
-PART_WORDS = 2_000_000  # occurrences a hash partition holds, about
-KEY_BYTES = 7
-END = np.uint64(0)  # follows a text's last word
+ORDER = 3
+PART_WORDS = 500_000  # words of the corpus for each hash partition, about
+KEY_BITS = np.uint64(56)
+
+SHAPE = "part long, kind int, chunk long, data binary"
+PLAN, COUNT, ASK = 0, 1, 2  # rows of documents, of n-grams to count, to count and answer
 
 
 def pack(*arrays: np.ndarray) -> bytes:
-    """Arrays as byte planes (equal high bytes then compress to nothing);
-    64-bit hashes keep their ``KEY_BYTES`` low bytes."""
+    """Arrays of 64-bit integers as byte planes, as many as the largest needs."""
     out = []
     for a in arrays:
-        size = KEY_BYTES if a.dtype == np.uint64 else a.dtype.itemsize
-        planes = np.ascontiguousarray(a.view(np.uint8).reshape(len(a), -1)[:, :size].T)
-        out += [struct.pack("<cI", a.dtype.char.encode(), len(a)), planes.tobytes()]
+        a = np.ascontiguousarray(a).astype(np.int64, copy=False).view(np.uint64)
+        size = (int(a.max()).bit_length() + 7) // 8 if len(a) else 0
+        out += [struct.pack("<BQ", size, len(a)), np.ascontiguousarray(a.view(np.uint8).reshape(-1, 8)[:, :size].T).tobytes()]
     return b"".join(out)
 
 
-def unpack(raw, first: int = 0, stop: int = 99) -> list[np.ndarray]:
-    """The packed arrays, or those from ``first`` up to ``stop``."""
-    raw, at, out, k = memoryview(raw), 0, [], -1
+def unpack(raw) -> list[np.ndarray]:
+    raw, at, out = memoryview(raw), 0, []
     while at < len(raw):
-        k += 1
-        kind, n = struct.unpack_from("<cI", raw, at)
-        dtype = np.dtype(kind.decode())
-        size = KEY_BYTES if dtype == np.uint64 else dtype.itemsize
-        if not first <= k < stop:
-            at += 5 + n * size
-            continue
-        planes = np.frombuffer(raw, np.uint8, n * size, at + 5).reshape(size, n)
-        wide = np.zeros((n, dtype.itemsize), np.uint8)
-        wide[:, :size] = planes.T
-        out.append(wide.reshape(-1).view(dtype) if n else np.zeros(0, dtype))
-        at += 5 + n * size
+        size, n = struct.unpack_from("<BQ", raw, at)
+        wide = np.zeros((n, 8), np.uint8)
+        wide[:, :size] = np.frombuffer(raw, np.uint8, n * size, at + 9).reshape(size, n).T
+        out.append(wide.reshape(-1).view(np.int64))
+        at += 9 + n * size
     return out
 
 
-def word_keys(w: tx.Words) -> np.ndarray:
-    h = tx.word_hashes(w) & np.uint64((1 << (8 * KEY_BYTES)) - 1)
-    h[h == END] = np.uint64(1)
-    return h
-
-
-def part_of(keys: np.ndarray, parts: int) -> np.ndarray:
-    return ((tx.mix64(keys) >> np.uint64(33)) % np.uint64(parts)).astype(np.int64)
-
-
-def _runs(values: np.ndarray) -> np.ndarray:
-    """Where runs of equal values begin, with the end."""
-    return np.concatenate((np.flatnonzero(np.concatenate(([True], values[1:] != values[:-1]))), [len(values)])) if len(values) else np.zeros(1, np.int64)
-
-
-def _chunks(batches, text_col: str):
-    """Chunks with a number that is the same whenever the task is run again."""
-    part = TaskContext.get().partitionId()
-    for k, b in enumerate(tx.chunks(batches, text_col)):
-        yield (part << 32) | k, b, tx.words(*tx.utf8(b.column(text_col)))
-
-
-def _unigrams(docs: DataFrame, text_col: str, parts: int) -> DataFrame:
-    """(part, table) rows: packed (words, counts)."""
-
-    def count(batches):
-        for _, _, w in _chunks(batches, text_col):
-            keys = word_keys(w)
-            number, distinct = pd.factorize(keys)
-            counts = np.bincount(number, minlength=len(distinct)).astype(np.int64)
-            to = part_of(distinct, parts)
-            order = np.lexsort((distinct, to))
-            edges = _runs(to[order])
-            rows = [pack(distinct[order[a:z]], counts[order[a:z]]) for a, z in zip(edges[:-1], edges[1:], strict=True)]
-            yield pa.RecordBatch.from_arrays([pa.array(to[order[edges[:-1]]], pa.int64()), pa.array(rows, pa.binary())], names=["part", "data"])
-
-    def add(batches):
-        for g in _groups(batches, 1):
-            got = [unpack(x.as_buffer()) for x in g.column("data").combine_chunks()]
-            number, distinct = pd.factorize(np.concatenate([x[0] for x in got]))
-            counts = np.bincount(number, np.concatenate([x[1] for x in got]), minlength=len(distinct)).astype(np.int64)
-            order = np.argsort(distinct)
-            yield pa.RecordBatch.from_arrays(
-                [g.column("part").slice(0, 1).combine_chunks(), pa.array([int(counts.sum())]), pa.array([pack(distinct[order], counts[order])], pa.binary())],
-                names=["part", "total", "data"],
-            )
-
-    dealt = docs.select(text_col).mapInArrow(count, "part long, data binary").repartition("part").sortWithinPartitions("part")
-    return dealt.mapInArrow(add, "part long, total long, data binary")
-
-
-def _hot(table: DataFrame, least: float) -> tuple[np.ndarray, np.ndarray]:
-    """Words with ``least`` occurrences or more, sorted, and their counts."""
-
-    def pick(batches):
-        for b in batches:
-            for x in b.column("data"):
-                keys, counts = unpack(x.as_buffer())
-                use = counts >= least
-                yield pa.RecordBatch.from_arrays([pa.array(keys[use].view(np.int64)), pa.array(counts[use])], names=["key", "n"])
-
-    rows = table.select("data").mapInArrow(pick, "key long, n long").collect()  # HOT at most
-    keys = np.array([r["key"] for r in rows], np.int64).view(np.uint64)
-    order = np.argsort(keys)
-    return keys[order], np.array([r["n"] for r in rows], np.int64)[order]
-
-
-def _find(keys: np.ndarray, table: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    if not len(table):
-        return np.zeros(len(keys), np.int64), np.zeros(len(keys), bool)
-    at = np.searchsorted(table, keys)
-    at[at == len(table)] = 0
-    return at, table[at] == keys
-
-
-SHAPE = "part long, kind int, chunk long, data binary"
-DOCS, SUMS, ASK = 0, 1, 2
-
-
-def _row(kind: int, part: int, chunk: int, data: bytes) -> tuple:
-    return part, kind, chunk, data
+def _numbers(values: pa.Array) -> bytes:
+    """A column of any type, as bytes."""
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, pa.schema([("id", values.type)])) as out:
+        out.write_batch(pa.RecordBatch.from_arrays([values], names=["id"]))
+    return sink.getvalue().to_pybytes()
 
 
 def _batch(rows: list[tuple]) -> pa.RecordBatch:
@@ -168,189 +87,161 @@ def _batch(rows: list[tuple]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, kinds, strict=True)], names=["part", "kind", "chunk", "data"])
 
 
-def _pairs(docs: DataFrame, id_col: str, text_col: str, parts: int, hot) -> DataFrame:
-    """Rows to the partitions: every chunk's pairs, and its documents."""
-
-    def run(batches):
-        hot_keys, _ = hot.value
-        for chunk, b, w in _chunks(batches, text_col):
-            ids = b.column(id_col).cast(pa.int64())
-            null = ids.is_null().to_numpy(zero_copy_only=False).astype(np.uint8)
-            info = pack(ids.fill_null(0).to_numpy(), null, w.counts.astype(np.int64))
-            rows = [_row(DOCS, chunk % parts, chunk, info)]
-            keys = word_keys(w)
-            if len(keys):
-                follow = np.concatenate((keys[1:], [END]))
-                follow[w.first[1:][w.counts > 0] - 1] = END
-                doc = w.text_of_word().astype(np.uint32)
-                number, _ = pd.factorize(keys)
-                second, second_of = pd.factorize(follow)
-                pair = number.astype(np.int64) * len(second_of) + second
-                order = np.argsort(pair, kind="stable")  # documents stay in order
-                edges = _runs(pair[order])
-                lead = order[edges[:-1]]
-                k1, k2 = keys[lead], follow[lead]
-                _, is_hot = _find(k1, hot_keys)
-                to = part_of(np.where(is_hot, tx.mix64(k1) ^ k2, k1), parts)
-                by = np.lexsort((k1, to))
-                size = np.diff(edges)[by]
-                cut = _runs(to[by])
-                start = edges[:-1][by]
-                total = np.concatenate(([0], np.cumsum(size)))
-                take = np.repeat(start - total[:-1], size) + np.arange(total[-1])
-                docs_sorted = doc[order[take]]
-                for a, z in zip(cut[:-1], cut[1:], strict=True):
-                    runs = _runs(k1[by[a:z]])
-                    data = pack(k1[by[a:z]][runs[:-1]], np.diff(runs).astype(np.uint32), k2[by[a:z]], size[a:z].astype(np.uint32), docs_sorted[total[a] : total[z]])
-                    rows.append(_row(ASK, int(to[by[a]]), chunk, data))
-            yield _batch(rows)
+class Grams:
+    """The distinct n-grams of a chunk, from the numbers of its words.
+
+    ``at[k]`` numbers the n-gram of k + 1 words from each position on (where
+    the text has so many words left); ``order`` sorts all keys."""
+
+    def __init__(self, number: np.ndarray, hashes: np.ndarray, counts: np.ndarray, order: int):
+        ends = np.repeat(np.cumsum(counts), counts)
+        self.left = ends - np.arange(len(number))  # words left in the text, this one too
+        self.at, self.sizes, names = [number], [len(hashes)], [hashes]
+        own = hashes
+        for k in range(2, order + 1):
+            start = np.flatnonzero(self.left >= k)
+            code, distinct = pd.factorize(self.at[-1][start] * max(len(hashes), 1) + number[start + k - 1])
+            before, last = np.divmod(distinct, max(len(hashes), 1))
+            own = tx.mix64(own[before] * np.uint64(0x9E3779B97F4A7C15) + hashes[last])
+            full = np.zeros(len(number), np.int64)
+            full[start] = code
+            self.at.append(full)
+            self.sizes.append(len(distinct))
+            names.append(own)
+        self.keys = np.concatenate(names) >> (np.uint64(64) - KEY_BITS)
+        self.order = np.argsort(self.keys, kind="stable")
+
+    def counts(self) -> np.ndarray:
+        """How often each n-gram occurs in the chunk."""
+        return np.concatenate([np.bincount(a[self.left > k], minlength=n) for k, (a, n) in enumerate(zip(self.at, self.sizes, strict=True))])
+
+    def split(self, values: np.ndarray) -> list[np.ndarray]:
+        """Values in the order of the sorted keys, by n-gram length."""
+        back = np.empty(len(values), values.dtype)
+        back[self.order] = values
+        return np.split(back, np.cumsum(self.sizes)[:-1])
+
+
+def _words(docs: DataFrame, text_col: str) -> int:
+    def count(batches):
+        n = sum(len(tx.words(*tx.utf8(b.column(text_col))).start) for b in tx.chunks(batches, text_col))
+        yield pa.RecordBatch.from_arrays([pa.array([n], pa.int64())], names=["n"])
 
-    return docs.select(id_col, text_col).mapInArrow(run, SHAPE)
+    return docs.select(text_col).mapInArrow(count, "n long").agg(F.sum("n")).first()[0] or 0
 
 
-def _sum_rows(part: int, chunk_no: np.ndarray, chunks: np.ndarray, doc: np.ndarray, value: np.ndarray, seen: np.ndarray) -> list[tuple]:
-    """Partial sums per chunk from (chunk number, document, value, seen)."""
-    key = chunk_no.astype(np.int64) << 32 | doc
-    number, distinct = pd.factorize(key, sort=True)
-    total = np.bincount(number, value, minlength=len(distinct))
-    kept = np.bincount(number, seen, minlength=len(distinct)).astype(np.uint32)
-    which = distinct >> 32
-    edges = _runs(which)
-    return [
-        _row(SUMS, part, int(chunks[which[a]]), pack((distinct[a:z] & 0xFFFFFFFF).astype(np.uint32), total[a:z], kept[a:z]))
-        for a, z in zip(edges[:-1], edges[1:], strict=True)
-    ]
+def _grams(docs: DataFrame, id_col: str | None, text_col: str, parts: int, order: int, kind: int) -> DataFrame:
+    """Rows to the partitions: every chunk's n-grams, and (with ``id_col``)
+    its plan.  Rows that only ask count nothing (``kind`` PLAN)."""
 
+    def run(batches) -> Iterator[pa.RecordBatch]:
+        task = TaskContext.get().partitionId()
+        for number_of, b in enumerate(tx.chunks(batches, text_col)):
+            chunk = (task << 32) | number_of
+            w = tx.words(*tx.utf8(b.column(text_col)))
+            number, hashes = pd.factorize(tx.word_hashes(w))
+            rows = []
+            if id_col is not None:
+                plan = pack(w.counts, hashes.view(np.int64), number)
+                rows.append((chunk % parts, PLAN, chunk, struct.pack("<Q", len(plan)) + plan + _numbers(b.column(id_col))))
+            if len(number):
+                grams = Grams(number, hashes, w.counts, order)
+                keys, counts = grams.keys[grams.order], grams.counts()[grams.order]
+                if kind == PLAN:
+                    counts = np.zeros(len(keys), np.int64)
+                to = ((keys >> (KEY_BITS - np.uint64(32))) * np.uint64(parts) >> np.uint64(32)).astype(np.int64)
+                edges = np.concatenate((np.flatnonzero(np.diff(to, prepend=-1)), [len(to)]))
+                keys = keys.view(np.int64)
+                for a, z in zip(edges[:-1], edges[1:], strict=True):
+                    rows.append((int(to[a]), COUNT if kind == COUNT else ASK, chunk, pack(keys[a : a + 1], np.diff(keys[a:z]), counts[a:z])))
+            yield _batch(rows)
 
-def _pair_sums(rows: DataFrame, parts: int, hot, min_count: int) -> DataFrame:
-    """Partial sums, requests for c(w2), and the documents passed on."""
+    return docs.select(*([id_col] if id_col else []), text_col).mapInArrow(run, SHAPE)
+
+
+def _totals(rows: DataFrame) -> DataFrame:
+    """The plans, and for each row that asks the totals of its n-grams."""
 
     def run(batches) -> Iterator[pa.RecordBatch]:
-        hot_keys, hot_counts = hot.value
         for g in _groups(batches, 1):
             g = g.combine_chunks()
-            kinds, chunk_of = g.column("kind").to_numpy(), g.column("chunk").to_numpy()
-            data = g.column("data").combine_chunks()
             part = g.column("part")[0].as_py()
-            out = [_row(DOCS, part, int(chunk_of[i]), data[i].as_py()) for i in np.flatnonzero(kinds == DOCS)]
-            ask = np.flatnonzero(kinds == ASK)
-            if not len(ask):
-                yield _batch(out)
+            kinds, chunks = g.column("kind").to_numpy(), g.column("chunk").to_numpy()
+            data = g.column("data").combine_chunks()
+            yield _batch([(part, PLAN, int(chunks[i]), data[i].as_py()) for i in np.flatnonzero(kinds == PLAN)])
+            use = np.flatnonzero(kinds != PLAN)
+            if not len(use):
                 continue
-            raw = [data[i].as_buffer() for i in ask]
-            chunks = chunk_of[ask].astype(np.int64)
-            got = [unpack(x, 0, 4) for x in raw]
-            k1 = np.concatenate([np.repeat(x[0], x[1]) for x in got])
-            k2 = np.concatenate([x[2] for x in got])
-            n = np.concatenate([x[3] for x in got])
-            edge = np.concatenate(([0], np.cumsum([len(x[2]) for x in got])))
-            del got
-            one, _ = pd.factorize(k1)
-            c1 = np.bincount(one, n)[one]
-            if len(hot_keys):
-                at, is_hot = _find(k1, hot_keys)
-                c1[is_hot] = hot_counts[at[is_hot]]
-            pair, names = pd.factorize(tx.mix64(k1) + k2 * np.uint64(0x9E3779B97F4A7C15))
-            del k1, one
-            value = np.bincount(pair, n, minlength=len(names))[pair]  # c12
-            del pair, names
-            seen = (value >= min_count) & (k2 != END)
-            np.copyto(value, c1, where=~seen)
-            del c1
-            np.log(value, out=value)
-            at, hot2 = _find(k2, hot_keys)
-            if len(hot_keys):
-                both = seen & hot2
-                value[both] -= np.log(hot_counts[at[both]])
-            need = seen & ~hot2
-            del at, hot2
-            # the documents of a pair are looked at chunk by chunk
-            asked = []
-            for i, x in enumerate(raw):
-                own = slice(edge[i], edge[i + 1])
-                (doc,) = unpack(x, 4)
-                times = n[own]
-                there = np.flatnonzero(np.bincount(doc))
-                total = np.bincount(doc, np.repeat(value[own], times))[there]
-                kept = np.bincount(doc, np.repeat(seen[own], times))[there]
-                out.append(_row(SUMS, part, int(chunks[i]), pack(there.astype(np.uint32), total, kept.astype(np.uint32))))
-                asked.append(doc[np.repeat(need[own], times)])
-            yield _batch(out)
-            out = []
-            if need.any():
-                k, size = k2[need], n[need].astype(np.int64)
-                d = np.concatenate(asked)
-                c = np.repeat(np.arange(len(raw), dtype=np.uint32), [len(x) for x in asked])
-                to = part_of(k, parts)
-                by = np.argsort(to, kind="stable")
-                start = np.concatenate(([0], np.cumsum(size)))
-                total = np.concatenate(([0], np.cumsum(size[by])))
-                take = np.repeat(start[by] - total[:-1], size[by]) + np.arange(total[-1])
-                edges = _runs(to[by])
-                for a, z in zip(edges[:-1], edges[1:], strict=True):
-                    t = take[total[a] : total[z]]
-                    data_row = pack(k[by[a:z]], size[by[a:z]].astype(np.uint32), c[t], d[t], chunks)
-                    out.append(_row(ASK, int(to[by[a]]), -1, data_row))
-                yield _batch(out)
+            keys, counts = [], []
+            for i in use:
+                first, steps, n = unpack(data[i].as_buffer())
+                keys.append(np.cumsum(np.concatenate((first, steps))))
+                counts.append(n)
+            edge = np.concatenate(([0], np.cumsum([len(x) for x in keys])))
+            gram, names = pd.factorize(np.concatenate(keys))
+            del keys
+            total = np.bincount(gram, np.concatenate(counts), minlength=len(names)).astype(np.int64)[gram]
+            del gram, names, counts
+            yield _batch([(part, ASK, int(chunks[i]), pack(total[a:z])) for i, a, z in zip(use, edge[:-1], edge[1:], strict=True) if kinds[i] == ASK])
 
     return rows.repartition("part").sortWithinPartitions("part").mapInArrow(run, SHAPE)
 
 
-def _word_sums(requests: DataFrame, table: DataFrame) -> DataFrame:
-    """Partial sums of -log c(w2), from requests and the unigram table."""
-    both = requests.select("part", "kind", "data").unionByName(table.select("part", F.lit(-1).alias("kind"), "data"))
-
-    def run(batches):
-        for g in _groups(batches, 1):
-            g = g.combine_chunks()
-            kinds, data = g.column("kind").to_numpy(), g.column("data").combine_chunks()
-            part, out = g.column("part")[0].as_py(), []
-            words = [unpack(data[i].as_buffer()) for i in np.flatnonzero(kinds == -1)]
-            keys, counts = words[0] if words else (np.zeros(0, np.uint64), np.zeros(0, np.int64))
-            for i in np.flatnonzero(kinds == ASK):
-                k, size, c, d, chunks = unpack(data[i].as_buffer())
-                at, _ = _find(k, keys)
-                value = np.repeat(-np.log(counts[at]), size)
-                out += _sum_rows(part, c, chunks, d, value, np.zeros(len(d)))
-            yield _batch(out)
-
-    return both.repartition("part").sortWithinPartitions("part").mapInArrow(run, SHAPE)
-
-
-def stupid_backoff(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_count: int = 2) -> DataFrame:
-    """(id, n_words, n_backoff, score) per row: how many words backed off, and
-    the mean log S per word.
-
-    Words are runs without ASCII white space, unchanged.  Null and empty
-    texts have 0 words and a null score; rows that share an id are scored
-    each for itself; extra columns are ignored.
+def _log_scores(grams: Grams, totals: list[np.ndarray], counts: np.ndarray, n_all: int, min_count: int) -> tuple[np.ndarray, np.ndarray]:
+    """log S of every word, and by how many orders it backed off."""
+    place = np.repeat(counts, counts) - grams.left
+    most = np.minimum(place, len(totals) - 1)  # words of context there could be
+    log_s = np.log(np.maximum(totals[0][grams.at[0]], 1) / max(n_all, 1))
+    short = most.copy()
+    for k in range(1, len(totals)):
+        start = np.flatnonzero(grams.left > k)
+        c = totals[k][grams.at[k][start]]
+        known = c >= max(min_count, 1)
+        start, c = start[known], c[known]
+        log_s[start + k] = np.log(c / totals[k - 1][grams.at[k - 1][start]])
+        short[start + k] = most[start + k] - k
+    return log_s + short * np.log(ALPHA), short
+
+
+def stupid_backoff(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_count: int = 1, order: int = ORDER, corpus: DataFrame | None = None
+) -> DataFrame:
+    """(id, n_words, n_backoff, score) per row: how many words backed off to a
+    shorter context than their place in the text allows, and the mean log S
+    per word.
+
+    Counts come from ``corpus`` (``docs`` itself by default; then an n-gram
+    backs off only below ``min_count``).  A word that the corpus does not have
+    counts as if it were there once.  Words are runs without ASCII white space,
+    unchanged.  Null and empty texts have 0 words and a null score; rows that
+    share an id are scored each for itself; ids may be null and of any type;
+    extra columns are ignored; an empty table gives no rows.
     """
-    spark = docs.sparkSession
-    ship(spark)
-    size = docs.agg(F.sum(F.octet_length(text_col))).first()[0] or 0
-    parts = int(max(1, -(-size // (PART_WORDS * 6))))
-    table = written(_unigrams(docs, text_col, parts), "lm-unigrams")
-    n_all = table.agg(F.sum("total")).first()[0] or 0
-    hot = spark.sparkContext.broadcast(_hot(table, max(1.0, n_all / HOT)))  # HOT entries at most
-    sums = written(_pair_sums(_pairs(docs, id_col, text_col, parts, hot), parts, hot, min_count), "lm-sums")
-    late = _word_sums(sums.filter(F.col("kind") == ASK), table)
-    every = sums.filter(F.col("kind") != ASK).unionByName(late).select("chunk", "kind", "data")
+    ship(docs.sparkSession)
+    n_all = _words(docs if corpus is None else corpus, text_col)
+    parts = int(max(1, -(-n_all // PART_WORDS)))
+    rows = _grams(docs, id_col, text_col, parts, order, ASK if corpus is None else PLAN)
+    if corpus is not None:
+        rows = rows.unionByName(_grams(corpus, None, text_col, parts, order, COUNT))
 
     def finish(batches):
         for g in _groups(batches, 1):
-            g = g.combine_chunks()
-            kinds, data = g.column("kind").to_numpy(), g.column("data").combine_chunks()
-            ids, null, n = unpack(data[int(np.flatnonzero(kinds == DOCS)[0])].as_buffer())
-            total, seen = np.zeros(len(ids)), np.zeros(len(ids), np.int64)
-            for i in np.flatnonzero(kinds == SUMS):
-                doc, value, kept = unpack(data[i].as_buffer())
-                total[doc] += value
-                seen[doc] += kept
-            off = np.maximum(n - 1 - seen, 0)
-            score = (total - (n - seen) * np.log(max(n_all, 1)) + off * np.log(ALPHA)) / np.maximum(n, 1)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(ids, mask=null.astype(bool)), pa.array(n), pa.array(off), pa.array(score, mask=n == 0)], names=[id_col, "n_words", "n_backoff", "score"]
-            )
-
-    dealt = every.repartition("chunk").sortWithinPartitions("chunk", "kind", F.hash("data"))
-    return dealt.mapInArrow(finish, f"{id_col} long, n_words long, n_backoff long, score double")
+            data = g.combine_chunks().column("data").combine_chunks()  # the plan comes first, answers by partition
+            raw = data[0].as_buffer()
+            size = struct.unpack_from("<Q", raw)[0]
+            n, hashes, number = unpack(raw[8 : 8 + size])
+            ids = pa.ipc.open_stream(raw[8 + size :]).read_all().column(0).combine_chunks()
+            score, off = np.zeros(len(n)), np.zeros(len(n), np.int64)
+            if len(number):
+                grams = Grams(number, hashes.view(np.uint64), n, order)
+                totals = grams.split(np.concatenate([unpack(x.as_buffer())[0] for x in data[1:]]))
+                log_s, short = _log_scores(grams, totals, n, n_all, min_count)
+                text_of = np.repeat(np.arange(len(n)), n)
+                score = np.bincount(text_of, log_s, minlength=len(n)) / np.maximum(n, 1)
+                off = np.bincount(text_of, short > 0, minlength=len(n)).astype(np.int64)
+            yield pa.RecordBatch.from_arrays([ids, pa.array(n), pa.array(off), pa.array(score, mask=n == 0)], names=[id_col, "n_words", "n_backoff", "score"])
+
+    shape = T.StructType([T.StructField(id_col, docs.schema[id_col].dataType)])
+    shape = shape.add("n_words", "long").add("n_backoff", "long").add("score", "double")
+    dealt = _totals(rows).select("chunk", "kind", "part", "data").repartition("chunk").sortWithinPartitions("chunk", "kind", "part")
+    return dealt.mapInArrow(finish, shape)
