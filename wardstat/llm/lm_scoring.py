@@ -12,12 +12,14 @@ is a packed array of the distinct n-grams that one chunk of texts has in one
 hash partition.
 
 1. Each chunk sends its distinct n-grams of all orders, with their counts, to
-   the partitions of their hashes, and a plan row: its documents and its words
-   by number.
+   the partitions of their hashes.
 2. A partition sums the counts and answers each row with the totals, in the
    row's order.
-3. Plan and answers meet by chunk, where the n-grams are put together again
-   from the numbers; each word takes the longest n-gram that is known.
+3. The texts are read again, in the same chunks, and each chunk sends a plan:
+   its documents and its words by number.  Plan and answers meet by chunk,
+   where the n-grams are put together again from the numbers; each word takes
+   the longest n-gram that is known.  A sum over the chunk's n-grams travels
+   with the answers, so texts that differ when read again are an error.
 
 An n-gram is one entry per chunk wherever it goes, so neither a word nor a
 phrase in a third of all positions makes a partition or a row long, and no
@@ -46,24 +48,28 @@ from wardstat.llm.ship import ship
 ALPHA = 0.4
 ORDER = 3
 PART_WORDS = 500_000  # words of the corpus for each hash partition, about
+CHUNK_BYTES = 8 << 20  # text bytes of a chunk; a longer text is a chunk of its own
 KEY_BITS = np.uint64(56)
 
 SHAPE = "part long, kind int, chunk long, data binary"
-PLAN, COUNT, ASK = 0, 1, 2  # rows of documents, of n-grams to count, to count and answer
+PLAN, COUNT, ASK = 0, 1, 2  # rows of documents, of n-grams to count, of n-grams to answer
 
 
 def pack(*arrays: np.ndarray) -> bytes:
-    """Arrays of 64-bit integers as byte planes, as many as the largest needs."""
+    """Arrays of 64-bit integers as byte planes, as many as the largest needs,
+    compressed."""
     out = []
     for a in arrays:
         a = np.ascontiguousarray(a).astype(np.int64, copy=False).view(np.uint64)
         size = (int(a.max()).bit_length() + 7) // 8 if len(a) else 0
         out += [struct.pack("<BQ", size, len(a)), np.ascontiguousarray(a.view(np.uint8).reshape(-1, 8)[:, :size].T).tobytes()]
-    return b"".join(out)
+    raw = b"".join(out)
+    return struct.pack("<Q", len(raw)) + pa.compress(raw, codec="zstd", asbytes=True)
 
 
-def unpack(raw) -> list[np.ndarray]:
-    raw, at, out = memoryview(raw), 0, []
+def unpack(packed: pa.Buffer) -> list[np.ndarray]:
+    raw = memoryview(pa.decompress(packed[8:], struct.unpack_from("<Q", packed)[0], codec="zstd"))
+    at, out = 0, []
     while at < len(raw):
         size, n = struct.unpack_from("<BQ", raw, at)
         wide = np.zeros((n, 8), np.uint8)
@@ -73,7 +79,7 @@ def unpack(raw) -> list[np.ndarray]:
     return out
 
 
-def _numbers(values: pa.Array) -> bytes:
+def _column(values: pa.Array) -> bytes:
     """A column of any type, as bytes."""
     sink = pa.BufferOutputStream()
     with pa.ipc.new_stream(sink, pa.schema([("id", values.type)])) as out:
@@ -115,6 +121,9 @@ class Grams:
         """How often each n-gram occurs in the chunk."""
         return np.concatenate([np.bincount(a[self.left > k], minlength=n) for k, (a, n) in enumerate(zip(self.at, self.sizes, strict=True))])
 
+    def check(self) -> int:
+        return int(np.bitwise_xor.reduce(tx.mix64(self.keys))) & 0xFFFFFFFF
+
     def split(self, values: np.ndarray) -> list[np.ndarray]:
         """Values in the order of the sorted keys, by n-gram length."""
         back = np.empty(len(values), values.dtype)
@@ -130,59 +139,71 @@ def _words(docs: DataFrame, text_col: str) -> int:
     return docs.select(text_col).mapInArrow(count, "n long").agg(F.sum("n")).first()[0] or 0
 
 
-def _grams(docs: DataFrame, id_col: str | None, text_col: str, parts: int, order: int, kind: int) -> DataFrame:
-    """Rows to the partitions: every chunk's n-grams, and (with ``id_col``)
-    its plan.  Rows that only ask count nothing (``kind`` PLAN)."""
+def _chunks(batches, text_col: str) -> Iterator[tuple]:
+    """(number, rows, their word counts, distinct word hashes, words by
+    number) of each chunk; the number is the same whenever the task runs."""
+    task = TaskContext.get().partitionId()
+    for k, b in enumerate(tx.chunks(batches, text_col, CHUNK_BYTES)):
+        w = tx.words(*tx.utf8(b.column(text_col)))
+        number, hashes = pd.factorize(tx.word_hashes(w))
+        yield (task << 32) | k, b, w.counts, hashes, number
+
+
+def _grams(docs: DataFrame, text_col: str, parts: int, order: int, kind: int, counted: bool) -> DataFrame:
+    """Rows to the partitions: every chunk's n-grams."""
 
     def run(batches) -> Iterator[pa.RecordBatch]:
-        task = TaskContext.get().partitionId()
-        for number_of, b in enumerate(tx.chunks(batches, text_col)):
-            chunk = (task << 32) | number_of
-            w = tx.words(*tx.utf8(b.column(text_col)))
-            number, hashes = pd.factorize(tx.word_hashes(w))
-            rows = []
-            if id_col is not None:
-                plan = pack(w.counts, hashes.view(np.int64), number)
-                rows.append((chunk % parts, PLAN, chunk, struct.pack("<Q", len(plan)) + plan + _numbers(b.column(id_col))))
-            if len(number):
-                grams = Grams(number, hashes, w.counts, order)
-                keys, counts = grams.keys[grams.order], grams.counts()[grams.order]
-                if kind == PLAN:
-                    counts = np.zeros(len(keys), np.int64)
-                to = ((keys >> (KEY_BITS - np.uint64(32))) * np.uint64(parts) >> np.uint64(32)).astype(np.int64)
-                edges = np.concatenate((np.flatnonzero(np.diff(to, prepend=-1)), [len(to)]))
-                keys = keys.view(np.int64)
-                for a, z in zip(edges[:-1], edges[1:], strict=True):
-                    rows.append((int(to[a]), COUNT if kind == COUNT else ASK, chunk, pack(keys[a : a + 1], np.diff(keys[a:z]), counts[a:z])))
-            yield _batch(rows)
+        for chunk, _, counts, hashes, number in _chunks(batches, text_col):
+            if not len(number):
+                continue
+            grams = Grams(number, hashes, counts, order)
+            keys, n = grams.keys[grams.order], grams.counts()[grams.order]
+            if not counted:
+                n = np.zeros(len(keys), np.int64)
+            to = ((keys >> (KEY_BITS - np.uint64(32))) * np.uint64(parts) >> np.uint64(32)).astype(np.int64)
+            edges = np.concatenate((np.flatnonzero(np.diff(to, prepend=-1)), [len(to)]))
+            keys, check = keys.view(np.int64), np.array([grams.check()])
+            yield _batch(
+                [
+                    (int(to[a]), kind, chunk, pack(keys[a : a + 1], np.diff(keys[a:z]), n[a:z], check if a == 0 else check[:0]))
+                    for a, z in zip(edges[:-1], edges[1:], strict=True)
+                ]
+            )
+
+    return docs.mapInArrow(run, SHAPE)
+
+
+def _plans(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """A row per chunk: its ids, and its words by number."""
+
+    def run(batches) -> Iterator[pa.RecordBatch]:
+        for chunk, b, counts, hashes, number in _chunks(batches, text_col):
+            plan = pack(counts, hashes.view(np.int64), number)
+            yield _batch([(-1, PLAN, chunk, struct.pack("<Q", len(plan)) + plan + _column(b.column(id_col)))])
 
-    return docs.select(*([id_col] if id_col else []), text_col).mapInArrow(run, SHAPE)
+    return docs.mapInArrow(run, SHAPE)
 
 
 def _totals(rows: DataFrame) -> DataFrame:
-    """The plans, and for each row that asks the totals of its n-grams."""
+    """For each row that asks the totals of its n-grams."""
 
     def run(batches) -> Iterator[pa.RecordBatch]:
         for g in _groups(batches, 1):
             g = g.combine_chunks()
             part = g.column("part")[0].as_py()
             kinds, chunks = g.column("kind").to_numpy(), g.column("chunk").to_numpy()
-            data = g.column("data").combine_chunks()
-            yield _batch([(part, PLAN, int(chunks[i]), data[i].as_py()) for i in np.flatnonzero(kinds == PLAN)])
-            use = np.flatnonzero(kinds != PLAN)
-            if not len(use):
-                continue
-            keys, counts = [], []
-            for i in use:
-                first, steps, n = unpack(data[i].as_buffer())
+            keys, counts, checks = [], [], []
+            for x in g.column("data").combine_chunks():
+                first, steps, n, check = unpack(x.as_buffer())
                 keys.append(np.cumsum(np.concatenate((first, steps))))
                 counts.append(n)
+                checks.append(check)
             edge = np.concatenate(([0], np.cumsum([len(x) for x in keys])))
             gram, names = pd.factorize(np.concatenate(keys))
             del keys
             total = np.bincount(gram, np.concatenate(counts), minlength=len(names)).astype(np.int64)[gram]
             del gram, names, counts
-            yield _batch([(part, ASK, int(chunks[i]), pack(total[a:z])) for i, a, z in zip(use, edge[:-1], edge[1:], strict=True) if kinds[i] == ASK])
+            yield _batch([(part, ASK, int(chunks[i]), pack(total[edge[i] : edge[i + 1]], checks[i])) for i in np.flatnonzero(kinds == ASK)])
 
     return rows.repartition("part").sortWithinPartitions("part").mapInArrow(run, SHAPE)
 
@@ -215,26 +236,31 @@ def stupid_backoff(
     counts as if it were there once.  Words are runs without ASCII white space,
     unchanged.  Null and empty texts have 0 words and a null score; rows that
     share an id are scored each for itself; ids may be null and of any type;
-    extra columns are ignored; an empty table gives no rows.
+    extra columns are ignored; an empty table gives no rows.  ``docs`` is read
+    twice and must give the same rows in the same order, as a stored table does.
     """
     ship(docs.sparkSession)
+    docs = docs.select(id_col, text_col)  # both readings by one plan
     n_all = _words(docs if corpus is None else corpus, text_col)
     parts = int(max(1, -(-n_all // PART_WORDS)))
-    rows = _grams(docs, id_col, text_col, parts, order, ASK if corpus is None else PLAN)
+    rows = _grams(docs, text_col, parts, order, ASK, corpus is None)
     if corpus is not None:
-        rows = rows.unionByName(_grams(corpus, None, text_col, parts, order, COUNT))
+        rows = rows.unionByName(_grams(corpus.select(text_col), text_col, parts, order, COUNT, True))
 
     def finish(batches):
         for g in _groups(batches, 1):
             data = g.combine_chunks().column("data").combine_chunks()  # the plan comes first, answers by partition
             raw = data[0].as_buffer()
             size = struct.unpack_from("<Q", raw)[0]
-            n, hashes, number = unpack(raw[8 : 8 + size])
-            ids = pa.ipc.open_stream(raw[8 + size :]).read_all().column(0).combine_chunks()
+            n, hashes, number = unpack(raw.slice(8, size))
+            ids = pa.ipc.open_stream(raw.slice(8 + size)).read_all().column(0).combine_chunks()
             score, off = np.zeros(len(n)), np.zeros(len(n), np.int64)
             if len(number):
                 grams = Grams(number, hashes.view(np.uint64), n, order)
-                totals = grams.split(np.concatenate([unpack(x.as_buffer())[0] for x in data[1:]]))
+                answers = [unpack(x.as_buffer()) for x in data[1:]]
+                if not answers or [grams.check()] != [c for _, check in answers for c in check.tolist()]:
+                    raise ValueError("the texts were not the same when read again; write them to a table first")
+                totals = grams.split(np.concatenate([total for total, _ in answers]))
                 log_s, short = _log_scores(grams, totals, n, n_all, min_count)
                 text_of = np.repeat(np.arange(len(n)), n)
                 score = np.bincount(text_of, log_s, minlength=len(n)) / np.maximum(n, 1)
@@ -243,5 +269,7 @@ def stupid_backoff(
 
     shape = T.StructType([T.StructField(id_col, docs.schema[id_col].dataType)])
     shape = shape.add("n_words", "long").add("n_backoff", "long").add("score", "double")
-    dealt = _totals(rows).select("chunk", "kind", "part", "data").repartition("chunk").sortWithinPartitions("chunk", "kind", "part")
+    # the reader of the texts comes first in a union: a task's number is the union's
+    every = _plans(docs, id_col, text_col).unionByName(_totals(rows))
+    dealt = every.select("chunk", "kind", "part", "data").repartition("chunk").sortWithinPartitions("chunk", "kind", "part")
     return dealt.mapInArrow(finish, shape)
