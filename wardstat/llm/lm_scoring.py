@@ -48,7 +48,7 @@ from wardstat.llm.ship import ship
 ALPHA = 0.4
 ORDER = 3
 PART_WORDS = 500_000  # words of the corpus for each hash partition, about
-CHUNK_BYTES = 8 << 20  # text bytes of a chunk; a longer text is a chunk of its own
+CHUNK_BYTES = 6 << 20  # text bytes of a chunk; a longer text is a chunk of its own
 KEY_BITS = np.uint64(56)
 
 SHAPE = "part long, kind int, chunk long, data binary"
