@@ -71,7 +71,7 @@ def decontamination(docs, items, size=13):
         w = words(text, True, ALNUM)
         if w:
             for i in range(max(1, len(w) - size + 1)):
-                windows.setdefault(tuple(w[i : i + size]), set()).add(str(item))
+                windows.setdefault(tuple(w[i : i + size]), set()).add(None if item is None else str(item))
     lengths = {len(x) for x in windows}
     out = {}
     for i, text in docs:
@@ -82,7 +82,8 @@ def decontamination(docs, items, size=13):
                 if got:
                     found |= got
                     hit.update(range(k, k + n))
-        out[i] = (len(w), len(hit), sorted(found), bool(hit) and 20 * len(hit) >= len(w))
+        found = sorted(found, key=lambda x: (x is None, x or ""))
+        out[i] = (len(w), len(hit), found, bool(hit) and 20 * len(hit) >= len(w))
     return out
 
 

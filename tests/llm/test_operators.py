@@ -80,7 +80,7 @@ def test_decontamination(spark, odd, nothing):
     t = odd_texts()
     items = [(1, t[9]), (2, "two words"), (3, None), (4, ""), (10, " ".join(t[0].split()[5:30])), (5, "same " * 20), (2, "not in there at all"), (None, t[0])]
     bench = spark.createDataFrame(items, "item_id long, text string")
-    want = brute.decontamination(pairs(odd), [x for x in items if x[0] is not None])
+    want = brute.decontamination(pairs(odd), items)  # items without an id count too
     found = decontaminate.overlaps(odd, bench)
     rows = found.withColumn("bad", decontaminate.contaminated()).collect()
     assert {r.doc_id: (r.n_words, r.n_hit, r["items"], r.bad) for r in rows} == want
@@ -104,10 +104,23 @@ def test_suffix_array_and_longest_match():
     assert keys == sorted(keys) and sorted(order.tolist()) == list(range(400))
 
 
-def test_benchmark_size_is_checked(spark, monkeypatch, odd):
-    monkeypatch.setattr(decontaminate, "MAX_BENCHMARK_BYTES", 10)
-    with pytest.raises(ValueError):
-        decontaminate.overlaps(odd, spark.createDataFrame([(1, "more than ten bytes")], "item_id long, text string"))
+def test_benchmark_in_parts_of_any_size(spark, monkeypatch, odd, nothing):
+    """Parts, with items larger than one, find what the whole benchmark finds."""
+    rows = [(f"i{i}", t) for i, (_, t) in enumerate(pairs(odd))] + [(None, "two words"), ("i0", "one"), ("i0", "one"), ("i2", None)]
+    bench = spark.createDataFrame(rows, "item_id string, text string")
+    exact = ("doc_id", "n_words", "n_hit", "items", "spans", "longest", "longest_at", "match_words", "match_at")
+    whole = {r.doc_id: r for r in decontaminate.overlaps(odd, bench, window=5).collect()}
+    monkeypatch.setattr(decontaminate, "PART_BYTES", 700)
+    parts = decontaminate.benchmark_parts(bench, "item_id", "text")
+    assert len(parts) > 5 and sorted((r[0] or "", r[1] or "") for x in parts for r in x.collect()) == sorted({(i or "", t or "") for i, t in rows})
+    got = {r.doc_id: r for r in decontaminate.overlaps(odd, bench, window=5).collect()}
+    assert got.keys() == whole.keys()
+    for i, r in got.items():
+        assert [r[c] for c in exact] == [whole[i][c] for c in exact], i
+        run = brute.words(r.text or "", True, brute.ALNUM)[r.match_at :][: r.match_words]
+        holders = {x for x, t in rows if f" {' '.join(run)} " in f" {' '.join(brute.words(t or '', True, brute.ALNUM))} "}
+        assert r.match_item in holders if run else r.match_item is None
+    assert decontaminate.overlaps(nothing, bench, window=5).count() == 0
 
 
 # --- repeated sequences ----------------------------------------------------------------

@@ -9,9 +9,9 @@ that share a benchmark window are one range of the array, which gives all
 locations of the window; windows that follow each other in text and item make
 the longer matches, to their full length.
 
-The benchmark goes to every task (its size is checked against
-``MAX_BENCHMARK_BYTES``; a larger one is refused, not cut); the training
-texts are read once and never shuffled.  A shard holds about 4 MB of text
+The benchmark goes to every task in parts of at most ``PART_BYTES`` of text
+(or one item's), of any number; a task holds one part at a time and merges what
+each finds.  The training texts are read once and never shuffled.  A shard holds about 4 MB of text
 or one text.  Suffixes whose first word occurs in no benchmark item cannot
 match and are left out of the array; the others are sorted two words at a
 time, and only ties are sorted on.
@@ -31,7 +31,7 @@ from wardstat.llm import text as tx
 from wardstat.llm.ship import ship
 
 WINDOW = 13
-MAX_BENCHMARK_BYTES = 64 << 20
+PART_BYTES = 16 << 20  # benchmark text in a task at a time
 
 
 @dataclass
@@ -60,10 +60,7 @@ def probes(benchmark: DataFrame, id_col: str, text_col: str, window: int) -> Pro
     """The benchmark's windows.  Items without words have none; rows that
     repeat an id add their windows to it; rows without an id are one item, the
     last, whose name is null."""
-    size = benchmark.agg(F.sum(F.octet_length(text_col))).first()[0] or 0
-    if size > MAX_BENCHMARK_BYTES:
-        raise ValueError(f"the benchmark has {size} bytes of text; at most {MAX_BENCHMARK_BYTES} fit a task, pass it in parts")
-    rows = benchmark.select(F.col(id_col).cast("string"), text_col).collect()
+    rows = benchmark.select(F.col(id_col).cast("string"), text_col).collect()  # a part of benchmark_parts
     rows.sort(key=lambda r: (r[0] is None, r[0] or "", r[1] or ""))
     ids = sorted({r[0] for r in rows}, key=lambda x: (x is None, x or ""))
     number = {x: i for i, x in enumerate(ids)}
@@ -88,6 +85,22 @@ def probes(benchmark: DataFrame, id_col: str, text_col: str, window: int) -> Pro
     return Probes(words, np.unique(words[words != 0]), *ints, ids, suffix, np.concatenate(rest)[suffix], np.concatenate(owner)[suffix])
 
 
+def benchmark_parts(benchmark: DataFrame, id_col: str, text_col: str) -> list[DataFrame]:
+    """The benchmark's distinct rows in parts by their hash, as many as it
+    takes for each to have ``PART_BYTES`` of text at most, or a single row."""
+    size = benchmark.agg(F.sum(F.octet_length(text_col))).first()[0] or 0
+    if size <= PART_BYTES:
+        return [benchmark]
+    rows, n = benchmark.select(F.col(id_col).cast("string"), text_col).distinct(), -(-size // PART_BYTES)
+    for _ in range(48):
+        part = F.pmod(F.xxhash64(id_col, text_col), F.lit(n))
+        sizes = rows.groupBy(part.alias("part")).agg(F.sum(F.octet_length(text_col)).alias("size"), F.count("*").alias("rows"))
+        if sizes.filter((F.col("size") > PART_BYTES) & (F.col("rows") > 1)).isEmpty():
+            return [rows.filter(part == F.lit(k)) for k in range(n)]
+        n += -(-n // 2)
+    raise ValueError("the benchmark does not divide into parts")
+
+
 def suffix_array(h: np.ndarray, positions: np.ndarray, depth: int) -> np.ndarray:
     """``positions`` in the order of the ``depth`` words from each on, words
     ordered by hash.  ``h`` has ``depth`` zeros at its end."""
@@ -223,6 +236,56 @@ def search(w: tx.Words, hashes: np.ndarray, p: Probes, window: int):
     return at - doc, p.length[hit], p.item[hit], doc, longest, where, full
 
 
+class Found:
+    """What a shard's documents share with the parts of the benchmark seen so
+    far."""
+
+    def __init__(self, n_docs: int):
+        self.items: list[set[str | None]] = [set() for _ in range(n_docs)]
+        self.longest = np.zeros(n_docs, np.int64)
+        self.where = np.full(n_docs, -1, np.int64)
+        self.words, self.at = self.longest.copy(), self.where.copy()
+        self.item: list[str | None] = [None] * n_docs
+        self.covered: np.ndarray | None = None
+
+    def add(self, w: tx.Words, hashes: np.ndarray, p: Probes, window: int) -> None:
+        at, length, item, doc, longest, where, full = search(w, hashes, p, window)
+        # covered words, by starts and ends of windows
+        edge = np.zeros(len(hashes) + 1, np.int64)
+        np.add.at(edge, at, 1)
+        np.add.at(edge, at + length, -1)
+        covered = np.cumsum(edge[:-1]) > 0
+        self.covered = covered if self.covered is None else self.covered | covered
+        self.first, self.owner = w.first, w.text_of_word()
+        for x in np.unique(doc * len(p.ids) + item) if len(doc) else []:  # items of a chunk's contaminated documents only
+            self.items[int(x) // len(p.ids)].add(p.ids[int(x) % len(p.ids)])
+        better = (longest > self.longest) | ((longest == self.longest) & (where < self.where))
+        self.longest[better], self.where[better] = longest[better], where[better]
+        for d in np.flatnonzero((full.words > 0) & (full.words >= self.words)):
+            name = p.ids[full.item[d]]
+            new = (-full.words[d], full.at[d], name is None, name or "")
+            if not self.words[d] or new < (-self.words[d], self.at[d], self.item[d] is None, self.item[d] or ""):
+                self.words[d], self.at[d], self.item[d] = full.words[d], full.at[d], name
+
+    def columns(self) -> list[pa.Array]:
+        """``n_words`` to ``match_item``."""
+        covered, first, owner = self.covered, self.first, self.owner
+        sums = np.concatenate(([0], np.cumsum(covered)))
+        spans: list[list[dict]] = [[] for _ in self.items]
+        if covered.any():
+            begin, finish = covered.copy(), covered.copy()
+            begin[1:] &= ~covered[:-1] | (owner[1:] != owner[:-1])
+            finish[:-1] &= ~covered[1:] | (owner[1:] != owner[:-1])
+            for s, e in zip(np.flatnonzero(begin), np.flatnonzero(finish), strict=True):
+                spans[owner[s]].append({"first": int(s - first[owner[s]]), "words": int(e - s + 1)})
+        items = [sorted(x, key=lambda name: (name is None, name or "")) for x in self.items]
+        return [
+            pa.array(np.diff(first)), pa.array(sums[first[1:]] - sums[first[:-1]]), pa.array(items, pa.list_(pa.string())),
+            pa.array(spans, pa.list_(pa.struct([("first", pa.int64()), ("words", pa.int64())]))),
+            pa.array(self.longest), pa.array(self.where), pa.array(self.words), pa.array(self.at), pa.array(self.item, pa.string()),
+        ]
+
+
 def overlaps(
     docs: DataFrame,
     benchmark: DataFrame,
@@ -253,43 +316,21 @@ def overlaps(
         "match_words long, match_at long, match_item string"
     )
     names = [c for c in (docs.columns if keep is None else keep) if c not in added.names]
-    p = docs.sparkSession.sparkContext.broadcast(probes(benchmark, item_col, item_text_col, window))
+    send = docs.sparkSession.sparkContext.broadcast
+    parts = [send(probes(x, item_col, item_text_col, window)) for x in benchmark_parts(benchmark, item_col, item_text_col)]
     schema = T.StructType([docs.schema[c] for c in names] + added.fields)
 
     def run(batches):
-        probe = p.value
-        for b in tx.chunks(batches, text_col):
-            w, hashes = normal_words(b.column(text_col))
-            at, length, item, doc, longest, where, full = search(w, hashes, probe, window)
-            n_docs = len(w.counts)
-            # covered words, by starts and ends of windows
-            edge = np.zeros(len(hashes) + 1, np.int64)
-            np.add.at(edge, at, 1)
-            np.add.at(edge, at + length, -1)
-            covered = np.cumsum(edge[:-1]) > 0
-            sums = np.concatenate(([0], np.cumsum(covered)))
-            n_hit = sums[w.first[1:]] - sums[w.first[:-1]]
-            items: list[list[str | None]] = [[] for _ in range(n_docs)]
-            found = np.unique(doc * len(probe.ids) + item) if len(doc) else []
-            for x in found:  # items of a chunk's contaminated documents only
-                items[int(x) // len(probe.ids)].append(probe.ids[int(x) % len(probe.ids)])
-            spans: list[list[dict]] = [[] for _ in range(n_docs)]
-            if len(doc):
-                owner = w.text_of_word()
-                begin = covered.copy()
-                begin[1:] &= ~covered[:-1] | (owner[1:] != owner[:-1])
-                finish = covered.copy()
-                finish[:-1] &= ~covered[1:] | (owner[1:] != owner[:-1])
-                for s, e in zip(np.flatnonzero(begin), np.flatnonzero(finish), strict=True):
-                    spans[owner[s]].append({"first": int(s - w.first[owner[s]]), "words": int(e - s + 1)})
-            yield pa.RecordBatch.from_arrays(
-                [b.column(c) for c in names]
-                + [pa.array(w.counts), pa.array(n_hit), pa.array(items, pa.list_(pa.string())),
-                   pa.array(spans, pa.list_(pa.struct([("first", pa.int64()), ("words", pa.int64())]))),
-                   pa.array(longest), pa.array(where), pa.array(full.words), pa.array(full.at),
-                   pa.array([probe.ids[i] if i >= 0 else None for i in full.item], pa.string())],
-                names=names + added.names,
-            )
+        for batch in batches:
+            shards = list(tx.chunks([batch], text_col))
+            found = [Found(len(b)) for b in shards]
+            for p in parts:
+                for b, f in zip(shards, found, strict=True):
+                    f.add(*normal_words(b.column(text_col)), p.value, window)
+                if len(parts) > 1:
+                    vars(p).pop("_value", None)  # the worker would keep every part; it is read from disk again
+            for b, f in zip(shards, found, strict=True):
+                yield pa.RecordBatch.from_arrays([b.column(c) for c in names] + f.columns(), names=names + added.names)
 
     columns = list(dict.fromkeys([*names, text_col]))
     return docs.select(*columns).mapInArrow(run, schema)
