@@ -110,7 +110,7 @@ def test_benchmark_in_parts_of_any_size(spark, monkeypatch, odd, nothing):
     bench = spark.createDataFrame(rows, "item_id string, text string")
     exact = ("doc_id", "n_words", "n_hit", "items", "spans", "longest", "longest_at", "match_words", "match_at")
     whole = {r.doc_id: r for r in decontaminate.overlaps(odd, bench, window=5).collect()}
-    monkeypatch.setattr(decontaminate, "PART_BYTES", 700)
+    monkeypatch.setattr(decontaminate, "PART_BYTES", 9_000)
     parts = decontaminate.benchmark_parts(bench, "item_id", "text")
     assert len(parts) > 5 and sorted((r[0] or "", r[1] or "") for x in parts for r in x.collect()) == sorted({(i or "", t or "") for i, t in rows})
     got = {r.doc_id: r for r in decontaminate.overlaps(odd, bench, window=5).collect()}
