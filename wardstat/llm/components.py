@@ -13,13 +13,23 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wardstat.session import scratch_path
+from wardstat.sources import fs
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
     """The rows written to the shared folder and read again."""
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out.scratch_folder = path
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete tables that ``written`` made, once all that was read from them
+    is itself written."""
+    for t in tables:
+        fs.delete(t.sparkSession, t.scratch_folder)
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
@@ -51,6 +61,8 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
         chained = 0 if crowded else now.join(now.select(F.col("u").alias("w")), F.col("v") == F.col("w")).limit(1).count()
         if not crowded and not chained:
             break
-        now = written(_small_star(_large_star(now)), "components")
+        closer = written(_small_star(_large_star(now)), "components")
+        discard(now)
+        now = closer
     roots = now.select(F.col("v").alias("node")).distinct()
     return now.select(F.col("u").alias("node"), F.col("v").alias("component")).union(roots.select("node", F.col("node").alias("component")))
