@@ -8,6 +8,7 @@ Python object is made for a word.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -164,3 +165,12 @@ def inside_one_text(w: Words, size: int) -> np.ndarray:
     last = np.repeat(w.first[1:], w.counts)[:n]
     at = np.arange(n)
     return at[at + size <= last]
+
+
+def release() -> None:
+    """Give memory that this worker freed earlier back to the system: workers
+    are used again by other tasks and would keep it."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc only
+    if trim is not None:
+        trim(0)

@@ -198,11 +198,12 @@ def encode_lanes(ids: np.ndarray, lengths: np.ndarray, sizes: np.ndarray) -> lis
     low, span = np.zeros(lanes, U64), np.full(lanes, _ALL, U64)
     words = np.zeros((lanes, steps + 4), np.uint32)
     n_out = np.zeros(lanes, np.int64)
-    ids, shift = np.ascontiguousarray(ids.T.astype(np.int64)), U64(BITS)
+    by_step, shift = np.ascontiguousarray(ids.T), U64(BITS)
     all_live = lengths.min() if lanes else 0
     for t in range(steps):
         model.predict()
-        start, mass = model.interval(ids[t])
+        now = by_step[t].astype(np.int64)
+        start, mass = model.interval(now)
         unit = span >> shift
         if t < all_live:
             low += unit * start.view(U64)
@@ -215,7 +216,7 @@ def encode_lanes(ids: np.ndarray, lengths: np.ndarray, sizes: np.ndarray) -> lis
         if len(small):
             words[small, n_out[small]] = _carry(low, span, small).astype(np.uint32)
             n_out[small] += 1
-        model.learn(ids[t])
+        model.learn(now)
     for part in (low >> U64(32), low & _LOW32):
         words[np.arange(lanes), n_out] = part.astype(np.uint32)
         n_out += 1
@@ -229,7 +230,7 @@ def decode_lanes(payloads: list[bytes], lengths: np.ndarray, sizes: np.ndarray)
     for k, p in enumerate(payloads):
         words[k, : n_words[k]] = np.frombuffer(p, "<u4")
     model = Model(sizes)
-    out = np.zeros((steps, lanes), np.int64)
+    out = np.zeros((steps, lanes), np.int32)
     low, span = np.zeros(lanes, U64), np.full(lanes, _ALL, U64)
     code = (words[:, 0] << U64(32)) | words[:, 1]
     n_in = np.full(lanes, 2, np.int64)
@@ -311,7 +312,7 @@ class WordIds:
         self.known = np.zeros(0, U64)  # sorted; slot k begins at first[k] of ids
         self.slot = np.zeros(0, np.int64)
         self.first = np.zeros(1, np.int64)
-        self.ids = np.zeros(0, np.int64)
+        self.ids = np.zeros(0, np.int32)
 
     def fresh(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Ids of the texts, joined; how many each has; and each text's place
@@ -345,7 +346,7 @@ class WordIds:
     def __call__(self, w: tx.Words, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the words, in order, and how many each word has."""
         if not len(hashes):
-            return np.zeros(0, np.int64), np.zeros(0, np.int64)
+            return np.zeros(0, np.int32), np.zeros(0, np.int64)
         number, distinct = pd.factorize(hashes)
         if len(self.known) > KNOWN_WORDS:
             self.clear()
@@ -363,7 +364,7 @@ class WordIds:
             flat, sizes, place = self.fresh(texts)
             order = np.argsort(distinct[new])
             slots = len(self.first) - 1 + place[order]
-            self.ids = np.concatenate((self.ids, flat))
+            self.ids = np.concatenate((self.ids, flat.astype(np.int32)))
             self.first = np.concatenate((self.first, self.first[-1] + np.cumsum(sizes)))
             keys = distinct[new][order]
             spot = np.searchsorted(self.known, keys)
@@ -419,7 +420,7 @@ def _group_records(shard: int, first: int, ids: np.ndarray, pieces: list[np.ndar
     n_blocks = len(pieces)
     lengths = np.full(n_blocks, BLOCK_IDS)
     lengths[-1] = len(ids) - BLOCK_IDS * (n_blocks - 1)
-    local = np.zeros((n_blocks, int(lengths.max())), np.int64)
+    local = np.zeros((n_blocks, int(lengths.max())), np.int32)
     alphabets = []
     rank = np.zeros(int(ids.max(initial=0)) + 1, np.int64)
     for k in range(n_blocks):
@@ -480,6 +481,7 @@ def write_blocks(docs: DataFrame, path: str, tokenizer_path: str, id_col: str =
 
     def run(batches):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task is one thread
+        tx.release()
         word_ids = WordIds(vocabulary.value)
         shard, first, row = TaskContext.get().partitionId(), 0, 0
         ids, sizes, keys = [], [], []  # of documents not yet written
@@ -487,7 +489,7 @@ def write_blocks(docs: DataFrame, path: str, tokenizer_path: str, id_col: str =
 
         def blocks(everything: bool):
             nonlocal ids, sizes, keys, held, open_piece, first, row
-            flat = np.concatenate(ids) if ids else np.zeros(0, np.int64)
+            flat = np.concatenate(ids) if ids else np.zeros(0, np.int32)
             size = np.concatenate(sizes) if sizes else np.zeros(0, np.int64)
             key = np.concatenate(keys) if keys else np.zeros(0, PIECE)
             n_blocks = -(-len(flat) // BLOCK_IDS) if everything else len(flat) // BLOCK_IDS
@@ -516,7 +518,7 @@ def write_blocks(docs: DataFrame, path: str, tokenizer_path: str, id_col: str =
             first += done
             gone = int(np.searchsorted(stop, done, side="right"))
             row += gone
-            ids, held = [flat[done:]], len(flat) - done
+            ids, held = [flat[done:].copy()], len(flat) - done
             open_piece = int(done - start[gone]) if gone < len(size) else 0
             rest = size[gone:].copy()
             if len(rest):
@@ -547,6 +549,7 @@ def write_blocks(docs: DataFrame, path: str, tokenizer_path: str, id_col: str =
         out = blocks(True)
         if out is not None:
             yield out
+        tx.release()
 
     ordered.mapInArrow(run, "shard long, first long, record binary").write.parquet(path)
 
@@ -555,6 +558,7 @@ def _pieces(blocks: DataFrame) -> DataFrame:
     """(shard, row, id, first, n, crc) of every document's part of every block."""
 
     def run(batches):
+        tx.release()
         for batch in batches:
             for at in range(0, batch.num_rows, LANES):
                 raw = batch.column(0).slice(at, LANES).to_pylist()
