@@ -482,6 +482,47 @@ def test_m_tree_skips_computations():
         assert best == [(int(s[i]), int(i)) for i in order] and computed < 6000
 
 
+def test_top_k_ships_no_tree(spark, monkeypatch):
+    """A shard's rows meet whole parts of the queries where its tree is built,
+    so that no row, and no batch of rows, holds a tree for each block."""
+    monkeypatch.setattr(mtree, "SHARD_ROWS", 50)
+    monkeypatch.setattr(mtree, "QUERY_BLOCK", 2)
+    monkeypatch.setattr(mtree, "PART_BLOCKS", 3)
+    rng = random.Random(11)
+    for large in (40, 40_000, 1 << 31):  # components of 16, 32 and 64 bits
+        rows = [(i % 150, [rng.randrange(-large, large), *(rng.randrange(-40, 40) for _ in range(4))]) for i in range(200)]  # ids that repeat, also those of queries
+        rows += [(1000 + i, [large, -40, 0, 1, 1]) for i in range(20)]
+        df = spark.createDataFrame(rows, "vec_id long, v array<long>")
+        found = mtree.top_k(df, F.col("vec_id") % 10 == 0, 4)
+        plan = found._jdf.queryExecution().toString()
+        assert "FlatMapCoGroupsInArrow" in plan and "tree" not in plan
+        got = [tuple(r) for r in found.collect()]
+        want, asked = [], {}
+        for q, x in rows:
+            if q % 10 == 0:
+                asked.setdefault(q, []).extend((-sum(a * b for a, b in zip(x, y)), i) for i, y in rows if i != q)
+        for q, scored in asked.items():
+            want += [(q, k, i, -s) for k, (s, i) in enumerate(sorted(scored)[:4], 1)]
+        assert sorted(r[:2] + r[3:] for r in got) == sorted(r[:2] + r[3:] for r in want)
+        unique = {q for q in asked if sum(i == q for i, _ in rows) == 1}
+        assert sorted(r for r in got if r[0] in unique) == sorted(r for r in want if r[0] in unique) and unique
+
+
+def test_queries_of_a_block_each_get_their_own_best():
+    rng = np.random.default_rng(2)
+    x = rng.integers(-30, 30, (3000, 4))
+    x[1000:2500] = x[rng.integers(0, 40, 1500)]  # many ties
+    ids = rng.permutation(3000) // 2  # every id twice
+    tree = mtree.MTree(ids, x)
+    asked, own = np.concatenate((x[:60], rng.integers(-90, 90, (40, 4)))), np.concatenate((ids[:60], np.arange(5000, 5040)))
+    query, found, scores = mtree.Search(tree, asked, 7, own).best()
+    for j in range(100):
+        s = x @ asked[j]
+        order = [i for i in np.lexsort((ids, -s)) if ids[i] != own[j]][:7]
+        assert list(zip(scores[query == j], found[query == j])) == [(s[i], ids[i]) for i in order]
+        assert tree.search(asked[j], 7, own[j])[0] == [(s[i], ids[i]) for i in order]
+
+
 # --- components --------------------------------------------------------------------------
 
 
